@@ -1,0 +1,4 @@
+"""Named queries over the standard tables, each with the SQL that gives the same rows."""
+
+QUERIES: dict = {}
+ORACLES: dict = {}
