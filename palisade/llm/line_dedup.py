@@ -50,11 +50,12 @@ def drop_bitmaps(docs: DataFrame, min_length: int = 40, min_docs: int = 5) -> Da
         .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"), "doc", "pos", "text_hash")
     )
     parts = _plan.part_count(docs, BYTES_PER_PART)
+    lines = _plan.stored(lines, "line-hashes")  # else texts are split again for the range bounds and for each use
     ranged = lines.repartitionByRange(parts, "h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc", "pos")
     nth = F.row_number().over(Window.partitionBy("h1", "h2", "doc").orderBy("pos"))
     firsts = ranged.withColumn("nth", nth).where("nth = 1")
     common = firsts.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper")).where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper")
-    dropped = ranged.join(common, ["h1", "h2"]).where("doc <> keeper")
+    dropped = lines.join(common, ["h1", "h2"]).where("doc <> keeper")
     words = dropped.groupBy("doc", "text_hash", F.expr("pos div 64").cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
     return words.groupBy("doc", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("drops"))
 
