@@ -70,10 +70,16 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palisade.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palisade.llm.token_files import token_files
 
     return with_crc32(token_files(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_decontamination, op4_host_rules, op6_line_dedup, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_decontamination, op4_host_rules, op6_line_dedup, op7_substring_dedup, op10_token_files)}
