@@ -63,6 +63,13 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palisade.llm.ngram_lm import score
+
+    rows = score(table(spark, sf_dir, "documents"), _plan.crc32_of_id() % 5 != 1)
+    return rows.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palisade.llm.line_dedup import dedup_lines
 
@@ -88,4 +95,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc32(token_files(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_decontamination, op4_host_rules, op6_line_dedup, op7_substring_dedup, op8_jaccard_join, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_decontamination, op4_host_rules, op5_ngram_lm, op6_line_dedup, op7_substring_dedup, op8_jaccard_join, op10_token_files)}
