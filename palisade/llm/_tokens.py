@@ -4,7 +4,9 @@ Both vocabularies split a text into pieces before they merge, and no merge
 crosses a piece. Pieces recur, so each distinct one is encoded by the library
 once and its ids are kept; the ids of a text are the ids of its pieces in
 order. The cuts used here are places where the library's own splitting always
-cuts too, so the result is the same as encoding the whole text at once.
+cuts too, so the result is the same as encoding the whole text at once. New
+pieces go to the library many at once, with a mark between them whose ids are
+known.
 """
 
 from __future__ import annotations
@@ -13,20 +15,65 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
 
-#: Pieces kept by a worker, and the longest one kept.
+from palisade.llm._text import blocks
+
+#: Pieces that a worker keeps; then it starts anew. Longer ones than CACHE_LENGTH bytes aren't kept.
 CACHE_PIECES = 1_000_000
 CACHE_LENGTH = 64
 #: A control character between spaces: its ids part the pieces that are encoded together.
-MARK = " \x01 "
-#: A space between two characters that aren't white space: a byte-level text may be cut before it.
+MARK = b" \x01 "
+BATCH = 200
+#: White space of the vocabularies' patterns (and of Python's): a text may be cut before a space with none on either side.
 _WS = r"\s\x1c-\x1f\x85"
-_ODD = re.compile(rf"^ | $|[{_WS}] | [{_WS}]")
 _CUT = re.compile(rf"(?<=[^{_WS}])(?= [^{_WS}])")
+_ASCII_WS = np.zeros(256, bool)
+_ASCII_WS[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+
+
+def _even(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Mask of documents in which every space stands between two characters that aren't white space, and that have no white space beyond ASCII."""
+    n = len(off) - 1
+    space, white = data == 0x20, _ASCII_WS[data]
+    bad = np.zeros(len(data) + 1, bool)
+    bad[1:-1] = (space[1:] & white[:-1]) | (white[1:] & space[:-1])
+    for lead in (0xC2, 0xE1, 0xE2, 0xE3):
+        at = np.flatnonzero(data[:-1] == lead)
+        second = data[at + 1]
+        third = data[np.minimum(at + 2, len(data) - 1)]
+        odd = {
+            0xC2: (second == 0x85) | (second == 0xA0),
+            0xE1: (second == 0x9A) & (third == 0x80),
+            0xE2: ((second == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF))) | ((second == 0x81) & (third == 0x9F)),
+            0xE3: (second == 0x80) & (third == 0x80),
+        }[lead]
+        bad[at[odd]] = True
+    count = np.concatenate(([0], np.cumsum(bad)))
+    # the place where documents meet says nothing about either; a false alarm there only takes the other way
+    out = count[off[1:]] == count[off[:-1]]
+    full = np.flatnonzero(np.diff(off))
+    out[full] &= ~(space[off[full]] | white[off[full + 1] - 1])
+    return out if n else np.zeros(0, bool)
+
+
+def byte_characters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it prints, else the next from 256 on."""
+    out, spare = [], 256
+    for b in range(256):
+        prints = 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE
+        out.append(chr(b) if prints else chr(spare))
+        spare += not prints
+    return out
+
+
+_BYTES = str.maketrans(dict(enumerate(byte_characters())))
+#: ASCII that is neither letter, digit nor white space: a run of it after a word is a piece of its own.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Encoder:
-    """ids(text) -> uint32 ids. `drops_space`: the vocabulary ignores white space, as word_bpe_49k does."""
+    """`drops_space`: the vocabulary ignores white space, as word_bpe_49k does; else it is byte-level."""
 
     def __init__(self, path: str, drops_space: bool):
         from tokenizers import Tokenizer
@@ -34,65 +81,114 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.drops_space = drops_space
-        self.cache: dict = {}
-        self.mark = np.frombuffer(self._ids([" " + MARK[1]])[0], np.uint32)
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece; most go to the library as one text, with marks between that are pieces of their own."""
-        plain = [i for i, p in enumerate(pieces) if self._joins(p)]
-        out = [b""] * len(pieces)
-        closing = MARK if self.drops_space else MARK[:2]
-        for at in range(0, len(plain), 2000):
-            some = plain[at : at + 2000]
-            ids = np.frombuffer(self._ids(["".join(pieces[i] + closing for i in some)])[0], np.uint32)
+        self.cache: dict[bytes, bytes] = {}  # of pieces; of a byte-level vocabulary, with the space before them
+        self.tokenizer.model._resize_cache(0)  # the cache here takes its place
+        self.model = self.tokenizer.model
+        self.runs: dict[str, bytes] = {}
+        self.mark = np.frombuffer(self._one(" " + MARK.decode().strip()), np.uint32)
+
+    def _one(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def _run(self, run: str) -> bytes:
+        if run not in self.runs:
+            if len(self.runs) > 10_000:
+                self.runs.clear()
+            self.runs[run] = self._one(run)
+        return self.runs[run]
+
+    def _word(self, core: str) -> bytes:
+        """Ids of a word of Latin letters, which is one piece to the vocabulary's pattern, straight from its merges."""
+        if self.drops_space:
+            whole, core = core, core.lower() if core.isascii() else self.tokenizer.normalizer.normalize_str(core)
+            if not core.isalpha():
+                return self._one(whole)
+        else:
+            core = " " + core
+        if not core.isascii() or core[0] == " ":
+            core = core.encode().decode("latin-1").translate(_BYTES)
+        return array("I", [t.id for t in self.model.tokenize(core)]).tobytes()
+
+    def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of pieces without white space at their ends."""
+        out: dict[bytes, bytes] = {}
+        rest, get = [], self.cache.get
+        for p in pieces:
+            text = p.decode("utf-8")
+            core = text.rstrip(PUNCTUATION)
+            if not core.isalpha() or max(core) > "\u024f":
+                rest.append(p)
+                continue
+            key = p if len(core) == len(text) else core.encode()
+            ids = get(key) or out.get(key)
+            if ids is None:
+                ids = out[key] = self._word(core)
+            if key is not p:
+                out[p] = ids + self._run(text[len(core) :])
+        pieces = rest
+        for at in range(0, len(pieces), BATCH):
+            some = pieces[at : at + BATCH]
+            joined = MARK.join(some)
+            if joined.count(b"\x01") != len(some) - 1:
+                out |= {p: self._one((b"" if self.drops_space else b" ").decode() + p.decode("utf-8")) for p in some}
+                continue
+            ids = np.frombuffer(self._one((b" " + joined + MARK[:2]).decode("utf-8")), np.uint32)
             stops = np.flatnonzero(ids == self.mark[-1])
             if len(stops) != len(some):
                 raise AssertionError("a mark was lost")
-            begins = np.concatenate(([0], stops[:-1] + 1)) * 4
-            ends = (stops - (len(self.mark) - 1)) * 4
+            begins = (np.concatenate(([0], stops[:-1] + 1)) * 4).tolist()
+            ends = ((stops - (len(self.mark) - 1)) * 4).tolist()
             raw = ids.tobytes()
-            for i, b, e in zip(some, begins.tolist(), ends.tolist(), strict=True):
-                out[i] = raw[b:e]
-        odd = sorted(set(range(len(pieces))) - set(plain))
-        for i, ids in zip(odd, self._ids([pieces[i] for i in odd]), strict=True):
-            out[i] = ids
+            out |= {p: raw[b:e] for p, b, e in zip(some, begins, ends, strict=True)}
         return out
 
-    def _joins(self, piece: str) -> bool:
-        """Whether the piece splits alike alone and between marks."""
-        if MARK[1] in piece:
-            return False
-        return self.drops_space or (piece[0] == " " and not piece[-1].isspace() and piece[-1] not in "\x1c\x1d\x1e\x1f\x85")
-
-    def pieces(self, text: str) -> list:
-        if self.drops_space:
-            return text.encode("utf-8", "surrogatepass").split()
-        if _ODD.search(text):
-            return _CUT.split(text)
-        head, *rest = text.split(" ")
-        return [head, *rest] if not rest else [head, *(" " + x for x in rest)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
+    def _resolve(self, split: list[list[bytes]]) -> list[bytes]:
         cache = self.cache
         if len(cache) > CACHE_PIECES:
             cache.clear()
-        split = [self.pieces(t) if t else [] for t in texts]
-        missing = {p for pieces in split for p in pieces if p not in cache}
-        if missing:
-            fresh = list(missing)
-            as_text = [p.decode("utf-8", "surrogatepass") for p in fresh] if self.drops_space else fresh
-            cache.update(zip(fresh, self._encode(as_text), strict=True))
-        get = cache.__getitem__
-        out = [b"".join(map(get, pieces)) for pieces in split]
-        for p in missing:
-            if len(p) > CACHE_LENGTH:
-                del cache[p]
+        get = cache.get
+        found = [list(map(get, pieces)) for pieces in split]
+        short = [i for i, ids in enumerate(found) if None in ids]
+        if short:
+            missing = {p for i in short for p, ids in zip(split[i], found[i], strict=True) if ids is None}
+            fresh = self._learn(list(missing))
+            cache.update(fresh)
+            for i in short:
+                found[i] = map(cache.__getitem__, split[i])
+        out = list(map(b"".join, found))
+        if short:
+            for p in missing:
+                if len(p) > CACHE_LENGTH:
+                    del cache[p]
         return out
 
+    def encode(self, data: np.ndarray, off: np.ndarray) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text of a block."""
+        raw, cuts = data.tobytes(), off.tolist()
+        texts = [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        if self.drops_space:
+            return self._resolve([t.split() for t in texts])
+        even = _even(data, off).tolist()
+        heads: list[bytes] = []
+        split: list[list[bytes]] = []
+        for text, plain in zip(texts, even, strict=True):
+            if plain:
+                pieces = text.split(b" ")
+            else:  # only cuts with no white space beside them; the last piece may end in some
+                pieces = [p.encode() if i == 0 else p[1:].encode() for i, p in enumerate(_CUT.split(text.decode("utf-8")))]
+            head = self._one(pieces[0].decode("utf-8")) if pieces[0] else b""
+            tail = b""
+            if not plain and len(pieces) > 1:
+                tail = self._one(" " + pieces.pop().decode("utf-8"))
+            heads.append(head)
+            split.append(pieces[1:])
+            heads.append(tail)
+        body = self._resolve(split)
+        return [heads[2 * i] + ids + heads[2 * i + 1] for i, ids in enumerate(body)]
+
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
+        return [ids for _, data, off in blocks(pa.table({"text": pa.array(texts, pa.string())})) for ids in self.encode(data, off)]
+
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
 

@@ -98,9 +98,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, linea
         sequence = TaskContext.get().partitionId() << 40
         group, tokens = [], 0
         for batch in batches:
-            for rows, _, _ in blocks(batch):
+            for rows, data, off in blocks(batch):
                 some = batch.slice(rows.start, rows.stop - rows.start)
-                for doc_id, ids in zip(some.column("doc_id").to_pylist(), coder.encode(some.column("text").fill_null("").to_pylist()), strict=True):
+                for doc_id, ids in zip(some.column("doc_id").to_pylist(), coder.encode(data, off), strict=True):
                     group.append((doc_id, ids + end))
                     tokens += len(ids) // 4 + 1
                 if tokens >= group_tokens:

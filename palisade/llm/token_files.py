@@ -137,10 +137,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
         coder = encoder(tokenizer, drops_space)
         path, out, sink, n, total, first = "", None, None, 0, 0, None
         for batch in batches:
-            for rows, _, _ in blocks(batch):
+            for rows, data, off in blocks(batch):
                 some = batch.slice(rows.start, rows.stop - rows.start)
-                texts = some.column("text").fill_null("").to_pylist()
-                for doc_id, ids in zip(some.column("doc_id").to_pylist(), coder.encode(texts), strict=True):
+                for doc_id, ids in zip(some.column("doc_id").to_pylist(), coder.encode(data, off), strict=True):
                     if out is None:
                         name = f"part-{part:06d}-{uuid.uuid4().hex}.tok"
                         path, first = f"{folder}/{name}", doc_id
