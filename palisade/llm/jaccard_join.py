@@ -136,13 +136,13 @@ def linked(sets: list[np.ndarray], percent: int) -> list[list[int]]:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id (the least doc_id reachable by links, its own included) of every row of docs.
+    """doc_id, text_hash (xxhash64), n_shingles, component_id (the least doc_id reachable by links, its own included) of every row of docs.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. Two documents link when 100 * intersection >=
     percent * union of their shingle sets. Texts without words have no shingle and link with nothing; null doc_ids
     take part and come after all others as component_id. Repeated rows each get a row. An empty table gives none.
     """
-    rows, n = sources(docs)
+    rows, n = sources(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), columns=("doc_id", "text", "text_hash"))
     bits = min(64, max(32, int(np.ceil(np.log2(max(_plan.input_bytes(docs), 2)))) + 4))
     fold = np.uint64(64 - bits)
 
@@ -184,10 +184,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85) -> Dat
             out["keys"] += keys
             out["shingles"] += raw
         cat = lambda k: pa.array(np.concatenate(out[k] or [np.zeros(0, np.int64)]), pa.int64())
-        return pa.table({"doc_id": table.column("doc_id"), "node": cat("node"), "n_shingles": cat("n_shingles"), "keys": pa.array(out["keys"], pa.list_(pa.int64())), "shingles": pa.array(out["shingles"], pa.binary())})
+        return pa.table({"doc_id": table.column("doc_id"), "text_hash": table.column("text_hash"), "node": cat("node"), "n_shingles": cat("n_shingles"), "keys": pa.array(out["keys"], pa.list_(pa.int64())), "shingles": pa.array(out["shingles"], pa.binary())})
 
     classes = by_bucket(by_source(rows, send_shingles, MESSAGE), _count)
-    indexed = _plan.stored(with_answers(rows, classes, index, "doc_id long, node long, n_shingles long, keys array<long>, shingles binary"), "shingle-index")
+    indexed = _plan.stored(with_answers(rows, classes, index, "doc_id long, text_hash long, node long, n_shingles long, keys array<long>, shingles binary"), "shingle-index")
 
     # one row a node; equal sets have equal keys
     once = indexed.where("keys is not null").groupBy("node").agg(F.min_by(F.struct("n_shingles", "keys", "shingles"), F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("x")).select("node", "x.*")
@@ -205,6 +205,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85) -> Dat
     tasks = max(1, _plan.input_bytes(clusters, "shingles") // CLUSTER_BYTES)
     verified = clusters.withColumn("task", F.pmod(F.xxhash64("component"), F.lit(tasks))).groupBy("task").applyInArrow(_verify(percent), "node long, component long")
 
-    named = indexed.select("doc_id", "node", "n_shingles").join(verified, "node", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
+    named = indexed.select("doc_id", "text_hash", "node", "n_shingles").join(verified, "node", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
     least = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return named.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return named.join(least, "component", "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
+    """Rows of docs, one of each component: the least doc_id, of several rows with it the least text hash. Texts without words all stay."""
+    found = near_duplicates(docs, shingle, percent)
+    alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
+    group = F.when(alone, F.struct(F.lit(1).alias("own"), "doc_id", "text_hash")).otherwise(F.struct(F.lit(0).alias("own"), F.col("component_id").alias("doc_id"), F.lit(0).cast("long").alias("text_hash")))
+    first = found.groupBy(group.alias("g")).agg(F.min(F.struct("doc_id", "text_hash")).alias("x"))
+    kept = first.select(F.coalesce("x.doc_id", F.lit(-(1 << 63))).alias("_doc"), F.col("x.text_hash").alias("_hash")).distinct()
+    rows = docs.withColumns({"_doc": F.coalesce("doc_id", F.lit(-(1 << 63))), "_hash": F.xxhash64("text")})
+    return rows.join(kept, ["_doc", "_hash"], "left_semi").dropDuplicates(["_doc", "_hash"]).drop("_doc", "_hash")

@@ -86,7 +86,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palisade.llm.jaccard_join import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op9_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
