@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from palisade.llm import _plan, queries
 from palisade.llm.decontamination import decontaminate
+from palisade.llm.jaccard_join import keep_one
 from palisade.llm.line_dedup import dedup_lines
 from palisade.llm.packing import pack
 from palisade.llm.toxicity import score
@@ -27,6 +28,11 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.withColumns({"text": F.when(F.col("n_dropped") == 0, F.col("text")).otherwise(F.col("kept")), "n_chars": F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(F.char_length("kept").cast("long"))}).select(*COLUMNS)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: 4-word shingles, Jaccard similarity of 0.85."""
+    return keep_one(docs.select(*COLUMNS))
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word inside a benchmark window."""
     rows = decontaminate(docs, queries.table(spark, sf_dir, "benchmark"), keep=COLUMNS)
@@ -38,7 +44,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.with_crc32(pack(docs, queries.vocabulary("word_bpe_49k.json"), end_id=1))
 
 
-STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_common_lines), ("decontamination", decontaminated), ("packing", packed)]
+STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_common_lines), ("near_duplicates", one_of_each), ("decontamination", decontaminated), ("packing", packed)]
 
 ORACLE_SQL = None
 
