@@ -70,13 +70,18 @@ class EliasFano:
         at = np.where(h > 0, self._zeros[np.maximum(h - 1, 0)] + 1 - h, 0)
         end = self._zeros[h] - h
         want = values & U64((1 << self.low_bits) - 1)
+        # bisect each run: a context with many successors has long ones
+        stop = end.copy()
         open_ = np.flatnonzero(at < end)
         while len(open_):
-            got = self._low(at[open_])
-            same = got == want[open_]
-            out[open_[same]] = at[open_[same]]
-            at[open_] += 1
-            open_ = open_[(got < want[open_]) & (at[open_] < end[open_])]
+            mid = (at[open_] + end[open_]) >> 1
+            less = self._low(mid) < want[open_]
+            at[open_[less]] = mid[less] + 1
+            end[open_[~less]] = mid[~less]
+            open_ = open_[at[open_] < end[open_]]
+        there = np.flatnonzero(at < stop)
+        there = there[self._low(at[there]) == want[there]]
+        out[there] = at[there]
         return out
 
 
