@@ -1,4 +1,365 @@
 """Named queries over the standard tables, each with the SQL that gives the same rows."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from palisade import constants as C
+from palisade.functions import indicators, responses, text, urls
+from palisade.operators import links, merge
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _sql_list(words: tuple[str, ...]) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+# --- pieces of SQL -----------------------------------------------------------------------------------------------
+CLEAN = r"regexp_replace(strip_accents({0}), '[^\x20-\x7e]', '', 'g')"
+HOST = r"lower(regexp_extract({0}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1))"
+PATH = r"regexp_extract({0}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+QUERY = r"regexp_extract({0}, '^[^?#]*\?([^#]*)', 1)"
+_INDICATORS = " OR ".join("regexp_matches({0}, '(?i)" + p + "')" for p in (C.HASH_PATTERN, C.IPV4_PATTERN, C.URL_PATTERN, C.DOMAIN_PATTERN))
+
+
+def score_sql(t: str) -> str:
+    words = f"list_sum([CAST(contains({t}, k) AS INT) FOR k IN {_sql_list(C.GATE_KEYWORDS)}])"
+    return f"({words} + 2 * CAST(regexp_matches({t}, '{C.CVE_PATTERN}') AS INT) + 2 * CAST(({_INDICATORS.replace('{0}', t)}) AS INT))"
+
+
+NORMAL_PATH = rf"regexp_replace(regexp_replace(regexp_replace({PATH.format('url')}, '/blog-[a-zA-Z]{{2}}(?:-[a-zA-Z]{{2}})?/', '/blog/', 'g'), '/[a-zA-Z]{{2}}/blog/', '/blog/', 'g'), '/+$', '')"
+NORMAL_QUERY = rf"array_to_string([CASE WHEN contains(x, '=') THEN x ELSE x || '=' END FOR x IN string_split({QUERY.format('url')}, '&') IF x <> '' AND NOT starts_with(lower(x), 'utm_')], '&')"
+NORMAL = rf"lower(regexp_extract(url, '^([A-Za-z]+):', 1)) || '://' || {HOST.format('url')} || CASE WHEN {NORMAL_PATH} = '' THEN '/' ELSE {NORMAL_PATH} END || CASE WHEN {NORMAL_QUERY} = '' THEN '' ELSE '?' || {NORMAL_QUERY} END"
+
+
+# --- URLs and links ----------------------------------------------------------------------------------------------
+@query(f"SELECT page_id, {NORMAL} AS url_norm FROM pages")
+def normalize_url(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.normalize_url(F.col("url")).alias("url_norm"))
+
+
+@query(f"SELECT page_id, {HOST.format('url')} AS host, {PATH.format('url')} AS path, {QUERY.format('url')} AS query FROM pages")
+def url_parts(spark, sf_dir):
+    u = F.col("url")
+    return table(spark, sf_dir, "pages").select("page_id", urls.host(u).alias("host"), urls.path(u).alias("path"), urls.query(u).alias("query"))
+
+
+@query(r"SELECT page_id, regexp_matches(lower(url), '/rss|/feed|\.xml') AS is_feed FROM pages")
+def feed_url(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.is_feed_url(F.col("url")).alias("is_feed"))
+
+
+_BAD_CASE = "CASE " + " ".join(f"WHEN regexp_matches(lower(url), '{p}') THEN '{p}'" for p in C.BAD_PATHS) + " END"
+
+
+@query(f"SELECT page_id, {_BAD_CASE} AS bad_pattern FROM pages")
+def bad_path_filter(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.bad_path(F.col("url")).alias("bad_pattern"))
+
+
+_SEGMENTS = "[x FOR x IN string_split({0}, '/') IF x <> '']"
+_IN_RESEARCH = "(" + " OR ".join(f"contains({{0}}, '{p}')" for p in C.RESEARCH_PATHS) + ")"
+
+
+def priority_sql(url: str) -> str:
+    p = PATH.format(f"lower({url})")
+    research, seg = _IN_RESEARCH.replace("{0}", p), _SEGMENTS.replace("{0}", p)
+    return rf"CASE WHEN {research} AND regexp_matches({p}, '/20\d{{2}}/\d{{1,2}}/') THEN 0 WHEN {research} THEN 1 WHEN len({seg}) >= 2 AND len(string_split_regex({seg}[-1], '[-_]')) >= 4 THEN 2 ELSE 3 END"
+
+
+@query(f"SELECT page_id, {priority_sql('url')} AS priority FROM pages")
+def link_priority(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.link_priority(F.col("url")).alias("priority"))
+
+
+#: Hrefs with a domain of their own are made from the anchor's text, so that words and dates get into paths.
+_ANCHORS = """(SELECT page_id, url, 'https://blog.example.test/' || page_id % 7 || CASE page_id % 3 WHEN 0 THEN '/research/' WHEN 1 THEN '/2024/05/' ELSE '/' END || lower(regexp_replace(t, '[^A-Za-z0-9]+', '-', 'g')) || CASE page_id % 4 WHEN 0 THEN '/' ELSE '' END AS href, t
+  FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<h1>([^<]{1,60})', 1)) AS t FROM pages))"""
+
+
+def probable_sql() -> str:
+    u, t, h = "lower(href)", "lower(t)", HOST.format("href")
+    p = f"regexp_replace({PATH.format('lower(href)')}, '/+$', '')"
+    seg = _SEGMENTS.replace("{0}", p)
+    last = f"coalesce({seg}[-1], '')"
+    tokens = f"len([x FOR x IN string_split_regex({last}, '[-_]') IF x <> ''])"
+    slug = lambda words: f"len([k FOR k IN {_sql_list(words)} IF contains({u}, '/' || k || '/') OR contains({u}, '/' || k || '-') OR contains({u}, '-' || k || '/')]) > 0"
+    anchor = lambda words: f"len([k FOR k IN {_sql_list(words)} IF contains({t}, k)]) > 0"
+    junk = ", ".join(f"'{x}'" for x in C.JUNK_SLUGS)
+    return rf"""CASE WHEN {slug(C.NEGATIVE_TERMS)} OR {anchor(tuple(x for x in C.NEGATIVE_TERMS if len(x) > 6))} THEN false
+      WHEN {slug(C.POSITIVE_TERMS)} OR {anchor(C.POSITIVE_TERMS)} THEN true
+      WHEN (contains({u}, '/blog/') OR regexp_matches({h}, '^(?:blog|research|labs)\.')) AND regexp_matches({u}, '/20\d{{2}}/\d{{1,2}}/') THEN true
+      ELSE ({_IN_RESEARCH.replace('{0}', p)} AND {last} NOT IN ({junk}) AND length({last}) >= 6 AND ({tokens} >= 2 OR length({last}) >= 12)) OR ({tokens} >= 4 AND length({last}) >= 12) END"""
+
+
+@query(f"SELECT page_id, href, {probable_sql()} AS probable FROM {_ANCHORS}")
+def probable_link(spark, sf_dir):
+    title = F.explode(F.regexp_extract_all("html", F.lit("<h1>([^<]{1,60})"), 1)).alias("t")
+    a = table(spark, sf_dir, "pages").select("page_id", title)
+    place = F.when(F.col("page_id") % 3 == 0, "/research/").when(F.col("page_id") % 3 == 1, "/2024/05/").otherwise("/")
+    href = F.concat(F.lit("https://blog.example.test/"), (F.col("page_id") % 7).cast("string"), place, F.lower(F.regexp_replace("t", "[^A-Za-z0-9]+", "-")), F.when(F.col("page_id") % 4 == 0, "/").otherwise(""))
+    return a.withColumn("href", href).select("page_id", "href", urls.probable_link(F.col("href"), F.col("t")).alias("probable"))
+
+
+_SAME_HOST = rf"""SELECT DISTINCT page_id, lower(regexp_extract(url, '^([A-Za-z]+):', 1)) || '://' || {HOST.format('url')} || regexp_replace(regexp_extract(href, '^([^?#]*)', 1), '/+$', '') AS link
+  FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) AS href FROM pages) WHERE starts_with(href, '/') AND NOT starts_with(href, '//') AND regexp_replace(href, '/+$', '') NOT IN ('', '/blog')"""
+
+
+@query(_SAME_HOST)
+def extract_links(spark, sf_dir):
+    return links.page_links(table(spark, sf_dir, "pages").where("url is not null")).select("page_id", "link")
+
+
+@query(f"""SELECT host, url, priority FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY priority, url) AS n FROM (
+  SELECT regexp_replace({HOST.format('url')}, '^[^.]*\\.', '') AS host, url, {priority_sql('url')} AS priority FROM pages)) WHERE n <= {C.MAX_ARTICLES_PER_SOURCE}""")
+def top_k_per_source(spark, sf_dir):
+    u = F.col("url")
+    pages = table(spark, sf_dir, "pages").select(F.regexp_replace(urls.host(u), r"^[^.]*\.", "").alias("host"), "url")
+    return links.top_per_source(pages, "host").select("host", "url", "priority")
+
+
+@query(f"SELECT page_id, url_norm FROM (SELECT page_id, {NORMAL} AS url_norm FROM pages) p WHERE NOT EXISTS (SELECT 1 FROM (SELECT {NORMAL} AS url_norm FROM pages WHERE page_id % 2 = 0) d WHERE d.url_norm = p.url_norm)")
+def anti_join_processed(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", urls.normalize_url(F.col("url")).alias("url_norm"))
+    return links.unprocessed(pages, pages.where("page_id % 2 = 0"))
+
+
+_JOINED = rf"CASE WHEN starts_with(href, '//') THEN lower(regexp_extract(url, '^([A-Za-z]+):', 1)) || ':' || href WHEN regexp_matches(href, '^[A-Za-z]+:') THEN href WHEN starts_with(href, '/') THEN lower(regexp_extract(url, '^([A-Za-z]+):', 1)) || '://' || {HOST.format('url')} || href ELSE lower(regexp_extract(url, '^([A-Za-z]+):', 1)) || '://' || {HOST.format('url')} || regexp_replace({PATH.format('url')}, '[^/]*$', '') || href END"
+
+
+@query(f"SELECT page_id, href, {_JOINED} AS link FROM (SELECT page_id, url, unnest(['/a/' || page_id, 'b' || page_id || '.html', '//cdn.example.test/' || page_id, 'https://example.test/x?y=' || page_id]) AS href FROM pages WHERE {PATH.format('url')} <> '')")
+def resolve_links(spark, sf_dir):
+    n = F.col("page_id").cast("string")
+    hrefs = F.array(F.concat(F.lit("/a/"), n), F.concat(F.lit("b"), n, F.lit(".html")), F.concat(F.lit("//cdn.example.test/"), n), F.concat(F.lit("https://example.test/x?y="), n))
+    pages = table(spark, sf_dir, "pages").where(urls.path(F.col("url")) != "").select("page_id", "url", F.explode(hrefs).alias("href"))
+    return pages.select("page_id", "href", urls.resolve(F.col("url"), F.col("href")).alias("link"))
+
+
+@query(r"SELECT page_id, 'https://example.test' || list_reduce(list_prepend('', parts), lambda acc, x: CASE WHEN ends_with(acc, '/' || x) THEN acc ELSE acc || '/' || x END) AS collapsed FROM (SELECT page_id, ['a', 'b' || page_id % 3, 'b' || page_id % 2, 'c', 'c', 'd'] AS parts FROM pages)")
+def collapse_segments(spark, sf_dir):
+    n = F.col("page_id")
+    parts = F.concat(F.lit("https://example.test/a/b"), (n % 3).cast("string"), F.lit("/b"), (n % 2).cast("string"), F.lit("/c/c/d"))
+    return table(spark, sf_dir, "pages").select("page_id", urls.collapse_segments(parts).alias("collapsed"))
+
+
+# --- texts -------------------------------------------------------------------------------------------------------
+@query(f"SELECT doc_id, {CLEAN.format('text')} AS cleaned FROM documents")
+def clean_text(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+
+
+@query(f"SELECT doc_id, CAST({score_sql('t')} AS INT) AS score, {score_sql('t')} >= 2 AS is_report FROM (SELECT doc_id, lower({CLEAN.format('text')}) AS t FROM documents)")
+def security_gate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.clean_text(F.col("text")).alias("t"))
+    s = text.gate_score(F.col("t"))
+    return docs.select("doc_id", s.alias("score"), (s >= C.GATE_MIN_SCORE).alias("is_report"))
+
+
+@query("SELECT doc_id, CAST(i AS INT) AS chunk_idx, substr(text, i * 16500 + 1, 18000) AS chunk FROM (SELECT doc_id, text, unnest(generate_series(0, CAST(floor((length(text) - 1) / 16500) AS BIGINT))) AS i FROM documents WHERE length(text) > 0)")
+def chunk_explode(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.chunks(F.col("text"))).alias("chunk_idx", "chunk"))
+
+
+_KINDS = {"hash": C.HASH_PATTERN, "ip": C.IPV4_PATTERN, "url": C.URL_PATTERN, "domain": C.DOMAIN_PATTERN}
+_EXTRACTED = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS kind, unnest(regexp_extract_all(t, '(?i){p}')) AS value FROM d" for k, p in _KINDS.items())
+
+
+@query(f"WITH d AS (SELECT doc_id, {CLEAN.format('text')} AS t FROM documents) {_EXTRACTED}")
+def extract_iocs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.clean_text(F.col("text")).alias("t"))
+    return docs.select("doc_id", F.explode(indicators.extract_all(F.col("t"))).alias("x")).select("doc_id", "x.kind", "x.value")
+
+
+@query(f"WITH d AS (SELECT page_id AS doc_id, {CLEAN.format('body')} AS t FROM (SELECT page_id, regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>', ' ', 'g') AS body FROM pages)), g AS (SELECT * FROM d WHERE {score_sql('lower(t)')} >= 2), x AS ({_EXTRACTED.replace('FROM d', 'FROM g')}) SELECT kind, count(*) AS n, count(DISTINCT value) AS n_values FROM x GROUP BY kind")
+def indicator_counts(spark, sf_dir):
+    """The flagship: pages to article text, cleaned, gated, indicators counted by kind."""
+    body = F.regexp_replace(F.regexp_extract("html", "(?s)<article>(.*?)</article>", 1), "<[^>]*>", " ")
+    docs = table(spark, sf_dir, "pages").select(text.clean_text(body).alias("t"))
+    gated = docs.where(text.gate_score(F.col("t")) >= C.GATE_MIN_SCORE)
+    found = gated.select(F.explode(indicators.extract_all(F.col("t"))).alias("x")).select("x.*")
+    return found.groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("value").alias("n_values"))
+
+
+_LETTERS = r"len(regexp_extract_all(s, '\p{L}'))"
+_WORDS = r"[w FOR w IN string_split_regex(s, '\s+') IF w <> '']"
+
+
+@query(rf"""WITH d AS (SELECT doc_id, regexp_replace({CLEAN.format('text')}, '^\s+|\s+$', '', 'g') AS s FROM documents), w AS (SELECT *, {_WORDS} AS ws FROM d)
+SELECT doc_id, length(s) >= 20 AND {_LETTERS} >= 0.3 * length(s) AND ({' OR '.join(f"regexp_matches(s, '(?i){p}')" for p in C.TECHNICAL_PATTERNS)}
+  OR (len([x FOR x IN ws IF length(x) = 1]) <= 0.4 * len(ws) AND len([x FOR x IN ws IF length(x) > 2]) >= 3 AND list_sum([length(x) FOR x IN ws]) <= 25 * len(ws))) AS readable FROM w""")
+def ocr_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.clean_text(F.col("text")).alias("t"))
+    return docs.select("doc_id", text.readable(F.col("t")).alias("readable"))
+
+
+@query(f"SELECT doc_id, CAST(ceil(length(text) / 3.0) AS BIGINT) AS tokens, ceil(length(text) / 3.0) > {C.MAX_INPUT_TOKENS} AS too_long FROM documents")
+def token_guard(spark, sf_dir):
+    t = text.estimated_tokens(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", t.alias("tokens"), (t > C.MAX_INPUT_TOKENS).alias("too_long"))
+
+
+# --- indicators --------------------------------------------------------------------------------------------------
+@query(r"""WITH v AS (SELECT doc_id, unnest(['SHA256: ' || sha256(CAST(doc_id AS VARCHAR)), 'md5|' || upper(md5(CAST(doc_id AS VARCHAR))), 'file ' || md5('x' || doc_id) || ' seen', 'abc' || doc_id]) AS s FROM documents),
+n AS (SELECT doc_id, lower(regexp_extract(s, '(?i)^(?:(?:MD5|SHA-?1|SHA-?256|SHA-?512)\W*)?([0-9a-f]+)$', 1)) AS whole, s FROM v)
+SELECT doc_id, CASE WHEN length(whole) IN (32, 40, 64) THEN whole ELSE lower(regexp_extract(s, '(?i)\b([0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})\b', 1)) END AS hash FROM n WHERE length(whole) IN (32, 40, 64) OR (whole = '' AND regexp_matches(s, '(?i)\b([0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})\b'))""")
+def normalize_hashes(spark, sf_dir):
+    n = F.col("doc_id").cast("string")
+    digest = lambda x: F.md5(x.cast("binary"))
+    values = F.array(F.concat(F.lit("SHA256: "), F.sha2(n.cast("binary"), 256)), F.concat(F.lit("md5|"), F.upper(digest(n))), F.concat(F.lit("file "), digest(F.concat(F.lit("x"), n)), F.lit(" seen")), F.concat(F.lit("abc"), n))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(indicators.normalize_hashes(values)).alias("hash"))
+
+
+_OCTET = "TRY_CAST(regexp_extract(p, '^(\\d{{1,3}})\\.(\\d{{1,3}})\\.(\\d{{1,3}})\\.(\\d{{1,3}})(?::\\d+)?$', {0}) AS INT)"
+
+
+@query(f"""WITH v AS (SELECT DISTINCT s_suppkey, ip FROM (SELECT s_suppkey, unnest([s_suppkey % 260 || '.' || s_nationkey || '.1.9', '172.' || s_suppkey % 40 || '.0.1:80', '192[.]168[.]' || s_suppkey || '[.]7', '2001:db8::' || s_suppkey]) AS ip FROM supplier)),
+o AS (SELECT *, {', '.join(_OCTET.format(i) + f' AS o{i}' for i in (1, 2, 3, 4))} FROM (SELECT *, replace(ip, '[.]', '.') AS p FROM v))
+SELECT s_suppkey, ip, coalesce(o1 = 10 OR (o1 = 172 AND o2 BETWEEN 16 AND 31) OR (o1 = 192 AND o2 = 168) OR o1 = 127 OR (o1 = 169 AND o2 = 254) OR o1 BETWEEN 224 AND 239 OR o1 IN (0, 255) OR greatest(o1, o2, o3, o4) > 255, false) AS reserved FROM o""")
+def reserved_ip(spark, sf_dir):
+    n, k = F.col("s_suppkey"), F.col("s_nationkey").cast("string")
+    ips = F.array(F.concat((n % 260).cast("string"), F.lit("."), k, F.lit(".1.9")), F.concat(F.lit("172."), (n % 40).cast("string"), F.lit(".0.1:80")), F.concat(F.lit("192[.]168[.]"), n.cast("string"), F.lit("[.]7")), F.concat(F.lit("2001:db8::"), n.cast("string")))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(ips).alias("ip")).distinct().select("s_suppkey", "ip", indicators.reserved_ip(F.col("ip")).alias("reserved"))
+
+
+@query(r"SELECT doc_id, replace(replace(d, '[.]', '.'), '[:]', ':') AS fanged, d AS defanged FROM (SELECT doc_id, regexp_replace('www.' || source || '.example.test', '(\w)\.(\w)', '\1[.]\2', 'g') AS d FROM documents)")
+def fang_defang(spark, sf_dir):
+    d = indicators.defang(F.concat(F.lit("www."), F.col("source"), F.lit(".example.test")))
+    return table(spark, sf_dir, "documents").select("doc_id", d.alias("defanged")).withColumn("fanged", indicators.fang(F.col("defanged")))
+
+
+_STARTS = "(?i)^(?:" + "|".join(C.PLACEHOLDER_STARTS) + ")"
+_COPIED = " OR ".join(f"contains(lower(v), '{x.lower()}')" for x in C.CONTAMINATION)
+
+
+@query(f"""SELECT doc_id, v, v IN ('', '[]') OR regexp_matches(v, '{_STARTS}') OR {_COPIED} AS placeholder FROM (
+  SELECT doc_id, unnest([source, CASE doc_id % 5 WHEN 0 THEN 'N/A' WHEN 1 THEN 'Unknown' WHEN 2 THEN '<author name>' WHEN 3 THEN 'unknown actor' ELSE '' END, 'x' || repeat('0', CAST(doc_id % 40 AS INT))]) AS v FROM documents)""")
+def placeholder_filter(spark, sf_dir):
+    n = F.col("doc_id")
+    made = F.when(n % 5 == 0, "N/A").when(n % 5 == 1, "Unknown").when(n % 5 == 2, "<author name>").when(n % 5 == 3, "unknown actor").otherwise("")
+    v = F.array("source", made, F.concat(F.lit("x"), F.repeat(F.lit("0"), (n % 40).cast("int"))))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(v).alias("v")).select("doc_id", "v", indicators.placeholder(F.col("v")).alias("placeholder"))
+
+
+@query(r"""WITH t AS (SELECT conv_id, turn, unnest(string_split_regex(substr(text, 1, 400), '[^A-Za-z]+')) AS w, unnest(generate_series(1, len(string_split_regex(substr(text, 1, 400), '[^A-Za-z]+')))) AS i FROM conversations)
+SELECT conv_id, turn, array_to_string(list(w ORDER BY i), ',') AS words FROM (SELECT conv_id, turn, arg_min(w, i) AS w, min(i) AS i FROM t WHERE w <> '' GROUP BY conv_id, turn, lower(w)) GROUP BY conv_id, turn""")
+def dedupe_ci(spark, sf_dir):
+    words = indicators.distinct_ignoring_case(F.split(F.substring("text", 1, 400), "[^A-Za-z]+"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(words, ",").alias("words")).where("words <> ''")
+
+
+@query("""SELECT i.item_id, d.doc_id FROM (SELECT item_id, lower(trim(text)) AS v FROM benchmark) i JOIN (SELECT doc_id, lower(text) AS s FROM documents) d ON contains(d.s, i.v)""")
+def cross_validate(spark, sf_dir):
+    """Which benchmark passages occur in which documents; the passages are a block of bounded size, matched within each row."""
+    from palisade.operators.validate import occurrences
+
+    return occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# --- merging, records --------------------------------------------------------------------------------------------
+@query("""WITH c AS (SELECT conv_id, turn, text, role FROM conversations), f AS (SELECT conv_id, arg_min(text, turn) FILTER (WHERE text <> '') AS first_text, arg_min(role, turn) AS first_role, array_to_string(list(role ORDER BY turn), ',') AS roles, count(*) AS n_chunks FROM c GROUP BY conv_id),
+best AS (SELECT conv_id, arg_min(text, (-length(text), turn)) AS t, max(length(text)) AS l FROM c WHERE length(text) <= 1000 GROUP BY conv_id)
+SELECT f.conv_id, first_text AS title, CASE WHEN l > length(first_text) THEN t ELSE first_text END AS description, CASE WHEN contains(roles, 'system') AND contains(roles, 'user') AND contains(roles, 'assistant') THEN 3 WHEN contains(roles, 'assistant') AND contains(roles, 'user') THEN 2 ELSE len(list_distinct(string_split(roles, ','))) END AS n_roles, n_chunks FROM f LEFT JOIN best USING (conv_id)""")
+def merge_fold(spark, sf_dir):
+    chunks = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("title"), F.col("text").alias("description"), F.array("role").alias("roles"))
+    merged = merge.fold_chunks(chunks, "conv_id", "turn", first=("title",), longest=("description",), lists=("roles",))
+    return merged.select("conv_id", "title", "description", F.size("roles").alias("n_roles"), "n_chunks")
+
+
+@query("SELECT p_partkey, coalesce(nullif(regexp_replace(replace(lower(p_name), ' ', '-'), '[^a-z0-9-]', '', 'g'), ''), 'unknown') AS slug FROM part")
+def slug(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", indicators.malware_slug(F.array("p_name")).alias("slug"))
+
+
+@query("SELECT d.doc_id, length(text) > 2000 OR coalesce(quality, 0) > 0 OR (lang <> '' AND source = 'src0') AS meaningful FROM documents d LEFT JOIN labels l USING (doc_id)")
+def meaningful_content(spark, sf_dir):
+    from palisade.operators.records import meaningful
+
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    one = lambda test: F.when(F.coalesce(test, F.lit(False)), F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    return docs.select("doc_id", meaningful([one(F.char_length("text") > 2000)], [one(F.col("quality") > 0)], F.array().cast("array<string>"), F.col("lang"), one(F.col("source") == "src0")).alias("meaningful"))
+
+
+@query(f"""SELECT w, h, CASE WHEN w < 200 OR h < 100 THEN 'too small' WHEN w > 3000 OR h > 3000 THEN 'too large' WHEN w / h > 8 OR w / h < 0.2 THEN 'extreme aspect ratio' WHEN w BETWEEN 180 AND 400 AND h BETWEEN 180 AND 400 AND abs(w - h) < 60 THEN 'likely logo' END AS reason
+  FROM (SELECT DISTINCT CAST(p_size * 70 AS INT) AS w, CAST((p_partkey * 37) % 3300 AS INT) AS h FROM part)""")
+def image_filter(spark, sf_dir):
+    sizes = table(spark, sf_dir, "part").select((F.col("p_size") * 70).cast("int").alias("w"), ((F.col("p_partkey") * 37) % 3300).cast("int").alias("h")).distinct()
+    return sizes.select("w", "h", F.regexp_extract(text.image_reason(F.col("w"), F.col("h")), r"^([^(]*[^( ])", 1).alias("reason"))
+
+
+# --- events: time, state, JSON -----------------------------------------------------------------------------------
+@query("SELECT event_id FROM events WHERE ts IS NULL OR CAST(ts AS DATE) >= DATE '2024-01-30' - 7")
+def recency_filter(spark, sf_dir):
+    from palisade.functions.dates import recent
+
+    return table(spark, sf_dir, "events").where(recent(F.col("ts"), F.lit("2024-01-30").cast("date"))).select("event_id")
+
+
+@query("SELECT event_id, greatest(0.0, 2.0 - coalesce(epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id), 2.0)) > 0 AS waits FROM events")
+def domain_throttle(spark, sf_dir):
+    from palisade.operators.throttle import waits
+
+    return waits(table(spark, sf_dir, "events"), "user_id", "ts", C.REQUEST_DELAY, tie="event_id").select("event_id", (F.col("wait") > 0).alias("waits"))
+
+
+@query("""SELECT user_id, count(DISTINCT s) AS n_sessions, max(n) AS longest FROM (SELECT user_id, s, count(*) AS n FROM (SELECT user_id, sum(g) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (
+  SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS g FROM events)) GROUP BY user_id, s) GROUP BY user_id""")
+def session_counts(spark, sf_dir):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    gap = F.coalesce((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lag("ts").over(w).cast("timestamp")) > 1_800_000_000).cast("int"), F.lit(0))
+    s = table(spark, sf_dir, "events").withColumn("g", gap).withColumn("s", F.sum("g").over(w))
+    return s.groupBy("user_id", "s").agg(F.count("*").alias("n")).groupBy("user_id").agg(F.count("*").alias("n_sessions"), F.max("n").alias("longest"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k, false AS dead FROM events WHERE event_id % 10 <> 0 UNION ALL SELECT event_id, NULL, true FROM events WHERE event_id % 10 = 0")
+def dead_letter_split(spark, sf_dir):
+    from palisade.operators.records import parsed
+
+    raw = F.when(F.col("event_id") % 10 == 0, F.substring("props", 1, 4)).otherwise(F.col("props"))
+    return parsed(table(spark, sf_dir, "events").select("event_id", raw.alias("raw")), "raw", "k int").select("event_id", "value.k", "dead")
+
+
+@query("SELECT event_id, provider, event_type AS reply FROM events, (SELECT unnest(['claude', 'gemini', 'lmstudio', 'ollama', 'openai']) AS provider)")
+def json_response_paths(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "event_type")
+    said = F.struct(F.col("event_type").alias("content"))
+    part = F.struct(F.col("event_type").alias("text"))
+    bodies = {
+        "openai": F.struct(F.array(F.struct(said.alias("message"))).alias("choices")),
+        "lmstudio": F.struct(F.array(F.struct(said.alias("message"))).alias("choices")),
+        "ollama": F.struct(said.alias("message")),
+        "claude": F.struct(F.array(part).alias("content")),
+        "gemini": F.struct(F.array(F.struct(F.struct(F.array(part).alias("parts")).alias("content"))).alias("candidates")),
+    }
+    replies = F.array(*[F.struct(F.lit(p).alias("provider"), responses.reply_text(F.to_json(b), p).alias("reply")) for p, b in bodies.items()])
+    return e.select("event_id", F.inline(replies))
+
+
+@query("SELECT lang, source, count(*) AS n_docs, CAST(sum(n_chars) AS BIGINT) AS n_chars, count(quality) AS n_labelled FROM documents LEFT JOIN labels USING (doc_id) GROUP BY GROUPING SETS ((lang, source), (lang), ())")
+def corpus_rollup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return docs.groupingSets([["lang", "source"], ["lang"], []], "lang", "source").agg(F.count("*").alias("n_docs"), F.sum("n_chars").alias("n_chars"), F.count("quality").alias("n_labelled"))
+
+
+@query("SELECT event_type, count(*) AS n, count(*) FILTER (WHERE value > 10) AS n_large, count(*) FILTER (WHERE props IS NULL) AS n_empty FROM events GROUP BY event_type")
+def rule_counters(spark, sf_dir):
+    """Counters of what each rule lets through, as one grouped pass."""
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 10).alias("n_large"), F.count_if(F.col("props").isNull()).alias("n_empty"))
