@@ -39,7 +39,7 @@ NEGATIVE_TERMS = (
 JUNK_SLUGS = ("index", "home", "feed", "rss", "archive")
 MAX_ARTICLES_PER_SOURCE = 12
 RECENT_DAYS = 7
-FEED_PATHS = ("/feed", "/feed/", "/rss", "/rss/", "/rss.xml", "/atom.xml", "/feed.xml", "/index.xml", "/blog/feed")
+FEED_PATHS = ("/feed/", "/rss/", "/feed", "/rss", "/atom.xml", "/rss.xml", "/feed.xml", "/blog/feed/", "/blog/rss/")
 
 # --- fixed values: chunks and prompts -------------------------------------------------------
 CHUNK_SIZE, CHUNK_OVERLAP = 18_000, 1_500
@@ -106,3 +106,15 @@ CHROME_NAMES = (
     "breadcrumb|pagination|comment|author-bio|tags?|categories|widget|promo|advert|sponsor"
 )
 IMAGE_SOURCES = ("src", "data-src", "data-lazy-src", "data-original")
+ROOT_CLASS = r"(?:article|post|blog|entry|story)[-_](?:body|content|main|wrapper|container)"
+ROOT_CLASS_WHOLE = r"(?:content|main-content|post-content)"
+
+# --- fixed values: fetching -----------------------------------------------------------------
+CHALLENGE_MARKS = ("cf-browser-verification", "Just a moment", "px-captcha", "PerimeterX", "distil_r_captcha")
+TRANSIENT_ERRORS = (
+    "timed out", "timeout", "connection reset", "connection aborted", "connection refused", "broken pipe",
+    "remote disconnected", "eof occurred", "incomplete read",
+)
+PAGE_TIMEOUT, IMAGE_TIMEOUT, PROBE_TIMEOUT, MODEL_TIMEOUT = 20, 10, 5, 120
+RETRY_PAUSE = 3.0
+TEMPERATURE, MAX_OUTPUT_TOKENS = 0.2, 6_500

@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy", "MMM d, yyyy", "EEE, d MMM yyyy HH:mm:ss Z", "EEE, d MMM yyyy HH:mm:ss z")
+FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy", "MMM d, yyyy")
+#: Dates of mails and feeds, once the weekday is gone and zone names are numbers.
+MAIL_FORMATS = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z")
+
+
+def mail_timestamp(text: Column) -> Column:
+    t = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3,9},\s*", "")
+    t = F.regexp_replace(t, r"\s+(?:GMT|UTC|UT|Z)$", " +0000")
+    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in MAIL_FORMATS])
 
 
 def any_date(text: Column) -> Column:
     """A date in ISO form (with or without time) or one of FORMATS."""
     t = F.trim(text)
     iso = F.to_date(F.try_to_timestamp(F.regexp_extract(t, r"^(\d{4}-\d{2}-\d{2})(?:[T ].*)?$", 1), F.lit("yyyy-MM-dd")))
-    return F.coalesce(iso, *[F.to_date(F.try_to_timestamp(t, F.lit(f))) for f in FORMATS[1:]])
+    return F.coalesce(iso, *[F.to_date(F.try_to_timestamp(t, F.lit(f))) for f in FORMATS[1:]], F.to_date(mail_timestamp(t)))
 
 
 def url_date(url: Column) -> Column:

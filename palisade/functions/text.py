@@ -8,12 +8,13 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from palisade import constants as C
 from palisade.functions.urls import any_of
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold(text: pd.Series) -> pd.Series:
     """Compatibility decomposition without what isn't ASCII; Spark SQL has no normalisation form."""
     return text.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode("ascii"))
