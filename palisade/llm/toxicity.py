@@ -25,7 +25,11 @@ ORDERS = (3, 4, 5, 6)
 #: Labelled rows of each class that a fit uses at most, lowest hash of doc_id first.
 MAX_POSITIVE, MAX_NEGATIVE = 3_000, 6_000
 #: Features kept, and the labelled texts that one has to occur in.
-MAX_FEATURES, MIN_TEXTS = 20_000, 4
+MAX_FEATURES, MIN_TEXTS = 4_000, 4
+#: How many standard errors the classes' shares of a feature have to be apart.
+MIN_SIGNAL = 4.0
+#: Bytes of text looked at at once while fitting.
+FIT_BYTES = 1 << 19
 _M = np.uint32(0x9E3779B1)
 
 
@@ -77,7 +81,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, prior: float | None = None) -> Model
     prior = n_pos / n if prior is None else min(max(prior, 1e-4), 1 - 1e-4)
     table = pa.table({"text": texts})
     counts = np.zeros((2, 1 << BITS), np.float64)
-    for rows, data, off in blocks(table):
+    for rows, data, off in blocks(table, size=FIT_BYTES):
         doc, feature = present(data, off, None)
         y = toxic[rows][doc]
         counts[1] += np.bincount(feature[y], minlength=1 << BITS)
@@ -89,15 +93,15 @@ def fit(texts: pa.Array, toxic: np.ndarray, prior: float | None = None) -> Model
     signal = np.abs(p - q) / np.sqrt(share * (1 - share) * (1 / n_pos + 1 / (n - n_pos)) + 1e-12)
     signal[counts.sum(0) < MIN_TEXTS] = 0
     kept = np.sort(np.argsort(-signal, kind="stable")[:MAX_FEATURES])
-    kept = kept[signal[kept] > 2.0]
+    kept = kept[signal[kept] > MIN_SIGNAL]
     mask = np.zeros(1 << BITS, bool)
     mask[kept] = True
-    place = np.zeros(1 << BITS, np.int64)
+    place = np.zeros(1 << BITS, np.int32)
     place[kept] = np.arange(len(kept))
     docs, cols = [], []
-    for rows, data, off in blocks(table):
+    for rows, data, off in blocks(table, size=FIT_BYTES):
         doc, feature = present(data, off, mask)
-        docs.append(doc + rows.start)
+        docs.append((doc + rows.start).astype(np.int32))
         cols.append(place[feature])
     doc, col = np.concatenate(docs), np.concatenate(cols)
     scale = ratio[kept]
@@ -109,7 +113,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, prior: float | None = None) -> Model
 def _logistic(doc: np.ndarray, col: np.ndarray, scale: np.ndarray, y: np.ndarray, width: int, l2: float = 1.0, steps: int = 150) -> tuple[np.ndarray, float]:
     """Accelerated gradient descent on the L2-regularised logistic loss."""
     n = len(y)
-    x = scale[col]
+    x = scale[col].astype(np.float32)
     row_norm = np.bincount(doc, x * x, n)
     rate = 1.0 / (0.25 * max(1.0, float(np.quantile(row_norm, 0.99))) * n / 8 + l2)
     w, b = np.zeros(width), float(np.log(y.mean() / (1 - y.mean())))
