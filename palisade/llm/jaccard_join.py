@@ -136,7 +136,7 @@ def linked(sets: list[np.ndarray], percent: int) -> list[list[int]]:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, text_hash (xxhash64), n_shingles, component_id (the least doc_id reachable by links, its own included) of every row of docs.
+    """doc_id, text_hash (xxhash64), n_shingles, component (a number of its own, null without shingles), component_id (the least doc_id reachable by links, its own included) of every row of docs.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. Two documents link when 100 * intersection >=
     percent * union of their shingle sets. Texts without words have no shingle and link with nothing; null doc_ids
@@ -207,14 +207,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85) -> Dat
 
     named = indexed.select("doc_id", "text_hash", "node", "n_shingles").join(verified, "node", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
     least = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return named.join(least, "component", "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return named.join(least, "component", "left").select("doc_id", "text_hash", "n_shingles", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
     """Rows of docs, one of each component: the least doc_id, of several rows with it the least text hash. Texts without words all stay."""
     found = near_duplicates(docs, shingle, percent)
-    alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
-    group = F.when(alone, F.struct(F.lit(1).alias("own"), "doc_id", "text_hash")).otherwise(F.struct(F.lit(0).alias("own"), F.col("component_id").alias("doc_id"), F.lit(0).cast("long").alias("text_hash")))
+    group = F.struct("component", F.when(F.col("component").isNull(), F.struct("doc_id", "text_hash")).alias("alone"))
     first = found.groupBy(group.alias("g")).agg(F.min(F.struct("doc_id", "text_hash")).alias("x"))
     kept = first.select(F.coalesce("x.doc_id", F.lit(-(1 << 63))).alias("_doc"), F.col("x.text_hash").alias("_hash")).distinct()
     rows = docs.withColumns({"_doc": F.coalesce("doc_id", F.lit(-(1 << 63))), "_hash": F.xxhash64("text")})
