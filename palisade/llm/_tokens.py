@@ -69,7 +69,16 @@ def byte_characters() -> list[str]:
 
 _BYTES = str.maketrans(dict(enumerate(byte_characters())))
 #: ASCII that is neither letter, digit nor white space: a run of it after a word is a piece of its own.
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+class Cache(dict):
+    """Ids of pieces; reading one that isn't there gives None and notes it in `fresh`."""
+
+    fresh: set
+
+    def __missing__(self, piece: bytes) -> None:
+        self.fresh.add(piece)
 
 
 class Encoder:
@@ -81,10 +90,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.drops_space = drops_space
-        self.cache: dict[bytes, bytes] = {}  # of pieces; of a byte-level vocabulary, with the space before them
+        self.cache = Cache()  # ids of pieces; of a byte-level vocabulary, with the space before them
         self.tokenizer.model._resize_cache(0)  # the cache here takes its place
         self.model = self.tokenizer.model
         self.runs: dict[str, bytes] = {}
+        self.lead = "" if drops_space else _BYTES[0x20]
         self.mark = np.frombuffer(self._one(" " + MARK.decode().strip()), np.uint32)
 
     def _one(self, text: str) -> bytes:
@@ -92,39 +102,38 @@ class Encoder:
 
     def _run(self, run: str) -> bytes:
         if run not in self.runs:
-            if len(self.runs) > 10_000:
+            if len(self.runs) > 100_000:
                 self.runs.clear()
             self.runs[run] = self._one(run)
         return self.runs[run]
 
-    def _word(self, core: str) -> bytes:
+    def _word(self, word: str) -> bytes:
         """Ids of a word of Latin letters, which is one piece to the vocabulary's pattern, straight from its merges."""
-        if self.drops_space:
-            whole, core = core, core.lower() if core.isascii() else self.tokenizer.normalizer.normalize_str(core)
-            if not core.isalpha():
-                return self._one(whole)
-        else:
-            core = " " + core
-        if not core.isascii() or core[0] == " ":
-            core = core.encode().decode("latin-1").translate(_BYTES)
-        return array("I", [t.id for t in self.model.tokenize(core)]).tobytes()
+        text = self.tokenizer.normalizer.normalize_str(word) if self.drops_space else word
+        if not text.isalpha():
+            return self._one(word)
+        return array("I", [t.id for t in self.model.tokenize(self.lead + text.encode().decode("latin-1").translate(_BYTES))]).tobytes()
 
     def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Ids of pieces without white space at their ends."""
         out: dict[bytes, bytes] = {}
-        rest, get = [], self.cache.get
+        rest, get, tokenize, lead = [], self.cache.get, self.model.tokenize, self.lead
         for p in pieces:
-            text = p.decode("utf-8")
-            core = text.rstrip(PUNCTUATION)
-            if not core.isalpha() or max(core) > "\u024f":
-                rest.append(p)
-                continue
-            key = p if len(core) == len(text) else core.encode()
-            ids = get(key) or out.get(key)
+            core = p.rstrip(PUNCTUATION)
+            ids = get(core) or out.get(core)
             if ids is None:
-                ids = out[key] = self._word(core)
-            if key is not p:
-                out[p] = ids + self._run(text[len(core) :])
+                if core.isalpha():  # bytes: ASCII letters
+                    word = core.lower() if self.drops_space else core
+                    ids = array("I", [t.id for t in tokenize(lead + word.decode())]).tobytes()
+                else:
+                    text = core.decode("utf-8")
+                    if not text.isalpha() or max(text) > "\u024f":
+                        rest.append(p)
+                        continue
+                    ids = self._word(text)
+                out[core] = ids
+            if len(core) < len(p):
+                out[p] = ids + self._run(p[len(core) :].decode())
         pieces = rest
         for at in range(0, len(pieces), BATCH):
             some = pieces[at : at + BATCH]
@@ -146,21 +155,20 @@ class Encoder:
         cache = self.cache
         if len(cache) > CACHE_PIECES:
             cache.clear()
-        get = cache.get
-        found = [list(map(get, pieces)) for pieces in split]
-        short = [i for i, ids in enumerate(found) if None in ids]
-        if short:
-            missing = {p for i in short for p, ids in zip(split[i], found[i], strict=True) if ids is None}
-            fresh = self._learn(list(missing))
-            cache.update(fresh)
-            for i in short:
-                found[i] = map(cache.__getitem__, split[i])
-        out = list(map(b"".join, found))
-        if short:
-            for p in missing:
+        cache.fresh = set()
+        found = [list(map(cache.__getitem__, pieces)) for pieces in split]
+        fresh = cache.fresh
+        if fresh:
+            cache.update(self._learn(list(fresh)))
+            for pieces, ids in zip(split, found, strict=True):
+                at = -1
+                for _ in range(ids.count(None)):
+                    at = ids.index(None, at + 1)
+                    ids[at] = cache[pieces[at]]
+            for p in fresh:
                 if len(p) > CACHE_LENGTH:
                     del cache[p]
-        return out
+        return list(map(b"".join, found))
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text of a block."""
@@ -176,7 +184,7 @@ class Encoder:
                 pieces = text.split(b" ")
             else:  # only cuts with no white space beside them; the last piece may end in some
                 pieces = [p.encode() if i == 0 else p[1:].encode() for i, p in enumerate(_CUT.split(text.decode("utf-8")))]
-            head = self._one(pieces[0].decode("utf-8")) if pieces[0] else b""
+            head = self._run(pieces[0].decode("utf-8")) if pieces[0] else b""
             tail = b""
             if not plain and len(pieces) > 1:
                 tail = self._one(" " + pieces.pop().decode("utf-8"))

@@ -62,7 +62,7 @@ def decode_frame(raw: bytes) -> tuple[list[int | None], list[bytes]]:
 class FrameWriter:
     def __init__(self, sink):
         self.sink, self.table, self.doc_ids, self.ids, self.size, self.written = sink, [], [], [], 0, 0
-        self.zstd = zstandard.ZstdCompressor(level=3, write_checksum=True)
+        self.zstd = zstandard.ZstdCompressor(level=1, write_checksum=True)
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         self.doc_ids.append(doc_id)
