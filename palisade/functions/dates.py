@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy", "MMM d, yyyy")
@@ -38,11 +38,12 @@ def text_date(text: Column, this_year: Column) -> Column:
     return F.coalesce(*out)
 
 
-def publication_date(time_tag: Column, meta_tag: Column, url: Column, text: Column, this_year: Column) -> tuple[Column, Column]:
-    """(date, where it was found); both null if nowhere."""
+def with_publication_date(pages: DataFrame, time_tag: Column, meta_tag: Column, url: Column, text: Column, this_year: Column) -> DataFrame:
+    """pages with `published` and `date_source` (time, meta, url, text), null where no date is found."""
     tries = {"time": any_date(time_tag), "meta": any_date(meta_tag), "url": url_date(url), "text": text_date(text, this_year)}
-    source = F.coalesce(*[F.when(d.isNotNull(), F.lit(k)) for k, d in tries.items()])
-    return F.coalesce(*tries.values()), source
+    found = pages.withColumn("_dates", F.array(*tries.values()))
+    source = F.coalesce(*[F.when(F.col("_dates")[i].isNotNull(), F.lit(k)) for i, k in enumerate(tries)])
+    return found.withColumns({"published": F.coalesce(*[F.col("_dates")[i] for i in range(len(tries))]), "date_source": source}).drop("_dates")
 
 
 def long_form(date: Column) -> Column:

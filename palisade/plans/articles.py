@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palisade.functions.dates import publication_date
+from palisade.functions.dates import with_publication_date
 from palisade.functions.text import chunks, clean_text, is_report
 from palisade.operators import html, records
 from palisade.operators.merge import usable
@@ -21,8 +21,8 @@ def articles(pages: DataFrame, image_texts: DataFrame | None, today: Column) ->
     else:
         p = p.withColumn("image_text", F.lit(None).cast("string"))
     t = p.withColumn("text", clean_text(F.concat_ws("\n\n", html.rich_text(F.col("parts")), "image_text")))
-    date, found = publication_date(F.col("parts.time_tag"), F.col("parts.meta_date"), F.col("url"), F.col("parts.body"), F.year(today))
-    return t.select("url", "text", date.alias("published"), found.alias("date_source"), is_report(F.col("text"), F.col("url")).alias("report"))
+    dated = with_publication_date(t, F.col("parts.time_tag"), F.col("parts.meta_date"), F.col("url"), F.col("parts.body"), F.year(today))
+    return dated.select("url", "text", "published", "date_source", is_report(F.col("text"), F.col("url")).alias("report"))
 
 
 def article_chunks(arts: DataFrame) -> DataFrame:

@@ -363,3 +363,87 @@ def corpus_rollup(spark, sf_dir):
 def rule_counters(spark, sf_dir):
     """Counters of what each rule lets through, as one grouped pass."""
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 10).alias("n_large"), F.count_if(F.col("props").isNull()).alias("n_empty"))
+
+
+# --- answers, pages, feeds, streams ------------------------------------------------------------------------------
+
+
+def _answers(parts: DataFrame) -> DataFrame:
+    """Made-up answers: fenced with a colon in the title, with tabs, with a colon only."""
+    colon = F.when(F.col("p_partkey") % 3 == 1, "").otherwise(":")
+    doc = F.format_string("title: Report%s %s\niocs:\n  domains:\n  - %s.example.test\n  - 10.0.0.%d\nmalware_families: [%s]\n", colon, "p_name", F.replace("p_name", F.lit(" "), F.lit("-")), (F.col("p_partkey") % 250).cast("int"), "p_type")
+    n = F.col("p_partkey") % 3
+    raw = F.when(n == 0, F.concat(F.lit("Sure:\n```yaml\n"), doc, F.lit("```"))).when(n == 1, F.replace(doc, F.lit("  - "), F.lit("\t- "))).otherwise(doc)
+    return parts.select("p_partkey", raw.alias("raw"))
+
+
+@query("SELECT p_partkey, 'Report' || CASE p_partkey % 3 WHEN 1 THEN ' ' ELSE ': ' END || p_name AS title, replace(p_name, ' ', '-') || '.example.test' AS first_domain, 2 AS n_domains FROM part")
+def yaml_answers(spark, sf_dir):
+    from palisade.operators.yaml_repair import answer_json
+
+    a = _answers(table(spark, sf_dir, "part")).withColumn("doc", answer_json("raw"))
+    get = lambda p: F.get_json_object("doc", p)
+    return a.select("p_partkey", get("$.title").alias("title"), get("$.iocs.domains[0]").alias("first_domain"), F.json_array_length(get("$.iocs.domains")).alias("n_domains"))
+
+
+@query("SELECT p_partkey, 'Report' || CASE p_partkey % 3 WHEN 1 THEN ' ' ELSE ': ' END || p_name AS title, replace(p_name, ' ', '-') || '.example.test,10.0.0.' || p_partkey % 250 AS domains, p_type AS family FROM part")
+def normalize_records(spark, sf_dir):
+    from palisade.operators import records
+    from palisade.operators.yaml_repair import answer_json
+
+    r = records.normalize(_answers(table(spark, sf_dir, "part")).select("p_partkey", answer_json("raw").alias("document")))
+    return r.select("p_partkey", "title", F.array_join("iocs.domains", ",").alias("domains"), F.get("malware_families", 0).alias("family"))
+
+
+@query(r"SELECT page_id, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang, len(regexp_extract_all(html, '<a [^>]*href=\"')) AS n_links FROM pages")
+def page_parts(spark, sf_dir):
+    from palisade.operators.html import page_parts as parts
+
+    p = table(spark, sf_dir, "pages").select("page_id", "html", parts("html").alias("p"))
+    return p.select("page_id", F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("lang"), F.size("p.links").alias("n_links"))
+
+
+@query()
+def article_texts(spark, sf_dir):
+    """Pages to gated article texts with dates; SQL has no HTML parser."""
+    from palisade.plans.articles import articles
+
+    pages = table(spark, sf_dir, "pages").select("url", F.col("html").alias("body"))
+    return articles(pages, None, F.lit("2024-01-30").cast("date")).withColumn("n_chars", F.char_length("text")).drop("text")
+
+
+@query("SELECT event_id, 'https://feed.example.test/' || event_id AS link, CAST(date_trunc('second', ts) AS TIMESTAMP) AS published FROM events WHERE event_id % 20 = 0")
+def feed_entries(spark, sf_dir):
+    from palisade.sources.feeds import feed_entries as entries
+
+    e = table(spark, sf_dir, "events").where("event_id % 20 = 0")
+    item = F.format_string("<rss><channel><item><title>t</title><link>https://feed.example.test/%d</link><pubDate>%s +0000</pubDate></item></channel></rss>", "event_id", F.date_format("ts", "dd MMM yyyy HH:mm:ss"))
+    return entries(e.select("event_id", item.alias("xml")), source="event_id").select("event_id", "link", F.col("published").cast("timestamp_ntz").alias("published"))
+
+
+@query("SELECT reference, kind, value_fanged, count(*) AS n FROM (SELECT 'src' || p_partkey % 5 AS reference, 'domains' AS kind, lower(replace(p_name, ' ', '-') || '.example.test') AS value_fanged FROM part) GROUP BY ALL")
+def indicator_corpus(spark, sf_dir):
+    """Records to indicators, counted by source and fanged value."""
+    from palisade.operators import records
+
+    name = F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("[.]example[.]test"))
+    doc = F.to_json(F.struct(F.struct(F.array(name).alias("domains")).alias("iocs")))
+    r = records.normalize(table(spark, sf_dir, "part").select(F.concat(F.lit("src"), (F.col("p_partkey") % 5).cast("string")).alias("reference"), doc.alias("document")))
+    return records.indicators(r).groupBy("reference", "kind", "value_fanged").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_first_seen(spark, sf_dir):
+    """Each user and event type once, by a stream over the table's files that runs until it has read them all."""
+    from pathlib import PurePosixPath
+
+    import uuid
+
+    folder = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/palisade-streams"
+    at = f"{folder.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    static = table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(static.schema).option("pathGlobFilter", "*.parquet").parquet(str(PurePosixPath(sf_dir)) + "/events*")
+    seen = stream.select("user_id", "event_type").dropDuplicates()
+    q = seen.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{at}/out")
