@@ -12,9 +12,9 @@ the prefix, so sets of more than PAIR_LIMIT shingles index single ones there,
 and sets that can be similar to either side index both.
 
 Nodes that share a key and are close in size are joined by a star, not by all
-pairs; candidate components are small, their sets are brought together and
-verified exactly by search from node to node, which compares a set only with
-those not reached yet.
+pairs. The sets of a candidate component are brought together and verified
+exactly by search from node to node, which compares a set only with those not
+reached yet; a component too large for one task is dealt over several.
 """
 
 from __future__ import annotations
@@ -35,8 +35,11 @@ FREQUENT = 7
 PAIR_LIMIT = 300
 #: Bytes of a shingle's fingerprint that are kept for verification.
 KEPT_BYTES = 6
-#: Bytes of sets verified in one task.
+#: Bytes of sets verified in one task; a candidate component of more is dealt over several.
 CLUSTER_BYTES = 8 << 20
+LARGE_BYTES = 64 << 20
+#: Sets of a large component that are compared with all of it first.
+CENTERS = 16
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,13 +101,11 @@ def _verify(percent: int):
         """Components within candidate components, by breadth-first search over verified links."""
         table = table.sort_by([("component", "ascending"), ("node", "ascending")])
         comp, node = table.column("component").to_numpy(), table.column("node").to_numpy()
-        raw = table.column("shingles").combine_chunks()
-        raw = raw.chunk(0) if isinstance(raw, pa.ChunkedArray) else raw
+        raw = table.column("shingles")
         cuts = np.concatenate(([0], np.flatnonzero(np.diff(comp)) + 1, [len(comp)]))
         label = node.copy()
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            sets = [np.frombuffer(raw[i].as_py(), np.uint8).reshape(-1, KEPT_BYTES) for i in range(a, b)]
-            sets = [np.pad(s, ((0, 0), (0, 8 - KEPT_BYTES))).view("<u8").reshape(-1) for s in sets]
+            sets = unpack(raw.slice(a, b - a))
             for members in linked(sets, percent):
                 label[[a + m for m in members]] = node[a + min(members)]
         return pa.table({"node": node, "component": label})
@@ -112,22 +113,37 @@ def _verify(percent: int):
     return run
 
 
+def unpack(column: pa.ChunkedArray) -> list[np.ndarray]:
+    raw = (np.frombuffer(x, np.uint8).reshape(-1, KEPT_BYTES) for x in column.to_pylist())
+    return [np.pad(x, ((0, 0), (0, 8 - KEPT_BYTES))).view("<u8").reshape(-1) for x in raw]
+
+
+class Index:
+    """Sets of a task, concatenated, for counting what a set shares with each."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(s) for s in sets], np.int64)
+        self.tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        self.begin = np.concatenate(([0], np.cumsum(self.size)))
+
+    def near(self, one: np.ndarray, among: np.ndarray, percent: int) -> np.ndarray:
+        """Those of `among` with 100 * intersection >= percent * union."""
+        n, size = len(one), self.size
+        among = among[100 * np.minimum(size[among], n) >= percent * np.maximum(size[among], n)]
+        if not len(among) or not n:
+            return among[:0]
+        there = member(one, self.tokens[ranges(self.begin[among], size[among])]).astype(np.int64)
+        both = np.add.reduceat(there, np.concatenate(([0], np.cumsum(size[among])[:-1])))
+        return among[100 * both >= percent * (size[among] + n - both)]
+
+
 def linked(sets: list[np.ndarray], percent: int) -> list[list[int]]:
-    """Classes of sets (ascending arrays) connected by 100 * intersection >= percent * union."""
-    size = np.array([len(s) for s in sets], np.int64)
-    tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    begin = np.concatenate(([0], np.cumsum(size)))
-    left = np.arange(len(sets))
-    out = []
+    """Classes of non-empty sets (ascending arrays) connected by 100 * intersection >= percent * union."""
+    index, left, out = Index(sets), np.arange(len(sets)), []
     while len(left):
         members, queue, left = [int(left[0])], [int(left[0])], left[1:]
         while queue and len(left):
-            u = queue.pop()
-            near = left[(100 * np.minimum(size[left], size[u]) >= percent * np.maximum(size[left], size[u]))]
-            if not len(near):
-                continue
-            both = np.add.reduceat(member(sets[u], tokens[ranges(begin[near], size[near])]).astype(np.int64), np.concatenate(([0], np.cumsum(size[near])[:-1])))
-            hit = near[100 * both >= percent * (size[near] + size[u] - both)]
+            hit = index.near(sets[queue.pop()], left, percent)
             members += hit.tolist()
             queue += hit.tolist()
             left = np.setdiff1d(left, hit, assume_unique=True)
@@ -135,6 +151,58 @@ def linked(sets: list[np.ndarray], percent: int) -> list[list[int]]:
     return out
 
 
+def large_components(rows: DataFrame, sizes: DataFrame, percent: int, part_bytes: int, centers: int) -> DataFrame:
+    """(node, component) of the nodes in rows (component, node, shingles), for candidate components too large for a task.
+
+    Each is dealt to parts by node. Parts are solved on their own; then the first `centers` nodes are compared with all
+    parts, which joins most; then every node outside the largest class so far, in blocks of bounded size. Pairs within
+    the largest class need no comparison, so nothing is missed. sizes: component, bytes.
+    """
+    parts = F.ceil(F.col("bytes") / part_bytes).cast("int")
+    rows = rows.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).select("component", "part", "node", "shingles")
+    every_part = sizes.select("component", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+
+    def inside(table: pa.Table) -> pa.Table:
+        node = table.column("node").to_numpy()
+        pairs = [(int(node[m]), int(node[min(c)])) for c in linked(unpack(table.column("shingles")), percent) for m in c]
+        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+
+    def across(table: pa.Table, asked: pa.Table) -> pa.Table:
+        """One link from each asked node to each class that it reaches in this part."""
+        node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
+        index, everything = Index(unpack(table.column("shingles"))), np.arange(len(node))
+        a, b = [], []
+        for q, s in zip(asked.column("node").to_pylist(), unpack(asked.column("shingles")), strict=True):
+            hit = index.near(s, everything, percent)
+            _, first = np.unique(label[hit], return_index=True)
+            a += [q] * len(first)
+            b += node[hit[first]].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    def labelled(edges: DataFrame) -> DataFrame:
+        found = rows.join(components(edges).withColumnRenamed("component", "label"), "node", "left")
+        return _plan.stored(found.withColumn("label", F.coalesce("label", "node")), "labelled")
+
+    def ask(at: DataFrame, queries: DataFrame) -> DataFrame:
+        spread = queries.select("component", "node", "shingles").join(every_part, "component")
+        return at.groupBy("component", "part").cogroup(spread.groupBy("component", "part")).applyInArrow(across, "a long, b long")
+
+    edges = _plan.stored(rows.groupBy("component", "part").applyInArrow(inside, "a long, b long"), "inside")
+    at = labelled(edges)
+    first = F.row_number().over(Window.partitionBy("component").orderBy(F.xxhash64("node"), "node"))
+    chosen = _plan.stored(at.withColumn("nth", first).where(F.col("nth") <= centers).select("component", "node", "shingles"), "centers")
+    edges = _plan.stored(edges.union(ask(at, chosen)), "links")
+    at = labelled(edges)
+    counts = at.groupBy("component", "label").agg(F.count("*").alias("n"))
+    main = counts.groupBy("component").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
+    rest = at.join(main, "component").where("label <> main")
+    so_far = F.sum(F.octet_length("shingles")).over(Window.partitionBy("component").orderBy("node"))
+    rest = _plan.stored(rest.withColumn("block", F.floor(so_far / part_bytes)).select("component", "node", "shingles", "block"), "rest")
+    for block in range(int(rest.agg(F.max("block")).first()[0] or 0) + 1):
+        edges = edges.union(_plan.stored(ask(at, rest.where(F.col("block") == block)), "links"))
+    return labelled(edges).select("node", F.col("label").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, text_hash (xxhash64), n_shingles, component (a number of its own, null without shingles), component_id (the least doc_id reachable by links, its own included) of every row of docs.
 
@@ -202,8 +270,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85) -> Dat
 
     clusters = nodes.select("node", "shingles").join(candidates, "node")
     clusters = _plan.stored(clusters, "shingle-clusters")
+    sizes = clusters.groupBy("component").agg(F.sum(F.octet_length("shingles")).alias("bytes"))
+    large = _plan.stored(sizes.where(F.col("bytes") > LARGE_BYTES), "large-clusters")
     tasks = max(1, _plan.input_bytes(clusters, "shingles") // CLUSTER_BYTES)
-    verified = clusters.withColumn("task", F.pmod(F.xxhash64("component"), F.lit(tasks))).groupBy("task").applyInArrow(_verify(percent), "node long, component long")
+    fitting = clusters.join(large, "component", "left_anti").withColumn("task", F.pmod(F.xxhash64("component"), F.lit(tasks)))
+    verified = fitting.groupBy("task").applyInArrow(_verify(percent), "node long, component long")
+    if large.limit(1).count():
+        verified = verified.union(large_components(clusters.join(large, "component", "left_semi"), large, percent, LARGE_BYTES, CENTERS))
 
     named = indexed.select("doc_id", "text_hash", "node", "n_shingles").join(verified, "node", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
     least = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))

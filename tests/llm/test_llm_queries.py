@@ -116,6 +116,23 @@ def test_jaccard_join(frame, small_sources, monkeypatch, frequent):
     assert [(got[r[0]].n_shingles, got[r[0]].component_id) for r in ROWS] == want
 
 
+@pytest.mark.parametrize("centers", [1, 16])
+def test_large_components_are_dealt_over_tasks(spark, monkeypatch, centers):
+    """Chains of near copies, two families that share a candidate component, and strays."""
+    monkeypatch.setattr(jaccard_join, "LARGE_BYTES", 3000)
+    monkeypatch.setattr(jaccard_join, "CENTERS", centers)
+    words = prose(400).split()
+    texts = []
+    for family in (0, 1):
+        for i in range(12):  # each differs from the next by a few words, the ends by many
+            w = words[family * 200 : family * 200 + 160] + [f"f{family}"]
+            texts.append(" ".join(w[i * 3 :] + [f"x{family}y{j}" for j in range(i)]))
+    texts += [" ".join(words[100:260]), prose(100)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = collected(jaccard_join.near_duplicates(df))
+    assert [(got[i].n_shingles, got[i].component_id) for i in range(len(texts))] == brute_components(texts, range(len(texts)))
+
+
 def test_keep_one(spark, frame, small_sources):
     kept = sorted(r.doc_id for r in jaccard_join.keep_one(frame).collect())
     want = brute_components(TEXTS, [r[0] for r in ROWS])
