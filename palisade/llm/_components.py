@@ -16,7 +16,7 @@ def _digest(e: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes in edges (a, b: long): the least node that can be reached. Rounds grow as the logarithm of a component's length."""
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    e = _plan.stored(e, "edges")
+    e, folder = _plan.stored_at(e, "edges")
     before = None
     while (now := _digest(e)) != before:
         before = now
@@ -25,5 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        e = _plan.stored(small, "edges")
+        e, new = _plan.stored_at(small, "edges")
+        _plan.drop_stored(edges.sparkSession, folder)  # nothing reads the round before any more
+        folder = new
     return e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).union(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -27,17 +27,32 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/palisade-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read back: computed once, lineage cut, lost executors harmless."""
+_folders: list[str] = []
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """(df written to the shared folder and read back, where): computed once, lineage cut, lost executors harmless."""
     folder = new_folder(df.sparkSession, name)
     schema = df.schema
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(schema).parquet(folder)
+    _folders.append(folder)
+    return df.sparkSession.read.schema(schema).parquet(folder), folder
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    return stored_at(df, name)[0]
 
 
 def drop_stored(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _folders.remove(folder)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Deletes all tables stored so far; call it when the results that read them are written."""
+    for folder in list(_folders):
+        drop_stored(spark, folder)
 
 
 def input_bytes(df: DataFrame, column: str = "text") -> int:
