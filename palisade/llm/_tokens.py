@@ -28,16 +28,16 @@ BATCH = 200
 #: White space of the vocabularies' patterns (and of Python's): a text may be cut before a space with none on either side.
 _WS = r"\s\x1c-\x1f\x85"
 _CUT = re.compile(rf"(?<=[^{_WS}])(?= [^{_WS}])")
-_ASCII_WS = np.zeros(256, bool)
-_ASCII_WS[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
 
 
 def _even(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Mask of documents in which every space stands between two characters that aren't white space, and that have no white space beyond ASCII."""
     n = len(off) - 1
-    space, white = data == 0x20, _ASCII_WS[data]
-    bad = np.zeros(len(data) + 1, bool)
-    bad[1:-1] = (space[1:] & white[:-1]) | (white[1:] & space[:-1])
+    if not len(data):
+        return np.ones(n, bool)
+    space = data == 0x20
+    white = (data - np.uint8(9) < 5) | (data - np.uint8(28) < 5)  # unsigned: 9 to 13, 28 to 32
+    bad = [np.flatnonzero((space[1:] & white[:-1]) | (white[1:] & space[:-1])) + 1]
     for lead in (0xC2, 0xE1, 0xE2, 0xE3):
         at = np.flatnonzero(data[:-1] == lead)
         second = data[at + 1]
@@ -48,13 +48,13 @@ def _even(data: np.ndarray, off: np.ndarray) -> np.ndarray:
             0xE2: ((second == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF))) | ((second == 0x81) & (third == 0x9F)),
             0xE3: (second == 0x80) & (third == 0x80),
         }[lead]
-        bad[at[odd]] = True
-    count = np.concatenate(([0], np.cumsum(bad)))
-    # the place where documents meet says nothing about either; a false alarm there only takes the other way
-    out = count[off[1:]] == count[off[:-1]]
+        bad.append(at[odd])
+    out = np.ones(n, bool)
+    # where documents meet, a place says nothing about either; a false alarm there only takes the other way
+    out[np.searchsorted(off, np.concatenate(bad), "right") - 1] = False
     full = np.flatnonzero(np.diff(off))
     out[full] &= ~(space[off[full]] | white[off[full + 1] - 1])
-    return out if n else np.zeros(0, bool)
+    return out
 
 
 def byte_characters() -> list[str]:
@@ -73,12 +73,29 @@ PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Cache(dict):
-    """Ids of pieces; reading one that isn't there gives None and notes it in `fresh`."""
+    """Ids of pieces; reading one that isn't there gives None and notes it in `fresh`.
+
+    When half of CACHE_PIECES are there, they become the older generation: those that are read again come back.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict[bytes, bytes] = {}
+        self.fresh: set[bytes] = set()
 
-    fresh: set
+    def __missing__(self, piece: bytes) -> bytes | None:
+        ids = self.older.get(piece)
+        if ids is None:
+            self.fresh.add(piece)
+        else:
+            self[piece] = ids
+        return ids
 
-    def __missing__(self, piece: bytes) -> None:
-        self.fresh.add(piece)
+    def age(self) -> None:
+        self.fresh = set()
+        if len(self) > CACHE_PIECES // 2:
+            self.older = dict(self)
+            self.clear()
 
 
 class Encoder:
@@ -153,9 +170,7 @@ class Encoder:
 
     def _resolve(self, split: list[list[bytes]]) -> list[bytes]:
         cache = self.cache
-        if len(cache) > CACHE_PIECES:
-            cache.clear()
-        cache.fresh = set()
+        cache.age()
         found = [list(map(cache.__getitem__, pieces)) for pieces in split]
         fresh = cache.fresh
         if fresh:

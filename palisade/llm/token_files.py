@@ -50,13 +50,15 @@ def encode_frame(doc_ids: list[int | None], ids: list[bytes]) -> bytes:
     return head + np.array([len(x) // 4 for x in ids], "<u8").tobytes() + b"".join(ids)
 
 
-def decode_frame(raw: bytes) -> tuple[list[int | None], list[bytes]]:
+def decode_frame(raw: bytes) -> tuple[list[int | None], np.ndarray, pa.Array]:
+    """(doc_ids, token counts, ids as a binary array over the frame's own bytes)."""
     (n,) = struct.unpack_from("<Q", raw)
     doc_ids = np.frombuffer(raw, "<i8", n, 8).tolist()
     nulls = raw[8 + 8 * n : 8 + 9 * n]
     counts = np.frombuffer(raw, "<u8", n, 8 + 9 * n).astype(np.int64)
     at = 8 + 17 * n + 4 * np.concatenate(([0], np.cumsum(counts)))
-    return [None if z else d for d, z in zip(doc_ids, nulls, strict=True)], [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+    ids = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(raw)])
+    return [None if z else d for d, z in zip(doc_ids, nulls, strict=True)], counts, ids
 
 
 class FrameWriter:
@@ -100,7 +102,7 @@ class TokenFile:
         self.entries = list(ENTRY.iter_unpack(source.read(n * ENTRY.size)))
         self.at = np.concatenate(([0], np.cumsum([e[0] for e in self.entries], dtype=np.int64)))
 
-    def frame(self, k: int) -> tuple[list[int | None], list[bytes]]:
+    def frame(self, k: int) -> tuple[list[int | None], np.ndarray, pa.Array]:
         packed, size, check = self.entries[k]
         self.source.seek(int(self.at[k]))
         raw = zstandard.ZstdDecompressor().decompress(self.source.read(packed), max_output_size=size)
@@ -110,7 +112,8 @@ class TokenFile:
 
     def __iter__(self) -> Iterator[tuple[int | None, bytes]]:
         for k in range(len(self.entries)):
-            yield from zip(*self.frame(k), strict=True)
+            doc_ids, _, ids = self.frame(k)
+            yield from zip(doc_ids, ids.to_pylist(), strict=True)
 
 
 def _open(path: str):
@@ -170,11 +173,10 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 with system.open_input_file(path) as source:
                     file, at = TokenFile(source, row["n_bytes"]), row["base"]
                     for k in range(len(file.entries)):
-                        doc_ids, ids = file.frame(k)
-                        n = np.array([len(x) // 4 for x in ids], np.int64)
+                        doc_ids, n, ids = file.frame(k)
                         start = at + np.concatenate(([0], np.cumsum(n)[:-1]))
                         at += int(n.sum())
-                        yield pa.RecordBatch.from_pydict({"doc_id": pa.array(doc_ids, pa.int64()), "start": start, "n_tokens": n, "ids": pa.array(ids, pa.binary())})
+                        yield pa.RecordBatch.from_pydict({"doc_id": pa.array(doc_ids, pa.int64()), "start": start, "n_tokens": n, "ids": ids.cast(pa.binary())})
 
     return placed.select("path", "n_bytes", "base").repartition(files).mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 

@@ -156,7 +156,7 @@ def test_token_file_reads_single_frames():
     broken = bytearray(out.getvalue())
     broken[f.at[3] + 12] ^= 1
     bad = TokenFile(io.BytesIO(bytes(broken)), size)
-    assert bad.frame(2) == f.frame(2)
+    assert bad.frame(2)[2].equals(f.frame(2)[2])
     with pytest.raises((ValueError, zstandard.ZstdError)):
         bad.frame(3)
 
