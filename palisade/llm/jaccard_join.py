@@ -19,6 +19,8 @@ reached yet; a component too large for one task is dealt over several.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -260,12 +262,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85) -> Dat
     # one row a node; equal sets have equal keys
     once = indexed.where("keys is not null").groupBy("node").agg(F.min_by(F.struct("n_shingles", "keys", "shingles"), F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("x")).select("node", "x.*")
     nodes = _plan.stored(once, "shingle-nodes")
-    entries = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
-    shared = entries.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    by_size = Window.partitionBy("key").orderBy("n", "node")
-    runs = entries.join(shared, "key")
-    runs = runs.withColumn("gap", (100 * F.lag("n", 1, 0).over(by_size) < percent * F.col("n")).cast("long")).withColumn("run", F.sum("gap").over(by_size))
-    star = runs.withColumn("b", F.min("node").over(Window.partitionBy("key", "run"))).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    # similar sizes are of one class or of neighbouring ones; a group holds two classes, so they meet in one
+    size = F.floor(F.log(F.col("n_shingles").cast("double")) / (math.log(100 / percent) * (1 + 1e-9)))
+    entries = nodes.select("node", F.explode("keys").alias("key"), size.alias("size")).select("node", "key", F.explode(F.array("size", F.col("size") + 1)).alias("size"))
+    # sums by key are combined before they are shuffled, and Spark splits the join of a frequent key
+    stars = entries.groupBy("key", "size").agg(F.count("*").alias("c"), F.min("node").alias("b")).where("c > 1").drop("c")
+    star = entries.join(stars, ["key", "size"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     candidates = components(star)
 
     clusters = nodes.select("node", "shingles").join(candidates, "node")
