@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palisade.llm import _plan
-from palisade.llm._text import NOT_ALNUM, Words, blocks, combine, per_document, string_buffer
+from palisade.llm._text import NOT_ALNUM, Words, blocks, combine, string_buffer
 
 #: Bytes of item texts in one block of the benchmark.
 BLOCK_BYTES = 4 << 20

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palisade.llm import _plan
-from palisade.llm._text import SPACE, Words, blocks, later, lines, per_document, repeated
+from palisade.llm._text import SPACE, Words, blocks, later, lines, per_document, repeated, span_hash
 
 #: Characters that count as symbols (fixed values).
 SYMBOLS = "#*$%&|<>"
@@ -40,8 +40,6 @@ def measure_block(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     solid = np.concatenate(([0], np.cumsum(~SPACE[data])))
     full = solid[end] > solid[start]
     start, end, doc = start[full], end[full], doc[full]
-    from palisade.llm._text import span_hash
-
     dup = later(doc, span_hash(data, start, end))
     return {"n_words": words.count, "word_chars": chars, "n_symbols": np.diff(symbols[off]), "n_dup_lines": per_document(doc[dup], n), "n_repeat_words": per_document(words.doc[covered], n)}
 

@@ -70,9 +70,6 @@ class Text:
         self.context_word = np.where(first, -1, np.concatenate((self.word[:1], self.word[:-1])))
         self.length = np.bincount(self.doc, minlength=at)
 
-    def bigrams(self, counts: np.ndarray, n_buckets: int) -> Bigrams:
-        return Bigrams(self, counts, n_buckets)
-
 
 class Bigrams:
     """Distinct (bucket, context, slice, successor) of a source in order, and how each token finds its own."""
@@ -206,7 +203,7 @@ def score(docs: DataFrame, train: F.Column) -> DataFrame:
             return pa.table({"doc_id": pa.array([], pa.int64()), "train": pa.array([], pa.bool_()), **{k: pa.array([], pa.int64()) for k in ("n_tokens", "n_known", "train_tokens")}, "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
         counts = word_answers(got)
         tokens, words = got.column("tokens")[0].as_py(), got.column("words")[0].as_py()
-        b = t.bigrams(counts, n)
+        b = Bigrams(t, counts, n)
         answers = got.filter(pa.compute.equal(got.column("kind"), 1)).sort_by("bucket")
         answers = [load(p) for p in answers.column("payload").to_pylist()]
         codes = np.concatenate([m["codes"] for m in answers])

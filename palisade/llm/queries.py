@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -175,5 +175,3 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
                 yield pa.RecordBatch.from_arrays([*(some.column(k) for k in keep), pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))))], names=[*keep, "score"])
 
     return docs.select(*columns).mapInArrow(run, schema)
-
-
