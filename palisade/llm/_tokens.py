@@ -19,8 +19,8 @@ import pyarrow as pa
 
 from palisade.llm._text import blocks
 
-#: Pieces that a worker keeps; then it starts anew. Longer ones than CACHE_LENGTH bytes aren't kept.
-CACHE_PIECES = 1_000_000
+#: Pieces that a worker keeps at most, about 250 bytes each. Longer ones than CACHE_LENGTH bytes aren't kept.
+CACHE_PIECES = 2_400_000
 CACHE_LENGTH = 64
 #: A control character between spaces: its ids part the pieces that are encoded together.
 MARK = b" \x01 "
@@ -75,11 +75,12 @@ PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 class Cache(dict):
     """Ids of pieces; reading one that isn't there gives None and notes it in `fresh`.
 
-    When half of CACHE_PIECES are there, they become the older generation: those that are read again come back.
+    When half of what may be kept is there, it becomes the older generation: pieces that are read again come back.
     """
 
     def __init__(self):
         super().__init__()
+        self.most = CACHE_PIECES
         self.older: dict[bytes, bytes] = {}
         self.fresh: set[bytes] = set()
 
@@ -93,7 +94,7 @@ class Cache(dict):
 
     def age(self) -> None:
         self.fresh = set()
-        if len(self) > CACHE_PIECES // 2:
+        if len(self) > self.most // 2:
             self.older = dict(self)
             self.clear()
 
@@ -216,12 +217,13 @@ class Encoder:
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str, drops_space: bool) -> Encoder:
-    """One encoder for each worker process."""
+def encoder(path: str, drops_space: bool, cache_pieces: int = CACHE_PIECES) -> Encoder:
+    """One encoder for each worker process, with at most cache_pieces pieces kept."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     key = (path, drops_space)
     if key not in _encoders:
         _encoders[key] = Encoder(path, drops_space)
+    _encoders[key].cache.most = cache_pieces
     return _encoders[key]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from palisade.llm._text import blocks
-from palisade.llm._tokens import encoder
+from palisade.llm._tokens import CACHE_PIECES, encoder
 
 #: Ids gathered before a group is packed.
 GROUP_TOKENS = 2_000_000
@@ -56,13 +56,13 @@ def assign(lengths: np.ndarray, room: int, linear: float, quadratic: float) -> l
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, linear: float = 1.0, quadratic: float = 1.0 / 2048, drops_space: bool = True, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, linear: float = 1.0, quadratic: float = 1.0 / 2048, drops_space: bool = True, group_tokens: int = GROUP_TOKENS, cache_pieces: int = CACHE_PIECES) -> DataFrame:
     """Packs doc_id, text of docs: one row a piece with its ids.
 
     doc_id, start (ids of its document before it), length, doc_tokens, sequence_id, offset (within the sequence,
     gapless from 0), ids (binary u32). Null and empty texts hold only end_id. Rows are packed as they come, so equal
     rows or doc_ids each get pieces of their own. An empty table gives no rows. sequence_id is unique, not dense:
-    its upper bits number the task.
+    its upper bits number the task. cache_pieces bounds a worker's memory (about 250 bytes each), not the result.
     """
     end = int(end_id).to_bytes(4, "little")
 
@@ -94,7 +94,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, linea
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder = encoder(tokenizer, drops_space)
+        coder = encoder(tokenizer, drops_space, cache_pieces)
         sequence = TaskContext.get().partitionId() << 40
         group, tokens = [], 0
         for batch in batches:
