@@ -12,6 +12,8 @@ from palisade.llm.line_dedup import dedup_lines
 from palisade.llm.packing import pack
 from palisade.llm.toxicity import score
 
+#: Text pieces that a worker keeps while it encodes: fewer than by default, as the stages before leave less memory.
+CACHE_PIECES = 1_000_000
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -41,7 +43,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences of 2048 tokens, a row a piece."""
-    return queries.with_crc32(pack(docs, queries.vocabulary("word_bpe_49k.json"), end_id=1))
+    return queries.with_crc32(pack(docs, queries.vocabulary("word_bpe_49k.json"), end_id=1, cache_pieces=CACHE_PIECES))
 
 
 STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_common_lines), ("near_duplicates", one_of_each), ("decontamination", decontaminated), ("packing", packed)]
