@@ -20,7 +20,7 @@ import pyarrow as pa
 from palisade.llm._text import blocks
 
 #: Pieces that a worker keeps at most, about 250 bytes each. Longer ones than CACHE_LENGTH bytes aren't kept.
-CACHE_PIECES = 2_400_000
+CACHE_PIECES = 1_400_000
 CACHE_LENGTH = 64
 #: A control character between spaces: its ids part the pieces that are encoded together.
 MARK = b" \x01 "
@@ -73,29 +73,19 @@ PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Cache(dict):
-    """Ids of pieces; reading one that isn't there gives None and notes it in `fresh`.
-
-    When half of what may be kept is there, it becomes the older generation: pieces that are read again come back.
-    """
+    """Ids of pieces; reading one that isn't there gives None and notes it in `fresh`. When full it starts anew."""
 
     def __init__(self):
         super().__init__()
         self.most = CACHE_PIECES
-        self.older: dict[bytes, bytes] = {}
         self.fresh: set[bytes] = set()
 
-    def __missing__(self, piece: bytes) -> bytes | None:
-        ids = self.older.get(piece)
-        if ids is None:
-            self.fresh.add(piece)
-        else:
-            self[piece] = ids
-        return ids
+    def __missing__(self, piece: bytes) -> None:
+        self.fresh.add(piece)
 
-    def age(self) -> None:
+    def begin(self) -> None:
         self.fresh = set()
-        if len(self) > self.most // 2:
-            self.older = dict(self)
+        if len(self) > self.most:
             self.clear()
 
 
@@ -171,7 +161,7 @@ class Encoder:
 
     def _resolve(self, split: list[list[bytes]]) -> list[bytes]:
         cache = self.cache
-        cache.age()
+        cache.begin()
         found = [list(map(cache.__getitem__, pieces)) for pieces in split]
         fresh = cache.fresh
         if fresh:
