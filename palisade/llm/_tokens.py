@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -128,7 +129,7 @@ class Encoder:
         rest, get, tokenize, lead = [], self.cache.get, self.model.tokenize, self.lead
         for p in pieces:
             core = p.rstrip(PUNCTUATION)
-            ids = get(core) or out.get(core)
+            ids = out.get(core) or (get(core) if len(core) < len(p) else None)
             if ids is None:
                 if core.isalpha():  # bytes: ASCII letters
                     word = core.lower() if self.drops_space else core
@@ -167,10 +168,11 @@ class Encoder:
         if fresh:
             cache.update(self._learn(list(fresh)))
             for pieces, ids in zip(split, found, strict=True):
-                at = -1
-                for _ in range(ids.count(None)):
-                    at = ids.index(None, at + 1)
-                    ids[at] = cache[pieces[at]]
+                at = 0
+                with suppress(ValueError):  # at the end none is left
+                    while True:
+                        at = ids.index(None, at)
+                        ids[at] = cache[pieces[at]]
             for p in fresh:
                 if len(p) > CACHE_LENGTH:
                     del cache[p]

@@ -41,6 +41,9 @@ FRAME_BYTES = 1 << 20
 #: Compressed input that goes to one file.
 BYTES_PER_FILE = 8 << 20
 
+#: Text pieces that a worker keeps while it encodes, about 250 bytes each.
+CACHE_PIECES = 2_000_000
+
 MANIFEST = "part int, path string, first_doc long, n_docs long, n_ids long, n_bytes long"
 
 
@@ -122,11 +125,12 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, drops_space: bool = False) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, drops_space: bool = False, cache_pieces: int = CACHE_PIECES) -> DataFrame:
     """Encodes doc_id, text of docs in ascending doc_id order (nulls first, ties by text) into files in `folder`.
 
     Returns the manifest (part, path, first_doc, n_docs, n_ids, n_bytes); parts ascend with doc_id. Null texts count as
-    empty and hold only end_id. An empty table gives no files. Rows with the same doc_id share a part.
+    empty and hold only end_id. An empty table gives no files. Rows with the same doc_id share a part. cache_pieces bounds a worker's memory, not the
+    result.
     """
     parts = _plan.part_count(docs, BYTES_PER_FILE)
     ordered = docs.select("doc_id", "text").repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
@@ -137,7 +141,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
         part = TaskContext.get().partitionId()
         system, base = _open(folder)
-        coder = encoder(tokenizer, drops_space)
+        coder = encoder(tokenizer, drops_space, cache_pieces)
         path, out, sink, n, total, first = "", None, None, 0, 0, None
         for batch in batches:
             for rows, data, off in blocks(batch):
