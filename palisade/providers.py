@@ -121,6 +121,23 @@ def create(name: str, model: str | None = None, endpoint: str | None = None, api
 SYSTEM_PROMPT = "You extract what defenders can detect from security reports."
 
 
+TEMPLATE = """Read the report below and answer with one YAML mapping and nothing else. Copy values as they stand in the
+report; leave a field empty where the report says nothing. The fields are those of this empty record:
+
+{RECORD}
+
+Report:
+{REPORT_TEXT}
+"""
+
+
+def default_template() -> str:
+    """TEMPLATE with the canonical record filled in."""
+    from palisade.operators.records import schema_json
+
+    return TEMPLATE.replace("{RECORD}", schema_json())
+
+
 def render(template: str, chunk) -> F.Column:
     return F.replace(F.lit(template), F.lit("{REPORT_TEXT}"), chunk)
 
