@@ -416,7 +416,7 @@ def article_texts(spark, sf_dir):
 def feed_entries(spark, sf_dir):
     from palisade.sources.feeds import feed_entries as entries
 
-    e = table(spark, sf_dir, "events").where("event_id % 20 = 0")
+    e = table(spark, sf_dir, "events")
     item = F.format_string("<rss><channel><item><title>t</title><link>https://feed.example.test/%d</link><pubDate>%s +0000</pubDate></item></channel></rss>", "event_id", F.date_format("ts", "dd MMM yyyy HH:mm:ss"))
     return entries(e.select("event_id", item.alias("xml")), source="event_id").select("event_id", "link", F.col("published").cast("timestamp_ntz").alias("published"))
 
