@@ -83,8 +83,11 @@ def without_placeholders(values: Column) -> Column:
 def distinct_ignoring_case(values: Column) -> Column:
     """Trimmed, in order, the first spelling of each value."""
     trimmed = F.filter(F.transform(values, lambda v: F.trim(v)), lambda v: v.isNotNull() & (v != ""))
-    lower = F.transform(trimmed, F.lower)
-    return F.filter(trimmed, lambda v, i: F.array_position(lower, F.lower(v)) == i + 1)
+    keyed = F.array_sort(F.transform(trimmed, lambda v, i: F.struct(F.lower(v).alias("k"), i.alias("i"), v.alias("v"))))
+    firsts = lambda s: F.filter(s, lambda x, i: (i == 0) | (F.get(s, i - 1)["k"] != x["k"]))
+    # within a list of one, so that the lambda sees the sorted array as a value, not as an expression to evaluate again
+    first = F.get(F.transform(F.array(keyed), firsts), 0)
+    return F.transform(F.array_sort(F.transform(first, lambda x: F.struct(x["i"].alias("i"), x["v"].alias("v")))), lambda x: x["v"])
 
 
 def as_list(text: Column) -> Column:

@@ -262,7 +262,7 @@ def placeholder_filter(spark, sf_dir):
 @query(r"""WITH t AS (SELECT conv_id, turn, unnest(string_split_regex(substr(text, 1, 400), '[^A-Za-z]+')) AS w, unnest(generate_series(1, len(string_split_regex(substr(text, 1, 400), '[^A-Za-z]+')))) AS i FROM conversations)
 SELECT conv_id, turn, array_to_string(list(w ORDER BY i), ',') AS words FROM (SELECT conv_id, turn, arg_min(w, i) AS w, min(i) AS i FROM t WHERE w <> '' GROUP BY conv_id, turn, lower(w)) GROUP BY conv_id, turn""")
 def dedupe_ci(spark, sf_dir):
-    words = indicators.distinct_ignoring_case(F.split(F.substring("text", 1, 400), "[^A-Za-z]+"))
+    words = indicators.distinct_ignoring_case(F.split("text", "[^A-Za-z]+"))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(words, ",").alias("words")).where("words <> ''")
 
 
