@@ -31,8 +31,8 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: 4-word shingles, Jaccard similarity of 0.85."""
-    return keep_one(docs.select(*COLUMNS))
+    """One document of each group of near duplicates: 5-word shingles, Jaccard similarity of 0.8."""
+    return keep_one(docs.select(*COLUMNS), shingle=5, percent=80)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
