@@ -6,7 +6,8 @@ once and its ids are kept; the ids of a text are the ids of its pieces in
 order. The cuts used here are places where the library's own splitting always
 cuts too, so the result is the same as encoding the whole text at once. New
 pieces go to the library many at once, with a mark between them whose ids are
-known.
+known. A text that holds one of the vocabulary's added tokens goes to the
+library as a whole, which gives that token's id.
 """
 
 from __future__ import annotations
@@ -97,7 +98,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.drops_space = drops_space
         self.cache = Cache()  # ids of pieces; of a byte-level vocabulary, with the space before them
         self.tokenizer.model._resize_cache(0)  # the cache here takes its place
@@ -116,31 +117,32 @@ class Encoder:
             self.runs[run] = self._one(run)
         return self.runs[run]
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a word of Latin letters, which is one piece to the vocabulary's pattern, straight from its merges."""
-        text = self.tokenizer.normalizer.normalize_str(word) if self.drops_space else word
-        if not text.isalpha():
-            return self._one(word)
-        return array("I", [t.id for t in self.model.tokenize(self.lead + text.encode().decode("latin-1").translate(_BYTES))]).tobytes()
+    def _letters(self, core: bytes) -> str | None:
+        """The normal form of a piece that is letters alone, in which case the vocabulary's pattern keeps it apart from punctuation after it; else None."""
+        if core.isalpha():  # bytes: ASCII letters
+            return (core.lower() if self.drops_space else core).decode()
+        text = core.decode("utf-8")
+        if not text.isalpha() or max(text) > "\u024f":
+            return None
+        if self.drops_space:  # lower-casing can leave a mark, which isn't a letter
+            text = self.tokenizer.normalizer.normalize_str(text)
+        return text if text.isalpha() else None
 
     def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Ids of pieces without white space at their ends."""
         out: dict[bytes, bytes] = {}
-        rest, get, tokenize, lead = [], self.cache.get, self.model.tokenize, self.lead
+        rest, tokenize, lead = [], self.model.tokenize, self.lead
         for p in pieces:
             core = p.rstrip(PUNCTUATION)
-            ids = out.get(core) or (get(core) if len(core) < len(p) else None)
+            word = self._letters(core) if core else None
+            if word is None:
+                rest.append(p)
+                continue
+            ids = out.get(core) or (self.cache.get(core) if len(core) < len(p) else None)
             if ids is None:
-                if core.isalpha():  # bytes: ASCII letters
-                    word = core.lower() if self.drops_space else core
-                    ids = array("I", [t.id for t in tokenize(lead + word.decode())]).tobytes()
-                else:
-                    text = core.decode("utf-8")
-                    if not text.isalpha() or max(text) > "\u024f":
-                        rest.append(p)
-                        continue
-                    ids = self._word(text)
-                out[core] = ids
+                if not word.isascii():
+                    word = word.encode().decode("latin-1").translate(_BYTES)
+                ids = out[core] = array("I", [t.id for t in tokenize(lead + word)]).tobytes()
             if len(core) < len(p):
                 out[p] = ids + self._run(p[len(core) :].decode())
         pieces = rest
@@ -182,6 +184,12 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of each text of a block."""
         raw, cuts = data.tobytes(), off.tolist()
         texts = [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        if any(a in raw for a in self.added):
+            whole = {i: self._one(t.decode("utf-8")) for i, t in enumerate(texts) if any(a in t for a in self.added)}
+            kept = [t for i, t in enumerate(texts) if i not in whole]
+            ends = np.cumsum([0, *map(len, kept)])
+            ids = iter(self.encode(np.frombuffer(b"".join(kept), np.uint8), ends) if kept else [])
+            return [whole[i] if i in whole else next(ids) for i in range(len(texts))]
         if self.drops_space:
             return self._resolve([t.split() for t in texts])
         even = _even(data, off).tolist()
