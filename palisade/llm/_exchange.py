@@ -11,7 +11,6 @@ costs a bucket one entry a source.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -22,8 +21,10 @@ from pyspark.sql import functions as F
 
 from palisade.llm import _plan
 
-#: Compressed input bytes of one source.
-SOURCE_BYTES = 3 << 20
+#: Text bytes of one source.
+SOURCE_BYTES = 5 << 20
+#: Payloads of fewer bytes are sent as they are.
+SMALL = 512
 MESSAGE = "bucket int, src int, payload binary"
 
 
@@ -33,12 +34,32 @@ def sources(docs: DataFrame, source_bytes: int = SOURCE_BYTES, columns: tuple[st
     return docs.select(*columns).withColumn("src", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")), n
 
 
-def dump(**arrays: np.ndarray | int) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+_pack = zstandard.ZstdCompressor(level=1).compress
+_unpack = zstandard.ZstdDecompressor().decompress
 
 
-def load(payload: bytes) -> dict:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(payload))
+def dump(**arrays: np.ndarray) -> bytes:
+    """Named arrays as bytes: a line that describes them, then their contents; small payloads stay uncompressed, so that many of them cost little."""
+    some = [np.ascontiguousarray(x) for x in arrays.values()]
+    head = ";".join([f"{k}:{x.dtype.str}:{','.join(map(str, x.shape))}" for k, x in zip(arrays, some, strict=True)])
+    raw = b"".join([head.encode(), b"\n", *[x.tobytes() for x in some]])
+    return b"\0" + raw if len(raw) < SMALL else b"\1" + _pack(raw)
+
+
+def load(payload: bytes) -> dict[str, np.ndarray]:
+    raw = _unpack(payload[1:]) if payload[0] else payload[1:]
+    at = raw.index(b"\n")
+    head, out = raw[:at].decode(), {}
+    at += 1
+    for part in head.split(";"):
+        name, kind, shape = part.split(":")
+        dtype, sizes = np.dtype(kind), [int(x) for x in shape.split(",")]
+        n = 1
+        for x in sizes:
+            n *= x
+        out[name] = np.frombuffer(raw, dtype, n, at).reshape(sizes)
+        at += n * dtype.itemsize
+    return out
 
 
 def squeeze(ascending: np.ndarray) -> np.ndarray:
@@ -51,10 +72,13 @@ def expand(planes: np.ndarray) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1), dtype=np.uint64)
 
 
-def bucket_edges(keys: np.ndarray, bits: int, n: int) -> np.ndarray:
-    """Places in ascending keys of `bits` bits where each of n buckets of equal width begins, and the end."""
-    limits = np.array([((1 << bits) * b + n - 1) // n for b in range(1, n)], dtype=np.uint64)
-    return np.concatenate(([0], np.searchsorted(keys, limits), [len(keys)]))
+def bucket_runs(keys: np.ndarray, bits: int, n: int) -> list[tuple[int, int, int]]:
+    """(bucket, first, end) of each of n buckets of equal width that has any of the ascending keys of `bits` bits (32 or more)."""
+    if not len(keys):
+        return []
+    bucket = ((keys >> np.uint64(bits - 32)) * np.uint64(n)) >> np.uint64(32)
+    first = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1))
+    return list(zip(bucket[first].tolist(), first.tolist(), [*first[1:].tolist(), len(keys)], strict=True))
 
 
 def messages(src: int, parts: Iterable[tuple[int, bytes]]) -> pa.Table:

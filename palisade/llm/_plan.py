@@ -8,9 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Column names that the operators add; inputs are projected to what is needed first, so extra columns can't clash.
-UNKNOWN_BYTES = 1 << 50
-
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
@@ -56,11 +53,8 @@ def clean_up(spark: SparkSession) -> None:
 
 
 def input_bytes(df: DataFrame, column: str = "text") -> int:
-    """Size of df's input: the optimiser's figure for files, else one aggregate over the column."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size < UNKNOWN_BYTES:
-        return size
-    return int(df.agg(F.sum(F.octet_length(column))).first()[0] or 0)
+    """Bytes of a column, by one aggregate over it: exact for files, joins and compressed texts alike."""
+    return int(df.agg(F.sum(F.octet_length(column).cast("long"))).first()[0] or 0)
 
 
 def part_count(df: DataFrame, bytes_each: int, least: int = 1) -> int:

@@ -4,8 +4,11 @@ Nothing here touches Spark. Texts arrive as one Arrow array; its byte buffer is
 read without making Python strings, so words, lines, shingles and fingerprints
 of a whole block of documents cost a few vector operations per byte.
 
-Fingerprints are 64-bit: a polynomial over a random byte table, finished with
-the splitmix64 mixer.
+Fingerprints are 64-bit. Spans of up to LONG bytes are read eight bytes at a
+time, each chained to the ones before by the splitmix64 mixer; longer ones are
+hashed by xxh3. Neither is linear in the bytes, so texts that differ by a
+pattern meet no sooner than any others. Where 64 bits are too few, a second
+salt gives an independent fingerprint.
 """
 
 from __future__ import annotations
@@ -14,10 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
 _GOLDEN = 0x9E3779B97F4A7C15
-BASE = 0xD6E8FEB86659FD93  # odd
+#: Longer spans are hashed one by one.
+LONG = 64
 #: Bytes of text handled at once; long documents are handled alone.
 BLOCK_BYTES = 1 << 21
 
@@ -39,7 +44,8 @@ def seeds(n: int, salt: int = 0) -> np.ndarray:
     return mix(np.arange(n, dtype=U64) * U64(2) + U64(1 + salt * 1_000_003)) | U64(1)
 
 
-BYTE_CODES = mix(np.arange(256, dtype=U64) + U64(7_777_777))
+#: The lower k bytes of a word.
+LOWER_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], U64)
 #: A-Z to a-z, every other byte as it is.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
@@ -50,10 +56,10 @@ NOT_ALNUM = np.zeros(256, bool)
 NOT_ALNUM[:0x30] = NOT_ALNUM[0x3A:0x61] = NOT_ALNUM[0x7B:0x80] = True
 
 
-def powers(n: int, base: int = BASE) -> np.ndarray:
-    out = np.full(max(n, 1), base, U64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one little-endian integer; what lies beyond the end reads as 0. A view."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
 
 
 def string_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,19 +134,22 @@ def combine(h: np.ndarray, first: np.ndarray, k: int, salt: int = 0) -> np.ndarr
     return mix(out)
 
 
-def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Fingerprints of buf[start:end] for ascending disjoint spans; an empty span gives a constant."""
-    out = np.zeros(len(start), U64)
+def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
+    """Fingerprints of buf[start:end]; each salt gives an independent one. An empty span gives a constant."""
     length = end - start
-    full = np.flatnonzero(length)
-    if len(full):
-        s, n = start[full], length[full]
-        total = int(n.sum())
-        head = np.concatenate(([0], np.cumsum(n)[:-1]))
-        inside = np.arange(total) - np.repeat(head, n)
-        values = BYTE_CODES[buf[np.repeat(s, n) + inside]] * powers(int(n.max()) + 1)[inside]
-        out[full] = np.add.reduceat(values, head)
-    return mix(out + length.astype(U64) * U64(_GOLDEN))
+    out = mix(length.astype(U64) + U64((salt * 0x9E3779B97F4A7C15 + 0x51ED270B) % (1 << 64)))
+    word = eights(buf)
+    some, at = np.flatnonzero((length > 0) & (length <= LONG)), 0
+    while len(some):
+        chunk = word[start[some] + at] & LOWER_BYTES[np.minimum(length[some] - at, 8)]
+        out[some] = mix(out[some] ^ chunk)
+        at += 8
+        some = some[length[some] > at]
+    long = np.flatnonzero(length > LONG)
+    if len(long):
+        raw, digest = memoryview(np.ascontiguousarray(buf)), xxhash.xxh3_64_intdigest
+        out[long] = np.array([digest(raw[a:b], salt) for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)], U64)
+    return out
 
 
 def lines(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,13 +165,6 @@ def lines(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return starts, ends, docs
 
 
-def prefix_hash(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sums, inverse powers): the window [i, i+n) has hash (sums[i+n] - sums[i]) * inverse[i], whatever i is."""
-    sums = np.zeros(len(data) + 1, U64)
-    np.cumsum(BYTE_CODES[data] * powers(len(data)), out=sums[1:])
-    return sums, powers(len(data) + 1, pow(BASE, -1, 1 << 64))
-
-
 def repeated(doc: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Mask of entries whose (doc, key) occurs twice or more; doc ascends."""
     order = np.lexsort((key, doc))

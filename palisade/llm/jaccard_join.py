@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from palisade.llm import _plan
 from palisade.llm._components import components
-from palisade.llm._exchange import MESSAGE, bucket_edges, by_bucket, by_source, dump, expand, member, messages, ranges, sources, squeeze, with_answers
+from palisade.llm._exchange import MESSAGE, bucket_runs, by_bucket, by_source, dump, expand, member, messages, ranges, sources, squeeze, with_answers
 from palisade.llm._text import SPACE, Words, blocks, combine, mix
 
 #: Classes from this one on (2**7 documents) are frequent.
@@ -222,8 +222,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85) -> Dat
         head = np.ones(len(every), bool)
         head[1:] = every[1:] != every[:-1]
         keys, times = every[head], np.diff(np.append(np.flatnonzero(head), len(every))).astype(np.uint32)
-        e = bucket_edges(keys, bits, n)
-        return messages(src, ((b, dump(keys=squeeze(keys[e[b] : e[b + 1]]), times=times[e[b] : e[b + 1]])) for b in range(n) if e[b] < e[b + 1]))
+        return messages(src, ((b, dump(keys=squeeze(keys[i:j]), times=times[i:j])) for b, i, j in bucket_runs(keys, bits, n)))
 
     def index(src: int, table: pa.Table, got: list[tuple[int, dict]]) -> pa.Table:
         known = np.concatenate([expand(m["keys"]) for _, m in got] or [np.zeros(0, np.uint64)])

@@ -18,8 +18,8 @@ from palisade.llm import _plan
 
 WHITE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Input bytes of one range partition.
-BYTES_PER_PART = 16 << 20
+#: Text bytes of one range partition.
+BYTES_PER_PART = 28 << 20
 LOWEST = -(1 << 63)
 
 

@@ -26,7 +26,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palisade.llm._exchange import MESSAGE, bucket_edges, dump, expand, load, messages, sources, squeeze
+from palisade.llm._exchange import MESSAGE, bucket_runs, dump, expand, load, messages, sources, squeeze
 from palisade.llm._text import SPACE, Words, blocks, mix
 from palisade.llm.elias_fano import SUCCESSOR_BITS, Trie
 
@@ -174,8 +174,7 @@ def score(docs: DataFrame, train: F.Column) -> DataFrame:
     def send_words(key: tuple, table: pa.Table) -> pa.Table:
         t = Text(table)
         counts = np.bincount(t.word, t.train, minlength=len(t.words)).astype(np.uint32)
-        e = bucket_edges(t.words, 64, n)
-        return messages(key[0].as_py(), ((b, dump(words=squeeze(t.words[e[b] : e[b + 1]]), counts=counts[e[b] : e[b + 1]])) for b in range(n) if e[b] < e[b + 1]))
+        return messages(key[0].as_py(), ((b, dump(words=squeeze(t.words[i:j]), counts=counts[i:j])) for b, i, j in bucket_runs(t.words, 64, n)))
 
     def word_answers(got: pa.Table) -> np.ndarray:
         got = got.filter(pa.compute.equal(got.column("kind"), 0)).sort_by("bucket")

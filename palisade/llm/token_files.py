@@ -38,8 +38,8 @@ ENTRY = struct.Struct("<III")
 FOOTER = struct.Struct("<IBI")
 #: Token bytes gathered in a frame before it is closed.
 FRAME_BYTES = 1 << 20
-#: Compressed input that goes to one file.
-BYTES_PER_FILE = 8 << 20
+#: Text bytes that go to one file.
+BYTES_PER_FILE = 14 << 20
 
 #: Text pieces that a worker keeps while it encodes, about 250 bytes each.
 CACHE_PIECES = 2_000_000

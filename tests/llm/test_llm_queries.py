@@ -82,8 +82,10 @@ def brute_repeats(texts, n=200):
     return out
 
 
-def test_substring_dedup(frame, small_sources):
-    got = collected(substring_dedup.remove_repeats(frame, with_kept=True))
+@pytest.mark.parametrize("hot", [20_000, 3, 0])
+def test_substring_dedup(frame, small_sources, hot):
+    """Whatever is counted string by string, the result is the same."""
+    got = collected(substring_dedup.remove_repeats(frame, with_kept=True, hot=hot))
     for (d, t, *_), want in zip(ROWS, brute_repeats(TEXTS), strict=True):
         r = got[d]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want
