@@ -259,7 +259,7 @@ def placeholder_filter(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.explode(v).alias("v")).select("doc_id", "v", indicators.placeholder(F.col("v")).alias("placeholder"))
 
 
-@query(r"""WITH t AS (SELECT conv_id, turn, unnest(string_split_regex(substr(text, 1, 400), '[^A-Za-z]+')) AS w, unnest(generate_series(1, len(string_split_regex(substr(text, 1, 400), '[^A-Za-z]+')))) AS i FROM conversations)
+@query(r"""WITH t AS (SELECT conv_id, turn, unnest(string_split_regex(text, '[^A-Za-z]+')) AS w, unnest(generate_series(1, len(string_split_regex(text, '[^A-Za-z]+')))) AS i FROM conversations)
 SELECT conv_id, turn, array_to_string(list(w ORDER BY i), ',') AS words FROM (SELECT conv_id, turn, arg_min(w, i) AS w, min(i) AS i FROM t WHERE w <> '' GROUP BY conv_id, turn, lower(w)) GROUP BY conv_id, turn""")
 def dedupe_ci(spark, sf_dir):
     words = indicators.distinct_ignoring_case(F.split("text", "[^A-Za-z]+"))
@@ -412,7 +412,7 @@ def article_texts(spark, sf_dir):
     return articles(pages, None, F.lit("2024-01-30").cast("date")).withColumn("n_chars", F.char_length("text")).drop("text")
 
 
-@query("SELECT event_id, 'https://feed.example.test/' || event_id AS link, CAST(date_trunc('second', ts) AS TIMESTAMP) AS published FROM events WHERE event_id % 20 = 0")
+@query("SELECT event_id, 'https://feed.example.test/' || event_id AS link, CAST(date_trunc('second', ts) AS TIMESTAMP) AS published FROM events")
 def feed_entries(spark, sf_dir):
     from palisade.sources.feeds import feed_entries as entries
 
