@@ -1,29 +1,59 @@
-"""Elias-Fano sequences and the two-level n-gram trie made of them, in one memory-mapped file.
+"""Elias-Fano sequences and the n-gram trie made of them, in one memory-mapped file.
 
 A sequence of n ascending integers below u keeps the lower log2(u / n) bits of
 each in a packed array and the upper parts in unary as a bit vector: about
-2 + log2(u / n) bits an element. The trie's levels are the contexts, monotone
-pointers into the successors, the successors (made monotone by the number of
-their context) and a one-byte code of each successor's probability.
+2 + log2(u / n) bits an element, and half a bit more for a directory of every
+64th one. Elements are read straight from these arrays, in batches that fit a
+cache; nothing is unpacked.
+
+The trie's levels are contexts, pairs and triples. Monotone pointers lead from
+each element to its successors on the next level, which are numbered within
+their context and searched only between its two pointers. Pairs have a code of
+their probability and one of what their successors leave to shorter contexts;
+triples have a code of their probability.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable
 
 import numpy as np
 
 U64 = np.uint64
+#: Ones of the upper bit vector between two entries of its directory.
+SAMPLE = 64
+#: Elements handled at once, so that what is computed on the way stays in a cache.
+BATCH = 1 << 15
+_ONES = U64(0x0101010101010101)
+_TOPS = U64(0x8080808080808080)
+#: Place of the k-th one (from 0) of a byte, by byte + 256 * k.
+_IN_BYTE = np.array([[p for p in range(8) if b >> p & 1][k] if bin(b).count("1") > k else 8 for k in range(8) for b in range(256)], np.uint8)
+
+
+def _byte_counts(x: np.ndarray) -> np.ndarray:
+    """Ones in each byte of 64-bit words, summed from the lowest byte on."""
+    x = x - ((x >> U64(1)) & U64(0x5555555555555555))
+    x = (x & U64(0x3333333333333333)) + ((x >> U64(2)) & U64(0x3333333333333333))
+    return ((x + (x >> U64(4))) & U64(0x0F0F0F0F0F0F0F0F)) * _ONES
+
+
+def _select(x: np.ndarray, sums: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the k-th one (from 0) of 64-bit words that have so many; sums: their _byte_counts."""
+    below = ((k * _ONES) | _TOPS) - sums & _TOPS  # a mark for each byte whose sum is at most k
+    place = np.bitwise_count(below).astype(U64) << U64(3)
+    rank = k - (((sums << U64(8)) >> place) & U64(0xFF))
+    return place + _IN_BYTE[((x >> place) & U64(0xFF)) | (rank << U64(8))]
 
 
 class EliasFano:
     """get(i) and find(values) over an ascending sequence; all arguments are arrays."""
 
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
-        self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
-        self._zeros: np.ndarray | None = None
-        self._ones: np.ndarray | None = None
+    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, places: np.ndarray):
+        self.n, self.low_bits, self.low, self.high, self.places = n, low_bits, low, high, places
+        self._low_words = np.ndarray((max(0, len(low) - 7),), "<u8", low, strides=(1,))
+        self._high_words = np.ndarray((max(0, len(high) - 7),), "<u8", high, strides=(1,))
 
     @staticmethod
     def build(values: np.ndarray, universe: int) -> EliasFano:
@@ -32,107 +62,141 @@ class EliasFano:
         low_bits = min(56, max(0, (universe // max(n, 1)).bit_length() - 1))
         low = np.zeros(8 + (n * low_bits + 7) // 8, np.uint8)
         if n and low_bits:
-            bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, count=low_bits, bitorder="little")
-            packed = np.packbits(bits.reshape(-1), bitorder="little")
-            low[: len(packed)] = packed
-        upper = (values >> U64(low_bits)).astype(np.int64)
-        flags = np.zeros(n + (universe >> low_bits) + 1, np.uint8)
-        flags[upper + np.arange(n)] = 1
-        return EliasFano(n, low_bits, low, np.packbits(flags, bitorder="little"))
-
-    def _low(self, i: np.ndarray) -> np.ndarray:
-        if not self.low_bits:
-            return np.zeros(len(i), U64)
-        bit = i * self.low_bits
-        eight = np.lib.stride_tricks.sliding_window_view(self.low, 8)[bit >> 3]
-        words = np.ascontiguousarray(eight).view("<u8").reshape(-1)
-        return (words >> (bit & 7).astype(U64)) & U64((1 << self.low_bits) - 1)
-
-    def _select(self) -> None:
-        """The select directory of the bit vector, made when a sequence is first searched."""
-        if self._zeros is None:
-            bits = np.unpackbits(self.high, bitorder="little")
-            self._zeros = np.flatnonzero(bits == 0)
-            self._ones = np.flatnonzero(bits)
+            for at in range(0, n, BATCH):  # a multiple of 8, so batches begin at whole bytes
+                bits = np.unpackbits(values[at : at + BATCH].view(np.uint8).reshape(-1, 8), axis=1, count=low_bits, bitorder="little")
+                packed = np.packbits(bits.reshape(-1), bitorder="little")
+                low[at * low_bits // 8 :][: len(packed)] = packed
+        ones = (values >> U64(low_bits)).astype(np.int64) + np.arange(n)
+        high = np.zeros(16 + (int(ones[-1]) + 8 if n else 0) // 8, np.uint8)
+        np.bitwise_or.at(high, ones >> 3, np.left_shift(1, ones & 7).astype(np.uint8))
+        return EliasFano(n, low_bits, low, high, ones[::SAMPLE].astype(np.uint32 if len(high) < 1 << 29 else U64))
+
+    def _upper(self, i: np.ndarray) -> np.ndarray:
+        """Place of the i-th one of the upper bit vector."""
+        place = self.places[i // SAMPLE].astype(U64)
+        left = (i % SAMPLE).astype(U64)
+        out = np.zeros(len(i), U64)
+        some = np.arange(len(i))
+        while len(some):
+            shift = place & U64(7)
+            word = self._high_words[(place >> U64(3)).astype(np.int64)] >> shift
+            sums = _byte_counts(word)
+            here = sums >> U64(56)
+            done = left < here
+            if done.all():
+                out[some] = place + _select(word, sums, left)
+                break
+            out[some[done]] = place[done] + _select(word[done], sums[done], left[done])
+            go = ~done
+            place, left, some = (place + U64(64) - shift)[go], (left - here)[go], some[go]
+        return out
 
     def get(self, i: np.ndarray) -> np.ndarray:
-        self._select()
-        return ((self._ones[i] - i).astype(U64) << U64(self.low_bits)) | self._low(i)
+        upper = (self._upper(i) - i.astype(U64)) << U64(self.low_bits)
+        if not self.low_bits:
+            return upper
+        bit = i * self.low_bits
+        return upper | ((self._low_words[bit >> 3] >> (bit & 7).astype(U64)) & U64((1 << self.low_bits) - 1))
 
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """Place of each value, -1 where it isn't there: the successor of the value within its upper part's run."""
-        values = np.asarray(values, U64)
+    def search(self, first: np.ndarray, last: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Place of each value between first and last (end exclusive), -1 where it isn't there."""
         out = np.full(len(values), -1, np.int64)
-        if not self.n or not len(values):
-            return out
-        self._select()
-        h = (values >> U64(self.low_bits)).astype(np.int64)
-        at = np.where(h > 0, self._zeros[np.maximum(h - 1, 0)] + 1 - h, 0)
-        end = self._zeros[h] - h
-        want = values & U64((1 << self.low_bits) - 1)
-        # bisect each run: a context with many successors has long ones
-        stop = end.copy()
-        open_ = np.flatnonzero(at < end)
-        while len(open_):
-            mid = (at[open_] + end[open_]) >> 1
-            less = self._low(mid) < want[open_]
-            at[open_[less]] = mid[less] + 1
-            end[open_[~less]] = mid[~less]
-            open_ = open_[at[open_] < end[open_]]
-        there = np.flatnonzero(at < stop)
-        there = there[self._low(at[there]) == want[there]]
-        out[there] = at[there]
+        for at in range(0, len(values), BATCH):
+            lo, hi, want = first[at : at + BATCH].copy(), last[at : at + BATCH].copy(), values[at : at + BATCH]
+            open_ = np.flatnonzero(lo < hi)
+            while len(open_):
+                mid = (lo[open_] + hi[open_]) >> 1
+                got, v = self.get(mid), want[open_]
+                out[at + open_[got == v]] = mid[got == v]
+                less = got < v
+                lo[open_[less]] = mid[less] + 1
+                hi[open_[~less]] = mid[~less]
+                open_ = open_[(got != v)]
+                open_ = open_[lo[open_] < hi[open_]]
         return out
 
-
-SUCCESSOR_BITS = 40
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """Place of each value in the whole sequence, -1 where it isn't there."""
+        values = np.asarray(values, U64)
+        if not self.n:
+            return np.full(len(values), -1, np.int64)
+        step = np.arange(0, self.n, SAMPLE)
+        block = np.maximum(np.searchsorted(self.get(step), values, "right") - 1, 0)
+        return self.search(step[block], np.minimum(step[block] + SAMPLE, self.n), values)
 
 
 class Trie:
-    """Contexts -> pointers -> successors with probability codes, kept in a file and mapped into memory."""
+    """Contexts, their successors (pairs) and those of the pairs (triples) with their codes, in a file that is mapped into memory."""
+
+    #: The file's parts: three levels and two rows of pointers, each of lower bits, upper bits and directory; then the codes.
+    SEQUENCES = ("contexts", "to_pairs", "pairs", "to_triples", "triples")
 
     def __init__(self, path: str):
         raw = np.memmap(path, np.uint8, "r")
-        head = raw[: 8 * 16].view("<i8")
-        parts, at = [], 8 * 16
-        for size in head[:7].tolist():
-            parts.append(raw[at : at + size])
-            at += size
-        n_contexts, n_successors, l_contexts, l_pointers, l_successors = head[7:12].tolist()
-        self.contexts = EliasFano(n_contexts, l_contexts, parts[0], parts[1])
-        self.pointers = EliasFano(n_contexts + 1, l_pointers, parts[2], parts[3])
-        self.successors = EliasFano(n_successors, l_successors, parts[4], parts[5])
-        self.codes = parts[6]
-        self.file_bytes = len(raw)
+        head = raw[: 8 * 40].view("<i8").tolist()
+        at = 8 * 40
+
+        def part(size: int) -> np.ndarray:
+            nonlocal at
+            at += size + -size % 8
+            return np.asarray(raw[at - size - -size % 8 : at - -size % 8])
+
+        for k, name in enumerate(self.SEQUENCES):
+            n, low_bits, low, high, places, wide = head[6 * k : 6 * k + 6]
+            setattr(self, name, EliasFano(n, low_bits, part(low), part(high), part(places).view("<u8" if wide else "<u4")))
+        self.pair_codes, self.rests, self.triple_codes = (part(size) for size in head[30:33])
+        self.id_bits, self.file_bytes = head[33], len(raw)
 
     @staticmethod
-    def write(contexts: np.ndarray, fan_out: np.ndarray, successors: np.ndarray, codes: np.ndarray, universe: int = 1 << 64) -> str:
-        """contexts ascending (u64), successors ascending within each context (below 2**40). Returns the file's path."""
-        owner = np.repeat(np.arange(len(contexts), dtype=U64), fan_out)
-        c = EliasFano.build(contexts, universe)
-        p = EliasFano.build(np.concatenate(([0], np.cumsum(fan_out))), len(successors) + 1)
-        s = EliasFano.build((owner << U64(SUCCESSOR_BITS)) | np.asarray(successors, U64), max(1, len(contexts)) << SUCCESSOR_BITS)
-        parts = [c.low, c.high, p.low, p.high, s.low, s.high, np.asarray(codes, np.uint8)]
-        head = np.zeros(16, "<i8")
-        head[:7] = [len(x) for x in parts]
-        head[7:12] = [c.n, s.n, c.low_bits, p.low_bits, s.low_bits]
+    def write(
+        contexts: np.ndarray, fan_out: np.ndarray, pairs: np.ndarray, pair_codes: np.ndarray, rests: np.ndarray,
+        pair_fan_out: np.ndarray, triples: np.ndarray, triple_codes: np.ndarray, id_bits: int, universe: int = 1 << 64,
+    ) -> str:
+        """Ids of contexts (ascending), of each one's successors (ascending) and of each pair's; returns the file's path."""
+
+        def level(fans: np.ndarray, ids: np.ndarray) -> EliasFano:
+            owner = np.repeat(np.arange(len(fans), dtype=U64), fans)
+            return EliasFano.build((owner << U64(id_bits)) | np.asarray(ids, U64), max(1, len(fans)) << id_bits)
+
+        def pointers(fans: np.ndarray) -> EliasFano:
+            return EliasFano.build(np.concatenate(([0], np.cumsum(fans))), int(fans.sum()) + 1)
+
+        sequences = [EliasFano.build(contexts, universe), pointers(fan_out), level(fan_out, pairs), pointers(pair_fan_out), level(pair_fan_out, triples)]
+        codes = [np.asarray(x, np.uint8) for x in (pair_codes, rests, triple_codes)]
+        head = np.zeros(40, "<i8")
+        for k, s in enumerate(sequences):
+            head[6 * k : 6 * k + 6] = [s.n, s.low_bits, len(s.low), len(s.high), s.places.nbytes, s.places.itemsize == 8]
+        head[30:34] = [*map(len, codes), id_bits]
         handle, path = tempfile.mkstemp(suffix=".trie")
         with os.fdopen(handle, "wb") as f:
-            for x in [head, *parts]:
+            for x in [head, *(x for s in sequences for x in (s.low, s.high, s.places)), *codes]:
                 f.write(x.tobytes())
+                f.write(bytes(-x.nbytes % 8))
         return path
 
-    def codes_of(self, contexts: np.ndarray, fan_out: np.ndarray, successors: np.ndarray) -> np.ndarray:
-        """The code of each (context, successor), 0 where the trie has none."""
-        c = self.contexts.find(contexts)
-        known = np.repeat(c, fan_out)
-        out = np.zeros(len(successors), np.uint8)
-        at = np.flatnonzero(known >= 0)
+    def _successors(self, level: EliasFano, pointers: EliasFano, owner: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Place on `level` of the successor `ids` of each owner, -1 where there is none or owner is -1."""
+        out = np.full(len(ids), -1, np.int64)
+        at = np.flatnonzero(owner >= 0)
         if len(at):
-            first = self.pointers.get(c[c >= 0])
-            last = self.pointers.get(c[c >= 0] + 1)
-            span = np.repeat(np.stack([first, last], 1).astype(np.int64), fan_out[c >= 0], axis=0)
-            place = self.successors.find((known[at].astype(U64) << U64(SUCCESSOR_BITS)) | np.asarray(successors, U64)[at])
-            ok = (place >= span[:, 0]) & (place < span[:, 1])
-            out[at[ok]] = self.codes[place[ok]]
+            mine = owner[at]
+            first, last = _in_batches(pointers.get, mine), _in_batches(pointers.get, mine + 1)
+            out[at] = level.search(first.astype(np.int64), last.astype(np.int64), (mine.astype(U64) << U64(self.id_bits)) | ids[at].astype(U64))
         return out
+
+    def find_pairs(self, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Place of each pair, given the place of its context."""
+        return self._successors(self.pairs, self.to_pairs, context, ids)
+
+    def find_triples(self, pair: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Place of each triple, given the place of its pair."""
+        return self._successors(self.triples, self.to_triples, pair, ids)
+
+
+def _in_batches(f: Callable[[np.ndarray], np.ndarray], x: np.ndarray) -> np.ndarray:
+    return np.concatenate([f(x[at : at + BATCH]) for at in range(0, len(x), BATCH)])
+
+
+def codes_at(codes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The code at each place, 0 at -1."""
+    return np.where(place >= 0, codes[np.maximum(place, 0)], 0).astype(np.uint8) if len(codes) else np.zeros(len(place), np.uint8)

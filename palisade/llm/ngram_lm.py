@@ -1,19 +1,23 @@
-"""Language-model scores from a bigram model kept in Elias-Fano tries, sharded by context.
+"""Language-model scores from a trigram model kept in Elias-Fano tries, sharded by context.
 
-The model interpolates absolute discounting with an add-half unigram model:
+The model interpolates absolute discounting of three orders:
 
-    P(w | h) = max(c(h w) - d, 0) / c(h) + rest(h) * (c(w) + 0.5) / (N + 0.5 * (V + 1))
+    P(w | u v) = max(c(u v w) - d, 0) / c(u v) + rest(u v) * P(w | v)
+    P(w | v)   = max(c(v w) - d, 0) / c(v)     + rest(v)   * (c(w) + 0.5) / (N + 0.5 * (V + 1))
 
-The first part is stored as one byte a bigram (a logarithmic code, rounded
-down); rest(h) is what the stored parts of a context leave to 1, so the
-probabilities after any context add up to 1 in spite of the rounding.
+The first parts are stored as one byte each (a logarithmic code, rounded down);
+rest is what the stored parts of a context leave to 1, as a byte too, so the
+probabilities after any context add up to 1 but for the rounding of rest.
 
 Nothing of the size of the corpus reaches the driver or one executor. Sources
-(a few MB of documents each) send their distinct words, and get the counts;
-then their distinct bigrams by context, and get codes by position. A bucket
-builds the trie of its contexts in a memory-mapped file, answers all sources
-from it and removes it. A context with many occurrences is dealt over several
-buckets by successor; the sources add its parts up.
+(a few MB of documents each) send their distinct words and get their counts and
+numbers, which ascend as words get rarer; then their distinct triples of
+numbers by first word, and get codes by position. A bucket builds the trie of
+its contexts in a memory-mapped file, answers all sources by searching each
+context's successors there, and removes it. A word with many occurrences is
+dealt over several buckets by the next word, and a pair of words with many by
+the third; the sources add the parts up. Pairs that frequent are few whatever
+the corpus is, as their occurrences add up to N at most.
 """
 
 from __future__ import annotations
@@ -22,21 +26,27 @@ import os
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palisade.llm._exchange import MESSAGE, bucket_runs, dump, expand, load, messages, sources, squeeze
+from palisade.llm._exchange import MESSAGE, bucket_runs, dump, expand, load, messages, ranges, sources, squeeze
 from palisade.llm._text import SPACE, Words, blocks, mix
-from palisade.llm.elias_fano import SUCCESSOR_BITS, Trie
+from palisade.llm.elias_fano import Trie, codes_at
 
 DISCOUNT = 0.75
-#: Occurrences of a context that one bucket takes; a more frequent one is dealt by successor.
-SLICE = 200_000
-#: Stored probabilities: code q >= 1 is 10 ** (-(q - 1) * STEP); 0 is none.
-STEP = 10.0 / 254
-END, START = np.uint64(0xE4D0_0000_0000_0001), np.uint64(0x57A7_0000_0000_0001)
+#: Occurrences of a word or pair that one bucket takes, at least; SHARES of the corpus where that is more.
+SLICE, SHARES = 200_000, 25_000
+#: Stored probabilities: code q >= 1 is 10 ** (-(q - 1) * STEP); 0 is none. What they leave is stored in finer steps; 0 is all.
+STEP, REST_STEP = 10.0 / 254, 4.0 / 254
+END = np.uint64(0xE4D0_0000_0000_0001)
+#: Numbers of the context before a text and of what comes after it; words count from 2.
+START, AFTER, WORDS = 0, 1, 2
+#: Bits of a part's number behind its word's.
+PART_BITS = 20
 PROBABILITY = np.concatenate(([0.0], 10.0 ** (-STEP * np.arange(255))))
+REST = np.concatenate(([1.0], 10.0 ** (-REST_STEP * np.arange(255))))
+COUNTED = MESSAGE + ", times long"
 
 
 def encode_probability(p: np.ndarray) -> np.ndarray:
@@ -45,8 +55,13 @@ def encode_probability(p: np.ndarray) -> np.ndarray:
     return np.where(q > 255, 0, np.maximum(q, 1)).astype(np.uint8)
 
 
+def encode_rest(p: np.ndarray) -> np.ndarray:
+    """Codes of what a context's stored probabilities leave, rounded down; the last code is the least."""
+    return np.clip(np.ceil(-np.log10(np.maximum(p, 1e-300)) / REST_STEP - 1e-9).astype(np.int64) + 1, 1, 255).astype(np.uint8)
+
+
 class Text:
-    """The tokens of a source: fingerprints, contexts, document of each; ends included."""
+    """The tokens of a source: fingerprints, document of each, whether it is to be learned from; ends included."""
 
     def __init__(self, table: pa.Table):
         tokens, doc, at = [], [], 0
@@ -60,167 +75,331 @@ class Text:
             doc.append(np.repeat(np.arange(at, at + len(n)), n))
             at += len(n)
         self.n_docs = at
-        self.token = np.concatenate(tokens or [np.zeros(0, np.uint64)])
         self.doc = np.concatenate(doc or [np.zeros(0, np.int64)])
         self.train = table.column("train").to_numpy(zero_copy_only=False).astype(bool)[self.doc]
-        self.words, self.word = np.unique(self.token, return_inverse=True)
-        first = np.ones(len(self.doc), bool)
-        first[1:] = self.doc[1:] != self.doc[:-1]
-        self.context = np.where(first, START, np.concatenate((self.token[:1], self.token[:-1])))
-        self.context_word = np.where(first, -1, np.concatenate((self.word[:1], self.word[:-1])))
+        self.words, self.word = np.unique(np.concatenate(tokens or [np.zeros(0, np.uint64)]), return_inverse=True)
+        self.first = np.ones(len(self.doc), bool)
+        self.first[1:] = self.doc[1:] != self.doc[:-1]
         self.length = np.bincount(self.doc, minlength=at)
 
+    def before(self, values: np.ndarray, start: int) -> np.ndarray:
+        """The value of the token before each, start at a text's first."""
+        return np.where(self.first, start, np.concatenate((values[:1], values[:-1])))
+
+    def after(self, values: np.ndarray, end: int) -> np.ndarray:
+        """The value of the token after each, end at a text's last."""
+        return np.where(np.append(self.first[1:], True), end, np.append(values[1:], values[:1]))
+
+    def frequent_pairs(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(fingerprints, counts) of the pairs that have a SHARES-th of this source's training tokens or more, ascending."""
+        least = max(1, int(self.train.sum()) // SHARES)
+        often = counts[self.word] >= least
+        at = np.flatnonzero(self.train & often & ~self.first)
+        at = at[often[at - 1]]
+        pair, times = np.unique(pair_print(self.words[self.word[at - 1]], self.words[self.word[at]]), return_counts=True)
+        return pair[times >= least], times[times >= least]
+
+
+def pair_print(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(mix(a) + b)
+
 
-class Bigrams:
-    """Distinct (bucket, context, slice, successor) of a source in order, and how each token finds its own."""
-
-    def __init__(self, text: Text, counts: np.ndarray, n_buckets: int):
-        ends = counts[np.searchsorted(text.words, END)] if len(counts) else 0
-        contexts, which = np.unique(text.context, return_inverse=True)
-        self.total = np.full(len(contexts), ends, np.int64)  # occurrences of each context in training
-        at = text.context_word >= 0
-        self.total[which[at]] = counts[text.context_word[at]]
-        slices = 1 + self.total // SLICE
-        succ = mix(text.token) >> np.uint64(64 - SUCCESSOR_BITS)
-        part = (succ * slices[which].astype(np.uint64)) >> np.uint64(SUCCESSOR_BITS)
-        # every slice of every context, also those without a successor here
-        self.first = np.concatenate(([0], np.cumsum(slices)))
-        owner = np.repeat(np.arange(len(contexts)), slices)
-        number = (np.arange(len(owner)) - self.first[owner]).astype(np.uint64)
-        key = mix(contexts[owner] + number * np.uint64(0x9E3779B97F4A7C15))
-        self.bucket = ((key >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
-        order = np.lexsort((key, self.bucket))
-        self.key, self.bucket, self.owner = key[order], self.bucket[order], owner[order]
+def _sums(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, sums of times), ascending."""
+    order = np.argsort(keys, kind="stable")
+    k = keys[order]
+    head = np.ones(len(k), bool)
+    head[1:] = k[1:] != k[:-1]
+    at = np.flatnonzero(head)
+    return k[at], np.add.reduceat(times[order].astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+
+
+class Triples:
+    """Distinct (bucket, context, part; pair; triple) of a source in order, and how each token finds its own.
+
+    A token's pair is the one before it and itself, its triple that and the one after. Pairs need two known words,
+    triples three: others can't occur in training.
+    """
+
+    def __init__(self, text: Text, counts: np.ndarray, numbers: np.ndarray, n_buckets: int, slice_: int, hot: np.ndarray, hot_times: np.ndarray):
+        starts = int(counts[np.searchsorted(text.words, END)]) if len(counts) else 0
+        number = numbers[text.word]
+        ids = np.unique(np.concatenate((numbers[numbers >= 0], [START, AFTER])))
+        count_of = np.zeros(len(ids), np.int64)
+        known = np.flatnonzero(numbers >= 0)
+        count_of[np.searchsorted(ids, numbers[known])] = counts[known]
+        count_of[0] = starts
+        a, b, c = text.before(number, START if starts else -1), number, text.after(number, AFTER)
+        pair_ok = (a >= 0) & (b >= 0)
+        local = lambda x: np.searchsorted(ids, np.maximum(x, 0))
+        a, b, c, triple_ok = local(a), local(b), local(c), pair_ok & (c >= 0)
+        # parts of words, and of the pairs that have many
+        parts = 1 + count_of // slice_
+        spread = np.zeros(len(b), np.int64)  # parts of a token's pair, 0: not dealt
+        if len(hot):
+            print_ = pair_print(text.words[text.before(text.word, 0)], text.words[text.word])
+            at = np.minimum(np.searchsorted(hot, print_), len(hot) - 1)
+            dealt = (hot[at] == print_) & pair_ok & ~text.first
+            spread[dealt] = np.minimum(1 + hot_times[at[dealt]] // slice_, parts[a[dealt]])
+        deal = lambda x: mix(x.astype(np.uint64)) >> np.uint64(33)
+        third = np.where(spread > 0, deal(ids[c]).astype(np.int64) % np.maximum(spread, 1), 0)
+        part = (deal(ids[b]).astype(np.int64) + third) % parts[a]
+        # every part of every context, also those without a successor here
+        contexts = np.unique(a[text.before(number, START if starts else -1) >= 0])
+        owner = np.repeat(contexts, parts[contexts])
+        nth = ranges(np.zeros(len(contexts), np.int64), parts[contexts])
+        key = (ids[owner].astype(np.uint64) << np.uint64(PART_BITS)) | nth.astype(np.uint64)
+        bucket = ((mix(key) >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+        order = np.lexsort((key, bucket))
+        self.key, self.bucket, self.owner = key[order], bucket[order], owner[order]
+        self.total, self.sliced = count_of[self.owner], parts[self.owner] > 1
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        mine = rank[self.first[which] + part.astype(np.int64)]
-        o = np.lexsort((succ, mine))
-        m, s = mine[o], succ[o]
-        head = np.ones(len(m), bool)
-        head[1:] = (m[1:] != m[:-1]) | (s[1:] != s[:-1])
-        self.entry = np.empty(len(o), np.int64)
-        self.entry[o] = np.cumsum(head) - 1
-        self.successor = s[head]
-        self.fan_out = np.bincount(m[head], minlength=len(self.key))
-        self.count = np.bincount(self.entry, text.train, minlength=int(head.sum())).astype(np.uint32)
-        self.which = which
-
-    def rest(self, mass: np.ndarray) -> np.ndarray:
-        """What is left for unigrams after each token's context; mass: stored probability of each (context, slice), in order."""
-        return (1.0 - np.bincount(self.owner, mass, minlength=len(self.total)))[self.which]
+        base = np.zeros(len(ids), np.int64)
+        base[contexts] = np.cumsum(parts[contexts]) - parts[contexts]
+        # pairs: of tokens, and all parts of those dealt
+        at = np.flatnonzero(pair_ok)
+        mine = np.full(len(b), -1, np.int64)
+        mine[at] = rank[base[a[at]] + part[at]]
+        width = max(1, int(len(ids) - 1).bit_length())
+        pair = (mine << width) | b
+        dealt = np.flatnonzero(spread > 0)
+        if len(dealt):
+            _, lead = np.unique((a[dealt] << width) | b[dealt], return_index=True)
+            dealt = dealt[lead]
+            one = np.repeat(dealt, spread[dealt])
+            other = (deal(ids[b[one]]).astype(np.int64) + ranges(np.zeros(len(dealt), np.int64), spread[dealt])) % parts[a[one]]
+            extra = (rank[base[a[one]] + other] << width) | b[one]
+            named = (a[one] << width) | b[one]
+        else:
+            extra = named = np.zeros(0, np.int64)
+        pairs = np.unique(np.concatenate((pair[at], extra)))
+        self.pair = np.where(pair_ok, np.searchsorted(pairs, np.where(pair_ok, pair, pairs[0] if len(pairs) else 0)), -1)
+        self.second = ids[pairs & ((1 << width) - 1)]
+        self.fan_out = np.bincount(pairs >> width, minlength=len(self.key))
+        # which pairs are one dealt pair, to be added up
+        self.group = np.full(len(pairs), -1, np.int64)
+        self.group[np.searchsorted(pairs, extra)] = np.unique(named, return_inverse=True)[1]
+        # triples, by pair
+        at = np.flatnonzero(triple_ok)
+        triple = (self.pair[at] << width) | c[at]
+        triples, inverse = np.unique(triple, return_inverse=True)
+        self.triple = np.full(len(b), -1, np.int64)
+        self.triple[at] = inverse
+        self.third = ids[triples & ((1 << width) - 1)]
+        self.pair_fan_out = np.bincount(triples >> width, minlength=len(pairs))
+        self.count = np.bincount(inverse, text.train[at], minlength=len(triples)).astype(np.uint32)
+        self.context = np.where(text.before(number, START if starts else -1) >= 0, a, -1)
+
+    def payloads(self):
+        """(bucket, payload) of each bucket, ascending."""
+        pair_at = np.concatenate(([0], np.cumsum(self.fan_out)))
+        triple_at = np.concatenate(([0], np.cumsum(self.pair_fan_out)))
+        first = np.flatnonzero(np.diff(self.bucket, prepend=-1))
+        for k, i, j in zip(self.bucket[first].tolist(), first.tolist(), [*first[1:].tolist(), len(self.bucket)], strict=True):
+            p, q = pair_at[i], pair_at[j]
+            s, t = triple_at[p], triple_at[q]
+            yield k, dump(
+                keys=squeeze(self.key[i:j]), totals=self.total[i:j].astype(np.uint64), sliced=self.sliced[i:j], fan_out=self.fan_out[i:j].astype(np.uint32),
+                second=planes(self.second[p:q]), dealt=self.group[p:q] >= 0, pair_fan_out=planes(self.pair_fan_out[p:q]),
+                third=planes(self.third[s:t]), count=planes(self.count[s:t]),
+            )
+
+    def apply(self, text: Text, got: list[dict], single: np.ndarray) -> np.ndarray:
+        """Probability of each token; single: its probability without a context."""
+        cat = lambda k, t: np.concatenate([m[k] for m in got] or [np.zeros(0, t)])
+        left = REST[cat("key_rests", np.uint8)].copy()
+        left[self.sliced] = 1 - cat("masses", float)
+        rest = np.ones(int(self.owner.max(initial=0)) + 2)  # the last one: a context that training lacks
+        np.add.at(rest, self.owner, left - 1)
+        stored, pair_rest = PROBABILITY[cat("pair_codes", np.uint8)], REST[cat("rests", np.uint8)]
+        scale = np.ones(len(stored))
+        dealt = np.flatnonzero(self.group >= 0)
+        if len(dealt):  # parts of a pair: sums of what they store, and each one's share
+            g, times = self.group[dealt], cat("dealt_counts", np.int64).astype(float)
+            total = np.maximum(np.bincount(g, times), 1)[g]
+            scale[dealt] = times / total
+            stored[dealt] = np.bincount(g, stored[dealt])[g]
+            pair_rest[dealt] = np.maximum(1 - np.bincount(g, cat("dealt_masses", float) * scale[dealt])[g], 1e-6)
+        mine = self.pair
+        has = mine >= 0
+        at = np.maximum(mine, 0)
+        two = np.where(has, stored[at] if len(stored) else 0.0, 0.0) + rest[self.context] * single
+        three, t = np.zeros(len(mine)), self.triple
+        triple = PROBABILITY[cat("triple_codes", np.uint8)]
+        if len(triple):
+            three = np.where(t >= 0, triple[np.maximum(t, 0)] * scale[at], 0.0)
+        further = np.where(has, pair_rest[at] if len(pair_rest) else 1.0, 1.0)
+        # a token's triple says what comes after it
+        p = text.before(three, 0.0) + text.before(further, 1.0) * two
+        return np.where(text.first, two, p)
+
+
+def planes(x: np.ndarray) -> np.ndarray:
+    """Non-negative integers below 2**40 as the bytes that any of them needs, one row each: the upper ones compress to little."""
+    n = max(1, -(-int(x.max()).bit_length() // 8)) if len(x) else 1
+    return np.ascontiguousarray(np.asarray(x, np.uint64).view(np.uint8).reshape(-1, 8)[:, :n].T)
+
+
+def joined(x: np.ndarray) -> np.ndarray:
+    out = np.zeros((x.shape[1], 8), np.uint8)
+    out[:, : len(x)] = x.T
+    return out.view(np.uint64).reshape(-1)
 
 
 def _word_counts(key: tuple, table: pa.Table) -> pa.Table:
-    """Adds counts up by word; answers each source by position. The row for source -1 has the bucket's tokens and words."""
+    """Adds counts up by word; answers each source its words' counts and ranks by position.
+
+    Other rows: source -1 has the bucket's tokens and words; source -2 a pair that is frequent in a source, and how often such sources have it.
+    """
     table = table.sort_by("src")
     got = [load(p) for p in table.column("payload").to_pylist()]
     keys = [expand(m["words"]) for m in got]
     distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(which, np.concatenate([m["counts"] for m in got]), minlength=len(distinct)).astype(np.int64)
-    parts = np.split(total[which], np.cumsum([len(k) for k in keys])[:-1])
+    rank = np.empty(len(total), np.int64)
+    rank[np.argsort(-total, kind="stable")] = np.arange(len(total))
+    cuts = np.cumsum([len(k) for k in keys])[:-1]
+    pair, times = _sums(np.concatenate([m["pairs"] for m in got]), np.concatenate([m["times"] for m in got]))
+    at = np.flatnonzero(times > 1)
     bucket = key[0].as_py()
-    srcs = [*table.column("src").to_pylist(), -1]
-    payloads = [*(dump(counts=x) for x in parts), f"{int(total.sum())},{int((total > 0).sum())}".encode()]
-    return pa.table({"bucket": pa.array([bucket] * len(srcs), pa.int32()), "src": pa.array(srcs, pa.int32()), "payload": pa.array(payloads, pa.binary())})
-
-
-def build_shard(keys: np.ndarray, totals: np.ndarray, successors: np.ndarray, owners: np.ndarray, counts: np.ndarray) -> tuple[str, np.ndarray, np.ndarray]:
-    """Trie file of a shard from (owner, successor, count) of contexts `keys`; (path, contexts, stored mass of each)."""
-    order = np.lexsort((successors, owners))
-    o, s = owners[order], successors[order]
-    head = np.ones(len(o), bool)
-    head[1:] = (o[1:] != o[:-1]) | (s[1:] != s[:-1])
-    total = np.add.reduceat(counts[order].astype(np.int64), np.flatnonzero(head)) if len(o) else np.zeros(0, np.int64)
-    o, s = o[head], s[head]
-    seen = total > 0
-    o, s, total = o[seen], s[seen], total[seen]
-    codes = encode_probability((total - DISCOUNT) / np.maximum(totals[o], 1))
-    mass = np.bincount(o, PROBABILITY[codes], minlength=len(keys))
-    used = np.flatnonzero(np.bincount(o, minlength=len(keys)))
-    path = Trie.write(keys[used], np.bincount(o, minlength=len(keys))[used], s, codes)
-    return path, used, mass
-
-
-def _bigram_codes(key: tuple, table: pa.Table) -> pa.Table:
+    payloads = [dump(counts=planes(x), ranks=planes(r)) for x, r in zip(np.split(total[which], cuts), np.split(rank[which], cuts), strict=True)]
+    payloads += [f"{int(total.sum())},{int((total > 0).sum())}".encode(), *(p.tobytes() for p in pair[at])]
+    srcs = [*table.column("src").to_pylist(), -1, *[-2] * len(at)]
+    return pa.table({
+        "bucket": pa.array([bucket] * len(srcs), pa.int32()), "src": pa.array(srcs, pa.int32()), "payload": pa.array(payloads, pa.binary()),
+        "times": pa.array([None] * (len(srcs) - len(at)) + times[at].tolist(), pa.int64()),
+    })
+
+
+class Shard:
+    """The trie of a bucket's contexts, built from what the sources counted."""
+
+    def __init__(self, keys: np.ndarray, totals: np.ndarray, pair_owner: np.ndarray, second: np.ndarray, triple_owner: np.ndarray, third: np.ndarray, counts: np.ndarray, id_bits: int):
+        """keys, totals: distinct contexts (ascending), how often each occurs; then pairs (place of the context, word), triples (place of the pair, word) and counts, in any order and repeated."""
+        some = np.flatnonzero(counts)
+        shift = np.uint64(id_bits)
+        pair = (pair_owner.astype(np.uint64) << shift) | second.astype(np.uint64)
+        seen, which = np.unique(pair[triple_owner[some]], return_inverse=True)
+        triple, times = _sums((which.astype(np.uint64) << shift) | third[some].astype(np.uint64), counts[some])
+        owner = (triple >> shift).astype(np.int64)
+        self.pair_count = np.bincount(owner, times, minlength=len(seen))
+        codes = encode_probability((times - DISCOUNT) / self.pair_count[owner])
+        self.pair_mass = np.bincount(owner, PROBABILITY[codes], minlength=len(seen))
+        context = (seen >> shift).astype(np.int64)
+        pair_codes = encode_probability((self.pair_count - DISCOUNT) / np.maximum(totals[context], 1))
+        self.mass = np.bincount(context, PROBABILITY[pair_codes], minlength=len(keys))
+        mask = np.uint64((1 << id_bits) - 1)
+        self.path = Trie.write(
+            keys, np.bincount(context, minlength=len(keys)), seen & mask, pair_codes, encode_rest(1 - self.pair_mass),
+            np.bincount(owner, minlength=len(seen)), triple & mask, codes, id_bits,
+        )
+
+
+def _codes(key: tuple, table: pa.Table) -> pa.Table:
     table = table.sort_by("src")
     got = [load(p) for p in table.column("payload").to_pylist()]
     keys = [expand(m["keys"]) for m in got]
-    distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.zeros(len(distinct), np.int64)
-    totals[which] = np.concatenate([m["totals"] for m in got])
-    cuts = np.cumsum([len(k) for k in keys])[:-1]
-    fans = [m["fan_out"].astype(np.int64) for m in got]
-    owners = np.repeat(which, np.concatenate(fans))
-    successors = [expand(m["successors"]) & np.uint64((1 << SUCCESSOR_BITS) - 1) for m in got]
-    path, _, mass = build_shard(distinct, totals, np.concatenate(successors), owners, np.concatenate([m["counts"] for m in got]))
+    distinct, lead, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    totals = np.concatenate([m["totals"] for m in got])[lead].astype(np.int64)
+    second, third = [joined(m["second"]) for m in got], [joined(m["third"]) for m in got]
+    fans, pair_fans = np.concatenate([m["fan_out"] for m in got]), np.concatenate([joined(m["pair_fan_out"]) for m in got])
+    n_pairs, n_triples = [len(x) for x in second], [len(x) for x in third]
+    second, third = np.concatenate(second), np.concatenate(third)
+    id_bits = max(1, int(max(second.max(initial=0), third.max(initial=0))).bit_length())
+    pair_owner = np.repeat(which, fans)
+    triple_owner = np.repeat(np.arange(len(second)), pair_fans.astype(np.int64))
+    shard = Shard(distinct, totals, pair_owner, second, triple_owner, third, np.concatenate([joined(m["count"]) for m in got]).astype(np.int64), id_bits)
     try:
-        trie = Trie(path)
-        payloads = [dump(codes=trie.codes_of(k, f, s), mass=mass[w].astype(np.float64)) for k, f, s, w in zip(keys, fans, successors, np.split(which, cuts), strict=True)]
+        trie = Trie(shard.path)
+        context = trie.contexts.find(distinct)
+        pair = trie.find_pairs(context[pair_owner], second)
+        pair_codes, rests = codes_at(trie.pair_codes, pair), codes_at(trie.rests, pair)
+        triple_codes = codes_at(trie.triple_codes, trie.find_triples(pair[triple_owner], third))
     finally:
-        os.unlink(path)
+        os.unlink(shard.path)
+    cut = lambda x, sizes: np.split(x, np.cumsum(sizes)[:-1])
+    key_rests = encode_rest(1 - shard.mass)
+    value = lambda x, at: np.where(at >= 0, x[np.maximum(at, 0)], 0) if len(x) else np.zeros(len(at))
+    payloads = [
+        dump(
+            key_rests=key_rests[w], masses=shard.mass[w[m["sliced"]]], pair_codes=c, rests=r, triple_codes=t,
+            dealt_counts=value(shard.pair_count, p[m["dealt"]]).astype(np.int64), dealt_masses=value(shard.pair_mass, p[m["dealt"]]),
+        )
+        for m, w, p, c, r, t in zip(
+            got, cut(which, [len(k) for k in keys]), cut(pair, n_pairs), cut(pair_codes, n_pairs), cut(rests, n_pairs), cut(triple_codes, n_triples), strict=True
+        )
+    ]
     bucket = key[0].as_py()
     return pa.table({"bucket": pa.array([bucket] * len(got), pa.int32()), "src": table.column("src"), "payload": pa.array(payloads, pa.binary())})
 
 
-def score(docs: DataFrame, train: F.Column) -> DataFrame:
+def score(docs: DataFrame, train: F.Column, slice_tokens: int = SLICE) -> DataFrame:
     """Scores every row of doc_id, text, learning from those where `train` holds.
 
     doc_id, train, n_tokens, n_known (tokens that occur in training), train_tokens, base_score (unigrams), score (log10
     probability of the text under the model), word runs lower-cased (A-Z) plus one end token a text. Null texts count
-    as empty: only the end. Without training rows every token is unknown. An empty table gives no rows.
+    as empty: only the end. Without training rows every token is unknown. Repeated rows are scored, and learned from,
+    as often as they occur. An empty table gives no rows. slice_tokens: occurrences of a context that one task takes.
     """
     rows, n = sources(docs.select("doc_id", "text", F.coalesce(train, F.lit(False)).alias("train")), columns=("doc_id", "text", "train"))
 
     def send_words(key: tuple, table: pa.Table) -> pa.Table:
         t = Text(table)
         counts = np.bincount(t.word, t.train, minlength=len(t.words)).astype(np.uint32)
-        return messages(key[0].as_py(), ((b, dump(words=squeeze(t.words[i:j]), counts=counts[i:j])) for b, i, j in bucket_runs(t.words, 64, n)))
-
-    def word_answers(got: pa.Table) -> np.ndarray:
-        got = got.filter(pa.compute.equal(got.column("kind"), 0)).sort_by("bucket")
-        return np.concatenate([load(p)["counts"] for p in got.column("payload").to_pylist()])
-
-    def send_bigrams(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
+        pair, times = t.frequent_pairs(counts)
+        words = {b: slice(i, j) for b, i, j in bucket_runs(t.words, 64, n)}
+        pairs = {b: slice(i, j) for b, i, j in bucket_runs(pair, 64, n)}
+        parts = [(b, words.get(b, slice(0, 0)), pairs.get(b, slice(0, 0))) for b in sorted({*words, *pairs})]
+        return messages(key[0].as_py(), ((b, dump(words=squeeze(t.words[w]), counts=counts[w], pairs=pair[p], times=times[p])) for b, w, p in parts))
+
+    def word_answers(t: Text, got: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """(counts, numbers) of a source's words; a word that doesn't occur in training has number -1."""
+        answers = [load(p) for p in got.filter(pc.equal(got.column("kind"), 0)).sort_by("bucket").column("payload").to_pylist()]
+        counts = np.concatenate([joined(m["counts"]) for m in answers]).astype(np.int64)
+        ranks = np.concatenate([joined(m["ranks"]) for m in answers]).astype(np.int64)
+        bucket = (((t.words >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+        return counts, np.where(counts > 0, WORDS + ranks * n + bucket, -1)
+
+    def triples(t: Text, got: pa.Table) -> tuple[Triples, np.ndarray, dict]:
+        """(triples, counts of the words, the corpus's totals) of a source."""
+        told = got.filter(pc.equal(got.column("kind"), 2)).to_pylist()[0]
+        counts, numbers = word_answers(t, got)
+        hot = sorted((int.from_bytes(x["pair"], "little"), x["times"]) for x in told["hot"])
+        slice_ = max(slice_tokens, told["tokens"] // SHARES)
+        return Triples(t, counts, numbers, n, slice_, np.array([p for p, _ in hot], np.uint64), np.array([x for _, x in hot], np.int64)), counts, told
+
+    def send_triples(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
         if not len(table):
             return messages(0, [])
-        b = Bigrams(Text(table), word_answers(got), n)
-        e = np.searchsorted(b.bucket, np.arange(n + 1))
-        at = np.concatenate(([0], np.cumsum(b.fan_out)))
-
-        def part(i: int, j: int) -> bytes:
-            owner = np.repeat(np.arange(j - i, dtype=np.uint64), b.fan_out[i:j])
-            return dump(
-                keys=squeeze(b.key[i:j]), totals=b.total[b.owner[i:j]], fan_out=b.fan_out[i:j].astype(np.uint32),
-                successors=squeeze((owner << np.uint64(SUCCESSOR_BITS)) | b.successor[at[i] : at[j]]), counts=b.count[at[i] : at[j]],
-            )
-
-        return messages(key[0].as_py(), ((k, part(e[k], e[k + 1])) for k in range(n) if e[k] < e[k + 1]))
+        t = Text(table)
+        return messages(key[0].as_py(), triples(t, got)[0].payloads())
 
     def finish(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
         t = Text(table.select(["doc_id", "text", "train"]))
-        if not len(table):
+        if not t.n_docs:
             return pa.table({"doc_id": pa.array([], pa.int64()), "train": pa.array([], pa.bool_()), **{k: pa.array([], pa.int64()) for k in ("n_tokens", "n_known", "train_tokens")}, "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
-        counts = word_answers(got)
-        tokens, words = got.column("tokens")[0].as_py(), got.column("words")[0].as_py()
-        b = Bigrams(t, counts, n)
-        answers = got.filter(pa.compute.equal(got.column("kind"), 1)).sort_by("bucket")
-        answers = [load(p) for p in answers.column("payload").to_pylist()]
-        codes = np.concatenate([m["codes"] for m in answers])
-        mass = np.concatenate([m["mass"] for m in answers])
-        c = counts[t.word]
-        single = (c + 0.5) / (tokens + 0.5 * (words + 1))
-        p = PROBABILITY[codes[b.entry]] + b.rest(mass) * single
+        known, counts, told = triples(t, got)
+        answers = got.filter(pc.equal(got.column("kind"), 1)).sort_by("bucket")
+        c, tokens = counts[t.word], told["tokens"]
+        single = (c + 0.5) / (tokens + 0.5 * (told["words"] + 1))
+        p = known.apply(t, [load(p) for p in answers.column("payload").to_pylist()], single)
         per = lambda w: np.bincount(t.doc, w, minlength=t.n_docs)
         return pa.table({
             "doc_id": table.column("doc_id"), "train": table.column("train"), "n_tokens": t.length.astype(np.int64), "n_known": per(c > 0).astype(np.int64),
             "train_tokens": np.full(t.n_docs, tokens, np.int64), "base_score": per(np.log10(single)), "score": per(np.log10(p)),
         })
 
-    dealt = rows.groupBy("src")
-    counted = dealt.applyInArrow(send_words, MESSAGE).groupBy("bucket").applyInArrow(_word_counts, MESSAGE)
+    counted = rows.groupBy("src").applyInArrow(send_words, MESSAGE).groupBy("bucket").applyInArrow(_word_counts, COUNTED)
     both = F.split(F.col("payload").cast("string"), ",")
-    totals = counted.where("src = -1").agg(F.sum(both[0].cast("long")).alias("tokens"), F.sum(both[1].cast("long")).alias("words"))  # one row
-    word_side = counted.where("src >= 0").withColumn("kind", F.lit(0))
-    coded = rows.groupBy("src").cogroup(word_side.groupBy("src")).applyInArrow(send_bigrams, MESSAGE).groupBy("bucket").applyInArrow(_bigram_codes, MESSAGE)
-    answers = word_side.union(coded.withColumn("kind", F.lit(1))).crossJoin(F.broadcast(totals))
+    totals = F.broadcast(counted.where("src = -1").agg(F.coalesce(F.sum(both[0].cast("long")), F.lit(0)).alias("tokens"), F.coalesce(F.sum(both[1].cast("long")), F.lit(0)).alias("words")))  # one row
+    # occurrences of frequent pairs add up to `tokens` at most, so SHARES pairs at most are told
+    pairs = counted.where("src = -2").crossJoin(totals).where(F.col("times") >= F.greatest(F.lit(slice_tokens), F.expr(f"tokens div {SHARES}")))
+    hot = pairs.agg(F.collect_list(F.struct(F.col("payload").alias("pair"), "times")).alias("hot"))  # one row
+    told = docs.sparkSession.range(n).select(F.lit(0).alias("bucket"), F.col("id").cast("int").alias("src"), F.lit(None).cast("binary").alias("payload"), F.lit(2).alias("kind"))
+    told = told.crossJoin(totals).crossJoin(F.broadcast(hot))
+    word_side = counted.where("src >= 0").select("bucket", "src", "payload", F.lit(0).alias("kind"))
+    first = word_side.unionByName(told, allowMissingColumns=True)
+    coded = rows.groupBy("src").cogroup(first.groupBy("src")).applyInArrow(send_triples, MESSAGE).groupBy("bucket").applyInArrow(_codes, MESSAGE)
+    answers = first.unionByName(coded.withColumn("kind", F.lit(1)), allowMissingColumns=True)
     return rows.groupBy("src").cogroup(answers.groupBy("src")).applyInArrow(finish, "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -204,29 +204,38 @@ def test_toxicity(frame, spark, empty):
     assert toxicity.score(frame, toxicity.train(empty, labels)).count() == len(ROWS)
 
 
-def test_language_model(frame, small_sources, monkeypatch):
-    monkeypatch.setattr(ngram_lm, "SLICE", 20)
+@pytest.mark.parametrize("slice_tokens", [20, 3, 200_000])
+def test_language_model(frame, small_sources, slice_tokens):
+    """Frequent words and pairs are dealt over tasks or not."""
     train = F.col("doc_id") % 5 != 1
-    got = collected(ngram_lm.score(frame, train))
+    got = collected(ngram_lm.score(frame, train, slice_tokens))
     tokens = {d: [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(AZ)), None] for d, t, *_ in ROWS}
-    c, pairs = Counter(), {}
+    c, pairs, triples = Counter(), {}, {}
     for d, ts in tokens.items():
         if d % 5 != 1:
             c.update(ts)
-            for h, w in zip(["<s>", *ts], ts, strict=False):
+            for h, w, x in zip(["<s>", *ts], ts, [*ts[1:], "</s>"], strict=False):
                 pairs.setdefault(h, Counter())[w] += 1
+                triples.setdefault((h, w), Counter())[x] += 1
     n, v = sum(c.values()), len(c)
     single = lambda w: (c[w] + 0.5) / (n + 0.5 * (v + 1))
+
+    def mixed(f, w, lower):
+        total = sum(f.values())
+        return (max(f.get(w, 0) - 0.75, 0) + 0.75 * len(f) * lower) / total if total else lower
+
     for d, ts in tokens.items():
         r = got[d]
         assert (r.n_tokens, r.n_known, r.train_tokens, r.train) == (len(ts), sum(c[w] > 0 for w in ts), n, d % 5 != 1)
         assert r.base_score == pytest.approx(sum(np.log10(single(w)) for w in ts), rel=1e-9)
         exact = 0.0
-        for h, w in zip(["<s>", *ts], ts, strict=False):
-            f = pairs.get(h, {})
-            total = sum(f.values())
-            exact += np.log10((max(f.get(w, 0) - 0.75, 0) + 0.75 * len(f) * single(w)) / total if total else single(w))
-        assert r.score == pytest.approx(exact, abs=0.06 * len(ts))
+        for i, w in enumerate(ts):
+            p = mixed(pairs.get(ts[i - 1] if i else "<s>", {}), w, single(w))
+            if i:
+                p = mixed(triples.get((ts[i - 2] if i > 1 else "<s>", ts[i - 1]), {}), w, p)
+            exact += np.log10(p)
+        # codes are rounded by up to 0.04; parts of a pair are discounted one by one
+        assert r.score == pytest.approx(exact, abs=(0.06 if slice_tokens > 3 else 0.2) * len(ts))
 
 
 def test_passages(frame, small_sources):

@@ -100,26 +100,57 @@ def test_squeeze_and_elias_fano(values):
     assert ef.find(probe).tolist() == want
 
 
+def test_elias_fano_of_clusters_and_gaps():
+    rng = np.random.default_rng(5)
+    v = np.unique(np.concatenate([rng.integers(0, 1 << 40, 3000), rng.integers(0, 5000, 4000), (1 << 39) + np.arange(70_000), [(1 << 40) - 1]])).astype(np.uint64)
+    ef = EliasFano.build(v, 1 << 40)
+    assert (ef.get(np.arange(len(v))) == v).all()
+    assert (ef.find(v) == np.arange(len(v))).all()
+    missing = np.setdiff1d(rng.integers(0, 1 << 40, 2000).astype(np.uint64), v)
+    assert (ef.find(missing) == -1).all()
+    assert len(ef.low) + len(ef.high) + ef.places.nbytes < len(v) * 5
+
+
 def test_trie_finds_successors_of_their_context_only():
-    contexts = np.array([5, 9, 1 << 63], np.uint64)
-    fan, succ, codes = np.array([2, 1, 5000]), np.concatenate(([1, 7], [7], np.arange(5000) * 3)).astype(np.uint64), np.arange(5003) % 255 + 1
-    trie = Trie(path := Trie.write(contexts, fan, succ, codes))
-    ask = np.array([5, 6, 9, 1 << 63], np.uint64)
-    got = trie.codes_of(ask, np.array([3, 1, 2, 3]), np.array([1, 2, 7, 1, 1, 7, 0, 4, 14_997], np.uint64))
-    assert got.tolist() == [1, 0, 2, 0, 0, 3, 4, 0, int(codes[5002])]
-    assert trie.file_bytes < 8 * 16 + 5003 * 6 + 200 and path
+    """Against a dictionary; the same word follows many contexts."""
+    rng = np.random.default_rng(6)
+    contexts = np.array([5, 9, 77, 1 << 63], np.uint64)
+    pairs = [np.unique(rng.integers(0, 6000, k)) for k in (2, 1, 0, 5000)]
+    fan = np.array([len(x) for x in pairs])
+    triples = [np.unique(rng.integers(0, 50, rng.integers(1, 9))) for _ in range(int(fan.sum()))]
+    pair_fan = np.array([len(x) for x in triples])
+    n2, n3 = int(fan.sum()), int(pair_fan.sum())
+    trie = Trie(Trie.write(contexts, fan, np.concatenate(pairs), np.arange(n2) % 255 + 1, np.arange(n2) % 251, pair_fan, np.concatenate(triples), np.arange(n3) % 255 + 1, 13))
+    at = {(c, w): i for i, (c, w) in enumerate((c, int(w)) for c, ws in enumerate(pairs) for w in ws)}
+    at3 = {(p, w): i for i, (p, w) in enumerate((p, int(w)) for p, ws in enumerate(triples) for w in ws)}
+    assert trie.contexts.find(np.array([5, 6, 9, 1 << 63, 78], np.uint64)).tolist() == [0, -1, 1, 3, -1]
+    owner, ids = rng.integers(-1, 4, 20_000), rng.integers(0, 6000, 20_000)
+    got = trie.find_pairs(owner, ids)
+    assert got.tolist() == [at.get((int(c), int(w)), -1) for c, w in zip(owner, ids, strict=True)] and (got >= 0).any()
+    owner, ids = rng.integers(-1, n2, 20_000), rng.integers(0, 50, 20_000)
+    got = trie.find_triples(owner, ids)
+    assert got.tolist() == [at3.get((int(c), int(w)), -1) for c, w in zip(owner, ids, strict=True)] and (got >= 0).any()
+    assert trie.pair_codes[3] == 4 and trie.triple_codes[300] == 46 and trie.rests[252] == 1
+    assert trie.file_bytes < 40 * 8 + 4 * 40 + n2 * 4 + n3 * 4 + 2000
 
 
 def test_lm_probabilities_add_up_to_one():
     rng = np.random.default_rng(0)
     keys, totals = np.array([3, 8], np.uint64), np.array([1000, 40])
-    owners = np.repeat([0, 1], [200, 30])
-    counts = np.concatenate((rng.multinomial(1000, np.ones(200) / 200), rng.multinomial(40, np.ones(30) / 30)))
-    _, _, mass = ngram_lm.build_shard(keys, totals, np.arange(230, dtype=np.uint64), owners, counts)
-    kept = np.maximum(counts - ngram_lm.DISCOUNT, 0) / totals[owners]
-    for o in (0, 1):
-        exact = kept[owners == o].sum()
-        assert exact * 0.95 < mass[o] <= exact < 1
+    second, times = np.concatenate((np.arange(20), np.arange(10))), np.concatenate((rng.multinomial(1000, np.ones(20) / 20), rng.multinomial(40, np.ones(10) / 10)))
+    owner = np.repeat([0, 1], [20, 10])
+    pair_of, third, counts = [], [], []
+    for p, t in enumerate(times):
+        c = rng.multinomial(t, np.ones(7) / 7)
+        pair_of += [p] * 7
+        third += range(7)
+        counts += c.tolist()
+    shard = ngram_lm.Shard(keys, totals, owner, second, np.array(pair_of), np.array(third), np.array(counts), 5)
+    assert shard.pair_count.tolist() == [t for t in times if t]
+    for mass, rest in ((shard.pair_mass, Trie(shard.path).rests),):
+        assert (0.96 < mass + ngram_lm.REST[rest]).all() and (mass + ngram_lm.REST[rest] <= 1 + 1e-9).all()
+    exact = np.array([np.maximum(times[owner == o] - 0.75, 0).sum() / totals[o] for o in (0, 1)])
+    assert (exact * 0.9 < shard.mass).all() and (shard.mass <= exact).all() and (exact < 1).all()
 
 
 @settings(max_examples=50, deadline=None)
