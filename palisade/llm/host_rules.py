@@ -3,7 +3,8 @@
 Every text is measured once. Rule failures are then summed by host (a
 map-side combined aggregate, so a host with a third of all rows costs a few
 rows a task), each host's failure rate is shrunk towards the corpus by a beta
-prior fitted to all hosts by moments, and the verdict is joined back.
+prior fitted to all hosts by moments, and the verdict is joined back: broadcast
+where the hosts are few by count, else with every host's rows dealt over salts.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from palisade.llm._text import SPACE, Words, blocks, later, lines, per_document,
 
 #: Characters that count as symbols (fixed values).
 SYMBOLS = "#*$%&|<>"
+#: Hosts whose verdicts are broadcast, some 100 bytes each; more are joined by shuffling, each host dealt over SALTS tasks.
+BROADCAST_HOSTS, SALTS = 200_000, 16
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in SYMBOLS]] = True
 
@@ -85,13 +88,32 @@ def host_verdicts(measured: DataFrame, host: str = "source", max_rate: float = 0
     return hosts.crossJoin(F.broadcast(prior)).select(F.col(host).alias("host"), "host_docs", "host_failed", rate.alias("host_rate"), (rate <= max_rate).alias("host_kept"))
 
 
-def host_rules(docs: DataFrame, host: str = "source", min_words: int = 50, max_repeat_percent: int = 50, max_rate: float = 0.5) -> DataFrame:
+def with_verdicts(measured: DataFrame, verdicts: DataFrame, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
+    """Rows of measured (column host) with host_rate and host_kept; null where there is no host, which takes no part in the join."""
+    verdicts = _plan.stored(verdicts.select("host", "host_rate", "host_kept"), "verdicts")
+    known, unknown = measured.where("host is not null"), measured.where("host is null")
+    if verdicts.count() <= broadcast_hosts:
+        joined = known.join(F.broadcast(verdicts), "host", "left")
+    else:
+        salted = verdicts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salt = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int")
+        joined = known.withColumn("_salt", salt).join(salted, ["host", "_salt"], "left").drop("_salt")
+    nothing = {"host_rate": F.lit(None).cast("double"), "host_kept": F.lit(None).cast("boolean")}
+    return joined.unionByName(unknown.withColumns(nothing))
+
+
+def host_rules(
+    docs: DataFrame, host: str = "source", min_words: int = 50, max_repeat_percent: int = 50, max_rate: float = 0.5, broadcast_hosts: int = BROADCAST_HOSTS
+) -> DataFrame:
     """doc_id, host, the five measures, base_failed, host_rate, kept.
 
     kept: passes the base rules and its host's verdict. A document without a host is judged by the base rules alone.
-    Repeated rows count as often as they occur. An empty table gives no rows.
+    Null and empty texts have no words and fail. Repeated rows count as often as they occur. An empty table gives no rows.
     """
     measured = _plan.stored(measure(docs, ("doc_id", host)).withColumn("base_failed", fails(min_words, max_repeat_percent)), "measures")
     verdicts = host_verdicts(measured, host, max_rate)
-    joined = measured.withColumnRenamed(host, "host").join(verdicts, "host", "left")
-    return joined.select("doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "host_rate", (~F.col("base_failed") & F.coalesce("host_kept", F.lit(True))).alias("kept"))
+    joined = with_verdicts(measured.withColumnRenamed(host, "host"), verdicts, broadcast_hosts)
+    return joined.select(
+        "doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "host_rate",
+        (~F.col("base_failed") & F.coalesce("host_kept", F.lit(True))).alias("kept"),
+    )

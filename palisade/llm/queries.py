@@ -56,7 +56,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palisade.llm.host_rules import host_rules
 
-    return host_rules(table(spark, sf_dir, "documents"))
+    return host_rules(table(spark, sf_dir, "documents")).drop("host", "host_rate")
 
 
 def op5_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

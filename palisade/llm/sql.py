@@ -37,4 +37,50 @@ SELECT k.doc_id, count(*) AS n_lines, count(common.key) FILTER (WHERE k.doc_id <
 FROM k LEFT JOIN common USING (key) GROUP BY k.doc_id, k.r
 """
 
-ORACLES = {"op3_decontamination": OP3, "op6_line_dedup": OP6}
+OP4 = r"""
+WITH d AS (
+  SELECT doc_id, source, row_number() OVER () AS r, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), tri AS (
+  SELECT r, unnest(list_transform(generate_series(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS w, unnest(generate_series(1, len(ws) - 2)) AS i
+  FROM d WHERE len(ws) > 2
+), again AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS c FROM tri) WHERE c > 1
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY r
+), dup AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+), m AS (
+  SELECT doc_id, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN dup USING (r) LEFT JOIN covered USING (r)
+), f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+), h AS (
+  SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE base_failed) AS DOUBLE) AS x FROM f WHERE source IS NOT NULL GROUP BY source
+), s AS (SELECT sum(n) AS sn, sum(x) AS sx, sum(n * n) AS snn, sum(x * x / n) AS sxx, count(*) AS hosts FROM h
+), p AS (
+  SELECT sx / sn AS mean, 1 / least(greatest(coalesce(
+    ((sxx - sn * (sx / sn) * (sx / sn)) - (sx / sn) * (1 - sx / sn) * (hosts - 1)) / nullif((sx / sn) * (1 - sx / sn) * (sn - snn / sn - (hosts - 1)), 0), 0), 1e-6), 0.5) - 1 AS strength FROM s
+), v AS (SELECT source, (x + mean * strength) / (n + strength) <= 0.5 AS host_kept FROM h, p)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(host_kept, true) AS kept FROM f LEFT JOIN v USING (source)
+"""
+
+OP8 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({LOWER_AZ.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS ws FROM documents
+), sets AS (
+  SELECT doc_id, r, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(generate_series(1, len(ws) - 3), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3])) END AS sh FROM d
+), e AS (SELECT r, unnest(sh) AS s FROM sets
+), shared AS (SELECT s FROM e GROUP BY s HAVING count(*) > 1
+), q AS (SELECT r, s FROM e JOIN shared USING (s)
+), pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM q a JOIN q b USING (s) WHERE a.r < b.r GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN sets a ON x = a.r JOIN sets b ON y = b.r WHERE 100 * c >= 85 * (len(a.sh) + len(b.sh) - c)
+), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (SELECT r, r AS z FROM sets UNION SELECT reach.r, y FROM reach JOIN both_ways ON z = x)
+SELECT sets.doc_id, CAST(len(sets.sh) AS BIGINT) AS n_shingles, c.component_id
+FROM sets JOIN (SELECT reach.r, min(t.doc_id) AS component_id FROM reach JOIN sets t ON z = t.r GROUP BY reach.r) c USING (r)
+"""
+
+ORACLES = {"op3_decontamination": OP3, "op4_host_rules": OP4, "op6_line_dedup": OP6, "op8_jaccard_join": OP8}
