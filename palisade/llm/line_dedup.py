@@ -4,9 +4,10 @@ Lines are reduced to two 64-bit hashes of their key. The hashes are range
 partitioned together with the document and sorted by hash, document and
 position, so a hash that a third of all lines share is spread over many
 partitions; the sorted stream yields the first occurrence of each key in each
-document, and its per-partition sums are combined by key. Keys found in enough
-documents are joined back to their lines, and the lines to drop are returned
-as a sparse bitmap per document: 64-line words, only those with a bit set.
+document. What each partition found of a key is summed over partitions, and the
+keys found in enough documents go back to their lines partition by partition,
+so a hot key is never brought together. The result is a compressed keep bitmap
+for each document: 64-line words, only those that lose a line.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ def split_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def drop_bitmaps(docs: DataFrame, min_length: int = 40, min_docs: int = 5) -> DataFrame:
-    """doc_id, text_hash, drops (map of line number div 64 to a bit set of the lines to drop).
+def keep_bitmaps(docs: DataFrame, min_length: int = 40, min_docs: int = 5) -> DataFrame:
+    """doc, text_hash, keeps (map of line number div 64 to a bit set of the lines to keep; of words not in it all lines stay).
 
     Only documents that lose lines have a row. A line's key is the line without white space at its ends, A-Z
     lower-cased; keys of at least min_length code points in at least min_docs documents are dropped everywhere but in
@@ -50,26 +51,30 @@ def drop_bitmaps(docs: DataFrame, min_length: int = 40, min_docs: int = 5) -> Da
         .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("second"), "key").alias("h2"), "doc", "pos", "text_hash")
     )
     parts = _plan.part_count(docs, BYTES_PER_PART)
-    lines = _plan.stored(lines, "line-hashes")  # else texts are split again for the range bounds and for each use
-    ranged = lines.repartitionByRange(parts, "h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc", "pos")
+    lines = _plan.stored(lines, "line-hashes")  # else texts are split again for the range bounds
     nth = F.row_number().over(Window.partitionBy("h1", "h2", "doc").orderBy("pos"))
-    firsts = ranged.withColumn("nth", nth).where("nth = 1")
-    common = firsts.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper")).where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper")
-    dropped = lines.join(common, ["h1", "h2"]).where("doc <> keeper")
+    ranged = lines.repartitionByRange(parts, "h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc", "pos")
+    ranged = _plan.stored(ranged.withColumn("nth", nth).withColumn("part", F.spark_partition_id()), "ranged-hashes")
+    # one row for each key and partition that has it
+    found = ranged.where("nth = 1").groupBy("part", "h1", "h2").agg(F.count("*").alias("n"), F.max("doc").alias("last"))
+    over = Window.partitionBy("h1", "h2")
+    common = found.withColumns({"n_docs": F.sum("n").over(over), "keeper": F.max("last").over(over)}).where(F.col("n_docs") >= min_docs).select("part", "h1", "h2", "keeper")
+    dropped = ranged.join(common, ["part", "h1", "h2"]).where("doc <> keeper")
     words = dropped.groupBy("doc", "text_hash", F.expr("pos div 64").cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
-    return words.groupBy("doc", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("drops"))
+    return words.groupBy("doc", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("word", F.bitwise_not("bits").alias("bits")))).alias("keeps"))
 
 
 def dedup_lines(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), min_length: int = 40, min_docs: int = 5) -> DataFrame:
-    """`keep` columns of docs, n_lines, n_dropped, drops (null: none) and kept (the text that is left) of every row.
+    """`keep` columns of docs, n_lines, n_dropped, keeps (bitmap, empty: all lines stay) and kept (the text that is left) of every row.
 
     Null and empty texts have one empty line and stay empty. An empty table gives no rows.
     """
-    bitmaps = drop_bitmaps(docs, min_length, min_docs)
+    bitmaps = keep_bitmaps(docs, min_length, min_docs)
     rows = docs.select(*keep, F.coalesce("doc_id", F.lit(LOWEST)).alias("_doc"), F.xxhash64("text").alias("_text_hash"), F.coalesce("text", F.lit("")).alias("_text"))
-    joined = rows.join(bitmaps.select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_text_hash"), "drops"), ["_doc", "_text_hash"], "left")
-    bit = "(coalesce(try_element_at(drops, cast(i div 64 as int)), 0L) & shiftleft(1L, i % 64)) = 0"
-    kept = F.when(F.col("drops").isNull(), F.col("_text")).otherwise(F.array_join(F.expr(f"filter(split(_text, '\\n', -1), (x, i) -> {bit})"), "\n"))
+    joined = rows.join(bitmaps.select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_text_hash"), F.col("keeps").alias("_keeps")), ["_doc", "_text_hash"], "left")
+    bit = "(coalesce(try_element_at(_keeps, cast(i div 64 as int)), -1L) & shiftleft(1L, i % 64)) <> 0"
+    kept = F.when(F.col("_keeps").isNull(), F.col("_text")).otherwise(F.array_join(F.expr(f"filter(split(_text, '\\n', -1), (x, i) -> {bit})"), "\n"))
     n_lines = F.char_length("_text") - F.char_length(F.replace(F.col("_text"), F.lit("\n"), F.lit(""))) + 1
-    n_dropped = F.coalesce(F.aggregate(F.map_values("drops"), F.lit(0).cast("long"), lambda a, b: a + F.bit_count(b)), F.lit(0).cast("long"))
-    return joined.select(*keep, n_lines.cast("long").alias("n_lines"), n_dropped.alias("n_dropped"), "drops", kept.alias("kept"))
+    n_dropped = F.coalesce(F.aggregate(F.map_values("_keeps"), F.lit(0).cast("long"), lambda a, b: a + F.bit_count(F.bitwise_not(b))), F.lit(0).cast("long"))
+    keeps = F.coalesce("_keeps", F.create_map().cast("map<int,bigint>"))
+    return joined.select(*keep, n_lines.cast("long").alias("n_lines"), n_dropped.alias("n_dropped"), keeps.alias("keeps"), kept.alias("kept"))
