@@ -1,9 +1,10 @@
 """Token-ID files: independent zstandard frames, per-frame checksums and a trailing seek table.
 
-A file is a sequence of zstandard frames, each with a content checksum, then
-one skippable frame that holds the seek table: for each frame its compressed
-size, decompressed size and xxh64 (low 32 bits), and a fixed footer at the very
-end. A reader fetches the footer, then the table, then only the frames with the
+A file is a sequence of zstandard frames, each with a content checksum, then a
+skippable frame with the directory (the first and last doc_id of each frame),
+then one with the seek table: for each frame its compressed size, decompressed
+size and xxh64 (low 32 bits), and a fixed footer at the very end. A reader
+fetches the footer, the table and the directory, then only the frames with the
 documents that it was asked for.
 
 A frame's content: document count (u64), the doc_ids (i64, with a null bitmap
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,9 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 ENTRY = struct.Struct("<III")
 FOOTER = struct.Struct("<IBI")
+#: First and last doc_id of a frame; a null doc_id is the least.
+SPAN = struct.Struct("<qq")
+LOWEST = -(1 << 63)
 #: Token bytes gathered in a frame before it is closed.
 FRAME_BYTES = 1 << 20
 #: Text bytes that go to one file.
@@ -66,7 +71,7 @@ def decode_frame(raw: bytes) -> tuple[list[int | None], np.ndarray, pa.Array]:
 
 class FrameWriter:
     def __init__(self, sink):
-        self.sink, self.table, self.doc_ids, self.ids, self.size, self.written = sink, [], [], [], 0, 0
+        self.sink, self.table, self.spans, self.doc_ids, self.ids, self.size, self.written = sink, [], [], [], [], 0, 0
         self.zstd = zstandard.ZstdCompressor(level=1, write_checksum=True)
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
@@ -82,31 +87,52 @@ class FrameWriter:
             packed = self.zstd.compress(raw)
             self.sink.write(packed)
             self.table.append((len(packed), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
+            ids = [LOWEST if d is None else d for d in self.doc_ids]
+            self.spans.append((min(ids), max(ids)))
             self.written += len(packed)
             self.doc_ids, self.ids, self.size = [], [], 0
 
     def finish(self) -> int:
         self.close_frame()
+        spans = b"".join(SPAN.pack(*x) for x in self.spans)
+        self.sink.write(struct.pack("<II", SKIPPABLE_MAGIC, len(spans)) + spans)
+        self.written += 8 + len(spans)
+        self.table.append((8 + len(spans), 0, xxhash.xxh64_intdigest(b"") & 0xFFFFFFFF))  # a frame of no content to other readers
         body = b"".join(ENTRY.pack(*x) for x in self.table) + FOOTER.pack(len(self.table), 0x80, SEEKABLE_MAGIC)
         self.sink.write(struct.pack("<II", SKIPPABLE_MAGIC, len(body)) + body)
         return self.written + 8 + len(body)
 
 
 class TokenFile:
-    """Reads a token file through any seekable binary object; frames are decompressed one by one and only on demand."""
+    """Reads a token file through any seekable binary object; frames are decompressed one by one and only on demand.
+
+    opened: how many frames were decompressed.
+    """
 
     def __init__(self, source, size: int):
-        self.source = source
+        self.source, self.opened = source, 0
         source.seek(size - FOOTER.size)
         n, flags, magic = FOOTER.unpack(source.read(FOOTER.size))
         if magic != SEEKABLE_MAGIC or flags != 0x80:
             raise ValueError("no seek table")
         source.seek(size - FOOTER.size - n * ENTRY.size)
-        self.entries = list(ENTRY.iter_unpack(source.read(n * ENTRY.size)))
+        table = list(ENTRY.iter_unpack(source.read(n * ENTRY.size)))
+        self.entries = table[:-1]
         self.at = np.concatenate(([0], np.cumsum([e[0] for e in self.entries], dtype=np.int64)))
+        source.seek(int(self.at[-1]))
+        self.spans = list(SPAN.iter_unpack(source.read(table[-1][0])[8:]))
+
+    def fetch(self, wanted: set[int | None]) -> Iterator[tuple[int | None, bytes]]:
+        """The documents with these doc_ids, from the frames that can hold one of them."""
+        keys = sorted(LOWEST if d is None else d for d in wanted)
+        for k, (low, high) in enumerate(self.spans):
+            if bisect_left(keys, low) < bisect_right(keys, high):
+                doc_ids, _, ids = self.frame(k)
+                yield from ((d, ids[i].as_py()) for i, d in enumerate(doc_ids) if d in wanted)
 
     def frame(self, k: int) -> tuple[list[int | None], np.ndarray, pa.Array]:
         packed, size, check = self.entries[k]
+        self.opened += 1
         self.source.seek(int(self.at[k]))
         raw = zstandard.ZstdDecompressor().decompress(self.source.read(packed), max_output_size=size)
         if xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF != check:
@@ -185,18 +211,17 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     return placed.select("path", "n_bytes", "base").repartition(files).mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def fetch_documents(manifest_rows: list[dict], doc_ids: set[int]) -> dict[int, np.ndarray]:
-    """Driver-side lookup of a few documents: opens only the files and decompresses only frames that can hold them."""
-    out: dict[int, np.ndarray] = {}
+def fetch_documents(manifest_rows: list[dict], doc_ids: set[int | None]) -> dict[int | None, np.ndarray]:
+    """Lookup of a few documents by the caller: opens only the files, and in them decompresses only the frames, that can hold them. Of several with one doc_id the last is given."""
+    out: dict[int | None, np.ndarray] = {}
     rows = sorted(manifest_rows, key=lambda r: r["part"])
-    for i, row in enumerate(rows):
-        low = row["first_doc"] if row["first_doc"] is not None else -(1 << 63)
-        high = rows[i + 1]["first_doc"] if i + 1 < len(rows) else 1 << 63
-        wanted = {d for d in doc_ids if low <= d and (high is None or d < high)}
+    firsts = [LOWEST if r["first_doc"] is None else r["first_doc"] for r in rows] + [None]
+    for row, low, high in zip(rows, firsts, firsts[1:], strict=False):
+        wanted = {d for d in doc_ids if low <= (LOWEST if d is None else d) and (high is None or (LOWEST if d is None else d) < high)}
         if wanted:
             system, path = _open(row["path"])
             with system.open_input_file(path) as source:
-                out |= {d: np.frombuffer(ids, "<u4") for d, ids in TokenFile(source, row["n_bytes"]) if d in wanted}
+                out |= {d: np.frombuffer(ids, "<u4") for d, ids in TokenFile(source, row["n_bytes"]).fetch(wanted)}
     return out
 
 
