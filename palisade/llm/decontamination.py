@@ -7,11 +7,13 @@ shingles are ordered by that rarity. For full containment the necessary prefix
 of a window is its rarest shingle: a document without it can't contain the
 window. A second pass looks up only prefix shingles, applies the positional
 bound (where the window would start) and the length bound (it has to end within
-the document) and verifies the whole item-sized window.
+the document) and compares the words of the whole item-sized window.
 
-Items are taken in blocks of bounded size, each block's index is broadcast, and
-the documents' rows pass from one block to the next, so neither side is
-collected and no rows are shuffled.
+Both passes read the corpus once, whatever the benchmark's size. An index of a
+small benchmark (by a check of its bytes) is broadcast. A larger one stays
+distributed: the passes look shingles up in a bit table of fixed size, what
+passes is joined with the index by shingle, and the words around a place are
+sent along to be compared where they meet.
 """
 
 from __future__ import annotations
@@ -25,21 +27,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palisade.llm import _plan
+from palisade.llm._exchange import ranges
 from palisade.llm._text import NOT_ALNUM, Words, blocks, combine, string_buffer
 
-#: Bytes of item texts in one block of the benchmark.
-BLOCK_BYTES = 4 << 20
-#: Blocks that pass the documents on in one job.
-BLOCKS_PER_JOB = 8
+#: Bytes of item texts whose index is broadcast, some 40 bytes for each of them.
+BROADCAST_BYTES = 4 << 20
 SHINGLE = 3
+#: Bits of a fingerprint that number the bit table of a distributed index (16 MB), and those of each of its pieces.
+TABLE_BITS, PIECE_BITS = 27, 21
+#: Distinct shingles that a task counts before it passes them on.
+COUNTED = 1_000_000
+LOWEST = -(1 << 63)
 
 
 @dataclass
 class Block:
     items: list[str]
     length: np.ndarray  # words of each distinct window
-    print_a: np.ndarray  # two fingerprints of its words: 128 bits
-    print_b: np.ndarray
+    print: np.ndarray  # fingerprint of its words
+    words: list[bytes]  # joined by spaces
     owner_of: np.ndarray  # (window, item) pairs, ascending by window
     owner: np.ndarray
     shingle: np.ndarray  # of (window, place): fingerprints
@@ -55,22 +61,26 @@ def _shingle_prints(w: Words, first: np.ndarray, k: int) -> np.ndarray:
     return combine(w.hash, first, k, 5)
 
 
+def cut_windows(w: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, number of words) of every window of the items in w."""
+    size = np.minimum(w.count, window)
+    n = np.where(size > 0, w.count - size + 1, 0)
+    return ranges(w.first[:-1], n), np.repeat(size, n)
+
+
+def window_words(w: Words, first: int, size: int) -> bytes:
+    return b" ".join([bytes(w.buf[a:b]) for a, b in zip(w.start[first : first + size].tolist(), w.end[first : first + size].tolist(), strict=True)])
+
+
 def build_block(items: list[str], texts: pa.Array, window: int) -> Block:
     w = Words(*string_buffer(texts), NOT_ALNUM)
-    first, size, doc = [], [], []
-    for d in range(w.n_docs):
-        n, at = int(w.count[d]), int(w.first[d])
-        if n:
-            m = min(n, window)
-            first += range(at, at + n - m + 1)
-            size += [m] * (n - m + 1)
-            doc += [d] * (n - m + 1)
-    first, size, doc = (np.array(x, np.int64) for x in (first, size, doc))
-    a, b = np.zeros(len(first), np.uint64), np.zeros(len(first), np.uint64)
+    first, size = cut_windows(w, window)
+    doc = w.doc[first]
+    prints = np.zeros(len(first), np.uint64)
     for m in np.unique(size):
         at = np.flatnonzero(size == m)
-        a[at], b[at] = combine(w.hash, first[at], int(m), 1), combine(w.hash, first[at], int(m), 2)
-    key = np.stack([size.astype(np.uint64), a, b], 1)
+        prints[at] = combine(w.hash, first[at], int(m), 1)
+    key = np.stack([size.astype(np.uint64), prints], 1)
     _, lead, which = np.unique(key, axis=0, return_index=True, return_inverse=True)
     pairs = np.unique(np.stack([which.reshape(-1), doc], 1), axis=0) if len(first) else np.zeros((0, 2), np.int64)
     s, sw, sp = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -81,7 +91,8 @@ def build_block(items: list[str], texts: pa.Array, window: int) -> Block:
             s.append(_shingle_prints(w, first[lead[mine]] + place, k))
             sw.append(mine)
             sp.append(np.full(len(mine), place))
-    return Block(items, size[lead], a[lead], b[lead], pairs[:, 0], pairs[:, 1], np.concatenate(s), np.concatenate(sw), np.concatenate(sp))
+    words = [window_words(w, int(first[i]), int(size[i])) for i in lead]
+    return Block(items, size[lead], prints[lead], words, pairs[:, 0], pairs[:, 1], np.concatenate(s), np.concatenate(sw), np.concatenate(sp))
 
 
 def order_by_rarity(block: Block, shingles: np.ndarray, counts: np.ndarray) -> None:
@@ -166,7 +177,8 @@ def find_windows(w: Words, block: Block, lookups: tuple | None = None) -> tuple[
         for m in np.unique(block.length[win]):
             some = np.flatnonzero(block.length[win] == m)
             s, x = start[some], win[some]
-            same = (combine(w.hash, s, int(m), 1) == block.print_a[x]) & (combine(w.hash, s, int(m), 2) == block.print_b[x])
+            same = np.flatnonzero(combine(w.hash, s, int(m), 1) == block.print[x])
+            same = np.array([i for i in same.tolist() if window_words(w, int(s[i]), int(m)) == block.words[x[i]]], np.int64)
             starts.append(s[same])
             windows.append(x[same])
     return np.concatenate(starts), np.concatenate(windows)
@@ -193,40 +205,144 @@ def _match(rows: DataFrame, block: Block, keep: list[str]) -> DataFrame:
                 owner = block.owner[np.repeat(lo, n) + np.arange(int(n.sum())) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)] if len(n) else np.zeros(0, np.int64)
                 pairs = np.unique(np.stack([np.repeat(w.doc[start], n), owner], 1), axis=0) if len(n) else np.zeros((0, 2), np.int64)
                 cuts = np.searchsorted(pairs[:, 0], np.arange(w.n_docs + 1))
-                words, items = some.column("hit_words").to_pylist(), some.column("item_ids").to_pylist()
+                words, items = [[] for _ in range(w.n_docs)], [[] for _ in range(w.n_docs)]
                 per = np.bincount(w.doc[hit], minlength=w.n_docs)
                 for d in np.flatnonzero(per).tolist():
                     local = np.flatnonzero(hit[w.first[d] : w.first[d + 1]])
-                    words[d] = np.union1d(local, words[d]).tolist() if words[d] else local.tolist()
-                    items[d] = items[d] + [block.items[i] for i in pairs[cuts[d] : cuts[d + 1], 1]]
+                    words[d] = local.tolist()
+                    items[d] = [block.items[i] for i in pairs[cuts[d] : cuts[d + 1], 1]]
                 columns = [some.column(k) for k in keep]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(w.count), pa.array(words, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], names=[*keep, "n_words", "hit_words", "item_ids"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema] + ["n_words long, hit_words array<int>, item_ids array<string>"])
-    return rows.select(*keep, "n_words", "hit_words", "item_ids").mapInArrow(run, schema)
+    return rows.select(*keep).mapInArrow(run, schema)
+
+
+def item_windows(items: DataFrame, window: int) -> DataFrame:
+    """item_id, win (words joined by spaces), m (how many), shingles (fingerprints by place) of every window of items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, data, off in blocks(batch):
+                ids = batch.column("item_id").slice(at.start, at.stop - at.start).to_pylist()
+                w = Words(data, off, NOT_ALNUM)
+                first, size = cut_windows(w, window)
+                prints = {k: _shingle_prints(w, np.arange(max(0, len(w.start) - k + 1)), k).view(np.int64) for k in range(1, SHINGLE + 1)}
+                shingles = [prints[min(SHINGLE, m)][f : f + m - min(SHINGLE, m) + 1] for f, m in zip(first.tolist(), size.tolist(), strict=True)]
+                yield pa.RecordBatch.from_pydict({
+                    "item_id": pa.array([ids[d] for d in w.doc[first].tolist()], pa.string()),
+                    "win": pa.array([window_words(w, f, m).decode() for f, m in zip(first.tolist(), size.tolist(), strict=True)], pa.string()),
+                    "m": pa.array(size, pa.int32()), "shingles": pa.array(shingles, pa.list_(pa.int64())),
+                })
+
+    return items.select("item_id", "text").mapInArrow(run, "item_id string, win string, m int, shingles array<long>")
+
+
+def bit_table(prints: DataFrame) -> np.ndarray:
+    """Packed bits of the upper TABLE_BITS of a column of fingerprints; made in pieces, 16 MB whatever there are."""
+    bit = F.shiftrightunsigned("shingle", 64 - TABLE_BITS)
+    pieces = prints.select(bit.alias("bit")).distinct().withColumn("piece", F.shiftright("bit", PIECE_BITS))
+
+    def pack(key: tuple, table: pa.Table) -> pa.Table:
+        flags = np.zeros(1 << PIECE_BITS, bool)
+        flags[table.column("bit").to_numpy() & ((1 << PIECE_BITS) - 1)] = True
+        return pa.table({"piece": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
 
+    out = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
+    size = (1 << PIECE_BITS) // 8
+    for row in pieces.groupBy("piece").applyInArrow(pack, "piece long, bits binary").collect():  # 64 pieces at most
+        out[row.piece * size : (row.piece + 1) * size] = np.frombuffer(row.bits, np.uint8)
+    return out
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, keep: tuple[str, ...] = ("doc_id", "text"), block_bytes: int = BLOCK_BYTES) -> DataFrame:
+
+def _passing(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = (h >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+    return np.flatnonzero((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
+
+
+def distributed(docs: DataFrame, items: DataFrame, window: int, keep: list[str]) -> DataFrame:
+    """As decontaminate, with an index that is never brought together."""
+    context = docs.sparkSession.sparkContext
+    windows = _plan.stored(item_windows(items, window), "windows")
+    owners = windows.select("win", "item_id").distinct()
+    each = windows.select("win", "m", "shingles").dropDuplicates(["win"]).select("win", "m", F.posexplode("shingles").alias("place", "shingle"))
+    sizes = sorted(r[0] for r in windows.select(F.least("m", F.lit(SHINGLE))).distinct().collect())
+    known = context.broadcast(bit_table(each))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, total = [], 0
+
+        def flush() -> pa.RecordBatch:
+            keys, which = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+            return pa.RecordBatch.from_pydict({"shingle": keys.view(np.int64), "n": np.bincount(which, np.concatenate([c for _, c in found])).astype(np.int64)})
+
+        for batch in batches:
+            for _, data, off in blocks(batch):
+                w = Words(data, off, NOT_ALNUM)
+                for k in sizes:
+                    h = _shingle_prints(w, _firsts(w, k), k)
+                    found.append(np.unique(h[_passing(known.value, h)], return_counts=True))
+                    total += len(found[-1][0])
+                if total > COUNTED:
+                    yield flush()
+                    found, total = [], 0
+        if total:
+            yield flush()
+
+    counts = docs.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    rarest = each.join(counts, "shingle", "left").groupBy("win", "m").agg(F.min(F.struct(n.alias("n"), "shingle", "place")).alias("x")).where("x.n > 0")
+    prefix = _plan.stored(rarest.select("x.shingle", "x.place", "m", "win"), "prefixes")
+    wanted = context.broadcast(bit_table(prefix))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, off in blocks(batch):
+                w = Words(data, off, NOT_ALNUM)
+                for k in sizes:
+                    first = _firsts(w, k)
+                    h = _shingle_prints(w, first, k)
+                    at = _passing(wanted.value, h)
+                    word, doc = first[at], w.doc[first[at]]
+                    lo, hi = np.maximum(word - window + 1, w.first[doc]), np.minimum(word + window, w.first[doc + 1])
+                    around = [window_words(w, a, b - a).decode().split(" ") for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+                    take = pa.array(doc + rows.start)
+                    yield pa.RecordBatch.from_pydict({
+                        "_doc": batch.column("_doc").take(take), "_hash": batch.column("_hash").take(take), "shingle": h[at].view(np.int64), "k": pa.array([k] * len(at), pa.int32()),
+                        "word": pa.array(word - w.first[doc], pa.int32()), "before": pa.array(word - lo, pa.int32()), "around": pa.array(around, pa.list_(pa.string())),
+                    })
+
+    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_doc"), F.xxhash64("text").alias("_hash")]
+    places = docs.select(*key, "text").mapInArrow(look_up, "_doc string, _hash long, shingle long, k int, word int, before int, around array<string>")
+    start = F.col("before") - F.col("place")
+    inside = (F.col("k") == F.least("m", F.lit(SHINGLE))) & (start >= 0) & (start + F.col("m") <= F.size("around"))
+    same = F.array_join(F.slice("around", F.greatest(start, F.lit(0)) + 1, F.col("m")), " ") == F.col("win")
+    hits = places.join(prefix, "shingle").where(inside & same).select("_doc", "_hash", (F.col("word") - F.col("place")).alias("start"), "m", "win")
+    hits = _plan.stored(hits.distinct(), "hits")
+    words = hits.select("_doc", "_hash", F.explode(F.sequence("start", F.col("start") + F.col("m") - 1)).alias("word")).groupBy("_doc", "_hash").agg(F.sort_array(F.collect_set("word")).alias("hit_words"))
+    found = hits.select("_doc", "_hash", "win").join(owners, "win").groupBy("_doc", "_hash").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
+    lower = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    n_words = F.regexp_count(lower, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")).cast("long")
+    joined = docs.withColumns({"_doc": key[0], "_hash": key[1]}).select(*keep, "_doc", "_hash", n_words.alias("n_words")).join(words.join(found, ["_doc", "_hash"]), ["_doc", "_hash"], "left")
+    return joined.select(*keep, "n_words", F.coalesce("hit_words", F.array().cast("array<int>")).alias("hit_words"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, keep: tuple[str, ...] = ("doc_id", "text"), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """`keep` columns of docs (text among them), n_words, hit_words (places of the words inside benchmark windows), item_ids.
 
     Words are runs of ASCII letters and digits and of anything beyond ASCII, A-Z lower-cased. Null texts have no words,
     items without words match nothing, an item_id that is null reads as the empty string. Items with the same text all
-    count. Repeated documents each get their own row. Without items nothing is hit.
+    count. Repeated documents each get their own row. Without items nothing is hit, an empty table gives no rows.
     """
     items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = int(items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0)
-    n_blocks = -(-size // block_bytes)
-    names = list(keep)
-    rows = docs.select(*names).withColumns({"n_words": F.lit(0).cast("long"), "hit_words": F.array().cast("array<int>"), "item_ids": F.array().cast("array<string>")})
-    for k in range(max(1, n_blocks)):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k) if n_blocks > 1 else items
-        got = part.orderBy("item_id", "text").toArrow()  # about block_bytes
-        block = build_block(got.column("item_id").to_pylist(), got.column("text"), window)
-        order_by_rarity(block, *corpus_counts(docs, block))
-        rows = _match(rows, block, names)
-        if k % BLOCKS_PER_JOB == BLOCKS_PER_JOB - 1 and k + 1 < n_blocks:
-            rows = _plan.stored(rows, "decontaminated")
-    return rows
+    docs = docs.select(*dict.fromkeys((*keep, "doc_id", "text")))
+    if size > broadcast_bytes:
+        return distributed(docs, items, window, list(keep))
+    got = items.orderBy("item_id", "text").toArrow()  # broadcast_bytes at most
+    block = build_block(got.column("item_id").to_pylist(), got.column("text"), window)
+    order_by_rarity(block, *corpus_counts(docs, block))
+    return _match(docs, block, list(keep))
 
 
 def items_digest(items: F.Column) -> F.Column:
