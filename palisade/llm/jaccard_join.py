@@ -12,14 +12,19 @@ the prefix, so sets of more than PAIR_LIMIT shingles index single ones there,
 and sets that can be similar to either side index both.
 
 Nodes that share a key and are close in size are joined by a star, not by all
-pairs. The sets of a candidate component are brought together and verified
-exactly by search from node to node, which compares a set only with those not
-reached yet; a component too large for one task is dealt over several.
+pairs. The sets of a candidate component are brought together, ordered anew by
+how often a shingle occurs among them, and joined by this finer prefix: sets
+meet in the lists of their rarest shingles, rarest lists first, and are compared
+unless they are in one class by then. So copies cost one comparison each, and
+sets that only share frequent shingles none. A component too large for one task
+is dealt over several, solved part by part, and only lists that still hold more
+than one class are compared across parts.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +40,11 @@ from palisade.llm._text import SPACE, Words, blocks, combine, mix
 FREQUENT = 7
 #: Sets of so many shingles index pairs of frequent shingles, larger ones single shingles.
 PAIR_LIMIT = 300
-#: Bytes of a shingle's fingerprint that are kept for verification.
-KEPT_BYTES = 6
 #: Bytes of sets verified in one task; a candidate component of more is dealt over several.
 CLUSTER_BYTES = 8 << 20
 LARGE_BYTES = 64 << 20
-#: Sets of a large component that are compared with all of it first.
-CENTERS = 16
+#: Sets of a list that one task compares with as many others.
+LIST_BLOCK = 2_000
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +65,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray,
     return d[head], h[head]
 
 
-def prefix_keys(prints: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
+def prefix_keys(prints: np.ndarray, classes: np.ndarray, percent: int, frequent: int = FREQUENT) -> np.ndarray:
     """Index keys of one set; classes: 0 for a shingle that no other document has."""
     n = len(prints)
     if n * 100 < percent * (n + 1) and (n - 1) * 100 < percent * n:
@@ -71,13 +74,13 @@ def prefix_keys(prints: np.ndarray, classes: np.ndarray, percent: int) -> np.nda
     need = -(-percent * n // 100)
     head = order[: n - need + 1]
     single = head[classes[head] > 0]
-    rare = single[classes[single] < FREQUENT]
+    rare = single[classes[single] < frequent]
     keys = [prints[rare]]
-    often = single[classes[single] >= FREQUENT]
+    often = single[classes[single] >= frequent]
     if len(often):
         if n * percent <= PAIR_LIMIT * 100:
             wide = order[: n - need + 2]
-            wide = prints[wide[classes[wide] >= FREQUENT]]
+            wide = prints[wide[classes[wide] >= frequent]]
             i, j = np.triu_indices(len(wide), 1)
             keys.append(mix(wide[i] * np.uint64(3) + mix(wide[j])))
         if n > PAIR_LIMIT:
@@ -116,8 +119,7 @@ def _verify(percent: int):
 
 
 def unpack(column: pa.ChunkedArray) -> list[np.ndarray]:
-    raw = (np.frombuffer(x, np.uint8).reshape(-1, KEPT_BYTES) for x in column.to_pylist())
-    return [np.pad(x, ((0, 0), (0, 8 - KEPT_BYTES))).view("<u8").reshape(-1) for x in raw]
+    return [np.frombuffer(x, "<u8") for x in column.to_pylist()]
 
 
 class Index:
@@ -128,6 +130,9 @@ class Index:
         self.tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
         self.begin = np.concatenate(([0], np.cumsum(self.size)))
 
+    def set(self, i: int) -> np.ndarray:
+        return self.tokens[self.begin[i] : self.begin[i + 1]]
+
     def near(self, one: np.ndarray, among: np.ndarray, percent: int) -> np.ndarray:
         """Those of `among` with 100 * intersection >= percent * union."""
         n, size = len(one), self.size
@@ -139,78 +144,132 @@ class Index:
         return among[100 * both >= percent * (size[among] + n - both)]
 
 
-def linked(sets: list[np.ndarray], percent: int) -> list[list[int]]:
-    """Classes of non-empty sets (ascending arrays) connected by 100 * intersection >= percent * union."""
-    index, left, out = Index(sets), np.arange(len(sets)), []
-    while len(left):
-        members, queue, left = [int(left[0])], [int(left[0])], left[1:]
-        while queue and len(left):
-            hit = index.near(sets[queue.pop()], left, percent)
-            members += hit.tolist()
-            queue += hit.tolist()
-            left = np.setdiff1d(left, hit, assume_unique=True)
-        out.append(members)
-    return out
+def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many of a set's n shingles, in any fixed order, hold one of every set that is similar enough."""
+    return n - (-(-percent * n // 100)) + 1
+
+
+class Classes:
+    """Classes of numbered elements that are joined as links are found; the smaller one takes the larger one's label."""
+
+    def __init__(self, labels: np.ndarray):
+        _, self.label = np.unique(labels, return_inverse=True)
+        order = np.argsort(self.label, kind="stable")
+        self.members = np.split(order, np.flatnonzero(np.diff(self.label[order])) + 1)
 
+    def join(self, a: int, others: np.ndarray) -> None:
+        for other in np.unique(self.label[others]).tolist():
+            mine = int(self.label[a])
+            if mine != other:
+                small, large = sorted((mine, other), key=lambda k: len(self.members[k]))
+                self.label[self.members[small]] = large
+                self.members[large] = np.concatenate((self.members[large], self.members[small]))
+                self.members[small] = self.members[small][:0]
 
-def large_components(rows: DataFrame, sizes: DataFrame, percent: int, part_bytes: int, centers: int) -> DataFrame:
+
+def compare_lists(index: Index, lists: list[np.ndarray], classes: Classes, percent: int) -> None:
+    """Joins the classes of all similar sets that share a list; sets of one class aren't compared, nor a pair twice."""
+    tried: dict[int, np.ndarray] = {}
+    for members in lists:
+        label = classes.label[members]
+        if (label == label[0]).all():
+            continue
+        for i, r in enumerate(members[:-1].tolist()):
+            others = members[i + 1 :]
+            others = others[classes.label[others] != classes.label[r]]
+            if r in tried:
+                others = others[~member(tried[r], others)]
+            if len(others):
+                classes.join(r, index.near(index.set(r), others, percent))
+                tried[r] = np.union1d(tried[r], others) if r in tried else np.sort(others)
+
+
+def linked(sets: list[np.ndarray], percent: int) -> list[list[int]]:
+    """Classes of non-empty sets (ascending arrays) connected by 100 * intersection >= percent * union."""
+    index, classes = Index(sets), Classes(np.arange(len(sets)))
+    owner = np.repeat(np.arange(len(sets)), index.size)
+    _, token, times = np.unique(index.tokens, return_inverse=True, return_counts=True)
+    order = np.lexsort((token, times[token], owner))  # each set's shingles, those that are rarest here first
+    place = np.arange(len(order)) - np.repeat(index.begin[:-1], index.size)
+    order = order[(place < np.repeat(prefix_length(index.size, percent), index.size)) & (times[token[order]] > 1)]
+    token, owner = token[order], owner[order]
+    by_list = np.lexsort((owner, token, times[token]))
+    cuts = np.flatnonzero(np.diff(token[by_list])) + 1
+    compare_lists(index, [x for x in np.split(owner[by_list], cuts) if len(x) > 1], classes, percent)
+    return [m.tolist() for m in classes.members if len(m)]
+
+
+def large_components(rows: DataFrame, sizes: DataFrame, percent: int, part_bytes: int, list_block: int = LIST_BLOCK) -> DataFrame:
     """(node, component) of the nodes in rows (component, node, shingles), for candidate components too large for a task.
 
-    Each is dealt to parts by node. Parts are solved on their own; then the first `centers` nodes are compared with all
-    parts, which joins most; then every node outside the largest class so far, in blocks of bounded size. Pairs within
-    the largest class need no comparison, so nothing is missed. sizes: component, bytes.
+    Each is dealt to parts by node, which are solved on their own. Then shingles are counted within the component, each
+    node is entered in the lists of its rarest ones, and the lists that hold nodes of more than one class are compared,
+    in blocks of bounded size. Any two similar sets share a list, so nothing is missed. sizes: component, bytes.
     """
     parts = F.ceil(F.col("bytes") / part_bytes).cast("int")
     rows = rows.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).select("component", "part", "node", "shingles")
-    every_part = sizes.select("component", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    pairs_schema = "a long, b long"
+
+    def pairs_of(classes: list[np.ndarray]) -> pa.Table:
+        a = np.concatenate(classes or [np.zeros(0, np.int64)])
+        b = np.repeat([c.min() for c in classes], [len(c) for c in classes]) if classes else a
+        return pa.table({"a": pa.array(a[a != b], pa.int64()), "b": pa.array(b[a != b], pa.int64())})
 
     def inside(table: pa.Table) -> pa.Table:
         node = table.column("node").to_numpy()
-        pairs = [(int(node[m]), int(node[min(c)])) for c in linked(unpack(table.column("shingles")), percent) for m in c]
-        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+        return pairs_of([node[c] for c in linked(unpack(table.column("shingles")), percent)])
+
+    def each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [np.frombuffer(x, np.int64) for x in batch.column("shingles").to_pylist()]
+            take = pa.array(np.repeat(np.arange(len(raw)), [len(x) for x in raw]))
+            yield pa.RecordBatch.from_pydict({"component": batch.column("component").take(take), "node": batch.column("node").take(take), "shingle": pa.array(np.concatenate(raw), pa.int64())})
 
-    def across(table: pa.Table, asked: pa.Table) -> pa.Table:
-        """One link from each asked node to each class that it reaches in this part."""
+    def blocks_of_list(table: pa.Table) -> pa.Table:
+        """Compares the sets that came to a pair of blocks of a list."""
+        table = table.combine_chunks()
         node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
-        index, everything = Index(unpack(table.column("shingles"))), np.arange(len(node))
-        a, b = [], []
-        for q, s in zip(asked.column("node").to_pylist(), unpack(asked.column("shingles")), strict=True):
-            hit = index.near(s, everything, percent)
-            _, first = np.unique(label[hit], return_index=True)
-            a += [q] * len(first)
-            b += node[hit[first]].tolist()
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    def labelled(edges: DataFrame) -> DataFrame:
-        found = rows.join(components(edges).withColumnRenamed("component", "label"), "node", "left")
-        return _plan.stored(found.withColumn("label", F.coalesce("label", "node")), "labelled")
-
-    def ask(at: DataFrame, queries: DataFrame) -> DataFrame:
-        spread = queries.select("component", "node", "shingles").join(every_part, "component")
-        return at.groupBy("component", "part").cogroup(spread.groupBy("component", "part")).applyInArrow(across, "a long, b long")
-
-    edges = _plan.stored(rows.groupBy("component", "part").applyInArrow(inside, "a long, b long"), "inside")
-    at = labelled(edges)
-    first = F.row_number().over(Window.partitionBy("component").orderBy(F.xxhash64("node"), "node"))
-    chosen = _plan.stored(at.withColumn("nth", first).where(F.col("nth") <= centers).select("component", "node", "shingles"), "centers")
-    edges = _plan.stored(edges.union(ask(at, chosen)), "links")
-    at = labelled(edges)
-    counts = at.groupBy("component", "label").agg(F.count("*").alias("n"))
-    main = counts.groupBy("component").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    rest = at.join(main, "component").where("label <> main")
-    so_far = F.sum(F.octet_length("shingles")).over(Window.partitionBy("component").orderBy("node"))
-    rest = _plan.stored(rest.withColumn("block", F.floor(so_far / part_bytes)).select("component", "node", "shingles", "block"), "rest")
-    for block in range(int(rest.agg(F.max("block")).first()[0] or 0) + 1):
-        edges = edges.union(_plan.stored(ask(at, rest.where(F.col("block") == block)), "links"))
-    return labelled(edges).select("node", F.col("label").alias("component"))
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
+        node, lead = np.unique(node, return_index=True)
+        classes = Classes(label[lead])
+        compare_lists(Index(unpack(table.column("shingles").take(pa.array(lead)))), [np.arange(len(node))], classes, percent)
+        return pairs_of([node[m] for m in classes.members if len(m) > 1])
+
+    rows = _plan.stored(rows, "large-rows")
+    edges = _plan.stored(rows.groupBy("component", "part").applyInArrow(inside, pairs_schema), "inside")
+    found = rows.join(components(edges).withColumnRenamed("component", "label"), "node", "left")
+    at = _plan.stored(found.withColumn("label", F.coalesce("label", "node")), "labelled")
+    each = rows.select("component", "node", "shingles").mapInArrow(each_shingle, "component long, node long, shingle long")
+    counts = each.groupBy("component", "shingle").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = each.join(counts, ["component", "shingle"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    place = F.row_number().over(Window.partitionBy("component", "node").orderBy("n", "shingle"))
+    length = at.select("node", "label", (F.octet_length("shingles") / 8).cast("long").alias("size"))
+    entries = ranked.withColumn("place", place).where("n > 1").join(length, "node")
+    need = F.ceil(F.col("size") * percent / F.lit(100)).cast("long")
+    entries = entries.where(F.col("place") <= F.col("size") - need + 1).select("component", "shingle", "node", "label", "size")
+    lists = entries.groupBy("component", "shingle").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    # a long list is ordered by size and cut to blocks; a block meets itself and those whose sizes are not too far
+    open_ = entries.join(lists.select("component", "shingle", "n"), ["component", "shingle"])
+    blocks = F.ceil(F.col("n") / list_block).cast("int")
+    band = F.when(blocks == 1, F.lit(0)).otherwise(F.floor(F.log(F.col("size").cast("double")) / (math.log(100 / percent) * (1 + 1e-9)))).cast("int")
+    open_ = open_.withColumns({"blocks": blocks, "band": band, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+    bands = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.array("band", F.col("band") + 1))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = open_.withColumn("band", F.explode(bands)).withColumn("other", other)
+    dealt = dealt.select("component", "shingle", "band", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "label")
+    met = dealt.join(rows.select("node", "shingles"), "node").groupBy("component", "shingle", "band", "x", "y").applyInArrow(blocks_of_list, pairs_schema)
+    edges = edges.union(_plan.stored(met, "list-links"))
+    labels = components(edges).withColumnRenamed("component", "label")
+    return rows.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85, frequent: int = FREQUENT, large_bytes: int = LARGE_BYTES) -> DataFrame:
     """doc_id, text_hash (xxhash64), n_shingles, component (a number of its own, null without shingles), component_id (the least doc_id reachable by links, its own included) of every row of docs.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. Two documents link when 100 * intersection >=
     percent * union of their shingle sets. Texts without words have no shingle and link with nothing; null doc_ids
     take part and come after all others as component_id. Repeated rows each get a row. An empty table gives none.
+    frequent and large_bytes: the class from which pairs are indexed, and what one task verifies; the result doesn't depend
+    on them.
     """
     rows, n = sources(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), columns=("doc_id", "text", "text_hash"))
     bits = min(64, max(32, int(np.ceil(np.log2(max(_plan.input_bytes(docs), 2)))) + 4))
@@ -243,11 +302,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85) -> Dat
             keys, raw = [None] * d, [None] * d
             for i in may.tolist():
                 a, b = cuts[i], cuts[i + 1]
-                k = prefix_keys(h[a:b], classes[a:b], percent)
+                k = prefix_keys(h[a:b], classes[a:b], percent, frequent)
                 if len(k):
                     keys[i] = np.unique(k).view(np.int64)
-                    kept = np.unique(h[a:b] >> np.uint64(64 - 8 * KEPT_BYTES))
-                    raw[i] = kept.view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES].tobytes()
+                    raw[i] = h[a:b].tobytes()
             out["node"].append(node)
             out["n_shingles"].append(sizes)
             out["keys"] += keys
@@ -272,12 +330,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85) -> Dat
     clusters = nodes.select("node", "shingles").join(candidates, "node")
     clusters = _plan.stored(clusters, "shingle-clusters")
     sizes = clusters.groupBy("component").agg(F.sum(F.octet_length("shingles")).alias("bytes"))
-    large = _plan.stored(sizes.where(F.col("bytes") > LARGE_BYTES), "large-clusters")
+    large = _plan.stored(sizes.where(F.col("bytes") > large_bytes), "large-clusters")
     tasks = max(1, _plan.input_bytes(clusters, "shingles") // CLUSTER_BYTES)
     fitting = clusters.join(large, "component", "left_anti").withColumn("task", F.pmod(F.xxhash64("component"), F.lit(tasks)))
     verified = fitting.groupBy("task").applyInArrow(_verify(percent), "node long, component long")
     if large.limit(1).count():
-        verified = verified.union(large_components(clusters.join(large, "component", "left_semi"), large, percent, LARGE_BYTES, CENTERS))
+        verified = verified.union(large_components(clusters.join(large, "component", "left_semi"), large, percent, large_bytes))
 
     named = indexed.select("doc_id", "text_hash", "node", "n_shingles").join(verified, "node", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
     least = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
