@@ -111,18 +111,18 @@ def brute_components(texts, ids):
 
 
 @pytest.mark.parametrize("frequent", [7, 1])
-def test_jaccard_join(frame, small_sources, monkeypatch, frequent):
-    monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
-    got = collected(jaccard_join.near_duplicates(frame))
+def test_jaccard_join(frame, small_sources, frequent):
+    got = collected(jaccard_join.near_duplicates(frame, frequent=frequent))
     want = brute_components(TEXTS, [r[0] for r in ROWS])
     assert [(got[r[0]].n_shingles, got[r[0]].component_id) for r in ROWS] == want
 
 
-@pytest.mark.parametrize("centers", [1, 16])
-def test_large_components_are_dealt_over_tasks(spark, monkeypatch, centers):
+@pytest.mark.parametrize("list_block", [3, 2_000])
+def test_large_components_are_dealt_over_tasks(spark, monkeypatch, list_block):
     """Chains of near copies, two families that share a candidate component, and strays."""
-    monkeypatch.setattr(jaccard_join, "LARGE_BYTES", 3000)
-    monkeypatch.setattr(jaccard_join, "CENTERS", centers)
+    plain = jaccard_join.large_components
+    dealt = []
+    monkeypatch.setattr(jaccard_join, "large_components", lambda *a: dealt.append(1) or plain(*a, list_block=list_block))
     words = prose(400).split()
     texts = []
     for family in (0, 1):
@@ -131,8 +131,8 @@ def test_large_components_are_dealt_over_tasks(spark, monkeypatch, centers):
             texts.append(" ".join(w[i * 3 :] + [f"x{family}y{j}" for j in range(i)]))
     texts += [" ".join(words[100:260]), prose(100)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = collected(jaccard_join.near_duplicates(df))
-    assert [(got[i].n_shingles, got[i].component_id) for i in range(len(texts))] == brute_components(texts, range(len(texts)))
+    got = collected(jaccard_join.near_duplicates(df, large_bytes=4000))
+    assert dealt and [(got[i].n_shingles, got[i].component_id) for i in range(len(texts))] == brute_components(texts, range(len(texts)))
 
 
 def test_keep_one(spark, frame, small_sources):
@@ -155,6 +155,7 @@ def test_line_dedup(frame):
         lines = (t or "").split("\n")
         keep = [x for x in lines if len(ds := keys.get(x.strip(" \t\n\x0b\x0c\r").translate(AZ), set())) < 5 or max(ds) == d]
         assert (got[d].n_lines, got[d].n_dropped, got[d].kept) == (len(lines), len(lines) - len(keep), "\n".join(keep))
+        assert [x for i, x in enumerate(lines) if got[d].keeps.get(i // 64, -1) >> (i % 64) & 1] == keep
     assert sum(r.n_dropped for r in got.values()) > 0
 
 
@@ -165,10 +166,10 @@ def test_line_dedup_tells_rows_with_one_id_apart(spark):
     assert got == sorted([("0", "own 0"), ("1", "own 1"), ("2", "own 2"), ("2", "own 2"), ("2", "other\nrow"), ("3", "own 3"), ("4", "own 4"), ("5", f"{line}\nown 5"), ("None", "")])
 
 
-@pytest.mark.parametrize("block_bytes", [4 << 20, 150])
-def test_decontamination(spark, docs, frame, block_bytes):
+@pytest.mark.parametrize("broadcast_bytes", [4 << 20, 0])
+def test_decontamination(spark, docs, frame, broadcast_bytes):
     items = spark.read.parquet(f"{docs}/benchmark.parquet").withColumn("text2", F.lit(1))
-    got = collected(decontamination.decontaminate(frame, items, keep=("doc_id", "text"), block_bytes=block_bytes))
+    got = collected(decontamination.decontaminate(frame, items, keep=("doc_id", "text"), broadcast_bytes=broadcast_bytes))
     find = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(AZ))
     bench = {r.item_id: find(r.text) for r in items.collect()}
     for d, t, *_ in ROWS:
@@ -191,6 +192,22 @@ def test_host_rules(spark, frame):
     got = collected(host_rules.host_rules(df))
     assert got[200].base_failed is False and got[200].kept is False  # its host fails
     assert got[201].kept and got[100].kept and not got[0].kept
+    spread = collected(host_rules.host_rules(df, broadcast_hosts=0))  # joined by shuffling
+    assert {d: (r.kept, r.host_rate) for d, r in spread.items()} == {d: (r.kept, r.host_rate) for d, r in got.items()}
+    hosts = {}
+    for d, t, h in rows:
+        w = t.split()
+        tri = [tuple(w[j : j + 3]) for j in range(len(w) - 2)]
+        again = {j + k for j, x in enumerate(tri) if tri.count(x) > 1 for k in range(3)}
+        hosts.setdefault(h, []).append(len(w) < 50 or 100 * len(again) > 50 * len(w))
+    n, x = (np.array([f(v) for h, v in hosts.items() if h], float) for f in (len, sum))
+    mean = x.sum() / n.sum()
+    between = (n * (x / n - mean) ** 2).sum() - mean * (1 - mean) * (len(n) - 1)
+    rho = min(max(between / (mean * (1 - mean) * (n.sum() - (n * n).sum() / n.sum() - len(n) + 1)), 1e-6), 0.5)
+    strength = 1 / rho - 1
+    for d, _, h in rows:
+        rate = (sum(hosts[h]) + mean * strength) / (len(hosts[h]) + strength) if h else None
+        assert got[d].host_rate == pytest.approx(rate) and got[d].kept == (not got[d].base_failed and (rate is None or rate <= 0.5))
     # one failure says less of a new host than sixty do of an old one
     assert 0.5 < got[202].host_rate < got[0].host_rate and got[100].host_rate < 0.2
 
@@ -204,6 +221,62 @@ def test_toxicity(frame, spark, empty):
     assert toxicity.score(frame, toxicity.train(empty, labels)).count() == len(ROWS)
 
 
+def brute_features(t):
+    """Distinct features of a text, byte by byte."""
+    raw, out, m = t.translate(AZ).encode(), set(), 0xFFFFFFFF
+    for i in range(len(raw)):
+        acc = None
+        for n, c in enumerate(raw[i : i + 6], 1):
+            code = (c + 1) * 0x85EBCA6B & m
+            acc = code if acc is None else (acc * 0x9E3779B1 + code) & m
+            if n >= 3:
+                h = acc ^ (acc >> 15) ^ (n * 0x27D4EB2F & m)
+                out.add((h * 0x2C1B3C6D & m) >> 12)
+    return out
+
+
+def test_toxicity_fit_against_brute_force(spark):
+    """Counts, choice of features and the regression's minimum, by plain loops and Newton's method; and held-out accuracy."""
+    own = random.Random(2)
+    word = lambda: "".join(own.choice(["ba", "ke", "lo", "mi", "ru", "ta"]) for _ in range(3))
+    y = [own.random() < 0.25 for _ in range(260)]
+    texts = [" ".join([word() for _ in range(12)] + ([own.choice(["Grobnix", "fnarq"])] if t or own.random() < 0.03 else [])) for t in y]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(y[:200])], "doc_id long, toxic int")
+    model = toxicity.train(df, labels)
+    sets, yy = [brute_features(t) for t in texts], np.array(y[:200], float)
+    pos, neg = (Counter(f for s, t in zip(sets, y[:200], strict=False) if t == k for f in s) for k in (True, False))
+    n_pos, n_neg, kept = sum(y[:200]), 200 - sum(y[:200]), {}
+    for f in {*pos, *neg}:
+        p, q, share = (pos[f] + 1) / (n_pos + 2), (neg[f] + 1) / (n_neg + 2), (pos[f] + neg[f] + 1) / 202
+        if pos[f] + neg[f] >= 4 and abs(p - q) / np.sqrt(share * (1 - share) * (1 / n_pos + 1 / n_neg) + 1e-12) > 2:
+            kept[f] = np.log(p / q)
+    assert model.features.tolist() == sorted(kept)
+    x = np.array([[kept[f] * (f in s) for f in sorted(kept)] + [1] for s in sets])
+    w, ridge = np.zeros(x.shape[1]), np.append(np.ones(len(kept)), 0)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x[:200] @ w))
+        w -= np.linalg.solve((x[:200].T * (p * (1 - p))) @ x[:200] + np.diag(ridge + 1e-9), x[:200].T @ (p - yy) + ridge * w)
+    want = 1 / (1 + np.exp(-x @ w))
+    got = collected(toxicity.score(df, model))
+    assert np.abs(np.array([got[i].score for i in range(260)]) - want).max() < 2e-3
+    assert np.mean([(got[i].score >= 0.3) == y[i] for i in range(200, 260)]) > 0.9
+
+
+def test_toxicity_of_nulls_repeats_and_nothing(spark, empty):
+    rows = [(None, "Idiot"), (None, None), (1, "you idiot"), (1, "you idiot"), (2, ""), (3, "fine")] + [(i, "idiot talk" if i % 2 else "kind talk") for i in range(10, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10, 40)] + [(1, 1), (1, 0), (2, 0), (None, 1), (3, None)], "doc_id long, toxic int")
+    model = toxicity.train(df, labels)
+    got = toxicity.score(df, model).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id == 1}) == 1 and {r.score > 0.5 for r in got if r.doc_id in (1, 11)} == {True}
+    assert toxicity.score(empty, model).count() == 0
+    for nothing in (labels.limit(0), labels.where("toxic = 0")):
+        assert all(r.score < 0.01 for r in toxicity.score(df, toxicity.train(df, nothing)).collect())
+    assert all(r.score > 0.99 for r in toxicity.score(df, toxicity.train(df, labels.where("toxic = 1 and doc_id > 9"))).collect())
+
+
 @pytest.mark.parametrize("slice_tokens", [20, 3, 200_000])
 def test_language_model(frame, small_sources, slice_tokens):
     """Frequent words and pairs are dealt over tasks or not."""
@@ -277,14 +350,17 @@ def test_packing(frame):
         assert [o for o, _ in s] == [sum(n for _, n in s[:i]) for i in range(len(s))] and sum(n for _, n in s) <= 256
 
 
-def test_token_files_round_trip(spark, frame, tmp_path):
+def test_token_files_round_trip(spark, frame, tmp_path, monkeypatch):
     path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
     manifest = token_files.write_token_files(frame, f"file://{tmp_path}", path, 2)
     got = sorted(token_files.read_token_files(manifest).collect(), key=lambda r: r.doc_id)
     want = ids_of(TEXTS, "byte_bpe_50k.json", 2)
     assert [r.ids for r in got] == [w.tobytes() for w in want]
     assert [r.start for r in got] == [sum(len(w) for w in want[:i]) for i in range(len(want))]
+    opened = []
+    monkeypatch.setattr(token_files.TokenFile, "frame", lambda self, k, f=token_files.TokenFile.frame: opened.append(k) or f(self, k))
     some = token_files.fetch_documents([r.asDict() for r in manifest.collect()], {1, 22})
+    assert len(opened) < len(ROWS) // 3
     assert {d: x.tolist() for d, x in some.items()} == {1: want[0].tolist(), 22: want[7].tolist()}
 
 

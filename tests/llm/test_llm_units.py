@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from palisade.llm import _exchange, _text, ngram_lm, packing, passage_dedup, substring_dedup, toxicity
+from palisade.llm import _exchange, _text, ngram_lm, packing, passage_dedup, substring_dedup
 from palisade.llm.elias_fano import EliasFano, Trie
 from palisade.llm.host_rules import measure_block
 from palisade.llm.jaccard_join import linked, prefix_keys, shingle_sets
@@ -224,6 +224,9 @@ def test_token_file_reads_single_frames():
     size = w.finish()
     f = TokenFile(io.BytesIO(out.getvalue()), size)
     assert size == len(out.getvalue()) and list(f) == docs and len(f.entries) == 8
+    for wanted, frames in (({3}, 1), ({3, 4}, 1), ({7, 8}, 2), ({None}, 1), ({49, None}, 2), ({999}, 0), (set(), 0)):
+        f = TokenFile(io.BytesIO(out.getvalue()), size)
+        assert list(f.fetch(wanted)) == [x for x in docs if x[0] in wanted] and f.opened == frames
     import zstandard
 
     with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(out.getvalue()), read_across_frames=True) as r:
@@ -248,20 +251,6 @@ def test_measures_match_a_plain_count():
             assert tuple(int(got[k][i]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == want
 
 
-def test_classifier_learns_from_parts_of_words():
-    rng = np.random.default_rng(2)
-    syllables = ["ba", "ke", "lo", "mi", "ru", "ta"]
-    word = lambda: "".join(rng.choice(syllables, 3))
-    y = rng.random(600) < 0.2
-    texts = [" ".join([word() for _ in range(40)] + (["grobnix", "fnarq"] if t else [])) for t in y]
-    m = toxicity.fit(pa.array(texts[:400]), y[:400])
-    table = m.table()
-    doc, feature = toxicity.present(*_text.string_buffer(pa.array(texts[400:])), table != 0)
-    score = np.bincount(doc, table[feature], 200) + m.bias
-    assert (((1 / (1 + np.exp(-score))) >= 0.3) == y[400:]).mean() > 0.97
-    assert toxicity.fit(pa.array(["a", "b"]), np.array([0, 0])).bias < 0 and toxicity.fit(pa.array([None, ""]), np.array([0, 1])).bias is not None
-
-
 def test_cover_is_a_difference_cover():
     p, cover = substring_dedup.PERIOD, substring_dedup.COVER
     assert {(a - b) % p for a in cover for b in cover} == set(range(p))
@@ -298,6 +287,30 @@ def test_linked_is_transitive_and_exact():
     assert sorted(map(sorted, linked(sets, 85))) == [[0, 1, 3], [2]]
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.sets(st.integers(1, 14), min_size=1), min_size=1, max_size=14), st.sampled_from([50, 80, 85, 100]))
+def test_linked_equals_all_pairs(sets, percent):
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                label = [label[j] if x == label[i] else x for x in label]
+    want = sorted([i for i, x in enumerate(label) if x == k] for k in set(label))
+    assert sorted(map(sorted, linked([np.array(sorted(s), np.uint64) for s in sets], percent))) == want
+
+
+def test_many_unlike_sets_with_common_shingles_are_soon_told_apart():
+    """50,000 sets of 200 shingles that all share 20: no pair is compared."""
+    import time
+
+    rng = np.random.default_rng(4)
+    common = np.arange(20, dtype=np.uint64)
+    sets = [np.concatenate((common, np.sort(rng.integers(100, 1 << 62, 180).astype(np.uint64)))) for _ in range(50_000)]
+    began = time.perf_counter()
+    assert len(linked(sets, 85)) == 50_000
+    assert time.perf_counter() - began < 60
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.sets(st.integers(1, 60), min_size=1, max_size=40), st.data())
 def test_similar_sets_share_a_key(a, data):
