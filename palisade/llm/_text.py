@@ -126,6 +126,29 @@ class Words:
         return first, combine(self.hash, first, k, salt)
 
 
+def distinct(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct, inverse) of evenly spread fingerprints, as np.unique gives them; values are sorted alone, which is much faster."""
+    s = np.sort(prints)
+    head = np.ones(len(s), bool)
+    head[1:] = s[1:] != s[:-1]
+    s = s[head]
+    return s, place_of(s, prints)
+
+
+def place_of(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Place of each value, all of which are among these ascending, evenly spread keys: a table of the upper bits, then a few steps."""
+    if not len(values):
+        return np.zeros(0, np.int64)
+    bits = max(1, min(22, len(keys).bit_length()))
+    table = np.searchsorted(keys, np.arange(1 << bits, dtype=U64) << U64(64 - bits))
+    at = table[values >> U64(64 - bits)]
+    wrong = np.flatnonzero(keys[at] != values)
+    while len(wrong):
+        at[wrong] += 1
+        wrong = wrong[keys[at[wrong]] != values[wrong]]
+    return at
+
+
 def combine(h: np.ndarray, first: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     """Fingerprints of h[first : first + k], order-sensitive."""
     out = np.full(len(first), k + 1000 * salt, U64)

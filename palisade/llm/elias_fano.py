@@ -32,6 +32,20 @@ _TOPS = U64(0x8080808080808080)
 _IN_BYTE = np.array([[p for p in range(8) if b >> p & 1][k] if bin(b).count("1") > k else 8 for k in range(8) for b in range(256)], np.uint8)
 
 
+def _pack(values: np.ndarray, bits: int) -> np.ndarray:
+    """Integers of so many bits (56 at most) one behind the other, little-endian, with eight bytes to spare."""
+    n = len(values)
+    words = np.zeros(2 + n * bits // 64, U64)
+    if n and bits:
+        bit = np.arange(n) * bits
+        word, shift = bit >> 6, (bit & 63).astype(U64)
+        head = np.flatnonzero(np.diff(word, prepend=-1))
+        words[word[head]] = np.add.reduceat(values << shift, head)  # no two share a bit
+        over = np.flatnonzero(shift + U64(bits) > U64(64))
+        words[word[over] + 1] |= values[over] >> (U64(64) - shift[over])
+    return words.view(np.uint8)
+
+
 def _byte_counts(x: np.ndarray) -> np.ndarray:
     """Ones in each byte of 64-bit words, summed from the lowest byte on."""
     x = x - ((x >> U64(1)) & U64(0x5555555555555555))
@@ -60,15 +74,11 @@ class EliasFano:
         values = np.asarray(values, U64)
         n = len(values)
         low_bits = min(56, max(0, (universe // max(n, 1)).bit_length() - 1))
-        low = np.zeros(8 + (n * low_bits + 7) // 8, np.uint8)
-        if n and low_bits:
-            for at in range(0, n, BATCH):  # a multiple of 8, so batches begin at whole bytes
-                bits = np.unpackbits(values[at : at + BATCH].view(np.uint8).reshape(-1, 8), axis=1, count=low_bits, bitorder="little")
-                packed = np.packbits(bits.reshape(-1), bitorder="little")
-                low[at * low_bits // 8 :][: len(packed)] = packed
+        low = _pack(values & U64((1 << low_bits) - 1), low_bits)
         ones = (values >> U64(low_bits)).astype(np.int64) + np.arange(n)
-        high = np.zeros(16 + (int(ones[-1]) + 8 if n else 0) // 8, np.uint8)
-        np.bitwise_or.at(high, ones >> 3, np.left_shift(1, ones & 7).astype(np.uint8))
+        flags = np.zeros(128 + (int(ones[-1]) if n else 0), bool)
+        flags[ones] = True
+        high = np.packbits(flags, bitorder="little")
         return EliasFano(n, low_bits, low, high, ones[::SAMPLE].astype(np.uint32 if len(high) < 1 << 29 else U64))
 
     def _upper(self, i: np.ndarray) -> np.ndarray:
@@ -115,6 +125,37 @@ class EliasFano:
                 open_ = open_[lo[open_] < hi[open_]]
         return out
 
+    def decode(self, i: int, j: int) -> np.ndarray:
+        """Elements i to j (end exclusive)."""
+        ends = self._upper(np.array([i, j - 1])).astype(np.int64)
+        begin = int(ends[0]) >> 3
+        bits = np.unpackbits(self.high[begin : (int(ends[1]) >> 3) + 1], bitorder="little")
+        ones = np.flatnonzero(bits)
+        skip = int(np.searchsorted(ones, int(ends[0]) - 8 * begin))
+        at = np.arange(i, j)
+        upper = (ones[skip : skip + j - i] + 8 * begin - at).astype(U64) << U64(self.low_bits)
+        if not self.low_bits:
+            return upper
+        bit = at * self.low_bits
+        return upper | ((self._low_words[bit >> 3] >> (bit & 7).astype(U64)) & U64((1 << self.low_bits) - 1))
+
+    def search_ascending(self, first: np.ndarray, last: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """As search, for values that ascend: the sequence is decoded batch by batch and each batch is searched at once."""
+        out = np.full(len(values), -1, np.int64)
+        done = 0
+        for at in range(0, self.n, BATCH):
+            block = self.decode(at, min(at + BATCH, self.n))
+            stop = done + int(np.searchsorted(values[done:], block[-1], "right"))
+            want = values[done:stop]
+            place = np.searchsorted(block, want)  # the successor of each
+            hit = np.flatnonzero(block[place] == want)
+            place = place[hit] + at
+            hit += done
+            inside = (place >= first[hit]) & (place < last[hit])
+            out[hit[inside]] = place[inside]
+            done = stop
+        return out
+
     def find(self, values: np.ndarray) -> np.ndarray:
         """Place of each value in the whole sequence, -1 where it isn't there."""
         values = np.asarray(values, U64)
@@ -174,23 +215,28 @@ class Trie:
                 f.write(bytes(-x.nbytes % 8))
         return path
 
-    def _successors(self, level: EliasFano, pointers: EliasFano, owner: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    def _successors(self, level: EliasFano, pointers: EliasFano, owner: np.ndarray, ids: np.ndarray, ascending: bool) -> np.ndarray:
         """Place on `level` of the successor `ids` of each owner, -1 where there is none or owner is -1."""
         out = np.full(len(ids), -1, np.int64)
         at = np.flatnonzero(owner >= 0)
-        if len(at):
+        if len(at) and level.n:
             mine = owner[at]
-            first, last = _in_batches(pointers.get, mine), _in_batches(pointers.get, mine + 1)
-            out[at] = level.search(first.astype(np.int64), last.astype(np.int64), (mine.astype(U64) << U64(self.id_bits)) | ids[at].astype(U64))
+            if ascending:
+                all_ = np.concatenate([pointers.decode(i, min(i + BATCH, pointers.n)) for i in range(0, pointers.n, BATCH)]).astype(np.int64)
+                first, last = all_[mine], all_[mine + 1]
+            else:
+                first, last = (_in_batches(pointers.get, mine + k).astype(np.int64) for k in (0, 1))
+            search = level.search_ascending if ascending else level.search
+            out[at] = search(first, last, (mine.astype(U64) << U64(self.id_bits)) | ids[at].astype(U64))
         return out
 
-    def find_pairs(self, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Place of each pair, given the place of its context."""
-        return self._successors(self.pairs, self.to_pairs, context, ids)
+    def find_pairs(self, context: np.ndarray, ids: np.ndarray, ascending: bool = False) -> np.ndarray:
+        """Place of each pair, given the place of its context; ascending: they come in the trie's order, which is faster."""
+        return self._successors(self.pairs, self.to_pairs, context, ids, ascending)
 
-    def find_triples(self, pair: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    def find_triples(self, pair: np.ndarray, ids: np.ndarray, ascending: bool = False) -> np.ndarray:
         """Place of each triple, given the place of its pair."""
-        return self._successors(self.triples, self.to_triples, pair, ids)
+        return self._successors(self.triples, self.to_triples, pair, ids, ascending)
 
 
 def _in_batches(f: Callable[[np.ndarray], np.ndarray], x: np.ndarray) -> np.ndarray:

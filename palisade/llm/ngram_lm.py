@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palisade.llm._exchange import MESSAGE, bucket_runs, dump, expand, load, messages, ranges, sources, squeeze
-from palisade.llm._text import SPACE, Words, blocks, mix
+from palisade.llm._text import SPACE, Words, blocks, distinct, mix
 from palisade.llm.elias_fano import Trie, codes_at
 
 DISCOUNT = 0.75
@@ -77,7 +77,7 @@ class Text:
         self.n_docs = at
         self.doc = np.concatenate(doc or [np.zeros(0, np.int64)])
         self.train = table.column("train").to_numpy(zero_copy_only=False).astype(bool)[self.doc]
-        self.words, self.word = np.unique(np.concatenate(tokens or [np.zeros(0, np.uint64)]), return_inverse=True)
+        self.words, self.word = distinct(np.concatenate(tokens or [np.zeros(0, np.uint64)]))
         self.first = np.ones(len(self.doc), bool)
         self.first[1:] = self.doc[1:] != self.doc[:-1]
         self.length = np.bincount(self.doc, minlength=at)
@@ -123,31 +123,36 @@ class Triples:
 
     def __init__(self, text: Text, counts: np.ndarray, numbers: np.ndarray, n_buckets: int, slice_: int, hot: np.ndarray, hot_times: np.ndarray):
         starts = int(counts[np.searchsorted(text.words, END)]) if len(counts) else 0
-        number = numbers[text.word]
-        ids = np.unique(np.concatenate((numbers[numbers >= 0], [START, AFTER])))
-        count_of = np.zeros(len(ids), np.int64)
         known = np.flatnonzero(numbers >= 0)
-        count_of[np.searchsorted(ids, numbers[known])] = counts[known]
-        count_of[0] = starts
-        a, b, c = text.before(number, START if starts else -1), number, text.after(number, AFTER)
-        pair_ok = (a >= 0) & (b >= 0)
-        local = lambda x: np.searchsorted(ids, np.maximum(x, 0))
-        a, b, c, triple_ok = local(a), local(b), local(c), pair_ok & (c >= 0)
+        ids = np.sort(np.concatenate((numbers[known], [START, AFTER])))
+        local = np.full(len(numbers), -1, np.int64)
+        local[known] = np.searchsorted(ids, numbers[known])
+        count_of = np.zeros(len(ids), np.int64)
+        count_of[local[known]] = counts[known]
+        count_of[START] = starts
+        b = local[text.word]
+        a, c = text.before(b, START if starts else -1), text.after(b, AFTER)
+        self.context = a
+        ok = np.flatnonzero((a >= 0) & (b >= 0))
+        used = np.flatnonzero(np.bincount(a[a >= 0], minlength=len(ids)))
+        a, b, c = a[ok], b[ok], c[ok]
         # parts of words, and of the pairs that have many
         parts = 1 + count_of // slice_
-        spread = np.zeros(len(b), np.int64)  # parts of a token's pair, 0: not dealt
-        if len(hot):
-            print_ = pair_print(text.words[text.before(text.word, 0)], text.words[text.word])
-            at = np.minimum(np.searchsorted(hot, print_), len(hot) - 1)
-            dealt = (hot[at] == print_) & pair_ok & ~text.first
-            spread[dealt] = np.minimum(1 + hot_times[at[dealt]] // slice_, parts[a[dealt]])
-        deal = lambda x: mix(x.astype(np.uint64)) >> np.uint64(33)
-        third = np.where(spread > 0, deal(ids[c]).astype(np.int64) % np.maximum(spread, 1), 0)
-        part = (deal(ids[b]).astype(np.int64) + third) % parts[a]
+        deal = (mix(ids.astype(np.uint64)) >> np.uint64(33)).astype(np.int64)
+        part, dealt = np.zeros(len(ok), np.int64), np.zeros(0, np.int64)
+        if parts.max() > 1:
+            part = deal[b] % parts[a]
+            at = ok[ok > 0]
+            pair = np.zeros(len(text.word), np.uint64)
+            pair[at] = pair_print(text.words[text.word[at - 1]], text.words[text.word[at]])
+            pair[text.first] = 0
+            place = np.minimum(np.searchsorted(hot, pair[ok]), max(len(hot) - 1, 0))
+            dealt = np.flatnonzero(hot[place] == pair[ok]) if len(hot) else dealt
+            spread = np.minimum(1 + hot_times[place[dealt]] // slice_, parts[a[dealt]])
+            part[dealt] = (deal[b[dealt]] + deal[np.maximum(c[dealt], 0)] % spread) % parts[a[dealt]]
         # every part of every context, also those without a successor here
-        contexts = np.unique(a[text.before(number, START if starts else -1) >= 0])
-        owner = np.repeat(contexts, parts[contexts])
-        nth = ranges(np.zeros(len(contexts), np.int64), parts[contexts])
+        owner = np.repeat(used, parts[used])
+        nth = ranges(np.zeros(len(used), np.int64), parts[used])
         key = (ids[owner].astype(np.uint64) << np.uint64(PART_BITS)) | nth.astype(np.uint64)
         bucket = ((mix(key) >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
         order = np.lexsort((key, bucket))
@@ -156,40 +161,46 @@ class Triples:
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         base = np.zeros(len(ids), np.int64)
-        base[contexts] = np.cumsum(parts[contexts]) - parts[contexts]
-        # pairs: of tokens, and all parts of those dealt
-        at = np.flatnonzero(pair_ok)
-        mine = np.full(len(b), -1, np.int64)
-        mine[at] = rank[base[a[at]] + part[at]]
-        width = max(1, int(len(ids) - 1).bit_length())
-        pair = (mine << width) | b
-        dealt = np.flatnonzero(spread > 0)
-        if len(dealt):
-            _, lead = np.unique((a[dealt] << width) | b[dealt], return_index=True)
-            dealt = dealt[lead]
-            one = np.repeat(dealt, spread[dealt])
-            other = (deal(ids[b[one]]).astype(np.int64) + ranges(np.zeros(len(dealt), np.int64), spread[dealt])) % parts[a[one]]
-            extra = (rank[base[a[one]] + other] << width) | b[one]
-            named = (a[one] << width) | b[one]
+        base[used] = np.cumsum(parts[used]) - parts[used]
+        mine, train = rank[base[a] + part], text.train[ok]
+        n, named = len(ok), np.zeros(0, np.int64)
+        if len(dealt):  # all parts of the pairs that are dealt
+            named = a[dealt] * len(ids) + b[dealt]
+            _, lead = np.unique(named, return_index=True)
+            one, spread = dealt[lead], spread[lead]
+            named, one = np.repeat(named[lead], spread), np.repeat(one, spread)
+            other = (deal[b[one]] + ranges(np.zeros(len(lead), np.int64), spread)) % parts[a[one]]
+            mine, b = np.append(mine, rank[base[a[one]] + other]), np.append(b, b[one])
+            c, train = np.append(c, np.full(len(one), -1)), np.append(train, np.zeros(len(one), bool))
+        # sorted by context, pair, triple
+        width = int(len(ids)).bit_length()
+        if len(order) and int(len(order)).bit_length() + 2 * width < 64:
+            order = np.argsort((mine << (2 * width)) | (b << width) | (c + 1))
         else:
-            extra = named = np.zeros(0, np.int64)
-        pairs = np.unique(np.concatenate((pair[at], extra)))
-        self.pair = np.where(pair_ok, np.searchsorted(pairs, np.where(pair_ok, pair, pairs[0] if len(pairs) else 0)), -1)
-        self.second = ids[pairs & ((1 << width) - 1)]
-        self.fan_out = np.bincount(pairs >> width, minlength=len(self.key))
+            order = np.lexsort((c, b, mine))
+        m, second, third = mine[order], b[order], c[order]
+        head = np.ones(len(m), bool)
+        head[1:] = (m[1:] != m[:-1]) | (second[1:] != second[:-1])
+        triple_head = head.copy()
+        triple_head[1:] |= third[1:] != third[:-1]
+        triple_head &= third >= 0
+        pair = np.empty(len(m), np.int64)
+        pair[order] = np.cumsum(head) - 1
+        self.second, self.fan_out = ids[second[head]], np.bincount(m[head], minlength=len(self.key))
+        self.pair = np.full(len(text.word), -1, np.int64)
+        self.pair[ok] = pair[:n]
         # which pairs are one dealt pair, to be added up
-        self.group = np.full(len(pairs), -1, np.int64)
-        self.group[np.searchsorted(pairs, extra)] = np.unique(named, return_inverse=True)[1]
-        # triples, by pair
-        at = np.flatnonzero(triple_ok)
-        triple = (self.pair[at] << width) | c[at]
-        triples, inverse = np.unique(triple, return_inverse=True)
-        self.triple = np.full(len(b), -1, np.int64)
-        self.triple[at] = inverse
-        self.third = ids[triples & ((1 << width) - 1)]
-        self.pair_fan_out = np.bincount(triples >> width, minlength=len(pairs))
-        self.count = np.bincount(inverse, text.train[at], minlength=len(triples)).astype(np.uint32)
-        self.context = np.where(text.before(number, START if starts else -1) >= 0, a, -1)
+        self.group = np.full(int(head.sum()), -1, np.int64)
+        self.group[pair[n:]] = np.unique(named, return_inverse=True)[1]
+        triple = np.cumsum(triple_head) - 1
+        found = third >= 0
+        self.third = ids[third[triple_head]]
+        self.pair_fan_out = np.bincount(pair[order][triple_head], minlength=len(self.group))
+        self.count = np.bincount(triple[found], train[order][found], minlength=len(self.third)).astype(np.uint32)
+        each = np.full(len(m), -1, np.int64)
+        each[order[found]] = triple[found]
+        self.triple = np.full(len(text.word), -1, np.int64)
+        self.triple[ok] = each[:n]
 
     def payloads(self):
         """(bucket, payload) of each bucket, ascending."""
@@ -275,60 +286,65 @@ def _word_counts(key: tuple, table: pa.Table) -> pa.Table:
 class Shard:
     """The trie of a bucket's contexts, built from what the sources counted."""
 
-    def __init__(self, keys: np.ndarray, totals: np.ndarray, pair_owner: np.ndarray, second: np.ndarray, triple_owner: np.ndarray, third: np.ndarray, counts: np.ndarray, id_bits: int):
-        """keys, totals: distinct contexts (ascending), how often each occurs; then pairs (place of the context, word), triples (place of the pair, word) and counts, in any order and repeated."""
-        some = np.flatnonzero(counts)
-        shift = np.uint64(id_bits)
-        pair = (pair_owner.astype(np.uint64) << shift) | second.astype(np.uint64)
-        seen, which = np.unique(pair[triple_owner[some]], return_inverse=True)
-        triple, times = _sums((which.astype(np.uint64) << shift) | third[some].astype(np.uint64), counts[some])
-        owner = (triple >> shift).astype(np.int64)
-        self.pair_count = np.bincount(owner, times, minlength=len(seen))
-        codes = encode_probability((times - DISCOUNT) / self.pair_count[owner])
-        self.pair_mass = np.bincount(owner, PROBABILITY[codes], minlength=len(seen))
-        context = (seen >> shift).astype(np.int64)
-        pair_codes = encode_probability((self.pair_count - DISCOUNT) / np.maximum(totals[context], 1))
-        self.mass = np.bincount(context, PROBABILITY[pair_codes], minlength=len(keys))
-        mask = np.uint64((1 << id_bits) - 1)
+    def __init__(self, keys: np.ndarray, totals: np.ndarray, context: np.ndarray, second: np.ndarray, pair: np.ndarray, third: np.ndarray, counts: np.ndarray, id_bits: int):
+        """keys, totals: contexts and how often each occurs; then distinct pairs (place of the context, word) and triples (place of the pair, word; count), all ascending. What doesn't occur in training isn't kept."""
+        self.pair_count = np.bincount(pair, counts, minlength=len(second)).astype(np.int64)
+        seen, some = np.flatnonzero(self.pair_count), np.flatnonzero(counts)
+        pair, times = pair[some], counts[some]
+        codes = encode_probability((times - DISCOUNT) / self.pair_count[pair])
+        self.pair_mass = np.bincount(pair, PROBABILITY[codes], minlength=len(second))
+        pair_codes = encode_probability((self.pair_count[seen] - DISCOUNT) / np.maximum(totals[context[seen]], 1))
+        self.mass = np.bincount(context[seen], PROBABILITY[pair_codes], minlength=len(keys))
         self.path = Trie.write(
-            keys, np.bincount(context, minlength=len(keys)), seen & mask, pair_codes, encode_rest(1 - self.pair_mass),
-            np.bincount(owner, minlength=len(seen)), triple & mask, codes, id_bits,
+            keys, np.bincount(context[seen], minlength=len(keys)), second[seen], pair_codes, encode_rest(1 - self.pair_mass[seen]),
+            np.bincount(pair, minlength=len(second))[seen], third[some], codes, id_bits,
         )
 
 
+def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys ascending, which one each is, order, where the groups begin in it)."""
+    order = np.argsort(key)
+    s = key[order]
+    head = np.ones(len(s), bool)
+    head[1:] = s[1:] != s[:-1]
+    which = np.empty(len(s), np.int64)
+    which[order] = np.cumsum(head) - 1
+    return s[head], which, order, np.flatnonzero(head)
+
+
 def _codes(key: tuple, table: pa.Table) -> pa.Table:
     table = table.sort_by("src")
     got = [load(p) for p in table.column("payload").to_pylist()]
     keys = [expand(m["keys"]) for m in got]
-    distinct, lead, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    distinct_keys, lead, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     totals = np.concatenate([m["totals"] for m in got])[lead].astype(np.int64)
-    second, third = [joined(m["second"]) for m in got], [joined(m["third"]) for m in got]
-    fans, pair_fans = np.concatenate([m["fan_out"] for m in got]), np.concatenate([joined(m["pair_fan_out"]) for m in got])
-    n_pairs, n_triples = [len(x) for x in second], [len(x) for x in third]
-    second, third = np.concatenate(second), np.concatenate(third)
+    n_pairs, n_triples = [m["second"].shape[1] for m in got], [m["third"].shape[1] for m in got]
+    second, third = np.concatenate([joined(m["second"]) for m in got]), np.concatenate([joined(m["third"]) for m in got])
+    counts = np.concatenate([joined(m["count"]) for m in got]).astype(np.int64)
+    fans, pair_fans = np.concatenate([m["fan_out"] for m in got]), np.concatenate([joined(m["pair_fan_out"]) for m in got]).astype(np.int64)
     id_bits = max(1, int(max(second.max(initial=0), third.max(initial=0))).bit_length())
-    pair_owner = np.repeat(which, fans)
-    triple_owner = np.repeat(np.arange(len(second)), pair_fans.astype(np.int64))
-    shard = Shard(distinct, totals, pair_owner, second, triple_owner, third, np.concatenate([joined(m["count"]) for m in got]).astype(np.int64), id_bits)
+    shift, mask = np.uint64(id_bits), np.uint64((1 << id_bits) - 1)
+    pairs, pair_of, _, _ = _grouped((np.repeat(which, fans).astype(np.uint64) << shift) | second)
+    triples, triple_of, order, begin = _grouped((np.repeat(pair_of, pair_fans).astype(np.uint64) << shift) | third)
+    counts = np.add.reduceat(counts[order], begin) if len(begin) else counts
+    context, second, owner, third = (pairs >> shift).astype(np.int64), pairs & mask, (triples >> shift).astype(np.int64), triples & mask
+    shard = Shard(distinct_keys, totals, context, second, owner, third, counts, id_bits)
     try:
         trie = Trie(shard.path)
-        context = trie.contexts.find(distinct)
-        pair = trie.find_pairs(context[pair_owner], second)
+        # each n-gram that a source asks for is searched once, between the pointers of its context
+        pair = trie.find_pairs(trie.contexts.find(distinct_keys)[context], second, ascending=True)
         pair_codes, rests = codes_at(trie.pair_codes, pair), codes_at(trie.rests, pair)
-        triple_codes = codes_at(trie.triple_codes, trie.find_triples(pair[triple_owner], third))
+        triple_codes = codes_at(trie.triple_codes, trie.find_triples(pair[owner], third, ascending=True))
     finally:
         os.unlink(shard.path)
     cut = lambda x, sizes: np.split(x, np.cumsum(sizes)[:-1])
     key_rests = encode_rest(1 - shard.mass)
-    value = lambda x, at: np.where(at >= 0, x[np.maximum(at, 0)], 0) if len(x) else np.zeros(len(at))
     payloads = [
         dump(
-            key_rests=key_rests[w], masses=shard.mass[w[m["sliced"]]], pair_codes=c, rests=r, triple_codes=t,
-            dealt_counts=value(shard.pair_count, p[m["dealt"]]).astype(np.int64), dealt_masses=value(shard.pair_mass, p[m["dealt"]]),
-        )
-        for m, w, p, c, r, t in zip(
-            got, cut(which, [len(k) for k in keys]), cut(pair, n_pairs), cut(pair_codes, n_pairs), cut(rests, n_pairs), cut(triple_codes, n_triples), strict=True
+            key_rests=key_rests[w], masses=shard.mass[w[m["sliced"]]], pair_codes=pair_codes[p], rests=rests[p], triple_codes=triple_codes[t],
+            dealt_counts=shard.pair_count[p[m["dealt"]]], dealt_masses=shard.pair_mass[p[m["dealt"]]],
         )
+        for m, w, p, t in zip(got, cut(which, [len(k) for k in keys]), cut(pair_of, n_pairs), cut(triple_of, n_triples), strict=True)
     ]
     bucket = key[0].as_py()
     return pa.table({"bucket": pa.array([bucket] * len(got), pa.int32()), "src": table.column("src"), "payload": pa.array(payloads, pa.binary())})

@@ -106,6 +106,7 @@ def test_elias_fano_of_clusters_and_gaps():
     ef = EliasFano.build(v, 1 << 40)
     assert (ef.get(np.arange(len(v))) == v).all()
     assert (ef.find(v) == np.arange(len(v))).all()
+    assert all((ef.decode(i, j) == v[i:j]).all() for i, j in ((0, 1), (0, len(v)), (77, 5000), (len(v) - 1, len(v))))
     missing = np.setdiff1d(rng.integers(0, 1 << 40, 2000).astype(np.uint64), v)
     assert (ef.find(missing) == -1).all()
     assert len(ef.low) + len(ef.high) + ef.places.nbytes < len(v) * 5
@@ -130,6 +131,11 @@ def test_trie_finds_successors_of_their_context_only():
     owner, ids = rng.integers(-1, n2, 20_000), rng.integers(0, 50, 20_000)
     got = trie.find_triples(owner, ids)
     assert got.tolist() == [at3.get((int(c), int(w)), -1) for c, w in zip(owner, ids, strict=True)] and (got >= 0).any()
+    order = np.lexsort((ids, owner))
+    assert trie.find_triples(owner[order], ids[order], ascending=True).tolist() == got[order].tolist()
+    owner, ids = rng.integers(-1, 4, 20_000), rng.integers(0, 6000, 20_000)
+    order = np.lexsort((ids, owner))
+    assert trie.find_pairs(owner[order], ids[order], ascending=True).tolist() == trie.find_pairs(owner, ids)[order].tolist()
     assert trie.pair_codes[3] == 4 and trie.triple_codes[300] == 46 and trie.rests[252] == 1
     assert trie.file_bytes < 40 * 8 + 4 * 40 + n2 * 4 + n3 * 4 + 2000
 
@@ -146,8 +152,8 @@ def test_lm_probabilities_add_up_to_one():
         third += range(7)
         counts += c.tolist()
     shard = ngram_lm.Shard(keys, totals, owner, second, np.array(pair_of), np.array(third), np.array(counts), 5)
-    assert shard.pair_count.tolist() == [t for t in times if t]
-    for mass, rest in ((shard.pair_mass, Trie(shard.path).rests),):
+    assert shard.pair_count.tolist() == times.tolist()
+    for mass, rest in ((shard.pair_mass[times > 0], Trie(shard.path).rests),):
         assert (0.96 < mass + ngram_lm.REST[rest]).all() and (mass + ngram_lm.REST[rest] <= 1 + 1e-9).all()
     exact = np.array([np.maximum(times[owner == o] - 0.75, 0).sum() / totals[o] for o in (0, 1)])
     assert (exact * 0.9 < shard.mass).all() and (shard.mass <= exact).all() and (exact < 1).all()
