@@ -43,7 +43,7 @@ FEED_PATHS = ("/feed/", "/rss/", "/feed", "/rss", "/atom.xml", "/rss.xml", "/fee
 
 # --- fixed values: chunks and prompts -------------------------------------------------------
 CHUNK_SIZE, CHUNK_OVERLAP = 18_000, 1_500
-MAX_INPUT_TOKENS, MAX_CHUNK_CHARS = 8_000, 30_000
+MAX_INPUT_TOKENS = 8_000
 REQUEST_DELAY, MODEL_DELAY = 2.0, 4.5
 
 # --- fixed values: record schema ------------------------------------------------------------
@@ -82,7 +82,8 @@ CONTAMINATION = (
     "Acme Threat Labs", "powershell.exe -NoP -W Hidden -Enc SQBFAFgA", r"C:\Users\Public\update.exe",
     r"HKCU\Software\Microsoft\Windows\CurrentVersion\Run\Updater",
     r"Registry Run key (HKCU) pointing to C:\Users\Public\update.exe",
-    "1234567890abcdef1234567890abcdef", "a" * 32, "f" * 32, "0" * 31,
+    "1234567890abcdef1234567890abcdef", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "ffffffffffffffffffffffffffffffff",
+    "0000000000000000000000000000000",
 )
 
 # --- fixed values: images and recognised text -----------------------------------------------

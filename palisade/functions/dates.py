@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: The date formats that are tried, in order.
 FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy", "MMM d, yyyy")
+#: What looks like a date in a text.
+TEXT_PATTERNS = (r"\b\d{4}-\d{2}-\d{2}\b", r"\b\d{2}/\d{2}/\d{4}\b", r"\b\d{1,2} [A-Za-z]+ \d{4}\b")
 #: Dates of mails and feeds, once the weekday is gone and zone names are numbers.
 MAIL_FORMATS = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z")
 
@@ -32,7 +35,7 @@ def text_date(text: Column, this_year: Column) -> Column:
     """The first date of each pattern in the first 5,000 characters, years from 1995 to next year."""
     head = F.substring(text, 1, 5000)
     out = []
-    for pattern in (r"\b\d{4}-\d{2}-\d{2}\b", r"\b\d{2}/\d{2}/\d{4}\b", r"\b\d{1,2} [A-Za-z]+ \d{4}\b"):
+    for pattern in TEXT_PATTERNS:
         d = any_date(F.regexp_extract(head, pattern, 0))
         out.append(F.when(F.year(d).between(F.lit(1995), this_year + 1), d))
     return F.coalesce(*out)

@@ -76,3 +76,13 @@ def probe_feeds(bases: DataFrame, head: Call, delay: float = 0.0) -> DataFrame:
     tries = bases.select("source", at, root.alias("root")).select("source", F.concat("root", "p").alias("url"), urls.host(F.col("root")).alias("host"))
     got = paced(tries, "host", head, delay).where("status = 200").where(F.lower("content_type").rlike("xml|rss|atom"))
     return tries.join(got.select("url").distinct(), "url", "left_semi").select("source", F.col("url").alias("feed"))
+
+
+def source_feeds(indexes: DataFrame, head: Call, delay: float = 0.0) -> DataFrame:
+    """(source, feed): feeds that each source's index page names, and common addresses that answer as one, each once.
+
+    indexes: source, and the index page's parts.
+    """
+    named = indexes.select("source", F.explode("parts.feeds").alias("href"), F.coalesce("parts.base", "source").alias("base"))
+    named = named.select("source", urls.resolve(F.col("base"), F.col("href")).alias("feed"))
+    return named.union(probe_feeds(indexes.select("source"), head, delay)).distinct()

@@ -83,6 +83,10 @@ _CHROME = re.compile(C.CHROME_NAMES, re.I)
 _ROOT_CLASS, _ROOT_WHOLE = re.compile(C.ROOT_CLASS, re.I), re.compile(C.ROOT_CLASS_WHOLE, re.I)
 
 
+#: Characters of running text that make a part of a page its article.
+MIN_TEXT = 200
+
+
 def classes(n: Node) -> list[str]:
     return n.attrs.get("class", "").split()
 
@@ -103,6 +107,23 @@ def article_root(root: Node) -> Node:
     return root
 
 
+def densest(root: Node) -> Node | None:
+    """The node that holds most running text outside links: each paragraph counts for its parent, and half for the one above.
+
+    None if no node has as much text as MIN_TEXT.
+    """
+    scores: dict[int, tuple[float, Node]] = {}
+    for n in root.walk():
+        if n.tag in ("p", "pre", "blockquote", "td", "li") and n.parent is not None:
+            linked = sum(len(a.text(" ")) for a in n.walk() if a.tag == "a")
+            weight = len(n.text(" ")) - 2 * linked
+            for above, share in ((n.parent, 1.0), (n.parent.parent, 0.5)):
+                if above is not None and above.tag and weight > 0:
+                    scores[id(above)] = (scores.get(id(above), (0.0,))[0] + share * weight, above)
+    best = max(scores.values(), key=lambda x: x[0], default=(0.0, None))
+    return best[1] if best[0] >= MIN_TEXT else None
+
+
 def without_chrome(root: Node) -> Node:
     """Takes navigation, sharing, related links and the like out, below the root itself."""
     for n in list(root.walk()):
@@ -122,7 +143,10 @@ def parts(html: str | None) -> dict:
     meta = first(lambda n: n.tag == "meta" and n.attrs.get("name") == "date") or first(lambda n: n.tag == "meta" and n.attrs.get("property") == "article:published_time")
     base = first(lambda n: n.tag == "base" and n.attrs.get("href"))
     title = first(lambda n: n.tag == "title")
-    root = without_chrome(article_root(tree))
+    found = article_root(tree)
+    root = without_chrome(found)
+    if found is tree:  # nothing says where the article is: where most of its text stands, else the whole page
+        root = densest(tree) or tree
     code, tables, images = [], [], []
     for n in root.walk():
         if n.tag in ("pre", "code", "kbd", "samp") and len(t := n.text("\n")) >= 3:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from palisade import constants as C
 from palisade.functions.indicators import as_list, distinct_ignoring_case, fang, labelled, normalize_hashes, placeholder, reserved_ip, strip_markdown_link, without_placeholders
@@ -16,9 +18,9 @@ NONE = "cast(array() as array<string>)"
 
 
 def _at(doc: Column, names: tuple[str, ...], parents: tuple[str, ...] = ()) -> Column:
-    """The first of the names that the JSON document has, under the first parent that has it, else at the top."""
+    """The first of the names that the parsed document has, under the first parent that has it, else at the top."""
     places = [f"$['{p}']['{n}']" for p in parents for n in names] + [f"$['{n}']" for n in names]
-    return F.coalesce(*[F.get_json_object(doc, p) for p in places])
+    return F.coalesce(*[F.try_variant_get(doc, p, "string") for p in places])
 
 
 def _names(field: str) -> tuple[str, ...]:
@@ -41,9 +43,10 @@ def normalize(docs: DataFrame, document: str = "document") -> DataFrame:
 
     Names are mapped, misplaced fields moved, lists and scalars coerced, then titles checked, placeholders taken out,
     links stripped, hashes, addresses and lists normalised, in this order. Indicators in a flat list are sorted by kind.
-    Keys that are not part of the schema stay as JSON in `extras`.
+    Keys that are not part of the schema stay as JSON in `extras`. Each document is parsed once.
     """
-    d = F.col(document)
+    docs = docs.withColumn("_parsed", F.try_parse_json(F.col(document)))
+    d = F.col("_parsed")
     flat = _list(F.when(F.startswith(F.coalesce(_at(d, _names("iocs")), F.lit("")), F.lit("[")), _at(d, _names("iocs"))))
     fits = {
         "hashes": lambda v: v.rlike("(?i)" + C.HASH_PATTERN),
@@ -63,9 +66,9 @@ def normalize(docs: DataFrame, document: str = "document") -> DataFrame:
     }
     title, attribution = _scalar(_at(d, ("title",))), _scalar(_at(d, ("attribution",)))
     known = {n for f in (*C.TTP_FIELDS, *C.IOC_FIELDS, *C.TOP_LISTS, *C.TOP_SCALARS, "ttps", "iocs") for n in _names(f)}
-    extras = F.map_filter(F.from_json(d, "map<string,string>"), lambda k, _: ~k.isin(*sorted(known)))
+    extras = F.map_filter(F.from_json(F.col(document), "map<string,string>"), lambda k, _: ~k.isin(*sorted(known)))
     return docs.select(
-        *[F.col(c) for c in docs.columns if c != document],
+        *[F.col(c) for c in docs.columns if c not in (document, "_parsed")],
         F.when(corrupt_title(title), "").otherwise(title).alias("title"),
         _scalar(_at(d, _names("description"))).alias("description"),
         F.when(placeholder(attribution), "").otherwise(attribution).alias("attribution"),
@@ -76,20 +79,62 @@ def normalize(docs: DataFrame, document: str = "document") -> DataFrame:
     )
 
 
+def _typed(value: str) -> object:
+    """A value of `extras`, which are JSON where they are lists or objects and plain text else."""
+    if value[:1] in "[{":
+        try:
+            return json.loads(value)
+        except ValueError:
+            return value
+    return value
+
+
+def merged_extras(documents: list[str | None]) -> str:
+    """One JSON object of the keys beyond the schema, from an article's chunks in order.
+
+    Empty values never replace any. Of scalars the first stays, lists are joined without repeats, in objects a later
+    scalar replaces an earlier one.
+    """
+    out: dict = {}
+    for text in documents:
+        for key, raw in (json.loads(text) if text else {}).items():
+            value = _typed(raw) if isinstance(raw, str) else raw
+            old = out.get(key)
+            if value in (None, "", [], {}):
+                continue
+            if old in (None, "", [], {}):
+                out[key] = value
+            elif isinstance(old, list) and isinstance(value, list):
+                out[key] = old + [v for i, v in enumerate(value) if v not in old and v not in value[:i]]
+            elif isinstance(old, dict) and isinstance(value, dict):
+                for name, inner in value.items():
+                    if inner in (None, "", [], {}):
+                        continue
+                    both = isinstance(old.get(name), list) and isinstance(inner, list)
+                    old[name] = old[name] + [v for v in inner if v not in old[name]] if both else inner
+    return json.dumps(out, ensure_ascii=False)
+
+
+@F.pandas_udf(StringType())
+def merge_extras(documents: pd.Series) -> pd.Series:
+    return documents.map(lambda xs: merged_extras(list(xs)))
+
+
 def merge_records(records: DataFrame, key: str, order: str) -> DataFrame:
-    """One canonical record a key from its chunks' records, in order."""
+    """One canonical record a key from its chunks' records, in order; what is beyond the schema is merged in `extras`."""
     from palisade.operators.merge import fold_chunks
 
     flat = records.select(
-        key, order, *C.TOP_SCALARS, *C.TOP_LISTS,
+        key, order, *C.TOP_SCALARS, *C.TOP_LISTS, F.array("extras").alias("extras"),
         *[F.col(f"ttps.{f}").alias(f"ttps_{f}") for f in C.TTP_FIELDS], *[F.col(f"iocs.{f}").alias(f"iocs_{f}") for f in C.IOC_FIELDS],
     )
     lists = (*C.TOP_LISTS, *[f"ttps_{f}" for f in C.TTP_FIELDS], *[f"iocs_{f}" for f in C.IOC_FIELDS])
-    m = fold_chunks(flat, key, order, first=("title", "attribution"), longest=("description",), lists=lists)
+    m = fold_chunks(flat, key, order, first=("title", "attribution"), longest=("description",), lists=(*lists, "extras"))
     tidy = lambda f: F.col(f"iocs_{f}") if f == "hashes" else distinct_ignoring_case(F.col(f"iocs_{f}"))
     return m.select(
         key, "n_chunks", *C.TOP_SCALARS, *C.TOP_LISTS,
         F.struct(*[F.col(f"ttps_{f}").alias(f) for f in C.TTP_FIELDS]).alias("ttps"), F.struct(*[tidy(f).alias(f) for f in C.IOC_FIELDS]).alias("iocs"),
+        merge_extras("extras").alias("extras"),
     )
 
 

@@ -40,3 +40,22 @@ def paced(requests: DataFrame, domain: str, call: Callable[[str], tuple[int, str
             yield pd.DataFrame(out, columns=["url", "status", "content_type", "body"])
 
     return requests.repartition(domain).sortWithinPartitions(domain).mapInPandas(run, "url string, status int, content_type string, body string")
+
+
+class Pace:
+    """A pace that holds over all tasks of a stage without a word between them.
+
+    Task t of n takes the slots t, t + n, t + 2n and so on of a common clock, and keeps n slots between its own calls, so
+    that a task that starts late or again doesn't hurry after what it missed.
+    """
+
+    def __init__(self, interval: float, task: int, tasks: int, start: float, clock=time.time, sleep=time.sleep):
+        self.gap, self.at, self.clock, self.sleep = interval * tasks, start + interval * task, clock, sleep
+
+    def wait(self) -> None:
+        now = self.clock()
+        if now > self.at and self.gap > 0:  # the next slot of this task's own
+            self.at += -(-(now - self.at) // self.gap) * self.gap
+        if self.at > now:
+            self.sleep(self.at - now)
+        self.at += self.gap

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from palisade import constants as C
 from palisade.functions.indicators import in_source, in_source_windows
 
-#: Passages matched in one pass, in bytes.
+#: Short passages matched in one pass, in bytes.
 PASSAGE_BYTES = 2 << 20
 
 
@@ -52,17 +52,26 @@ def cross_validate(records: DataFrame, source: str) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """(item_id, doc_id) of every passage that a document contains, case ignored: a theta join without pairs.
+    """(item_id, doc_id) of every passage that a document contains, case ignored.
 
-    The passages come in blocks of bounded size, each block a literal array that is matched within the document's row.
+    A document that contains a passage has each two words that stand together inside it, so the passage's longest such
+    pair is an equi-join key and only documents with it are searched. Passages of fewer than four words have no pair
+    inside; they are matched within each document's row, in blocks of bounded size.
     """
-    items = passages.select("item_id", F.lower(F.trim("text")).alias("v")).where("v is not null")
-    size = int(items.agg(F.sum(F.octet_length("v") + 16)).first()[0] or 0)
-    blocks = max(1, -(-size // PASSAGE_BYTES))
-    out = None
+    items = passages.select("item_id", F.lower(F.trim("text")).alias("v")).where("v is not null").withColumn("ws", F.split("v", r"\s+"))
+    n = F.size("ws")
+    inner = F.transform(F.sequence(F.lit(2), n - 2), lambda i: F.concat_ws(" ", F.element_at("ws", i), F.element_at("ws", i + 1)))
+    keyed = items.where(n >= 4).select("item_id", "v", F.array_max(F.transform(inner, lambda p: F.struct(F.char_length(p).alias("n"), p.alias("p"))))["p"].alias("pair"))
+    s = docs.select("doc_id", F.lower("text").alias("s"))
+    words = s.withColumn("ws", F.split("s", r"\s+")).withColumn("k", F.size("ws")).where("k > 1")
+    pairs = F.array_distinct(F.zip_with(F.slice("ws", 1, F.col("k") - 1), F.slice("ws", 2, F.col("k") - 1), lambda a, b: F.concat_ws(" ", a, b)))
+    met = words.select("doc_id", "s", F.explode(pairs).alias("pair")).join(keyed, "pair").where(F.contains("s", F.col("v"))).select("item_id", "doc_id")
+    short = items.where(n < 4).select("item_id", "v")
+    size = int(short.agg(F.sum(F.octet_length("v") + 16)).first()[0] or 0)
+    blocks = -(-size // PASSAGE_BYTES)
     for b in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b) if blocks > 1 else items
+        block = short.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
         whole = F.broadcast(block.agg(F.collect_list(F.struct("item_id", "v")).alias("items")))  # one row of about PASSAGE_BYTES
-        found = docs.select("doc_id", F.lower("text").alias("s")).crossJoin(whole).select(F.explode(F.filter("items", lambda x: F.contains(F.col("s"), x["v"]))).alias("x"), "doc_id").select("x.item_id", "doc_id")
-        out = found if out is None else out.union(found)
-    return out
+        found = s.crossJoin(whole).select(F.explode(F.filter("items", lambda x: F.contains(F.col("s"), x["v"]))).alias("x"), "doc_id")
+        met = met.union(found.select("x.item_id", "doc_id"))
+    return met

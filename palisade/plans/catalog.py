@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palisade import constants as C
+from palisade import scratch
 from palisade.functions import indicators, responses, text, urls
 from palisade.operators import links, merge
 
@@ -267,11 +268,49 @@ def dedupe_ci(spark, sf_dir):
 
 
 @query("""SELECT i.item_id, d.doc_id FROM (SELECT item_id, lower(trim(text)) AS v FROM benchmark) i JOIN (SELECT doc_id, lower(text) AS s FROM documents) d ON contains(d.s, i.v)""")
+def occurrences(spark, sf_dir):
+    """Which benchmark passages occur in which documents."""
+    from palisade.operators.validate import occurrences as found
+
+    return found(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _fang_sql(x: str) -> str:
+    return f"replace(replace(replace(replace(replace({x}, '[.]', '.'), '[:]', ':'), 'hxxp://', 'http://'), 'hxxps://', 'https://'), '[/', '/')"
+
+
+def in_source_sql(v: str) -> str:
+    """Whether v (lower-cased) is in s, either of them with or without brackets; fs is s without."""
+    defanged = rf"regexp_replace({v}, '(\w)\.(\w)', '\1[.]\2', 'g')"
+    return f"({v} = '' OR contains(s, {v}) OR contains(fs, {v}) OR contains(s, {_fang_sql(v)}) OR contains(fs, {_fang_sql(v)}) OR contains(s, {defanged}))"
+
+
+def in_windows_sql(v: str) -> str:
+    part = f"substr({v}, i, 20)"
+    found = rf"len(regexp_extract_all({part}, '[\p{{L}}\p{{N}}]')) >= 10 AND (contains(s, {part}) OR contains(fs, {part}))"
+    return f"({in_source_sql(v)} OR len([i FOR i IN generate_series(1, length({v}) - 19, 10) IF {found}]) > 0)"
+
+
+_COMMAND = f"CASE WHEN length(v) > 30 THEN {in_windows_sql('lower(trim(v))')} ELSE {in_source_sql('lower(trim(v))')} END"
+
+
+@query(f"""WITH d AS (SELECT doc_id, lower(text) AS s, {_fang_sql('lower(text)')} AS fs, [substr(text, 5, 60), 'zq' || substr(text, 5, 50) || 'zq', 'Nothing like QQQ' || doc_id || ' QQQ is in here at all'] AS commands,
+  ['x' || doc_id || '.example.test', substr(text, 1, 12), 'www[.]example[.]com', ''] AS domains FROM documents),
+v AS (SELECT doc_id, coalesce(s, '') = '' OR {_COMMAND} AS kept, 1 AS command FROM (SELECT *, unnest(commands) AS v FROM d) UNION ALL
+  SELECT doc_id, coalesce(s, '') = '' OR {in_source_sql('lower(trim(v))')} AS kept, 0 AS command FROM (SELECT *, unnest(domains) AS v FROM d))
+SELECT doc_id, count(*) FILTER (WHERE kept AND command = 1) AS n_commands, count(*) FILTER (WHERE kept AND command = 0) AS n_domains, count(*) FILTER (WHERE NOT kept) AS n_dropped FROM v GROUP BY doc_id""")
 def cross_validate(spark, sf_dir):
-    """Which benchmark passages occur in which documents; the passages are a block of bounded size, matched within each row."""
-    from palisade.operators.validate import occurrences
+    """Values held against their own document's text: copied, framed, made up, with brackets; windows of long commands."""
+    from palisade.operators.validate import cross_validate as checked
 
-    return occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    t = F.col("text")
+    commands = F.array(F.substring(t, 5, 60), F.concat(F.lit("zq"), F.substring(t, 5, 50), F.lit("zq")), F.format_string("Nothing like QQQ%d QQQ is in here at all", "doc_id"))
+    domains = F.array(F.format_string("x%d.example.test", "doc_id"), F.substring(t, 1, 12), F.lit("www[.]example[.]com"), F.lit(""))
+    none = F.array().cast("array<string>")
+    ttps = F.struct(*[(commands if f == "command_lines" else none).alias(f) for f in C.TTP_FIELDS])
+    iocs = F.struct(*[(domains if f == "domains" else none).alias(f) for f in C.IOC_FIELDS])
+    got = checked(table(spark, sf_dir, "documents").select("doc_id", "text", ttps.alias("ttps"), iocs.alias("iocs")), "text")
+    return got.select("doc_id", F.size("ttps.command_lines").alias("n_commands"), F.size("iocs.domains").alias("n_domains"), "n_dropped")
 
 
 # --- merging, records --------------------------------------------------------------------------------------------
@@ -365,6 +404,15 @@ def rule_counters(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 10).alias("n_large"), F.count_if(F.col("props").isNull()).alias("n_empty"))
 
 
+@query(f"""WITH p AS (SELECT page_id, url, regexp_replace({HOST.format('url')}, '^[^.]*\\.', '') AS source, {NORMAL} AS url_norm, {_BAD_CASE} AS bad, regexp_replace({PATH.format('url')}, '/+$', '') IN ('', '/blog') AS root FROM pages)
+SELECT source, count(*) AS n_links, count(*) FILTER (WHERE url_norm IN (SELECT url_norm FROM p WHERE page_id % 2 = 0)) AS n_processed, count(bad) AS n_bad_path, count(*) FILTER (WHERE root) AS n_roots FROM p WHERE url IS NOT NULL GROUP BY source""")
+def link_counters(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").where("url is not null")
+    seen = pages.select(F.regexp_replace(urls.host(F.col("url")), r"^[^.]*\.", "").alias("source"), "url")
+    processed = pages.where("page_id % 2 = 0").select(urls.normalize_url(F.col("url")).alias("url_norm"))
+    return links.link_counters(seen, processed)
+
+
 # --- answers, pages, feeds, streams ------------------------------------------------------------------------------
 
 
@@ -412,6 +460,66 @@ def article_texts(spark, sf_dir):
     return articles(pages, None, F.lit("2024-01-30").cast("date")).withColumn("n_chars", F.char_length("text")).drop("text")
 
 
+_WORDS_OF = "'The malware of ' || p_name || ' runs a backdoor.'"
+
+
+@query(f"""SELECT 'https://blog.example.test/2024/02/' || lpad(CAST(p_partkey % 28 + 1 AS VARCHAR), 2, '0') || '/x' || p_partkey AS url,
+  '=== ARTICLE BODY ===' || p_name || {_WORDS_OF} || 'run ' || p_type || CASE WHEN p_partkey % 4 = 0 THEN 'k' || p_brand ELSE '' END || '=== CODE BLOCKS ===run ' || p_type || '=== TABLES ===' || CASE WHEN p_partkey % 4 = 0 THEN 'k' || p_brand ELSE '' END AS text,
+  CASE WHEN p_partkey % 3 = 0 THEN '2023-05-06' WHEN p_partkey % 3 = 1 THEN '2022-07-08' ELSE CAST(DATE '2024-02-01' + CAST(p_partkey % 28 AS INT) AS VARCHAR) END AS published,
+  CASE p_partkey % 3 WHEN 0 THEN 'time' WHEN 1 THEN 'meta' ELSE 'url' END AS date_source, true AS report FROM part""")
+def made_articles(spark, sf_dir):
+    """Pages of five layouts (article, main, a role, a content class, nothing that tells) to texts and dates, navigation left out."""
+    from palisade.plans.articles import articles
+
+    n = F.col("p_partkey")
+    said = F.concat(F.lit("The malware of "), "p_name", F.lit(" runs a backdoor."))
+    grid = F.when(n % 4 == 0, F.concat(F.lit("<table><tr><th>k</th><td>"), "p_brand", F.lit("</td></tr></table>"))).otherwise("")
+    inside = F.concat(F.lit("<h1>"), "p_name", F.lit("</h1><p>"), said, F.lit("</p><div class='share-buttons'>tell all</div><pre>run "), "p_type", F.lit("</pre>"), grid)
+    layouts = (("<article>", "</article>"), ("<main>", "</main>"), ("<div role='main'>", "</div>"), ("<div class='post-content'>", "</div>"))
+    body = F.lit(None).cast("string")
+    for i, (start, end) in enumerate(layouts):
+        body = F.when(n % 4 == i, F.concat(F.lit(start), inside, F.lit(end))).otherwise(body)
+    time = F.when(n % 3 == 0, "<time datetime='2023-05-06T01:02:03Z'></time>").otherwise("")
+    meta = F.when(n % 3 < 2, "<meta name='date' content='2022-07-08'>").otherwise("")
+    html = F.concat(F.lit("<html><head><title>t</title>"), meta, F.lit("</head><body><nav><a href='/n'>elsewhere</a></nav>"), time, body, F.lit("<footer>legal</footer></body></html>"))
+    day = F.lpad((n % 28 + 1).cast("string"), 2, "0")
+    url = F.concat(F.lit("https://blog.example.test/2024/02/"), day, F.lit("/x"), n.cast("string"))
+    made = articles(table(spark, sf_dir, "part").select(url.alias("url"), html.alias("body")), None, F.lit("2024-06-30").cast("date"))
+    return made.withColumn("published", F.col("published").cast("string"))
+
+
+@query("""SELECT 'https://e.example.test/' || p_partkey % 7 AS url, string_agg('=== Image ' || (idx + 1) || ': https://img.example.test/' || p_partkey || ' ===' || chr(10) || p_name, chr(10) || chr(10) ORDER BY idx) AS image_text
+  FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey % 7 ORDER BY p_partkey) - 1 AS idx FROM part) WHERE p_partkey % 3 <> 0 GROUP BY ALL""")
+def image_texts(spark, sf_dir):
+    """Texts of each article's images, in order; a third of the images gave none."""
+    from palisade.operators.html import image_texts as joined
+
+    p = table(spark, sf_dir, "part")
+    url = F.concat(F.lit("https://e.example.test/"), (F.col("p_partkey") % 7).cast("string"))
+    image = F.concat(F.lit("https://img.example.test/"), F.col("p_partkey").cast("string"))
+    idx = F.row_number().over(Window.partitionBy(F.col("p_partkey") % 7).orderBy("p_partkey")) - 1
+    read = p.select(image.alias("image_url"), F.when(F.col("p_partkey") % 3 == 0, "").otherwise(F.col("p_name")).alias("text"))
+    return joined(p.select(url.alias("url"), idx.alias("idx"), image.alias("image_url")), read)
+
+
+@query("""SELECT p_name || ' ' || p_partkey AS title, replace(p_name, ' ', '-') || p_partkey || '.example.test' AS domains, 'https://e.example.test/' || p_partkey AS reference, CAST(DATE '2024-02-01' + CAST(p_partkey % 28 AS INT) AS VARCHAR) AS published FROM part""")
+def yaml_corpus(spark, sf_dir):
+    """Records written as YAML files and read back as a corpus."""
+    from palisade.operators import records
+    from palisade.sources import corpus
+
+    n = F.col("p_partkey").cast("string")
+    domain = F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), n, F.lit(".example.test"))
+    doc = F.to_json(F.struct(F.concat_ws(" ", "p_name", n).alias("title"), F.struct(F.array(domain).alias("domains")).alias("iocs")))
+    made = records.normalize(table(spark, sf_dir, "part").select("p_partkey", doc.alias("document")))
+    day = F.date_add(F.lit("2024-02-01").cast("date"), (F.col("p_partkey") % 28).cast("int"))
+    made = records.enrich(made.withColumn("url", F.concat(F.lit("https://e.example.test/"), F.col("p_partkey").cast("string"))), "url", day, day.cast("timestamp"))
+    folder = scratch.new_folder(spark, "corpus")
+    corpus.write_yaml(made, folder).write.format("noop").mode("overwrite").save()
+    back = corpus.corpus(corpus.read_files(spark, folder))
+    return back.select("title", F.array_join("iocs.domains", ",").alias("domains"), "reference", F.col("date_of_publication").cast("string").alias("published"))
+
+
 @query("SELECT event_id, 'https://feed.example.test/' || event_id AS link, CAST(date_trunc('second', ts) AS TIMESTAMP) AS published FROM events")
 def feed_entries(spark, sf_dir):
     from palisade.sources.feeds import feed_entries as entries
@@ -435,15 +543,30 @@ def indicator_corpus(spark, sf_dir):
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_first_seen(spark, sf_dir):
     """Each user and event type once, by a stream over the table's files that runs until it has read them all."""
-    from pathlib import PurePosixPath
-
-    import uuid
-
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/palisade-streams"
-    at = f"{folder.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    static = table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(static.schema).option("pathGlobFilter", "*.parquet").parquet(str(PurePosixPath(sf_dir)) + "/events*")
-    seen = stream.select("user_id", "event_type").dropDuplicates()
+    at = scratch.new_folder(spark, "stream")
+    seen = _event_stream(spark, sf_dir).select("user_id", "event_type").dropDuplicates()
     q = seen.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(f"{at}/out")
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir.rstrip('/')}/events*")
+
+
+@query("SELECT DISTINCT 'https://feed.example.test/' || user_id % 50 || '/' || event_type AS url_norm FROM events WHERE ts IS NULL OR CAST(ts AS DATE) >= DATE '2024-01-10'")
+def stream_ingest(spark, sf_dir):
+    """Feeds as a stream: recent entries once each, appended to the processed table batch by batch; read twice, written once."""
+    from palisade.sources.lists import processed_urls
+    from palisade.streaming.ingest import fresh_entries, ingest
+
+    at = scratch.new_folder(spark, "ingest")
+    link = F.concat(F.lit("https://feed.example.test/"), (F.col("user_id") % 50).cast("string"), F.lit("/"), "event_type")
+    date = F.coalesce(F.concat(F.lit("<pubDate>"), F.date_format("ts", "dd MMM yyyy HH:mm:ss"), F.lit(" +0000</pubDate>")), F.lit(""))
+    xml = F.concat(F.lit("<rss><channel><item><title>t</title><link>"), link, F.lit("</link>"), date, F.lit("</item></channel></rss>"))
+    starts = spark.createDataFrame([], "url_norm string")
+    for again in range(2):
+        feeds = _event_stream(spark, sf_dir).select(F.lit("s").alias("source"), xml.alias("xml"))
+        ingest(fresh_entries(feeds, F.lit("2024-01-17").cast("date")), f"{at}/done", starts, f"{at}/state{again}").awaitTermination()
+    return processed_urls(spark, f"{at}/done").select("url_norm")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from palisade import constants as C
 from palisade.functions.responses import REPLY_PATHS
 from palisade.functions.text import estimated_tokens
+from palisade.operators.throttle import Pace
 
 #: url, headers, JSON payload, seconds -> status, body
 Transport = Callable[[str, dict[str, str], dict, float], tuple[int, str]]
@@ -30,6 +31,7 @@ class Service:
     min_interval: float = 0.0
 
 
+#: Services, their addresses and default models.
 SERVICES = {
     s.name: s
     for s in (
@@ -142,20 +144,25 @@ def render(template: str, chunk) -> F.Column:
     return F.replace(F.lit(template), F.lit("{REPORT_TEXT}"), chunk)
 
 
-def answers(chunks: DataFrame, provider: Callable[[], Provider], template: str, keys: tuple[str, ...] = ("url", "chunk_idx"), parallel: int = 1, pause: float = C.RETRY_PAUSE) -> DataFrame:
+def answers(chunks: DataFrame, provider: Callable[[], Provider], template: str, keys: tuple[str, ...] = ("url", "chunk_idx"), parallel: int = 1, pause: float = C.RETRY_PAUSE, interval: float = 0.0) -> DataFrame:
     """keys, raw, error: the model's answer to each chunk that isn't too long; transient failures are tried once more.
 
-    `parallel` tasks call at the same time (1 keeps one pace for all). Calls cost money and differ each time: write the result.
+    `parallel` tasks call at the same time, all of them together once each `interval` seconds (0: as fast as they can).
+    Calls cost money and differ each time: write the result.
     """
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.select(*keys).schema] + ["raw string, error string"])
-    asked = chunks.where(estimated_tokens(F.col("chunk")) <= C.MAX_INPUT_TOKENS).select(*keys, render(template, F.substring("chunk", 1, C.MAX_CHUNK_CHARS)).alias("prompt"))
+    began = time.time()
+    asked = chunks.where(estimated_tokens(F.col("chunk")) <= C.MAX_INPUT_TOKENS).select(*keys, render(template, F.col("chunk")).alias("prompt"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        service = provider()
+        from pyspark import TaskContext
+
+        service, pace = provider(), Pace(interval, TaskContext.get().partitionId(), parallel, began)
         for batch in batches:
             out = []
             for prompt in batch["prompt"]:
                 for attempt in (0, 1):
+                    pace.wait()
                     try:
                         out.append((service.generate(SYSTEM_PROMPT, prompt), None))
                         break

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palisade import config, providers
-from palisade.operators import fetch, html, links, merge, records, throttle, validate
+from palisade.operators import fetch, html, images, links, merge, metrics, records, throttle, validate
 from palisade.operators.yaml_repair import extract
 from palisade.plans import articles
 from palisade.sources import corpus, feeds, lists
@@ -233,3 +233,92 @@ def test_sinks(spark, tmp_path):
     assert back.title == "T" and back.iocs.domains == ["a.test"] and back.date_of_publication == dt.date(2024, 5, 9)
     assert [(e.src, e.dst, e.port) for e in records.edges(r, "reference").orderBy("kind").collect()] == [("a", "b.test", 443), ("a", "b", None)]
     assert [(i.kind, i.value_fanged, i.family) for i in records.indicators(r).collect()] == [("domains", "a.test", "Ice ID")]
+
+
+def test_unknown_keys_are_merged(spark):
+    docs = [
+        {"title": "T", "severity": "", "tags": ["a"], "actor": {"name": "x", "seen": ["1"]}},
+        {"severity": "high", "tags": ["b", "a", "b"], "actor": {"name": "y", "seen": ["2", "1"], "empty": ""}},
+        {"severity": "low", "note": "n", "tags": [], "actor": "z"},
+    ]
+    rows = spark.createDataFrame([("u", i, json.dumps(d)) for i, d in enumerate(docs)] + [("v", 0, json.dumps({"title": "W"}))], "url string, chunk_idx int, document string")
+    got = {r.url: r for r in records.merge_records(records.normalize(rows), "url", "chunk_idx").collect()}
+    assert json.loads(got["u"].extras) == {"severity": "high", "tags": ["a", "b"], "actor": {"name": "y", "seen": ["1", "2"]}, "note": "n"}
+    assert json.loads(got["v"].extras) == {} and got["u"].title == "T"
+
+
+def test_main_text_where_nothing_tells_it():
+    long = "Words of the report. " * 30
+    page = f"<body><div id='a'><ul><li><a href='/1'>{long}</a></li></ul></div><div id='b'><h1>H</h1><p>{long}</p><p>{long}</p></div><div id='c'><p>small print</p></div></body>"
+    assert html.parts(page)["body"].count("Words") == 60 and "small" not in html.parts(page)["body"] and "H" in html.parts(page)["body"].split("\n")
+    assert html.parts("<body><p>too short</p><b>x</b></body>")["body"] == "too short\nx"
+
+
+def test_feeds_of_a_source(spark):
+    page = spark.createDataFrame([("https://e.test/", PAGE), ("https://f.test/", "<p>none</p>")], "source string, body string").select("source", html.page_parts("body").alias("parts"))
+    head = lambda url: (200, "application/rss+xml", "") if url == "https://f.test/rss" or url == "https://e.test/feed" else (404, "", "")
+    found = fetch.source_feeds(page, head)
+    assert sorted((r.source, r.feed) for r in found.collect()) == [("https://e.test/", "https://e.test/feed"), ("https://f.test/", "https://f.test/rss")]
+    assert feeds.choose_feed(found).count() == 2
+
+
+def test_images_are_read_once(spark):
+    import numpy as np
+
+    def fetch_image(url):
+        if "gone" in url:
+            raise OSError
+        return 200, "image/svg+xml" if "svg" in url else "image/png; charset=x", url.encode()
+
+    def decode(content):
+        if b"odd" in content:
+            raise ValueError
+        return np.zeros((40, 50, 3), np.uint8) if b"small" in content else np.full((400, 700, 3), 200, np.uint8)
+
+    names = ["a", "a", "small", "gone", "odd", "svg", "mute"]
+    df = spark.createDataFrame([(f"https://i.test/{n}",) for n in names], "image_url string")
+    said = lambda x: "" if (x == 0).all() else "The malware beacon reaches evil.example.net every hour"
+    read = images.read_images(df, fetch_image, lambda x: said(x), decode)
+    got = {r.image_url.rpartition("/")[2]: (r.skipped, r.text[:11]) for r in read.collect()}
+    assert got == {"a": (None, "The malware"), "small": ("too small (50x40)", ""), "gone": ("failed", ""), "odd": ("undecodable", ""), "svg": ("content type", ""), "mute": (None, "The malware")}
+    assert images.image_summary(read).first().asDict() == {"n_images": 6, "n_with_text": 2}
+    flat = images.prepare(np.full((5, 6, 3), 90, np.uint8))
+    assert flat.shape == (5, 6) and (flat == 90).all()
+    edge = images.prepare(np.repeat([[60, 60, 60, 140, 140, 140]], 6, axis=0).astype(np.uint8))
+    assert edge[2, 2] < edge[2, 1] < edge[2, 4] < edge[2, 3]  # more contrast, and more at the edge
+
+
+def test_counters_of_a_plan(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "n int, t string")
+    out, seen = metrics.observed(df, "read", large=F.col("n") > 1, named=F.col("t") == "a")
+    out, kept = metrics.observed(out.where("n > 1"), "kept")
+    assert out.count() == 2
+    assert metrics.log_rows({"read": seen, "kept": kept}) == [("read", "n_rows", 3), ("read", "large", 2), ("read", "named", 1), ("kept", "n_rows", 2)]
+
+
+def test_a_pace_over_tasks():
+    """Calls of three tasks, one of which starts late, are never closer together than the interval."""
+    calls = []
+    for task, begin in ((0, 0.0), (1, 0.0), (2, 31.7)):
+        now = [begin]
+        pace = throttle.Pace(2.0, task, 3, 0.0, clock=lambda now=now: now[0], sleep=lambda s, now=now: now.__setitem__(0, now[0] + s))
+        for _ in range(10):
+            pace.wait()
+            calls.append(now[0])
+            now[0] += 0.3
+    calls.sort()
+    assert all(b - a >= 2.0 - 1e-9 for a, b in zip(calls, calls[1:], strict=False)) and calls[0] == 0.0
+
+
+def test_estimates(column):
+    from palisade.functions.text import decodable, logged_tokens
+
+    assert column(logged_tokens, ["x" * 34, "", None]) == [10, 0, None]
+    assert column(decodable, ["image/PNG; q=1", "", None, "image/svg+xml", "text/html"]) == [True, True, True, False, False]
+
+
+def test_passages_in_documents(spark):
+    docs = spark.createDataFrame([(1, "One TWO three four five"), (2, "xone two three four fivex and a b"), (3, "two three"), (4, None), (5, "one two  three four five")], "doc_id int, text string")
+    items = spark.createDataFrame([("p", "one two three four five"), ("q", " Two three "), ("r", "a b"), ("s", None), ("t", "no such words at all")], "item_id string, text string")
+    got = sorted((r.item_id, r.doc_id) for r in validate.occurrences(docs, items).collect())
+    assert got == [("p", 1), ("p", 2), ("q", 1), ("q", 2), ("q", 3), ("r", 2)]
