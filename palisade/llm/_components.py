@@ -26,6 +26,6 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
         e, new = _plan.stored_at(small, "edges")
-        _plan.drop_stored(edges.sparkSession, folder)  # nothing reads the round before any more
+        _plan.drop_stored(folder)  # nothing reads the round before any more
         folder = new
     return e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).union(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -2,29 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="palisade-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/palisade-{name}-{uuid.uuid4().hex}"
-
-
-_folders: list[str] = []
+from palisade import scratch
+from palisade.scratch import new_folder
 
 
 def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -32,7 +14,6 @@ def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     folder = new_folder(df.sparkSession, name)
     schema = df.schema
     df.write.parquet(folder)
-    _folders.append(folder)
     return df.sparkSession.read.schema(schema).parquet(folder), folder
 
 
@@ -40,16 +21,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return stored_at(df, name)[0]
 
 
-def drop_stored(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    _folders.remove(folder)
-
-
-def clean_up(spark: SparkSession) -> None:
-    """Deletes all tables stored so far; call it when the results that read them are written."""
-    for folder in list(_folders):
-        drop_stored(spark, folder)
+drop_stored = scratch.drop
 
 
 def input_bytes(df: DataFrame, column: str = "text") -> int:

@@ -88,27 +88,21 @@ def blocks(batch: pa.RecordBatch | pa.Table, column: str = "text", size: int = B
 
 
 class Words:
-    """The words of a block: byte starts and ends in `buf`, document index, 64-bit fingerprints.
-
-    `buf` has one separator after each document, so nothing crosses documents.
-    """
+    """The words of a block: byte starts and ends in `buf`, document index, 64-bit fingerprints. No word crosses documents."""
 
     def __init__(self, data: np.ndarray, off: np.ndarray, separators: np.ndarray = SPACE, lower: bool = True):
         n = len(off) - 1
-        self.n_docs = n
-        self.buf = np.full(len(data) + n + 1, 0x20, np.uint8)
-        lengths = np.diff(off)
-        place = np.arange(len(data)) + np.repeat(np.arange(n), lengths) if n > 1 else slice(0, len(data))
-        self.buf[place] = LOWER[data] if lower else data
-        self.off = off + np.arange(n + 1)  # in buf
-        gap = separators[self.buf]
-        edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
-        if len(self.buf) and not gap[0]:
-            edge = np.concatenate(([0], edge))
-        self.start, self.end = edge[0::2], edge[1::2]
-        self.doc = np.searchsorted(self.off, self.start, "right") - 1
-        self.count = np.bincount(self.doc, minlength=n).astype(np.int64)
-        self.first = np.concatenate(([0], np.cumsum(self.count)))  # of each document, in words
+        self.n_docs, self.off = n, off
+        self.buf = LOWER[data] if lower else data
+        word = np.zeros(len(data) + 2, bool)  # with one place that isn't part of a word at either end
+        word[1:-1] = ~separators[self.buf]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[off] = True  # where documents meet
+        self.start = np.flatnonzero(word[1:] & (~word[:-1] | edge))
+        self.end = np.flatnonzero(word[:-1] & (~word[1:] | edge))
+        self.first = np.searchsorted(self.start, off)  # of each document, in words
+        self.count = np.diff(self.first)
+        self.doc = np.repeat(np.arange(n), self.count)
         self._hash: np.ndarray | None = None
 
     @property

@@ -343,10 +343,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85, freque
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
-    """Rows of docs, one of each component: the least doc_id, of several rows with it the least text hash. Texts without words all stay."""
+    """Rows of docs, one of each component: the least doc_id (null after all others), of several rows with it the least text hash. Texts without words all stay."""
     found = near_duplicates(docs, shingle, percent)
     group = F.struct("component", F.when(F.col("component").isNull(), F.struct("doc_id", "text_hash")).alias("alone"))
-    first = found.groupBy(group.alias("g")).agg(F.min(F.struct("doc_id", "text_hash")).alias("x"))
+    first = found.groupBy(group.alias("g")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("x"))
     kept = first.select(F.coalesce("x.doc_id", F.lit(-(1 << 63))).alias("_doc"), F.col("x.text_hash").alias("_hash")).distinct()
     rows = docs.withColumns({"_doc": F.coalesce("doc_id", F.lit(-(1 << 63))), "_hash": F.xxhash64("text")})
     return rows.join(kept, ["_doc", "_hash"], "left_semi").dropDuplicates(["_doc", "_hash"]).drop("_doc", "_hash")

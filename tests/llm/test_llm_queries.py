@@ -434,3 +434,62 @@ def test_pipeline(spark, docs):
     assert len(kept & {r[0] for r in ROWS if (r[1] or "").startswith(BASE[:100])}) == 1
     packed = corpus_pipeline.run(spark, docs)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == kept
+
+
+def test_pipeline_of_nulls_repeats_and_nothing(spark, docs, empty):
+    """Every stage on null ids and texts, empty texts, repeated rows and further columns, then on an empty table."""
+    own = prose(80)
+    rows = [(None, own), (None, own), (7, own), (7, own), (8, None), (8, None), (9, ""), (None, None), (10, prose(90)), (11, PASSAGE)]
+    df = spark.createDataFrame([(d, t, "en", None, len(t or "")) for d, t in rows], empty.schema).withColumns({c: F.lit("clash") for c in ("kept", "score", "node", "src", "ids", "n_words")})
+    left = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, docs)
+        assert out.columns == empty.columns
+        left[name] = sorted((str(r.doc_id), str(r.text)[:10]) for r in out.collect())
+        df = spark.createDataFrame([tuple(r) for r in out.collect()], empty.schema)
+    assert len(left["toxicity"]) == len(left["line_dedup"]) == len(rows)
+    assert left["near_duplicates"] == sorted((str(d), str(t)[:10]) for d, t in [(7, own), (8, None), (9, ""), (None, None), (10, rows[8][1]), (11, PASSAGE)])
+    assert left["decontamination"] == [x for x in left["near_duplicates"] if x[0] != "11"]
+    assert {r.doc_id for r in corpus_pipeline.packed(spark, df, docs).collect()} == {None, 7, 8, 9, 10}
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, docs).count() == 0
+
+
+def test_stored_tables_go(spark, docs):
+    from palisade import scratch
+
+    before = list(scratch._folders)
+    assert corpus_pipeline.run(spark, docs).count() > 0
+    made = [f for f in scratch._folders if f not in before]
+    assert len(made) == 1 and "stage-decontamination" in made[0]
+
+
+def test_texts_longer_than_a_block(spark):
+    """A text of 6 MB, its two halves equal, beside short ones."""
+    own = random.Random(9)
+    half = " ".join("".join(own.choice("abcdefghij") for _ in range(6)) for _ in range(430_000)) + "\n"
+    texts = [half + half, "short text", half[:3_000_001], ""]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    n_words = [len(t.split()) for t in texts]
+    got = collected(substring_dedup.remove_repeats(df))
+    assert [(got[i].n_bytes, got[i].n_removed) for i in range(4)] == [(len(texts[0]), len(texts[0])), (10, 0), (3_000_001, 3_000_001), (0, 0)]
+    got = collected(jaccard_join.near_duplicates(df))
+    assert [(got[i].n_shingles, got[i].component_id) for i in (0, 1, 3)] == [(430_000, 0), (1, 1), (0, 3)]
+    got = collected(host_rules.measure(df))
+    assert [got[i].n_words for i in range(4)] == n_words and got[0].n_repeat_words == n_words[0] and got[0].n_dup_lines == 1
+    items = spark.createDataFrame([("x", " ".join(half.split()[200_000:200_012])), ("y", "no such words")], "item_id string, text string")
+    for broadcast_bytes in (4 << 20, 0):
+        got = collected(decontamination.decontaminate(df, items, broadcast_bytes=broadcast_bytes))
+        assert got[0].hit_words == [*range(200_000, 200_012), *range(630_000, 630_012)] and got[2].item_ids == ["x"] and got[1].hit_words == []
+    got = collected(ngram_lm.score(df, F.col("doc_id") == 0))
+    assert (got[0].n_tokens, got[2].n_known > 420_000) == (n_words[0] + 1, True)
+    got = collected(passage_dedup.near_duplicate_passages(df))
+    assert got[0].class_id == got[2].class_id == 0 and got[1].class_id == 1
+    got = collected(line_dedup.dedup_lines(df, min_docs=2))
+    assert [got[i].n_lines for i in range(4)] == [3, 1, 1, 1]
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    want = ids_of(texts[:2], "byte_bpe_50k.json", 2)
+    got = collected(token_files.token_files(spark, df, path))
+    assert [got[i].ids for i in (0, 1)] == [w.tobytes() for w in want] and got[2].start == len(want[0]) + len(want[1])
+    pieces = packing.pack(df.where("doc_id < 2"), pytest.importorskip("public_tokenizers").path("word_bpe_49k.json"), 1).collect()
+    assert sum(r.length for r in pieces) == sum(map(len, ids_of(texts[:2], "word_bpe_49k.json", 1)))
