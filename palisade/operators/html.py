@@ -138,7 +138,8 @@ def parts(html: str | None) -> dict:
     nodes = list(tree.walk())
     first = lambda test: next((n for n in nodes if test(n)), None)
     links = [{"href": n.attrs["href"], "text": n.text(" ")} for n in nodes if n.tag == "a" and n.attrs.get("href")]
-    feeds = sorted({n.attrs["href"] for n in nodes if n.tag == "link" and "alternate" in n.attrs.get("rel", "").lower().split() and n.attrs.get("href") and re.search("rss|atom|xml", n.attrs.get("type", "").lower())})
+    other = [n.attrs for n in nodes if n.tag == "link" and "alternate" in n.attrs.get("rel", "").lower().split() and n.attrs.get("href")]
+    feeds = sorted({a["href"] for a in other if re.search("rss|atom|xml", a.get("type", "").lower())})
     time = first(lambda n: n.tag == "time" and n.attrs.get("datetime"))
     meta = first(lambda n: n.tag == "meta" and n.attrs.get("name") == "date") or first(lambda n: n.tag == "meta" and n.attrs.get("property") == "article:published_time")
     base = first(lambda n: n.tag == "base" and n.attrs.get("href"))
@@ -164,7 +165,8 @@ def parts(html: str | None) -> dict:
 
 _TEXT, _TEXTS = T.StringType(), T.ArrayType(T.StringType())
 _LINKS = T.ArrayType(T.StructType([T.StructField("href", _TEXT), T.StructField("text", _TEXT)]))
-PARTS = T.StructType([T.StructField(k, {"feeds": _TEXTS, "images": _TEXTS, "links": _LINKS}.get(k, _TEXT)) for k in ("title", "base", "time_tag", "meta_date", "feeds", "links", "body", "code", "tables", "images")])
+_FIELDS = ("title", "base", "time_tag", "meta_date", "feeds", "links", "body", "code", "tables", "images")
+PARTS = T.StructType([T.StructField(k, {"feeds": _TEXTS, "images": _TEXTS, "links": _LINKS}.get(k, _TEXT)) for k in _FIELDS])
 
 
 @F.pandas_udf(PARTS)

@@ -170,7 +170,9 @@ def edges(records: DataFrame, key: str = "reference") -> DataFrame:
     made = F.concat(*[labelled(f, F.col(f"ttps.{f}")) for f in ("process_relations", "network_connections")])
     e = records.select(key, F.inline(made)).withColumn("ends", F.split("value", r"\s*->\s*", 2)).where(F.size("ends") == 2)
     port = F.when(F.col("kind") == "network_connections", F.regexp_extract(F.col("ends")[1], r":(\d{1,5})$", 1).try_cast("int"))
-    return e.select(key, "kind", F.trim(F.col("ends")[0]).alias("src"), F.when(port.isNotNull(), F.regexp_replace(F.col("ends")[1], r":\d{1,5}$", "")).otherwise(F.col("ends")[1]).alias("dst"), port.alias("port"))
+    end = F.col("ends")[1]
+    dst = F.when(port.isNotNull(), F.regexp_replace(end, r":\d{1,5}$", "")).otherwise(end)
+    return e.select(key, "kind", F.trim(F.col("ends")[0]).alias("src"), dst.alias("dst"), port.alias("port"))
 
 
 def schema_json() -> str:

@@ -9,13 +9,32 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from palisade.scratch import new_folder
 
-def waits(requests: DataFrame, domain: str | None, at: str, delay: float, tie: str | None = None) -> DataFrame:
-    """requests with `wait`: seconds that each falls short of `delay` after the one before it in its domain (None: of all)."""
-    w = Window.partitionBy(*([domain] if domain else [])).orderBy(at, *([tie] if tie else []))
+
+def waits(requests: DataFrame, domain: str | None, at: str, delay: float, tie: str | None = None, parts: int | None = None) -> DataFrame:
+    """requests with `wait`: seconds that each falls short of `delay` after the one before it in its domain (None: of all).
+
+    Without a domain requests are dealt to ranges of time, so that no task gets them all; a range's first one looks at
+    the last of the ranges before, of which there is one row each.
+    """
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
-    gap = (micros(F.col(at)) - micros(F.lag(at).over(w))) / 1e6
-    return requests.withColumn("wait", F.greatest(F.lit(0.0), delay - F.coalesce(gap, F.lit(delay))))
+    order = [at, *([tie] if tie else [])]
+    if domain:
+        before = F.lag(at).over(Window.partitionBy(domain).orderBy(*order))
+    else:
+        spark = requests.sparkSession
+        n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        folder = new_folder(spark, "ranges")  # boundaries are drawn anew each time ranges are made
+        requests.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).write.parquet(folder)
+        ranged = spark.read.parquet(folder)
+        lasts = ranged.groupBy("_part").agg(F.max(at).alias("_last"))
+        carried = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+        lasts = lasts.select("_part", F.max("_last").over(carried).alias("_last"))
+        requests = ranged.join(F.broadcast(lasts), "_part")
+        before = F.coalesce(F.lag(at).over(Window.partitionBy("_part").orderBy(*order)), F.col("_last"))
+    gap = (micros(F.col(at)) - micros(before)) / 1e6
+    return requests.withColumn("wait", F.greatest(F.lit(0.0), delay - F.coalesce(gap, F.lit(delay)))).drop("_part", "_last")
 
 
 def paced(requests: DataFrame, domain: str, call: Callable[[str], tuple[int, str, str]], delay: float, url: str = "url", clock=time.monotonic, sleep=time.sleep) -> DataFrame:

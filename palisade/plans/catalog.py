@@ -359,6 +359,13 @@ def domain_throttle(spark, sf_dir):
     return waits(table(spark, sf_dir, "events"), "user_id", "ts", C.REQUEST_DELAY, tie="event_id").select("event_id", (F.col("wait") > 0).alias("waits"))
 
 
+@query("SELECT event_id, greatest(0.0, 2.0 - coalesce(epoch(ts) - lag(epoch(ts)) OVER (ORDER BY ts, event_id), 2.0)) > 0 AS waits FROM events")
+def global_throttle(spark, sf_dir):
+    from palisade.operators.throttle import waits
+
+    return waits(table(spark, sf_dir, "events"), None, "ts", C.REQUEST_DELAY, tie="event_id").select("event_id", (F.col("wait") > 0).alias("waits"))
+
+
 @query("""SELECT user_id, count(DISTINCT s) AS n_sessions, max(n) AS longest FROM (SELECT user_id, s, count(*) AS n FROM (SELECT user_id, sum(g) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (
   SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS g FROM events)) GROUP BY user_id, s) GROUP BY user_id""")
 def session_counts(spark, sf_dir):

@@ -144,7 +144,10 @@ def render(template: str, chunk) -> F.Column:
     return F.replace(F.lit(template), F.lit("{REPORT_TEXT}"), chunk)
 
 
-def answers(chunks: DataFrame, provider: Callable[[], Provider], template: str, keys: tuple[str, ...] = ("url", "chunk_idx"), parallel: int = 1, pause: float = C.RETRY_PAUSE, interval: float = 0.0) -> DataFrame:
+def answers(
+    chunks: DataFrame, provider: Callable[[], Provider], template: str, keys: tuple[str, ...] = ("url", "chunk_idx"),
+    parallel: int = 1, pause: float = C.RETRY_PAUSE, interval: float = 0.0,
+) -> DataFrame:
     """keys, raw, error: the model's answer to each chunk that isn't too long; transient failures are tried once more.
 
     `parallel` tasks call at the same time, all of them together once each `interval` seconds (0: as fast as they can).

@@ -130,6 +130,13 @@ def test_waits(spark):
     assert [(r.d, r.wait) for r in throttle.waits(df, "d", "at", 2.0).orderBy("d", "s").collect()] == [("d", 0.0), ("d", 1.5), ("d", 0.0), ("e", 0.0)]
 
 
+def test_waits_of_all_requests_in_ranges(spark):
+    seconds = [0.0, 0.4, 0.4, 3.0, 3.1, 9.0, 9.5, 20.0, 21.0, 21.5, 30.0]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(seconds)], "i int, s double").withColumn("at", F.timestamp_seconds("s"))
+    got = {r.i: round(r.wait, 3) for r in throttle.waits(df, None, "at", 2.0, tie="i", parts=4).collect()}
+    assert got == {i: round(max(0.0, 2.0 - (s - seconds[i - 1])), 3) if i else 0.0 for i, s in enumerate(seconds)}
+
+
 REPLIES = {
     "lmstudio": '{"choices": [{"message": {"content": "hi"}}]}', "openai": '{"choices": [{"message": {"content": "hi"}}]}', "ollama": '{"message": {"content": "hi"}}',
     "claude": '{"content": [{"text": "hi"}]}', "gemini": '{"candidates": [{"content": {"parts": [{"text": "hi"}]}}]}',
