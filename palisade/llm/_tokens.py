@@ -217,6 +217,11 @@ class Encoder:
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
+def forget() -> None:
+    """Frees what encoding has kept in this worker process, which Spark goes on using for other operators."""
+    _encoders.clear()
+
+
 def encoder(path: str, drops_space: bool, cache_pieces: int = CACHE_PIECES) -> Encoder:
     """One encoder for each worker process, with at most cache_pieces pieces kept."""
     import os

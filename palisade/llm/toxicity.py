@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from palisade.llm import _plan
 from palisade.llm._exchange import dump, load
 from palisade.llm._text import LOWER, blocks
+from palisade.llm._tokens import forget
 
 BITS = 20
 ORDERS = (3, 4, 5, 6)
@@ -35,8 +36,8 @@ MAX_FEATURES, MIN_TEXTS = 20_000, 4
 MIN_SIGNAL = 2.0
 #: Tasks that the sample is dealt over, and ranges of features that are summed.
 PARTS, RANGES = 12, 16
-#: Flags (document, feature) held at once while scoring.
-FLAGS = 1 << 24
+#: Flags (document, feature) held at once while scoring, five bytes each.
+FLAGS = 1 << 22
 _M = np.uint32(0x9E3779B1)
 
 
@@ -174,6 +175,7 @@ def fit(texts: DataFrame, prior: float, max_features: int = MAX_FEATURES, min_si
     width = (1 << BITS) // RANGES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         counts, present = np.zeros((2, 1 << BITS), np.uint32), Present()
         for batch in batches:
             toxic = batch.column("toxic").to_pylist()
@@ -247,6 +249,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
     columns = [*keep] + ["text"] * ("text" not in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         m = shared.value
         place = m.places()
         for batch in batches:
