@@ -212,7 +212,8 @@ def _match(rows: DataFrame, block: Block, keep: list[str]) -> DataFrame:
                     words[d] = local.tolist()
                     items[d] = [block.items[i] for i in pairs[cuts[d] : cuts[d + 1], 1]]
                 columns = [some.column(k) for k in keep]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(w.count), pa.array(words, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], names=[*keep, "n_words", "hit_words", "item_ids"])
+                columns += [pa.array(w.count), pa.array(words, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "n_words", "hit_words", "item_ids"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema] + ["n_words long, hit_words array<int>, item_ids array<string>"])
     return rows.select(*keep).mapInArrow(run, schema)
@@ -319,7 +320,8 @@ def distributed(docs: DataFrame, items: DataFrame, window: int, keep: list[str])
     same = F.array_join(F.slice("around", F.greatest(start, F.lit(0)) + 1, F.col("m")), " ") == F.col("win")
     hits = places.join(prefix, "shingle").where(inside & same).select("_doc", "_hash", (F.col("word") - F.col("place")).alias("start"), "m", "win")
     hits = _plan.stored(hits.distinct(), "hits")
-    words = hits.select("_doc", "_hash", F.explode(F.sequence("start", F.col("start") + F.col("m") - 1)).alias("word")).groupBy("_doc", "_hash").agg(F.sort_array(F.collect_set("word")).alias("hit_words"))
+    inside = F.explode(F.sequence("start", F.col("start") + F.col("m") - 1)).alias("word")
+    words = hits.select("_doc", "_hash", inside).groupBy("_doc", "_hash").agg(F.sort_array(F.collect_set("word")).alias("hit_words"))
     found = hits.select("_doc", "_hash", "win").join(owners, "win").groupBy("_doc", "_hash").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
     lower = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     n_words = F.regexp_count(lower, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")).cast("long")

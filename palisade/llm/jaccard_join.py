@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 
 from palisade.llm import _plan
 from palisade.llm._components import components
-from palisade.llm._exchange import MESSAGE, bucket_runs, by_bucket, by_source, dump, expand, member, messages, ranges, sources, squeeze, with_answers
+from palisade.llm._exchange import (
+    MESSAGE, SOURCE_BYTES, bucket_runs, by_bucket, by_source, dump, expand, member, messages, ranges, sources, squeeze, with_answers,
+)
 from palisade.llm._text import SPACE, Words, blocks, combine, mix
 
 #: Classes from this one on (2**7 documents) are frequent.
@@ -272,7 +274,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85, freque
     on them.
     """
     rows, n = sources(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), columns=("doc_id", "text", "text_hash"))
-    bits = min(64, max(32, int(np.ceil(np.log2(max(_plan.input_bytes(docs), 2)))) + 4))
+    bits = min(64, max(32, int(np.ceil(np.log2(n * SOURCE_BYTES))) + 4))
     fold = np.uint64(64 - bits)
 
     def send_shingles(src: int, table: pa.Table) -> pa.Table:
@@ -311,7 +313,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 85, freque
             out["keys"] += keys
             out["shingles"] += raw
         cat = lambda k: pa.array(np.concatenate(out[k] or [np.zeros(0, np.int64)]), pa.int64())
-        return pa.table({"doc_id": table.column("doc_id"), "text_hash": table.column("text_hash"), "node": cat("node"), "n_shingles": cat("n_shingles"), "keys": pa.array(out["keys"], pa.list_(pa.int64())), "shingles": pa.array(out["shingles"], pa.binary())})
+        return pa.table({
+            "doc_id": table.column("doc_id"), "text_hash": table.column("text_hash"), "node": cat("node"), "n_shingles": cat("n_shingles"),
+            "keys": pa.array(out["keys"], pa.list_(pa.int64())), "shingles": pa.array(out["shingles"], pa.binary()),
+        })
 
     classes = by_bucket(by_source(rows, send_shingles, MESSAGE), _count)
     indexed = _plan.stored(with_answers(rows, classes, index, "doc_id long, text_hash long, node long, n_shingles long, keys array<long>, shingles binary"), "shingle-index")

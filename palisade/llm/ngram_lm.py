@@ -287,7 +287,8 @@ class Shard:
     """The trie of a bucket's contexts, built from what the sources counted."""
 
     def __init__(self, keys: np.ndarray, totals: np.ndarray, context: np.ndarray, second: np.ndarray, pair: np.ndarray, third: np.ndarray, counts: np.ndarray, id_bits: int):
-        """keys, totals: contexts and how often each occurs; then distinct pairs (place of the context, word) and triples (place of the pair, word; count), all ascending. What doesn't occur in training isn't kept."""
+        """keys, totals: contexts and how often each occurs; then distinct pairs (place of the context, word) and triples
+        (place of the pair, word; count), all ascending. What doesn't occur in training isn't kept."""
         self.pair_count = np.bincount(pair, counts, minlength=len(second)).astype(np.int64)
         seen, some = np.flatnonzero(self.pair_count), np.flatnonzero(counts)
         pair, times = pair[some], counts[some]
@@ -394,7 +395,8 @@ def score(docs: DataFrame, train: F.Column, slice_tokens: int = SLICE) -> DataFr
     def finish(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
         t = Text(table.select(["doc_id", "text", "train"]))
         if not t.n_docs:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "train": pa.array([], pa.bool_()), **{k: pa.array([], pa.int64()) for k in ("n_tokens", "n_known", "train_tokens")}, "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
+            kinds = {"doc_id": pa.int64(), "train": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "train_tokens": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
+            return pa.table({k: pa.array([], t) for k, t in kinds.items()})
         known, counts, told = triples(t, got)
         answers = got.filter(pc.equal(got.column("kind"), 1)).sort_by("bucket")
         c, tokens = counts[t.word], told["tokens"]

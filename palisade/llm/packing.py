@@ -56,7 +56,10 @@ def assign(lengths: np.ndarray, room: int, linear: float, quadratic: float) -> l
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, linear: float = 1.0, quadratic: float = 1.0 / 2048, drops_space: bool = True, group_tokens: int = GROUP_TOKENS, cache_pieces: int = CACHE_PIECES) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, linear: float = 1.0, quadratic: float = 1.0 / 2048,
+    drops_space: bool = True, group_tokens: int = GROUP_TOKENS, cache_pieces: int = CACHE_PIECES,
+) -> DataFrame:
     """Packs doc_id, text of docs: one row a piece with its ids.
 
     doc_id, start (ids of its document before it), length, doc_tokens, sequence_id, offset (within the sequence,

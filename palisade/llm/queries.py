@@ -97,4 +97,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc32(token_files(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_decontamination, op4_host_rules, op5_ngram_lm, op6_line_dedup, op7_substring_dedup, op8_jaccard_join, op9_passage_dedup, op10_token_files)}
+_ALL = (
+    op1_packing, op2_toxicity, op3_decontamination, op4_host_rules, op5_ngram_lm, op6_line_dedup, op7_substring_dedup,
+    op8_jaccard_join, op9_passage_dedup, op10_token_files,
+)
+QUERIES = {f.__name__: f for f in _ALL}

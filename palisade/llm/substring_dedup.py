@@ -35,9 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from palisade.llm import _plan
 from palisade.llm._exchange import (
-    MESSAGE, bucket_runs, by_bucket, by_source, dump, expand, member, messages, ranges, sources, squeeze, with_answers,
+    MESSAGE, SOURCE_BYTES, bucket_runs, by_bucket, by_source, dump, expand, member, messages, ranges, sources, squeeze, with_answers,
 )
 from palisade.llm._text import blocks, eights, mix, span_hash
 
@@ -252,7 +251,7 @@ def _compare(length: int):
 def find_repeats(docs: DataFrame, length: int = 200, hot: int = HOT) -> tuple[DataFrame, DataFrame, dict]:
     """(documents dealt to sources, answers of steps 2 and 3 to them, parameters)."""
     rows, n = sources(docs)
-    bits = min(64, max(40, int(np.ceil(np.log2(max(_plan.input_bytes(docs), 2)))) + 11))
+    bits = min(64, max(40, int(np.ceil(np.log2(n * SOURCE_BYTES))) + 11))
 
     def send_names(src: int, table: pa.Table) -> pa.Table:
         name = np.sort(np.concatenate([b.name for b in _samples(table, length, bits)] or [np.zeros(0, np.uint64)]))

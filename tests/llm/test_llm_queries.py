@@ -184,6 +184,15 @@ def test_decontamination(spark, docs, frame, broadcast_bytes):
         assert (got[d].n_words, got[d].hit_words, sorted(set(got[d].item_ids))) == (len(w), sorted(hit), sorted(found))
 
 
+@pytest.mark.parametrize("broadcast_bytes", [4 << 20, 0])
+def test_decontamination_tells_patterned_words_apart(spark, broadcast_bytes):
+    word = lambda flip: "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(1024))
+    df = spark.createDataFrame([(1, word(0)), (2, f"x {word(1)} y")], "doc_id long, text string")
+    items = spark.createDataFrame([("i", word(1))], "item_id string, text string")
+    got = collected(decontamination.decontaminate(df, items, broadcast_bytes=broadcast_bytes))
+    assert (got[1].hit_words, got[2].hit_words) == ([], [1])
+
+
 def test_host_rules(spark, frame):
     got = collected(host_rules.host_rules(frame))
     assert all(r.kept == (not r.base_failed) for r in got.values() if r.host is None or r.host_rate <= 0.5)

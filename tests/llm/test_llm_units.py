@@ -100,6 +100,21 @@ def test_squeeze_and_elias_fano(values):
     assert ef.find(probe).tolist() == want
 
 
+def test_payloads_are_no_more_than_fingerprints():
+    """With ever more buckets a source sends at most one payload a fingerprint, and small ones cost little more than their bytes."""
+    keys = np.sort(np.random.default_rng(8).integers(0, 1 << 63, 5_000).astype(np.uint64) * np.uint64(2))
+    for n in (1, 200, 2_000, 20_000, 2_000_000):
+        runs = _exchange.bucket_runs(keys, 64, n)
+        assert len(runs) <= min(n, len(keys)) and runs[0][1] == 0 and runs[-1][2] == len(keys)
+        assert all(a[2] == b[1] and a[0] < b[0] < n or n == 1 for a, b in zip(runs, runs[1:], strict=False))
+    sizes = [len(_exchange.dump(keys=_exchange.squeeze(keys[i:j]))) for _, i, j in _exchange.bucket_runs(keys, 64, 2_000_000)]
+    assert sum(sizes) < 40 * len(sizes)
+    m = {"a": np.arange(6).reshape(2, 3), "b": np.array([], np.uint8), "c": np.array([True, False])}
+    for x in (m, m | {"a": np.arange(6000).reshape(3, 2000)}):
+        got = _exchange.load(_exchange.dump(**x))
+        assert list(got) == list(x) and all((got[k] == x[k]).all() and got[k].dtype == x[k].dtype for k in x)
+
+
 def test_elias_fano_of_clusters_and_gaps():
     rng = np.random.default_rng(5)
     v = np.unique(np.concatenate([rng.integers(0, 1 << 40, 3000), rng.integers(0, 5000, 4000), (1 << 39) + np.arange(70_000), [(1 << 40) - 1]])).astype(np.uint64)
@@ -280,6 +295,16 @@ def test_compact_windows_match_their_definition(values, width):
     assert list(zip(*[a.tolist() for a in passage_dedup.compact_windows(x, width)], strict=True)) == want
 
 
+def test_windows_of_frequent_keys_form_a_tree():
+    key = np.repeat(np.array([3, 8, 9], np.uint64), [5000, 1, 40])
+    n = len(key)
+    me, other = passage_dedup._pair_up(key, np.arange(n), np.zeros(n, np.int64))
+    assert (key[me] == key[other]).all() and (other < me).all() and len(me) < 2 * n
+    assert np.bincount(other).max() <= 16 * 4 + 1
+    assert set(me.tolist()) == set(range(n)) - {0, 5000, 5001}
+    assert len({*zip(me.tolist(), other.tolist(), strict=True)}) == len(me)
+
+
 def test_passage_verification_trims_to_what_is_shared():
     a = np.concatenate((np.arange(1000, 1100), np.arange(60), np.arange(2000, 2050))).astype(np.uint64)
     b = np.concatenate((np.arange(3000, 3020), np.arange(60), np.arange(4000, 4400))).astype(np.uint64)
