@@ -295,16 +295,6 @@ def test_compact_windows_match_their_definition(values, width):
     assert list(zip(*[a.tolist() for a in passage_dedup.compact_windows(x, width)], strict=True)) == want
 
 
-def test_windows_of_frequent_keys_form_a_tree():
-    key = np.repeat(np.array([3, 8, 9], np.uint64), [5000, 1, 40])
-    n = len(key)
-    me, other = passage_dedup._pair_up(key, np.arange(n), np.zeros(n, np.int64))
-    assert (key[me] == key[other]).all() and (other < me).all() and len(me) < 2 * n
-    assert np.bincount(other).max() <= 16 * 4 + 1
-    assert set(me.tolist()) == set(range(n)) - {0, 5000, 5001}
-    assert len({*zip(me.tolist(), other.tolist(), strict=True)}) == len(me)
-
-
 def test_passage_verification_trims_to_what_is_shared():
     a = np.concatenate((np.arange(1000, 1100), np.arange(60), np.arange(2000, 2050))).astype(np.uint64)
     b = np.concatenate((np.arange(3000, 3020), np.arange(60), np.arange(4000, 4400))).astype(np.uint64)
