@@ -509,18 +509,17 @@ def image_texts(spark, sf_dir):
     return joined(p.select(url.alias("url"), idx.alias("idx"), image.alias("image_url")), read)
 
 
-@query("""SELECT p_name || ' ' || p_partkey AS title, replace(p_name, ' ', '-') || p_partkey || '.example.test' AS domains, 'https://e.example.test/' || p_partkey AS reference, CAST(DATE '2024-02-01' + CAST(p_partkey % 28 AS INT) AS VARCHAR) AS published FROM part""")
+@query("""SELECT s_name || ': ' || s_suppkey AS title, 's' || s_suppkey || '.example.test' AS domains, 'https://e.example.test/' || s_suppkey AS reference, CAST(DATE '2024-02-01' + CAST(s_suppkey % 28 AS INT) AS VARCHAR) AS published FROM supplier""")
 def yaml_corpus(spark, sf_dir):
-    """Records written as YAML files and read back as a corpus."""
+    """Records written as YAML files, one each, and read back as a corpus."""
     from palisade.operators import records
     from palisade.sources import corpus
 
-    n = F.col("p_partkey").cast("string")
-    domain = F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), n, F.lit(".example.test"))
-    doc = F.to_json(F.struct(F.concat_ws(" ", "p_name", n).alias("title"), F.struct(F.array(domain).alias("domains")).alias("iocs")))
-    made = records.normalize(table(spark, sf_dir, "part").select("p_partkey", doc.alias("document")))
-    day = F.date_add(F.lit("2024-02-01").cast("date"), (F.col("p_partkey") % 28).cast("int"))
-    made = records.enrich(made.withColumn("url", F.concat(F.lit("https://e.example.test/"), F.col("p_partkey").cast("string"))), "url", day, day.cast("timestamp"))
+    n = F.col("s_suppkey").cast("string")
+    doc = F.to_json(F.struct(F.concat_ws(": ", "s_name", n).alias("title"), F.struct(F.array(F.concat(F.lit("s"), n, F.lit(".example.test"))).alias("domains")).alias("iocs")))
+    made = records.normalize(table(spark, sf_dir, "supplier").select("s_suppkey", doc.alias("document")))
+    day = F.date_add(F.lit("2024-02-01").cast("date"), (F.col("s_suppkey") % 28).cast("int"))
+    made = records.enrich(made.withColumn("url", F.concat(F.lit("https://e.example.test/"), F.col("s_suppkey").cast("string"))), "url", day, day.cast("timestamp"))
     folder = scratch.new_folder(spark, "corpus")
     corpus.write_yaml(made, folder).write.format("noop").mode("overwrite").save()
     back = corpus.corpus(corpus.read_files(spark, folder))
