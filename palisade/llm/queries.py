@@ -97,8 +97,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc32(token_files(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palisade.llm import merkle
+
+    docs = table(spark, sf_dir, "documents")
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, merkle.leaf_of(*[more if c == "n_chars" else F.col(c) for c in merkle.COLUMNS]))
+    leaves = docs.select("doc_id", "lang", merkle.leaf_of(*map(F.col, merkle.COLUMNS)).alias("leaf"), tampered.alias("tampered"))
+    rows = merkle.prove(leaves).withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 _ALL = (
     op1_packing, op2_toxicity, op3_decontamination, op4_host_rules, op5_ngram_lm, op6_line_dedup, op7_substring_dedup,
-    op8_jaccard_join, op9_passage_dedup, op10_token_files,
+    op8_jaccard_join, op9_passage_dedup, op10_token_files, op11_merkle,
 )
 QUERIES = {f.__name__: f for f in _ALL}

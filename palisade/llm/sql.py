@@ -83,4 +83,48 @@ SELECT sets.doc_id, CAST(len(sets.sh) AS BIGINT) AS n_shingles, c.component_id
 FROM sets JOIN (SELECT reach.r, min(t.doc_id) AS component_id FROM reach JOIN sets t ON z = t.r GROUP BY reach.r) c USING (r)
 """
 
-ORACLES = {"op3_decontamination": OP3, "op4_host_rules": OP4, "op6_line_dedup": OP6, "op8_jaccard_join": OP8}
+#: crc32 of ASCII texts: its table, a list of 256, and the value of {0} with that table as column crc.
+CRC_TABLE = """SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS crc FROM range(256) t(n)"""
+CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({0}, ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text"))) + ")"
+
+
+OP11 = rf"""
+WITH RECURSIVE crcs AS ({CRC_TABLE}), d AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT doc_id, lang, {_leaf("n_chars")} AS leaf, {_leaf("(CAST(n_chars AS HUGEINT) + 1)")} AS more, coalesce({CRC32.format("CAST(doc_id AS VARCHAR)")} % 7 = 0, false) AS tamper FROM documents, crcs)
+), node AS (
+  SELECT CAST(0 AS BIGINT) AS l, lang, pos, n, leaf AS h FROM d
+  UNION ALL
+  SELECT l + 1, lang, pos // 2, (max(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM node WHERE n > 1 GROUP BY l, lang, pos // 2
+), tops AS (
+  SELECT lang, l AS depth, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1
+), upper AS (
+  SELECT CAST(0 AS BIGINT) AS l, pos, n, subroot AS h FROM tops
+  UNION ALL
+  SELECT l + 1, pos // 2, (max(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM upper WHERE n > 1 GROUP BY l, pos // 2
+), root AS (SELECT h AS root, l AS height FROM upper WHERE n = 1
+), spot AS (
+  SELECT row_number() OVER () AS r, d.*, tops.depth, tops.subroot, tops.pos AS place, root, height FROM d JOIN tops ON d.lang IS NOT DISTINCT FROM tops.lang, root
+), step AS (
+  SELECT r, i, (spot.pos >> i) & 1 AS is_right, node.h AS sibling
+  FROM (SELECT *, unnest(range(depth)) AS i FROM spot) spot LEFT JOIN node ON node.l = i AND node.lang IS NOT DISTINCT FROM spot.lang AND node.pos = xor(spot.pos >> i, 1)
+  UNION ALL
+  SELECT r, depth + i, (spot.place >> i) & 1, upper.h FROM (SELECT *, unnest(range(height)) AS i FROM spot) spot LEFT JOIN upper ON upper.l = i AND upper.pos = xor(spot.place >> i, 1)
+), fold AS (
+  SELECT r, CAST(0 AS BIGINT) AS i, CASE WHEN tamper THEN more ELSE leaf END AS h FROM spot
+  UNION ALL
+  SELECT fold.r, fold.i + 1, sha256(CASE WHEN is_right = 1 THEN coalesce(sibling, '') || h ELSE h || coalesce(sibling, '') END) FROM fold JOIN step ON fold.r = step.r AND fold.i = step.i
+), proof AS (SELECT r, sha256(coalesce(string_agg(sibling, '' ORDER BY i), '')) AS proof_sha256 FROM step GROUP BY r)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, fold.h AS folded_root, fold.h = root AS verified
+FROM spot JOIN fold ON fold.r = spot.r AND fold.i = depth + height LEFT JOIN proof ON proof.r = spot.r
+"""
+
+ORACLES = {"op3_decontamination": OP3, "op4_host_rules": OP4, "op6_line_dedup": OP6, "op8_jaccard_join": OP8, "op11_merkle": OP11}
