@@ -108,8 +108,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palisade.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 _ALL = (
     op1_packing, op2_toxicity, op3_decontamination, op4_host_rules, op5_ngram_lm, op6_line_dedup, op7_substring_dedup,
-    op8_jaccard_join, op9_passage_dedup, op10_token_files, op11_merkle,
+    op8_jaccard_join, op9_passage_dedup, op10_token_files, op11_merkle, op12_simhash,
 )
 QUERIES = {f.__name__: f for f in _ALL}
