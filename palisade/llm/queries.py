@@ -114,8 +114,30 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Turns with the faults of op13's contract: by crc32 of `conv_id:turn` some are dropped, emptied, left without an end, repeated or given to the user; nulls are one space."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    harm = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    text = F.when(harm == 1, "").when(harm == 2, F.translate(spaced("text"), ".!?", "")).otherwise(spaced("text"))
+    times = F.when(harm == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    some = rows.where(harm != 0).select("conv_id", "turn", F.when(harm == 4, "user").otherwise(spaced("role")).alias("role"), text.alias("text"), F.explode(times).alias("copy"))
+    return some.drop("copy")
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from palisade.llm.conversations import repair
+
+    turns = table(spark, sf_dir, "conversations")
+    found = repair(damaged(turns))
+    same = lambda x: F.col("_conv").eqNullSafe(x["conv_id"])
+    every = turns.select(F.col("conv_id").alias("_conv")).distinct()
+    rows = every.join(found.summary, same(found.summary), "left").drop("conv_id").join(found.digests, same(found.digests), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return rows.select(F.col("_conv").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 _ALL = (
     op1_packing, op2_toxicity, op3_decontamination, op4_host_rules, op5_ngram_lm, op6_line_dedup, op7_substring_dedup,
-    op8_jaccard_join, op9_passage_dedup, op10_token_files, op11_merkle, op12_simhash,
+    op8_jaccard_join, op9_passage_dedup, op10_token_files, op11_merkle, op12_simhash, op13_conversations,
 )
 QUERIES = {f.__name__: f for f in _ALL}

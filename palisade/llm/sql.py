@@ -127,4 +127,74 @@ SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_
 FROM spot JOIN fold ON fold.r = spot.r AND fold.i = depth + height LEFT JOIN proof ON proof.r = spot.r
 """
 
-ORACLES = {"op3_decontamination": OP3, "op4_host_rules": OP4, "op6_line_dedup": OP6, "op8_jaccard_join": OP8, "op11_merkle": OP11}
+#: A state of op13's SQL is a text: ten digits of cost, then the audit; {1} is added to the first, {2} to the second.
+_STEP = "(lpad(CAST(CAST(left({0}, 10) AS BIGINT) + {1} AS VARCHAR), 10, '0') || substr({0}, 11) || '{2}')"
+
+
+def _step(state: str, cost: str, letter: str) -> str:
+    return _STEP.format(state, cost, letter)
+
+
+def _may(condition: str, value: str) -> str:
+    return f"CASE WHEN {condition} THEN {value} END"
+
+
+def _inserted(states: tuple[str, str, str, str]) -> tuple[str, str, str, str]:
+    """The states 0 to 3 (start, system, user, assistant) once one insertion is allowed."""
+    a, b, c, d = states
+    return a, b, f"least({c}, {_step(a, '3', 'I')}, {_step(b, '3', 'I')}, {_step(d, '3', 'I')})", f"least({d}, {_step(c, '3', 'I')})"
+
+
+def _turned() -> tuple[str, str, str, str]:
+    """The states after a turn: deleted, kept or given another role; x is the state before and t the turn."""
+    gone = [_step(f"x.q{i}", "4", "D") for i in range(4)]
+    keep = lambda i, role: _may(f"NOT must_go AND initial = '{role}'", _step(f"x.q{i}", "more", "K"))
+    other = lambda i: _may("NOT must_go", _step(f"x.q{i}", "3 + more", "R"))
+    to_user = ", ".join(f(i) for i in (0, 1, 3) for f in (lambda i: keep(i, "u"), other))
+    return gone[0], f"least({gone[1]}, {keep(0, 's')})", f"least({gone[2]}, {to_user})", f"least({gone[3]}, {keep(2, 'a')}, {other(2)})"
+
+
+def _select(states: tuple[str, ...]) -> str:
+    return ", ".join(f"{s} AS q{i}" for i, s in enumerate(states))
+
+
+_Q = tuple(f"q{i}" for i in range(4))
+
+OP13 = rf"""
+WITH RECURSIVE crcs AS ({CRC_TABLE}), c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {CRC32.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS harm FROM conversations, crcs
+), h AS (
+  SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role, CASE WHEN harm = 1 THEN '' WHEN harm = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN harm = 3 THEN [0, 1] ELSE [0] END) AS copy FROM c WHERE harm <> 0
+), o AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS k, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+    left(role, 1) AS initial, rtrim(text, {SPACES}) AS body FROM h
+), p AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS last FROM o
+), t AS (
+  SELECT *, body = '' OR again AS must_go, CASE WHEN NOT (body = '' OR again) AND right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS more FROM p
+), zero AS (SELECT DISTINCT k, CAST(0 AS BIGINT) AS i, '0000000000' AS q0, CAST(NULL AS VARCHAR) AS q1, CAST(NULL AS VARCHAR) AS q2, CAST(NULL AS VARCHAR) AS q3 FROM t
+), z AS (SELECT k, i, {_select(_inserted(_Q))} FROM (SELECT k, i, {_select(_inserted(_Q))} FROM zero)
+), x AS (
+  SELECT k, i, q0, q1, q2, q3 FROM z
+  UNION ALL
+  SELECT k, i, {_select(_inserted(_Q))} FROM (SELECT k, i, {_select(_inserted(_Q))} FROM (SELECT x.k, t.i, {_select(_turned())} FROM x JOIN t ON t.k = x.k AND t.i = x.i + 1))
+), best AS (
+  SELECT k, CAST(left(b, 10) AS BIGINT) AS cost, substr(b, 11) AS audit FROM (SELECT k, least(q0, q3) AS b FROM x QUALIFY row_number() OVER (PARTITION BY k ORDER BY i DESC) = 1)
+), letter AS (
+  SELECT k, unnest(string_split(audit, '')) AS e, unnest(generate_series(1, length(audit))) AS j, (length(audit) - length(replace(audit, 'D', ''))) % 2 <> length(audit) % 2 AS system FROM best WHERE audit <> ''
+), made AS (
+  SELECT *, sum(CASE WHEN e <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY j) AS i, sum(CASE WHEN e <> 'D' THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY j) - CASE WHEN system THEN 1 ELSE 0 END AS place FROM letter
+), repaired AS (
+  SELECT made.k, sha256(string_agg(CASE WHEN e = 'K' THEN t.role WHEN place % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE t.text END, chr(10) ORDER BY j)) AS hash
+  FROM made LEFT JOIN t ON t.k = made.k AND t.i = made.i WHERE e <> 'D' GROUP BY made.k
+), facts AS (
+  SELECT conv_id, k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE body = '') AS blank, count(*) FILTER (WHERE body <> '' AND again) AS duplicate,
+    count(*) FILTER (WHERE more > 0) AS truncated, count(*) FILTER (WHERE last || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM t GROUP BY conv_id, k
+)
+SELECT every.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(hash, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) every LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM every.conv_id LEFT JOIN best USING (k) LEFT JOIN repaired USING (k)
+"""
+
+ORACLES = {"op3_decontamination": OP3, "op4_host_rules": OP4, "op6_line_dedup": OP6, "op8_jaccard_join": OP8, "op11_merkle": OP11, "op13_conversations": OP13}
