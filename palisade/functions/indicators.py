@@ -38,8 +38,9 @@ def defang(text: Column) -> Column:
 
 
 def strip_markdown_link(text: Column) -> Column:
-    """[label](http...) to label."""
-    return F.regexp_replace(text, r"\[([^\]]*)\]\(https?://[^)]*\)", "$1")
+    """[label](http...) to label; white space around a value that is nothing else goes as well."""
+    link = r"\[([^\]]+)\]\(https?://[^)]+\)"
+    return F.regexp_replace(F.regexp_replace(text, rf"^\s*{link}\s*$", "$1"), link, "$1")
 
 
 def hashes_of(text: Column) -> Column:

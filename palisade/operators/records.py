@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -17,76 +18,101 @@ from palisade.functions.text import corrupt_title
 NONE = "cast(array() as array<string>)"
 
 
-def _at(doc: Column, names: tuple[str, ...], parents: tuple[str, ...] = ()) -> Column:
-    """The first of the names that the parsed document has, under the first parent that has it, else at the top."""
-    places = [f"$['{p}']['{n}']" for p in parents for n in names] + [f"$['{n}']" for n in names]
-    return F.coalesce(*[F.try_variant_get(doc, p, "string") for p in places])
-
-
 def _names(field: str) -> tuple[str, ...]:
     return (field, *C.OLD_NAMES.get(field, ()), *C.MORE_NAMES.get(field, ()))
 
 
-def _list(raw: Column) -> Column:
-    """Strings of a JSON value of any kind: a list's items, a string read as a list, another scalar alone; objects as JSON."""
-    items = F.filter(F.from_json(raw, "array<string>"), lambda x: x.isNotNull() & (F.trim(x) != ""))
-    return F.when(raw.isNull() | raw.isin("null", ""), F.expr(NONE)).when(F.startswith(F.ltrim(raw), F.lit("[")) & items.isNotNull(), items).otherwise(as_list(raw))
-
-
-def _scalar(raw: Column) -> Column:
-    joined = F.array_join(F.from_json(raw, "array<string>"), " ")
-    return F.coalesce(F.when(F.startswith(F.ltrim(raw), F.lit("[")) & joined.isNotNull(), joined).when(raw == "null", "").otherwise(F.trim(raw)), F.lit(""))
+def _values(field: str, container: str | None = None) -> str:
+    """SQL of the values (array<variant>) that a field's names have: those in the containers if there are any, else at the top."""
+    there = lambda of: "filter(array(" + ", ".join(of) + "), v -> v is not null and not is_variant_null(v))"
+    top = there([f"_m['{n}']" for n in _names(field)])
+    if container is None:
+        return top
+    inside = there([f"coalesce({container}[0]['{n}'], {container}[1]['{n}'])" for n in _names(field)])
+    return f"get(transform(array({inside}), x -> if(size(x) > 0, x, {top})), 0)"
+
+
+def _strings(value: Column) -> Column:
+    """A list's strings, null of what isn't a list; objects as JSON."""
+    return F.filter(F.try_variant_get(value, "$", "array<string>"), lambda x: x.isNotNull() & (F.trim(x) != ""))
+
+
+def _united(values: Column) -> Column:
+    """The list of a field: of its first name's value, with what the lists of its other names have beyond it; strings are read as lists."""
+    text = F.try_variant_get(F.get(values, 0), "$", "string")
+    lists = F.filter(F.transform(values, _strings), lambda x: x.isNotNull())
+    more = lambda xs: F.concat(F.get(xs, 0), F.array_except(F.flatten(F.slice(xs, 2, 100)), F.get(xs, 0)))
+    # within a list of one, so that it is made once
+    joined = F.get(F.transform(F.array(lists), lambda xs: F.when(F.size(xs) > 0, more(xs))), 0)
+    json_list = F.filter(F.from_json(text, "array<string>"), lambda x: x.isNotNull() & (F.trim(x) != ""))
+    parsed_text = F.coalesce(F.when(F.startswith(F.ltrim(text), F.lit("[")), json_list), as_list(text))
+    return F.when(F.size(values) == 0, F.expr(NONE)).when(_strings(F.get(values, 0)).isNotNull(), joined).otherwise(parsed_text)
+
+
+def _scalar(values: Column) -> Column:
+    first = F.get(values, 0)
+    return F.coalesce(F.array_join(_strings(first), " "), F.trim(F.try_variant_get(first, "$", "string")), F.lit(""))
+
+
+#: Fields in the order of the lists that are made at once, and the columns of their containers.
+_LISTS = (*[(f, "_t") for f in C.TTP_FIELDS], *[(f, None) for f in C.TOP_LISTS], *[(f, "_i") for f in C.IOC_FIELDS])
+_KNOWN = sorted({n for f in (*C.TTP_FIELDS, *C.IOC_FIELDS, *C.TOP_LISTS, *C.TOP_SCALARS, "ttps", "iocs") for n in _names(f)})
+#: How items of a flat list of indicators are told apart, in SQL over v.
+_FITS = {
+    "hashes": f"v rlike r'(?i){C.HASH_PATTERN}'",
+    "ip_addresses": r"replace(v, '[.]', '.') rlike r'^\s*(?:\d{1,3}\.){3}\d{1,3}'",
+    "domains": r"replace(v, '[.]', '.') rlike r'(?i)^\s*(?:[a-z0-9-]+\.)+[a-z]{2,}\s*$'",
+    "urls": rf"v rlike r'(?i)(?:https?|hxxps?)(?:://|\[:\])' and not v rlike r'(?i){C.HASH_PATTERN}'",
+}
+
+
+@lru_cache(maxsize=1)
+def _steps(_gateway: object) -> list[list[Column]]:
+    """The columns of each step of normalize; the same for all documents, so they are put together once a JVM."""
+    as_map = lambda v: f"try_variant_get({v}, '$', 'map<string,variant>')"
+    both = lambda f: "array(" + ", ".join(as_map(f"_m['{n}']") for n in _names(f)[:2]) + ")"
+    flat = F.coalesce(_strings(F.expr("get(" + _values("iocs") + ", 0)")), F.expr(NONE))
+    own = len(_LISTS) - len(C.IOC_FIELDS)
+    joined = [f"concat(_lists[{own + i}], filter(_flat, v -> {_FITS[f]}))" for i, f in enumerate(C.IOC_FIELDS)]
+    m, s = F.col("_m"), F.col("_s")
+    at = {f: F.col("_lists")[i] for i, (f, _) in enumerate(_LISTS)}
+    title, attribution = F.col("_s")[C.TOP_SCALARS.index("title")], F.col("_s")[C.TOP_SCALARS.index("attribution")]
+    iocs = {"hashes": normalize_hashes(at["hashes"]), **{f: F.col("_distinct")[i] for i, f in enumerate(("ip_addresses", "domains", "urls"))}}
+    return [
+        [F.expr(as_map("_v")).alias("_m")],
+        [m, F.expr(both("ttps")).alias("_t"), F.expr(both("iocs")).alias("_i"), F.array(*[F.expr(_values(f)) for f in C.TOP_SCALARS]).alias("_s")],
+        [m, s, F.array(*[F.expr(_values(f, c)) for f, c in _LISTS]).alias("_raw"), flat.alias("_flat")],
+        [m, F.transform("_s", _scalar).alias("_s"), F.transform("_raw", _united).alias("_lists"), F.col("_flat")],
+        [m, s, F.expr(f"concat(slice(_lists, 1, {own}), array({', '.join(joined)}))").alias("_lists")],
+        [m, s, F.transform("_lists", lambda xs: F.transform(without_placeholders(xs), strip_markdown_link)).alias("_lists")],
+        [m, s, F.col("_lists"), F.filter(at["ip_addresses"], lambda v: ~reserved_ip(v)).alias("_ips")],
+        [m, s, F.col("_lists"), F.transform(F.array("_ips", at["domains"], at["urls"]), distinct_ignoring_case).alias("_distinct")],
+        [
+            F.when(corrupt_title(title), "").otherwise(title).alias("title"),
+            F.col("_s")[C.TOP_SCALARS.index("description")].alias("description"),
+            F.when(placeholder(attribution), "").otherwise(attribution).alias("attribution"),
+            *[at[f].alias(f) for f in C.TOP_LISTS],
+            F.struct(*[at[f].alias(f) for f in C.TTP_FIELDS]).alias("ttps"),
+            F.struct(*[iocs[f].alias(f) for f in C.IOC_FIELDS]).alias("iocs"),
+            F.expr(f"to_variant_object(map_filter(_m, (k, v) -> k not in ({', '.join(map(repr, _KNOWN))})))").alias("extras"),
+        ],
+    ]
 
 
 def normalize(docs: DataFrame, document: str = "document") -> DataFrame:
     """docs with the JSON text in `document` replaced by the canonical columns.
 
-    Names are mapped, misplaced fields moved, lists and scalars coerced, then titles checked, placeholders taken out,
-    links stripped, hashes, addresses and lists normalised, in this order. Indicators in a flat list are sorted by kind.
-    Keys that are not part of the schema stay as JSON in `extras`. Each document is parsed once.
+    Old names are mapped: lists under several names of a field are united, of other values the first name's counts; so
+    are the containers' keys. Misplaced fields are moved where they aren't in place as well; lists and scalars are
+    coerced, then titles checked, placeholders taken out, links stripped, hashes, addresses and lists normalised, in this
+    order. Indicators in a flat list are sorted by kind. Keys beyond the schema stay in `extras`, a VARIANT. Nulls count
+    as absent. A document is parsed once, each field's list is made by one expression over all of them.
     """
-    docs = docs.withColumn("_parsed", F.try_parse_json(F.col(document)))
-    d = F.col("_parsed")
-    flat = _list(F.when(F.startswith(F.coalesce(_at(d, _names("iocs")), F.lit("")), F.lit("[")), _at(d, _names("iocs"))))
-    fits = {
-        "hashes": lambda v: v.rlike("(?i)" + C.HASH_PATTERN),
-        "urls": lambda v: v.rlike(r"(?i)(?:https?|hxxps?)(?:://|\[:\])") & ~v.rlike("(?i)" + C.HASH_PATTERN),
-        "ip_addresses": lambda v: F.replace(v, F.lit("[.]"), F.lit(".")).rlike(r"^\s*(?:\d{1,3}\.){3}\d{1,3}"),
-        "domains": lambda v: F.replace(v, F.lit("[.]"), F.lit(".")).rlike(r"(?i)^\s*(?:[a-z0-9-]+\.)+[a-z]{2,}\s*$"),
-    }
-    lists = {f: without_placeholders(_list(_at(d, _names(f), _names("ttps")))) for f in C.TTP_FIELDS}
-    tops = {f: without_placeholders(_list(_at(d, _names(f)))) for f in C.TOP_LISTS}
-    iocs = {f: without_placeholders(F.concat(_list(_at(d, _names(f), _names("iocs"))), F.filter(flat, fits[f]))) for f in C.IOC_FIELDS}
-    clean = lambda xs: F.transform(xs, strip_markdown_link)
-    iocs = {
-        "hashes": normalize_hashes(clean(iocs["hashes"])),
-        "ip_addresses": distinct_ignoring_case(F.filter(clean(iocs["ip_addresses"]), lambda v: ~reserved_ip(v))),
-        "domains": distinct_ignoring_case(clean(iocs["domains"])),
-        "urls": distinct_ignoring_case(clean(iocs["urls"])),
-    }
-    title, attribution = _scalar(_at(d, ("title",))), _scalar(_at(d, ("attribution",)))
-    known = {n for f in (*C.TTP_FIELDS, *C.IOC_FIELDS, *C.TOP_LISTS, *C.TOP_SCALARS, "ttps", "iocs") for n in _names(f)}
-    extras = F.map_filter(F.from_json(F.col(document), "map<string,string>"), lambda k, _: ~k.isin(*sorted(known)))
-    return docs.select(
-        *[F.col(c) for c in docs.columns if c not in (document, "_parsed")],
-        F.when(corrupt_title(title), "").otherwise(title).alias("title"),
-        _scalar(_at(d, _names("description"))).alias("description"),
-        F.when(placeholder(attribution), "").otherwise(attribution).alias("attribution"),
-        *[x.alias(f) for f, x in tops.items()],
-        F.struct(*[x.alias(f) for f, x in lists.items()]).alias("ttps"),
-        F.struct(*[iocs[f].alias(f) for f in C.IOC_FIELDS]).alias("iocs"),
-        F.to_json(extras).alias("extras"),
-    )
-
-
-def _typed(value: str) -> object:
-    """A value of `extras`, which are JSON where they are lists or objects and plain text else."""
-    if value[:1] in "[{":
-        try:
-            return json.loads(value)
-        except ValueError:
-            return value
-    return value
+    keep = [F.col(f"`{c}`") for c in docs.columns if c != document]
+    step = docs.select(*keep, F.try_parse_json(F.col(document)).alias("_v"))
+    for columns in _steps(SparkContext._gateway):
+        step = step.select(*keep, *columns)
+    return step
 
 
 def merged_extras(documents: list[str | None]) -> str:
@@ -97,8 +123,7 @@ def merged_extras(documents: list[str | None]) -> str:
     """
     out: dict = {}
     for text in documents:
-        for key, raw in (json.loads(text) if text else {}).items():
-            value = _typed(raw) if isinstance(raw, str) else raw
+        for key, value in (json.loads(text) if text else {}).items():
             old = out.get(key)
             if value in (None, "", [], {}):
                 continue
@@ -125,7 +150,7 @@ def merge_records(records: DataFrame, key: str, order: str) -> DataFrame:
     from palisade.operators.merge import fold_chunks
 
     flat = records.select(
-        key, order, *C.TOP_SCALARS, *C.TOP_LISTS, F.array("extras").alias("extras"),
+        key, order, *C.TOP_SCALARS, *C.TOP_LISTS, F.array(F.to_json("extras")).alias("extras"),
         *[F.col(f"ttps.{f}").alias(f"ttps_{f}") for f in C.TTP_FIELDS], *[F.col(f"iocs.{f}").alias(f"iocs_{f}") for f in C.IOC_FIELDS],
     )
     lists = (*C.TOP_LISTS, *[f"ttps_{f}" for f in C.TTP_FIELDS], *[f"iocs_{f}" for f in C.IOC_FIELDS])
@@ -134,7 +159,7 @@ def merge_records(records: DataFrame, key: str, order: str) -> DataFrame:
     return m.select(
         key, "n_chunks", *C.TOP_SCALARS, *C.TOP_LISTS,
         F.struct(*[F.col(f"ttps_{f}").alias(f) for f in C.TTP_FIELDS]).alias("ttps"), F.struct(*[tidy(f).alias(f) for f in C.IOC_FIELDS]).alias("iocs"),
-        merge_extras("extras").alias("extras"),
+        F.parse_json(merge_extras("extras")).alias("extras"),
     )
 
 

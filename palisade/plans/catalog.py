@@ -450,6 +450,29 @@ def normalize_records(spark, sf_dir):
     return r.select("p_partkey", "title", F.array_join("iocs.domains", ",").alias("domains"), F.get("malware_families", 0).alias("family"))
 
 
+@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'CVE-2024-1,CVE-2024-' || p_partkey || CASE WHEN p_partkey = 1 THEN '' ELSE ',CVE-2023-7' END WHEN 1 THEN 'CVE-2024-' || p_partkey ELSE 'CVE-2024-1' END AS cves,
+  CASE p_partkey % 3 WHEN 0 THEN 'run ' || p_brand || ',run ' || p_type WHEN 1 THEN 'run ' || p_type ELSE 'run ' || p_brand END AS commands,
+  'HKCU\\' || p_brand AS keys, CASE p_partkey % 3 WHEN 2 THEN 'a' || p_partkey || '.example.test' ELSE '' END AS domains, CASE WHEN p_partkey % 3 = 0 THEN 'x' || p_size ELSE '' END AS extra FROM part""")
+def mixed_names(spark, sf_dir):
+    """Records of mixed models: lists under old and new names, misplaced fields, lists as text, a flat list of indicators, a key beyond the schema."""
+    from palisade.operators import records
+
+    n, kind = F.col("p_partkey").cast("string"), F.col("p_partkey") % 3
+    cve, run, brand = F.concat(F.lit("CVE-2024-"), n), F.concat(F.lit("run "), "p_type"), F.concat(F.lit("run "), "p_brand")
+    key = F.concat(F.lit("HKCU\\"), "p_brand")
+    both = F.struct(
+        F.array(F.lit("CVE-2024-1"), cve).alias("cves"), F.array(F.lit("CVE-2024-1"), F.lit("CVE-2023-7")).alias("CVEs"),
+        F.struct(F.array(brand).alias("command_lines"), F.array(run, brand).alias("commandline")).alias("TTPs"), F.array(key).alias("registry_keys"), F.concat(F.lit("x"), "p_size").alias("note"),
+    )
+    old = F.struct(F.concat(F.lit("- "), cve, F.lit("\n- N/A")).alias("CVEs"), F.array(run).alias("commandline"), F.struct(key.alias("registry_keys")).alias("ttps"))
+    flat = F.struct(F.concat(F.lit("['CVE-2024-1', ]")).alias("cves"), F.array(F.concat(F.lit("a"), n, F.lit(".example.test")), F.lit("10.0.0.1")).alias("iocs"), F.struct(F.array(brand).alias("command_line"), F.array(key).alias("registry_keys")).alias("TTPs"))
+    doc = F.when(kind == 0, F.to_json(both)).when(kind == 1, F.to_json(old)).otherwise(F.to_json(flat))
+    r = records.normalize(table(spark, sf_dir, "part").select("p_partkey", doc.alias("document")))
+    joined = lambda c, name: F.array_join(c, ",").alias(name)
+    extra = F.coalesce(F.try_variant_get("extras", "$.note", "string"), F.lit("")).alias("extra")
+    return r.select("p_partkey", joined("cves", "cves"), joined("ttps.command_lines", "commands"), joined("ttps.registry_keys", "keys"), joined("iocs.domains", "domains"), extra)
+
+
 @query(r"SELECT page_id, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS lang, len(regexp_extract_all(html, '<a [^>]*href=\"')) AS n_links FROM pages")
 def page_parts(spark, sf_dir):
     from palisade.operators.html import page_parts as parts
@@ -509,23 +532,45 @@ def image_texts(spark, sf_dir):
     return joined(p.select(url.alias("url"), idx.alias("idx"), image.alias("image_url")), read)
 
 
-@query("""SELECT s_name || ': ' || s_suppkey AS title, 's' || s_suppkey || '.example.test' AS domains, 'https://e.example.test/' || s_suppkey AS reference, CAST(DATE '2024-02-01' + CAST(s_suppkey % 28 AS INT) AS VARCHAR) AS published FROM supplier""")
-def yaml_corpus(spark, sf_dir):
-    """Records written as YAML files, one each, and read back as a corpus."""
+def _corpus(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a corpus of a record for each part, from 20 sources and 28 days of three months, in one commit."""
     from palisade.operators import records
-    from palisade.sources import corpus
+    from palisade.sources.corpus_source import write_corpus
 
-    n = F.col("s_suppkey").cast("string")
-    doc = F.to_json(F.struct(F.concat_ws(": ", "s_name", n).alias("title"), F.struct(F.array(F.concat(F.lit("s"), n, F.lit(".example.test"))).alias("domains")).alias("iocs")))
-    made = records.normalize(table(spark, sf_dir, "supplier").select("s_suppkey", doc.alias("document")))
-    day = F.date_add(F.lit("2024-02-01").cast("date"), (F.col("s_suppkey") % 28).cast("int"))
-    made = records.enrich(made.withColumn("url", F.concat(F.lit("https://e.example.test/"), F.col("s_suppkey").cast("string"))), "url", day, day.cast("timestamp"))
+    n = F.col("p_partkey")
+    text = n.cast("string")
+    doc = F.to_json(F.struct(F.concat_ws(": ", "p_name", text).alias("title"), F.struct(F.array(F.concat(F.lit("p"), text, F.lit(".example.test"))).alias("domains")).alias("iocs")))
+    made = records.normalize(table(spark, sf_dir, "part").select("p_partkey", doc.alias("document")))
+    day = F.date_add(F.add_months(F.lit("2024-02-01").cast("date"), (n % 3).cast("int")), (n % 28).cast("int"))
+    url = F.concat(F.lit("https://www.e"), (n % 20).cast("string"), F.lit(".example.test/"), text)
     folder = scratch.new_folder(spark, "corpus")
-    corpus.write_yaml(made, folder).write.format("noop").mode("overwrite").save()
-    back = corpus.corpus(corpus.read_files(spark, folder))
+    write_corpus(records.enrich(made.withColumn("url", url), "url", day, day.cast("timestamp")), folder)
+    return folder
+
+
+_PART_DAY = "CAST(DATE '2024-02-01' + INTERVAL (p_partkey % 3) MONTH AS DATE) + CAST(p_partkey % 28 AS INT)"
+
+
+@query(f"""SELECT p_name || ': ' || p_partkey AS title, 'p' || p_partkey || '.example.test' AS domains, 'https://www.e' || p_partkey % 20 || '.example.test/' || p_partkey AS reference, CAST({_PART_DAY} AS VARCHAR) AS published FROM part""")
+def yaml_corpus(spark, sf_dir):
+    """Records written as YAML, many a file, in one commit, and read back as a corpus."""
+    from palisade.sources import corpus, corpus_source
+
+    back = corpus.corpus(corpus_source.documents(corpus_source.read_corpus(spark, _corpus(spark, sf_dir))))
     return back.select("title", F.array_join("iocs.domains", ",").alias("domains"), "reference", F.col("date_of_publication").cast("string").alias("published"))
 
 
+@query(f"""SELECT 'e' || p_partkey % 20 || '.example.test' AS source, CAST(month({_PART_DAY}) AS INT) AS month, count(*) AS n, max(p_name) AS last FROM part
+  WHERE p_partkey % 20 IN (3, 4) AND month({_PART_DAY}) = 3 GROUP BY ALL""")
+def corpus_of_a_month(spark, sf_dir):
+    """What two sources wrote in a month: only files that may hold it are opened."""
+    from palisade.sources import corpus_source
+
+    rows = corpus_source.read_corpus(spark, _corpus(spark, sf_dir)).where("year = 2024 and month = 3 and source in ('e3.example.test', 'e4.example.test')")
+    title = F.regexp_extract("text", r"(?m)^title: '?([^:]*):", 1)
+    return rows.groupBy("source", "month").agg(F.count("*").alias("n"), F.max(title).alias("last"))
+
+
 @query("SELECT event_id, 'https://feed.example.test/' || event_id AS link, CAST(date_trunc('second', ts) AS TIMESTAMP) AS published FROM events")
 def feed_entries(spark, sf_dir):
     from palisade.sources.feeds import feed_entries as entries

@@ -31,7 +31,7 @@ def corpus(files: DataFrame) -> DataFrame:
     good = files.where("document is not null")
     at = lambda *names: F.coalesce(*[F.get_json_object("document", f"$['{n}']") for n in names])
     good = good.withColumns({"reference": at("reference"), "date_of_publication": any_date(at("date_of_publication", "date")), "file_creation_date": any_date(at("file_creation_date"))})
-    return records.normalize(good.drop("raw"))
+    return records.normalize(good.drop("raw", "text"))
 
 
 def write_records(df: DataFrame, folder: str) -> None:
