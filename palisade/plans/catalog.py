@@ -275,6 +275,16 @@ def occurrences(spark, sf_dir):
     return found(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("""WITH t AS (SELECT DISTINCT w AS term FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS w FROM benchmark) WHERE length(w) >= 6)
+SELECT doc_id, term, CAST(strpos(s, term) AS BIGINT) AS first FROM (SELECT doc_id, lower(text) AS s FROM documents) JOIN t ON contains(s, term)""")
+def dictionary_terms(spark, sf_dir):
+    """Which documents hold which longer words of the benchmark, as parts of words too, and where first."""
+    from palisade.operators.dictionary import term_matches
+
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("term")).where("length(term) >= 6")
+    return term_matches(table(spark, sf_dir, "documents"), words).select("doc_id", "term", "first")
+
+
 def _fang_sql(x: str) -> str:
     return f"replace(replace(replace(replace(replace({x}, '[.]', '.'), '[:]', ':'), 'hxxp://', 'http://'), 'hxxps://', 'https://'), '[/', '/')"
 
@@ -621,3 +631,52 @@ def stream_ingest(spark, sf_dir):
         feeds = _event_stream(spark, sf_dir).select(F.lit("s").alias("source"), xml.alias("xml"))
         ingest(fresh_entries(feeds, F.lit("2024-01-17").cast("date")), f"{at}/done", starts, f"{at}/state{again}").awaitTermination()
     return processed_urls(spark, f"{at}/done").select("url_norm")
+
+
+@query("""WITH e AS (SELECT user_id, event_id, coalesce(epoch_us(ts) // 1000, 0) AS ms, 'https://u' || user_id || '.example.test/' || event_id AS link FROM events WHERE user_id IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ms, link) AS i FROM e),
+s AS (SELECT link, max(ms - i * 600000) OVER (PARTITION BY user_id ORDER BY i) + i * 600000 AS slot FROM n)
+SELECT link, slot FROM s WHERE slot <= (SELECT max(epoch_us(ts) // 1000) FROM events)""")
+def stream_pace(spark, sf_dir):
+    """Links of each user's own host, ten minutes apart at least, handed out by timers on the watermark: all whose slots have come."""
+    from palisade.streaming.timers import paced_links
+
+    at = scratch.new_folder(spark, "pace")
+    link = F.format_string("https://u%d.example.test/%d", "user_id", "event_id")
+    stream = _event_stream(spark, sf_dir).where("user_id is not null").select(link.alias("link"), F.col("ts").cast("timestamp").alias("ts")).withWatermark("ts", "0 seconds")
+    slots = paced_links(stream, 600, ttl=10**9, at="ts").select("link", F.unix_millis("slot").alias("slot"))
+    slots.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("link string, slot long").parquet(f"{at}/out")
+
+
+@query("""SELECT 'https://feed.example.test/' || user_id || '/' || event_type AS url, CAST(count(*) AS INT) AS attempts FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL GROUP BY ALL HAVING count(*) >= 5""")
+def stream_dead_letters(spark, sf_dir):
+    """Failed links as a stream of outcomes: those that failed five times are dead, the others wait for their retry."""
+    from palisade.streaming.timers import retries
+
+    at = scratch.new_folder(spark, "retries")
+    url = F.format_string("https://feed.example.test/%d/%s", "user_id", "event_type")
+    failed = _event_stream(spark, sf_dir).where("user_id is not null and event_type is not null").select(url.alias("url"), F.lit("failed").alias("outcome"), F.lit("timeout").alias("reason"))
+    found = retries(failed, first=3600, attempts=5)
+    # one batch: with processing time there is always another one, as timers may be due
+    found.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(once=True).start().awaitTermination()
+    return spark.read.schema("url string, attempts int, what string, reason string").parquet(f"{at}/out").where("what = 'dead'").select("url", "attempts")
+
+
+@query("SELECT 'https://e' || event_id || '.example.test/' || event_type AS link, CAST(event_id // 500 AS VARCHAR) AS feed FROM events")
+def live_feed_entries(spark, sf_dir):
+    """Entries of feeds that are polled twice: they are served from a folder, 500 entries each, and send nothing new the second time."""
+    from palisade.sources.feeds import feed_entries as entries
+    from palisade.sources.live_feeds import folder_transport, live_feeds
+
+    at = scratch.new_folder(spark, "feeds")
+    item = F.format_string("<item><title>t</title><link>https://e%d.example.test/%s</link></item>", "event_id", "event_type")
+    e = table(spark, sf_dir, "events").select(F.expr("event_id div 500").alias("feed"), F.col("event_id"), item.alias("item"))
+    served = e.groupBy("feed").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "item"))), lambda x: x["item"]), "").alias("items"))
+    served.select("feed", F.concat(F.lit("<rss><channel>"), "items", F.lit("</channel></rss>")).alias("value")).write.partitionBy("feed").text(f"{at}/served")
+    served.select(F.concat(F.lit("https://feeds.example.test/feed="), "feed")).coalesce(1).write.text(f"{at}/list")
+    for _ in range(2):
+        stream = live_feeds(spark, f"{at}/list", f"{at}/memory", interval=0.001, transport=folder_transport(f"{at}/served"))
+        found = entries(stream).select("link", F.regexp_extract("source", r"feed=(\d+)$", 1).alias("feed"))
+        found.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("link string, feed string").parquet(f"{at}/out")

@@ -127,9 +127,8 @@ class LiveFeedReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         if start == end:
             return []
-        system, path = fs.FileSystem.from_uri(self.list)
-        with system.open_input_stream(path) as f:
-            feeds = sorted({x.strip() for x in f.read().decode().splitlines() if x.strip()}, key=lambda x: (urlsplit(x).hostname or "", x))
+        lines = read_text(self.list).splitlines()
+        feeds = sorted({x.strip() for x in lines if x.strip()}, key=lambda x: (urlsplit(x).hostname or "", x))
         n = -(-len(feeds) // FEEDS_PER_TASK)  # dealt in turn, so that a host's feeds go to different tasks
         return [Feeds(feeds[i::n], start["round"], end["round"]) for i in range(n)]
 
@@ -171,6 +170,30 @@ class LiveFeedReader(DataSourceStreamReader):
         return pa.RecordBatch.from_arrays(columns, ["source", "round", "status", "xml"])
 
 
+def read_text(uri: str) -> str:
+    """A text file, or the visible files of a folder that Spark wrote, joined."""
+    system, path = fs.FileSystem.from_uri(uri)
+    paths = [path]
+    if system.get_file_info(path).type == fs.FileType.Directory:
+        paths = sorted(x.path for x in system.get_file_info(fs.FileSelector(path)) if x.is_file and x.base_name[0] not in "._")
+    out = []
+    for p in paths:
+        with system.open_input_stream(p) as f:
+            out.append(f.read().decode())
+    return "".join(out)
+
+
+def folder_transport(uri: str) -> Transport:
+    """Answers from a shared folder, by the last part of a URL's path, with an ETag: for feeds that are mirrored, and for tests."""
+
+    def call(url: str, headers: dict[str, str], timeout: float) -> tuple[int, dict[str, str], str]:
+        body = read_text(f"{uri}/{url.rpartition('/')[2]}")
+        tag = hashlib.sha256(body.encode()).hexdigest()
+        return (304, {}, "") if headers.get("If-None-Match") == tag else (200, {"etag": tag}, body)
+
+    return call
+
+
 def _no_answer(*_: object) -> tuple[int, dict[str, str], str]:
     raise TimeoutError
 
@@ -185,7 +208,7 @@ def requests_transport(url: str, headers: dict[str, str], timeout: float) -> tup
 def live_feeds(spark: SparkSession, feeds: str, state: str, interval: float = 60, timeout: float = 20, transport: Transport = requests_transport) -> DataFrame:
     """A stream of (source, round, status, xml): xml has a feed's new items, and is null where there are none or it failed (status 0).
 
-    feeds: a file with a URL a line, state: a folder, both shared; interval: seconds between two rounds.
+    feeds: a file with a URL a line, or a folder of such, state: a folder, both shared; interval: seconds between two rounds.
     """
 
     class LiveFeeds(DataSource):
