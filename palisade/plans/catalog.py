@@ -618,8 +618,8 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT DISTINCT 'https://feed.example.test/' || user_id % 50 || '/' || event_type AS url_norm FROM events WHERE ts IS NULL OR CAST(ts AS DATE) >= DATE '2024-01-10'")
 def stream_ingest(spark, sf_dir):
-    """Feeds as a stream: recent entries once each, appended to the processed table batch by batch; read twice, written once."""
-    from palisade.sources.lists import processed_urls
+    """Feeds as a stream: recent entries once each, added to the processed set batch by batch; read twice, written once."""
+    from palisade.sources.processed import ProcessedSet
     from palisade.streaming.ingest import fresh_entries, ingest
 
     at = scratch.new_folder(spark, "ingest")
@@ -630,7 +630,7 @@ def stream_ingest(spark, sf_dir):
     for again in range(2):
         feeds = _event_stream(spark, sf_dir).select(F.lit("s").alias("source"), xml.alias("xml"))
         ingest(fresh_entries(feeds, F.lit("2024-01-17").cast("date")), f"{at}/done", starts, f"{at}/state{again}").awaitTermination()
-    return processed_urls(spark, f"{at}/done").select("url_norm")
+    return ProcessedSet(spark, f"{at}/done").urls().select("url_norm")
 
 
 @query("""WITH e AS (SELECT user_id, event_id, coalesce(epoch_us(ts) // 1000, 0) AS ms, 'https://u' || user_id || '.example.test/' || event_id AS link FROM events WHERE user_id IS NOT NULL),

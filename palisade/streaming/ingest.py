@@ -13,7 +13,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from palisade.functions import urls
 from palisade.functions.dates import recent
 from palisade.sources.feeds import feed_entries
-from palisade.sources.lists import append_processed, processed_urls
+from palisade.sources.lists import markable
+from palisade.sources.processed import ProcessedSet
 
 
 def fresh_entries(stream: DataFrame, today: F.Column, days: int = 7) -> DataFrame:
@@ -37,13 +38,12 @@ def paced_slots(entries: DataFrame, delay: float) -> DataFrame:
     return hosts.groupBy("host").applyInPandasWithState(run, "host string, link string, slot double", "slot double", "append", GroupStateTimeout.NoTimeout)
 
 
-def ingest(entries: DataFrame, processed_path: str, starts: DataFrame, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Appends new entries' URLs to the processed table, batch by batch; a batch that is run again adds nothing."""
+def ingest(entries: DataFrame, processed: str, starts: DataFrame, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Adds new entries' URLs to the processed set in a shared folder, batch by batch; a batch that is run again adds nothing."""
 
     def save(batch: DataFrame, _: int) -> None:
-        known = processed_urls(batch.sparkSession, processed_path).select("url_norm")
-        new = batch.join(known, "url_norm", "left_anti").select(F.col("link").alias("url"), F.lit("queued").alias("outcome"))
-        append_processed(new, processed_path, starts)
+        queued = batch.select(F.col("link").alias("url"), F.lit("queued").alias("outcome"))
+        ProcessedSet(batch.sparkSession, processed).add(markable(queued, starts))
 
     writer = entries.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).outputMode("append")
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()

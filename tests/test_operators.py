@@ -11,6 +11,7 @@ from palisade.operators import fetch, html, images, links, merge, metrics, recor
 from palisade.operators.yaml_repair import extract
 from palisade.plans import articles
 from palisade.sources import corpus, feeds, lists
+from palisade.sources.processed import ProcessedSet
 from palisade.streaming import ingest
 
 DOC = "title: Foo\nttps:\n  processes: [cmd.exe]\n"
@@ -241,7 +242,7 @@ def test_stream(spark, tmp_path):
         q = ingest.ingest(ingest.fresh_entries(stream, today), str(tmp_path / "done"), starts, str(tmp_path / "state"), available_now=False)
         q.processAllAvailable()
         q.stop()
-        return sorted(r.url_norm for r in lists.processed_urls(spark, str(tmp_path / "done")).collect())
+        return sorted(r.url_norm for r in ProcessedSet(spark, str(tmp_path / "done")).urls().collect())
 
     assert poll() == ["https://e.test/a", "https://e.test/b"]
     (folder / "two.xml").write_text(ATOM.replace("</feed>", '<entry><link href="https://e.test/a"/></entry></feed>'))
