@@ -118,4 +118,5 @@ TRANSIENT_ERRORS = (
 )
 PAGE_TIMEOUT, IMAGE_TIMEOUT, PROBE_TIMEOUT, MODEL_TIMEOUT = 20, 10, 5, 120
 RETRY_PAUSE = 3.0
+READ_BUDGET = 60.0
 TEMPERATURE, MAX_OUTPUT_TOKENS = 0.2, 6_500

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import time
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -49,14 +51,16 @@ class Node:
 class Tree(HTMLParser):
     """Lenient: an end tag closes up to its start tag if there is one open, void tags never open."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, clock: Clock):
         super().__init__(convert_charrefs=True)
+        self.clock = clock
         self.root = self.at = Node("", {}, None)
         self.depth: dict[str, int] = {}
         self.feed(html)
         self.close()
 
     def handle_starttag(self, tag, attrs):
+        self.clock.tick()
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.children.append(node)
         if tag not in VOID:
@@ -67,6 +71,7 @@ class Tree(HTMLParser):
         self.at.children.append(Node(tag, {k: v or "" for k, v in attrs}, self.at))
 
     def handle_endtag(self, tag):
+        self.clock.tick()
         if not self.depth.get(tag):
             return
         while self.at.tag != tag:
@@ -83,6 +88,8 @@ _CHROME = re.compile(C.CHROME_NAMES, re.I)
 _ROOT_CLASS, _ROOT_WHOLE = re.compile(C.ROOT_CLASS, re.I), re.compile(C.ROOT_CLASS_WHOLE, re.I)
 
 
+#: Names of an article's parts besides those of its root.
+_CONTENT = re.compile(r"article|body|content|entry|main|post|story|text", re.I)
 #: Characters of running text that make a part of a page its article.
 MIN_TEXT = 200
 
@@ -107,21 +114,81 @@ def article_root(root: Node) -> Node:
     return root
 
 
-def densest(root: Node) -> Node | None:
-    """The node that holds most running text outside links: each paragraph counts for its parent, and half for the one above.
+class Clock:
+    """The time that a page may take: `tick` raises TimeoutError once it is over."""
 
-    None if no node has as much text as MIN_TEXT.
+    def __init__(self, budget: float, now=time.monotonic):
+        self.now, self.end, self.ticks = now, now() + budget, 0
+
+    def tick(self, every: int = 256) -> None:
+        self.ticks += 1
+        if self.ticks % every == 0 and self.now() > self.end:
+            raise TimeoutError
+
+
+def class_weight(n: Node) -> int:
+    """What a node's names promise: 25 for an article's content, -25 for the like of navigation and comments."""
+    names = [*classes(n), n.attrs.get("id", "")]
+    good = any(_ROOT_CLASS.search(x) or _ROOT_WHOLE.fullmatch(x) or _CONTENT.search(x) for x in names)
+    return 25 * (good - any(_CHROME.search(x) for x in names if x))
+
+
+def main_content(root: Node, clock: Clock) -> Node | None:
+    """The part of a page that reads like an article, as a node of its own; None if no part has MIN_TEXT characters of it.
+
+    Each block of running text scores by its length and commas for the three nodes around it, the nearer the more. What a
+    node has is weighed by its names and tag, and by how much of its text isn't links. The best node is joined by those of
+    its neighbours that score well themselves or are paragraphs of plain sentences, as articles are often split.
     """
-    scores: dict[int, tuple[float, Node]] = {}
+    measured: dict[int, tuple[int, int]] = {}  # characters of text, and of links, below a node
+    order = []
     for n in root.walk():
-        if n.tag in ("p", "pre", "blockquote", "td", "li") and n.parent is not None:
-            linked = sum(len(a.text(" ")) for a in n.walk() if a.tag == "a")
-            weight = len(n.text(" ")) - 2 * linked
-            for above, share in ((n.parent, 1.0), (n.parent.parent, 0.5)):
-                if above is not None and above.tag and weight > 0:
-                    scores[id(above)] = (scores.get(id(above), (0.0,))[0] + share * weight, above)
-    best = max(scores.values(), key=lambda x: x[0], default=(0.0, None))
-    return best[1] if best[0] >= MIN_TEXT else None
+        clock.tick()
+        order.append(n)
+    for n in reversed(order):  # what is below a node comes after it
+        clock.tick()
+        own = sum(len(c.strip()) for c in n.children if isinstance(c, str)) if n.tag not in RAW else 0
+        some = [measured[id(c)] for c in n.children if isinstance(c, Node)]
+        text = own + sum(t for t, _ in some)
+        measured[id(n)] = (text, text if n.tag == "a" else sum(x for _, x in some))
+    plain = lambda n: 1 - measured[id(n)][1] / max(1, measured[id(n)][0])
+    scores: dict[int, float] = {}
+    nodes: dict[int, Node] = {}
+    for n in order:
+        clock.tick()
+        block = n.tag in ("p", "pre", "blockquote", "td", "li") or (n.tag in ("div", "section") and not any(isinstance(c, Node) and c.tag in BLOCK for c in n.children))
+        length = measured[id(n)][0]
+        if not block or length < 25:
+            continue
+        score = 1 + min(length / 100, 10) + n.text(" ").count(",")
+        above = n.parent
+        for share in (1.0, 0.5, 1 / 3):
+            if above is None or not above.tag or above.tag in ("html", "body") and share < 1:
+                break
+            if id(above) not in scores:
+                scores[id(above)] = class_weight(above) + (5 if above.tag in ("div", "section") else -3 if above.tag in ("ul", "ol", "form", "table") else 0)
+                nodes[id(above)] = above
+            scores[id(above)] += share * score
+            above = above.parent
+    final = {k: v * plain(nodes[k]) for k, v in scores.items()}
+    if not final:
+        return None
+    best = nodes[max(final, key=final.__getitem__)]
+    least, kept = max(10.0, 0.2 * final[id(best)]), []
+    for n in best.parent.children if best.parent is not None else [best]:
+        clock.tick()
+        if not isinstance(n, Node):
+            continue
+        text, _ = measured[id(n)]
+        alike = 0.2 * final[id(best)] if best.attrs.get("class") and n.attrs.get("class") == best.attrs["class"] else 0
+        sentence = n.tag in ("p", "pre", "blockquote") and ((text > 80 and plain(n) > 0.75) or (plain(n) == 1 and re.search(r"\.(?:\s|$)", n.text(" "))))
+        if n is best or final.get(id(n), 0) + alike >= least or sentence or (n.tag in ("h1", "h2") and plain(n) > 0.75 and text):
+            kept.append(n)
+    if sum(measured[id(n)][0] - measured[id(n)][1] for n in kept) < MIN_TEXT:
+        return None
+    out = Node("div", {}, None)
+    out.children = kept
+    return out
 
 
 def without_chrome(root: Node) -> Node:
@@ -133,8 +200,18 @@ def without_chrome(root: Node) -> Node:
     return root
 
 
-def parts(html: str | None) -> dict:
-    tree = Tree(html or "").root
+def parts(html: str | None, budget: float = C.READ_BUDGET) -> dict:
+    """A page's parts. A page that takes more than `budget` seconds is given as its bare text, without parts."""
+    try:
+        return _parts(html or "", Clock(budget))
+    except TimeoutError:
+        bare = re.sub(r"(?is)<(script|style|template|noscript)\b.*?</\1\s*>|<[^>]*>", "\n", html)
+        body = "\n".join(t for t in map(str.strip, unescape(bare).splitlines()) if t)
+        return dict.fromkeys(_FIELDS) | {"feeds": [], "links": [], "images": [], "body": body, "code": "", "tables": ""}
+
+
+def _parts(html: str, clock: Clock) -> dict:
+    tree = Tree(html, clock).root
     nodes = list(tree.walk())
     first = lambda test: next((n for n in nodes if test(n)), None)
     links = [{"href": n.attrs["href"], "text": n.text(" ")} for n in nodes if n.tag == "a" and n.attrs.get("href")]
@@ -147,7 +224,7 @@ def parts(html: str | None) -> dict:
     found = article_root(tree)
     root = without_chrome(found)
     if found is tree:  # nothing says where the article is: where most of its text stands, else the whole page
-        root = densest(tree) or tree
+        root = main_content(tree, clock) or tree
     code, tables, images = [], [], []
     for n in root.walk():
         if n.tag in ("pre", "code", "kbd", "samp") and len(t := n.text("\n")) >= 3:

@@ -500,11 +500,12 @@ def article_texts(spark, sf_dir):
     return articles(pages, None, F.lit("2024-01-30").cast("date")).withColumn("n_chars", F.char_length("text")).drop("text")
 
 
-_WORDS_OF = "'The malware of ' || p_name || ' runs a backdoor.'"
+_WORDS_OF = "'The malware of ' || p_name || ' runs a backdoor, and its payload runs again.'"
 
 
 @query(f"""SELECT 'https://blog.example.test/2024/02/' || lpad(CAST(p_partkey % 28 + 1 AS VARCHAR), 2, '0') || '/x' || p_partkey AS url,
-  '=== ARTICLE BODY ===' || p_name || {_WORDS_OF} || 'run ' || p_type || CASE WHEN p_partkey % 4 = 0 THEN 'k' || p_brand ELSE '' END || '=== CODE BLOCKS ===run ' || p_type || '=== TABLES ===' || CASE WHEN p_partkey % 4 = 0 THEN 'k' || p_brand ELSE '' END AS text,
+  '=== ARTICLE BODY ===' || p_name || CASE WHEN p_partkey % 5 = 4 THEN repeat({_WORDS_OF}, 6) ELSE {_WORDS_OF} END || 'run ' || p_type || CASE WHEN p_partkey % 4 = 0 THEN 'k' || p_brand ELSE '' END
+    || '=== CODE BLOCKS ===run ' || p_type || '=== TABLES ===' || CASE WHEN p_partkey % 4 = 0 THEN 'k' || p_brand ELSE '' END AS text,
   CASE WHEN p_partkey % 3 = 0 THEN '2023-05-06' WHEN p_partkey % 3 = 1 THEN '2022-07-08' ELSE CAST(DATE '2024-02-01' + CAST(p_partkey % 28 AS INT) AS VARCHAR) END AS published,
   CASE p_partkey % 3 WHEN 0 THEN 'time' WHEN 1 THEN 'meta' ELSE 'url' END AS date_source, true AS report FROM part""")
 def made_articles(spark, sf_dir):
@@ -512,13 +513,15 @@ def made_articles(spark, sf_dir):
     from palisade.plans.articles import articles
 
     n = F.col("p_partkey")
-    said = F.concat(F.lit("The malware of "), "p_name", F.lit(" runs a backdoor."))
+    said = F.concat(F.lit("The malware of "), "p_name", F.lit(" runs a backdoor, and its payload runs again."))
     grid = F.when(n % 4 == 0, F.concat(F.lit("<table><tr><th>k</th><td>"), "p_brand", F.lit("</td></tr></table>"))).otherwise("")
-    inside = F.concat(F.lit("<h1>"), "p_name", F.lit("</h1><p>"), said, F.lit("</p><div class='share-buttons'>tell all</div><pre>run "), "p_type", F.lit("</pre>"), grid)
-    layouts = (("<article>", "</article>"), ("<main>", "</main>"), ("<div role='main'>", "</div>"), ("<div class='post-content'>", "</div>"))
+    paragraph = F.concat(F.lit("<p>"), said, F.lit("</p>"))
+    inside = F.concat(F.lit("<h1>"), "p_name", F.lit("</h1>"), F.when(n % 5 == 4, F.repeat(paragraph, F.lit(6))).otherwise(paragraph), F.lit("<div class='share-buttons'>tell all</div><pre>run "), "p_type", F.lit("</pre>"), grid)
+    elsewhere = "".join(f"<div><a href='/{i}'>More of what others read, {i}</a></div>" for i in range(9))
+    layouts = (("<article>", "</article>"), ("<main>", "</main>"), ("<div role='main'>", "</div>"), ("<div class='post-content'>", "</div>"), (f"<div>{elsewhere}</div><div>", f"</div><div>{elsewhere}</div>"))
     body = F.lit(None).cast("string")
     for i, (start, end) in enumerate(layouts):
-        body = F.when(n % 4 == i, F.concat(F.lit(start), inside, F.lit(end))).otherwise(body)
+        body = F.when(n % 5 == i, F.concat(F.lit(start), inside, F.lit(end))).otherwise(body)
     time = F.when(n % 3 == 0, "<time datetime='2023-05-06T01:02:03Z'></time>").otherwise("")
     meta = F.when(n % 3 < 2, "<meta name='date' content='2022-07-08'>").otherwise("")
     html = F.concat(F.lit("<html><head><title>t</title>"), meta, F.lit("</head><body><nav><a href='/n'>elsewhere</a></nav>"), time, body, F.lit("<footer>legal</footer></body></html>"))
