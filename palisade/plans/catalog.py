@@ -683,3 +683,45 @@ def live_feed_entries(spark, sf_dir):
         found = entries(stream).select("link", F.regexp_extract("source", r"feed=(\d+)$", 1).alias("feed"))
         found.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("link string, feed string").parquet(f"{at}/out")
+
+
+@query("""SELECT doc_id, lang, CAST(i AS INT) AS chunk_idx, length(substr(text, i * 900 + 1, 1000)) AS n_chars, md5(substr(text, i * 900 + 1, 1000)) AS digest
+  FROM (SELECT doc_id, lang, text, unnest(generate_series(0, CAST(floor((length(text) - 1) / 900) AS BIGINT))) AS i FROM documents WHERE length(text) > 0)""")
+def sql_chunks(spark, sf_dir):
+    """A table function in SQL: chunks of documents with the columns beside them."""
+    from palisade.functions.tables import register
+
+    register(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return spark.sql("SELECT doc_id, lang, chunk_idx, length(chunk) AS n_chars, md5(CAST(chunk AS BINARY)) AS digest FROM text_chunks(TABLE(SELECT * FROM {docs}), 'text', 1000, 100)", docs=docs)
+
+
+_SQL_KINDS = " UNION ALL ".join(f"SELECT doc_id, lang, '{k}' AS kind, unnest(regexp_extract_all(text, '(?i){p}')) AS value FROM documents" for k, p in _KINDS.items())
+
+
+@query(f"SELECT doc_id, lang, kind, value, count(*) AS n, count(DISTINCT doc_id) AS n_rows FROM ({_SQL_KINDS}) GROUP BY ALL")
+def sql_indicators(spark, sf_dir):
+    """A table function in SQL over partitions: the distinct indicators of each document."""
+    from palisade.functions.tables import register
+
+    register(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return spark.sql("SELECT * FROM table_indicators(TABLE(SELECT doc_id, lang, text FROM {docs}) PARTITION BY (doc_id, lang), 'text')", docs=docs)
+
+
+@query("""SELECT counter, n FROM (SELECT count(*) AS n_rows, count(*) FILTER (WHERE value > 10) AS large, count(*) FILTER (WHERE props IS NULL) AS empty FROM events) UNPIVOT (n FOR counter IN (n_rows, large, empty))""")
+def stream_metrics(spark, sf_dir):
+    """Counters of a stream's rules, taken while it runs, from the log that its listener writes."""
+    from palisade.operators import metrics
+
+    at = scratch.new_folder(spark, "metrics")
+    listener = metrics.MetricsLog(f"{at}/log")
+    spark.streams.addListener(listener)
+    try:
+        seen = metrics.observed_stream(_event_stream(spark, sf_dir), "events", large=F.col("value") > 10, empty=F.col("props").isNull())
+        q = seen.writeStream.format("noop").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+        metrics.wait_for_log(spark, f"{at}/log", str(q.id), q.lastProgress.batchId if q.lastProgress else -1)
+    finally:
+        spark.streams.removeListener(listener)
+    return metrics.read_log(spark, f"{at}/log").groupBy("counter").agg(F.sum("n").alias("n"))
