@@ -45,6 +45,8 @@ PAIR_LIMIT = 300
 #: Bytes of sets verified in one task; a candidate component of more is dealt over several.
 CLUSTER_BYTES = 8 << 20
 LARGE_BYTES = 64 << 20
+#: Words of 64 bits of a set's map.
+MAP_WORDS = 8
 #: Sets of a list that one task compares with as many others.
 LIST_BLOCK = 2_000
 
@@ -131,10 +133,31 @@ class Index:
         self.size = np.array([len(s) for s in sets], np.int64)
         self.tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
         self.begin = np.concatenate(([0], np.cumsum(self.size)))
+        self.shared = self.size  # tokens that another set may have
+        self.bits = np.zeros((len(sets), MAP_WORDS), np.uint64)  # a bit for each token's place in a small map
+        spread = mix(self.tokens)
+        owner = np.repeat(np.arange(len(sets)), self.size)
+        place = (spread >> np.uint64(6)) % np.uint64(MAP_WORDS)
+        np.bitwise_or.at(self.bits.reshape(-1), owner * MAP_WORDS + place.astype(np.int64), np.uint64(1) << (spread & np.uint64(63)))
 
     def set(self, i: int) -> np.ndarray:
         return self.tokens[self.begin[i] : self.begin[i + 1]]
 
+    def able(self, members: np.ndarray, percent: int) -> np.ndarray:
+        """Those of a list that share enough tokens with others to be similar to the smallest one of it that fits."""
+        n = self.size[members]
+        least = np.maximum(n.min(), -(-percent * n // 100))
+        return members[(100 + percent) * self.shared[members] >= percent * (n + least)]
+
+    def may(self, i: int, among: np.ndarray, percent: int) -> np.ndarray:
+        """Those of `among` that sizes and maps don't rule out: sets differ in as many tokens as their maps differ in bits, at least."""
+        n, m = self.size[i], self.size[among]
+        among = among[100 * np.minimum(m, n) >= percent * np.maximum(m, n)]
+        if not len(among):
+            return among
+        both = (n + self.size[among] - np.bitwise_count(self.bits[among] ^ self.bits[i]).sum(axis=1, dtype=np.int64)) // 2
+        return among[100 * both >= percent * (self.size[among] + n - both)]
+
     def near(self, one: np.ndarray, among: np.ndarray, percent: int) -> np.ndarray:
         """Those of `among` with 100 * intersection >= percent * union."""
         n, size = len(one), self.size
@@ -170,15 +193,16 @@ class Classes:
 
 
 def compare_lists(index: Index, lists: list[np.ndarray], classes: Classes, percent: int) -> None:
-    """Joins the classes of all similar sets that share a list; sets of one class aren't compared, nor a pair twice."""
+    """Joins the classes of all similar sets that share a list; sets of one class aren't compared, nor a pair twice; most others are ruled out by their maps."""
     tried: dict[int, np.ndarray] = {}
     for members in lists:
+        members = index.able(members, percent)
         label = classes.label[members]
-        if (label == label[0]).all():
+        if len(members) < 2 or (label == label[0]).all():
             continue
         for i, r in enumerate(members[:-1].tolist()):
             others = members[i + 1 :]
-            others = others[classes.label[others] != classes.label[r]]
+            others = index.may(r, others[classes.label[others] != classes.label[r]], percent)
             if r in tried:
                 others = others[~member(tried[r], others)]
             if len(others):
@@ -191,6 +215,7 @@ def linked(sets: list[np.ndarray], percent: int) -> list[list[int]]:
     index, classes = Index(sets), Classes(np.arange(len(sets)))
     owner = np.repeat(np.arange(len(sets)), index.size)
     _, token, times = np.unique(index.tokens, return_inverse=True, return_counts=True)
+    index.shared = np.bincount(owner, times[token] > 1, len(sets)).astype(np.int64)
     order = np.lexsort((token, times[token], owner))  # each set's shingles, those that are rarest here first
     place = np.arange(len(order)) - np.repeat(index.begin[:-1], index.size)
     order = order[(place < np.repeat(prefix_length(index.size, percent), index.size)) & (times[token[order]] > 1)]
