@@ -725,3 +725,29 @@ def stream_metrics(spark, sf_dir):
     finally:
         spark.streams.removeListener(listener)
     return metrics.read_log(spark, f"{at}/log").groupBy("counter").agg(F.sum("n").alias("n"))
+
+
+@query("""SELECT 'https://img.example.test/' || p_partkey || '/' || substr(p_brand, 7) || '/' || p_size AS image_url,
+  CASE WHEN p_partkey % 11 = 0 THEN 'failed' WHEN p_size < 10 THEN 'too small' END AS skipped,
+  CASE WHEN p_partkey % 11 = 0 OR p_size < 10 THEN '' ELSE 'The beacon of brand ' || substr(p_brand, 7) || ' reaches its server every hour' END AS text FROM part""")
+def image_memo(spark, sf_dir):
+    """Images of parts, read in two runs with a memo: the second fetches what is new and what failed, and recognises no bytes twice."""
+    import numpy as np
+
+    from palisade.operators.images import read_remembered
+
+    def fetch(url: str) -> tuple[int, str, bytes]:
+        key, brand, size = url.split("/")[-3:]
+        return (500 if int(key) % 11 == 0 else 200), "image/png", f"{brand} {size}".encode()
+
+    def decode(content: bytes) -> np.ndarray:
+        brand, size = content.decode().split()
+        return np.full((300, 150 if int(size) < 10 else 600, 1), int(brand), np.uint8)
+
+    say = lambda pixels: f"The beacon of brand {int(pixels.flat[0])} reaches its server every hour"
+    number = F.regexp_extract("p_brand", r"(\d+)$", 1)
+    images = table(spark, sf_dir, "part").select(F.concat_ws("/", F.lit("https://img.example.test"), F.col("p_partkey").cast("string"), number, F.col("p_size").cast("string")).alias("image_url"), "p_partkey")
+    memo = f"{scratch.new_folder(spark, 'memo')}/images"
+    read_remembered(images.where("p_partkey % 2 = 0"), memo, fetch, say, decode, lambda x: x)
+    again = read_remembered(images, memo, fetch, say, decode, lambda x: x)
+    return again.select("image_url", F.regexp_extract("skipped", r"^([^(]*[^( ])", 1).alias("skipped"), "text")

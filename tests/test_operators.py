@@ -328,6 +328,39 @@ def test_images_are_read_once(spark):
     assert edge[2, 2] < edge[2, 1] < edge[2, 4] < edge[2, 3]  # more contrast, and more at the edge
 
 
+def test_images_are_remembered_over_runs(spark, tmp_path):
+    """What is fetched and recognised in three runs: new images, failed ones again, no bytes twice."""
+    import numpy as np
+
+    log = tmp_path / "log"
+    log.mkdir()
+
+    def note(kind, name):
+        (log / f"{kind}-{name}-{len(list(log.iterdir()))}-{np.random.default_rng().integers(1 << 60)}").touch()
+
+    def fetch_image(url):
+        name = url.rpartition("/")[2]
+        note("fetch", name)
+        if name == "gone" and not (tmp_path / "back").exists():
+            raise OSError
+        return 200, "image/png", b"same" if name in ("a", "b", "late") else name.encode()
+
+    def recognise(pixels):
+        note("read", int(pixels[0, 0]))
+        return "The malware beacon reaches evil.example.net every hour"
+
+    decode = lambda content: np.full((50, 60) if content == b"small" else (400, 700), content[0], np.uint8)
+    run = lambda *names: {r.image_url.rpartition("/")[2]: (r.skipped, r.text[:3]) for r in images.read_remembered(spark.createDataFrame([(n and f"https://i.test/{n}",) for n in names], "image_url string"), str(tmp_path / "memo"), fetch_image, recognise, decode, lambda x: x).collect()}
+    calls = lambda kind: sorted(p.name.split("-")[1] for p in log.iterdir() if p.name.startswith(kind))
+    want = {"a": (None, "The"), "b": (None, "The"), "small": ("too small (60x50)", ""), "gone": ("failed", "")}
+    assert run("a", "b", "a", "small", "gone", None) == want
+    assert calls("fetch") == ["a", "b", "gone", "small"] and calls("read") == [str(ord("s"))]
+    (tmp_path / "back").touch()
+    assert run("a", "b", "small", "gone", "late") == want | {"gone": (None, "The"), "late": (None, "The")}
+    assert calls("fetch") == ["a", "b", "gone", "gone", "late", "small"] and calls("read") == sorted(map(str, (ord("s"), ord("g"))))
+    assert run("gone", "a") == {"gone": (None, "The"), "a": (None, "The")} and len(calls("fetch")) == 6
+
+
 def test_counters_of_a_plan(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "n int, t string")
     out, seen = metrics.observed(df, "read", large=F.col("n") > 1, named=F.col("t") == "a")
