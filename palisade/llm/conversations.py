@@ -30,7 +30,7 @@ CHUNK = 128
 #: Products multiplied by one group of the tree.
 FAN = 64
 #: Turns and bytes of text that one task holds.
-TASK_TURNS, TASK_BYTES = 8192, 8 << 20
+TASK_TURNS, TASK_BYTES = 2048, 8 << 20
 SPACES = " \t\n\x0b\x0c\r"
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 3, 4, 3, 3
 START, SYSTEM, USER, ASSISTANT = range(4)
