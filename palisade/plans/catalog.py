@@ -144,14 +144,14 @@ def anti_join_processed(spark, sf_dir):
     return links.unprocessed(pages, pages.where("page_id % 2 = 0"))
 
 
-_JOINED = rf"CASE WHEN starts_with(href, '//') THEN lower(regexp_extract(url, '^([A-Za-z]+):', 1)) || ':' || href WHEN regexp_matches(href, '^[A-Za-z]+:') THEN href WHEN starts_with(href, '/') THEN lower(regexp_extract(url, '^([A-Za-z]+):', 1)) || '://' || {HOST.format('url')} || href ELSE lower(regexp_extract(url, '^([A-Za-z]+):', 1)) || '://' || {HOST.format('url')} || regexp_replace({PATH.format('url')}, '[^/]*$', '') || href END"
+_JOINED = rf"CASE WHEN starts_with(href, '//') THEN lower(regexp_extract(url, '^([A-Za-z]+):', 1)) || ':' || href WHEN regexp_matches(href, '^[A-Za-z]+:') THEN href WHEN starts_with(href, '/') THEN lower(regexp_extract(url, '^([A-Za-z]+):', 1)) || '://' || {HOST.format('url')} || href ELSE lower(regexp_extract(url, '^([A-Za-z]+):', 1)) || '://' || {HOST.format('url')} || CASE WHEN {PATH.format('url')} = '' THEN '/' ELSE regexp_replace({PATH.format('url')}, '[^/]*$', '') END || href END"
 
 
-@query(f"SELECT page_id, href, {_JOINED} AS link FROM (SELECT page_id, url, unnest(['/a/' || page_id, 'b' || page_id || '.html', '//cdn.example.test/' || page_id, 'https://example.test/x?y=' || page_id]) AS href FROM pages WHERE {PATH.format('url')} <> '')")
+@query(f"SELECT page_id, href, {_JOINED} AS link FROM (SELECT page_id, url, unnest(['/a/' || page_id, 'b' || page_id || '.html', '//cdn.example.test/' || page_id, 'https://example.test/x?y=' || page_id]) AS href FROM pages)")
 def resolve_links(spark, sf_dir):
     n = F.col("page_id").cast("string")
     hrefs = F.array(F.concat(F.lit("/a/"), n), F.concat(F.lit("b"), n, F.lit(".html")), F.concat(F.lit("//cdn.example.test/"), n), F.concat(F.lit("https://example.test/x?y="), n))
-    pages = table(spark, sf_dir, "pages").where(urls.path(F.col("url")) != "").select("page_id", "url", F.explode(hrefs).alias("href"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.explode(hrefs).alias("href"))
     return pages.select("page_id", "href", urls.resolve(F.col("url"), F.col("href")).alias("link"))
 
 
