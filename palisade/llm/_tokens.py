@@ -12,6 +12,7 @@ library as a whole, which gives that token's id.
 
 from __future__ import annotations
 
+import ctypes
 import re
 from array import array
 from contextlib import suppress
@@ -218,8 +219,11 @@ _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
 def forget() -> None:
-    """Frees what encoding has kept in this worker process, which Spark goes on using for other operators."""
-    _encoders.clear()
+    """Frees what encoding has kept in this worker process, which Spark goes on using for other operators; where it can, the C library gives it back."""
+    if _encoders:
+        _encoders.clear()
+        with suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 def encoder(path: str, drops_space: bool, cache_pieces: int = CACHE_PIECES) -> Encoder:

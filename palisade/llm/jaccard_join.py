@@ -45,6 +45,8 @@ PAIR_LIMIT = 300
 #: Bytes of sets verified in one task; a candidate component of more is dealt over several.
 CLUSTER_BYTES = 8 << 20
 LARGE_BYTES = 64 << 20
+#: Tokens of sets looked at in one step, which bounds what a step takes besides the sets.
+AT_ONCE = 1 << 18
 #: Words of 64 bits of a set's map.
 MAP_WORDS = 8
 #: Sets of a list that one task compares with as many others.
@@ -135,10 +137,11 @@ class Index:
         self.begin = np.concatenate(([0], np.cumsum(self.size)))
         self.shared = self.size  # tokens that another set may have
         self.bits = np.zeros((len(sets), MAP_WORDS), np.uint64)  # a bit for each token's place in a small map
-        spread = mix(self.tokens)
-        owner = np.repeat(np.arange(len(sets)), self.size)
-        place = (spread >> np.uint64(6)) % np.uint64(MAP_WORDS)
-        np.bitwise_or.at(self.bits.reshape(-1), owner * MAP_WORDS + place.astype(np.int64), np.uint64(1) << (spread & np.uint64(63)))
+        for first in range(0, len(self.tokens), AT_ONCE):
+            spread = mix(self.tokens[first : first + AT_ONCE])
+            owner = np.searchsorted(self.begin, np.arange(first, first + len(spread)), "right") - 1
+            place = owner * MAP_WORDS + ((spread >> np.uint64(6)) % np.uint64(MAP_WORDS)).astype(np.int64)
+            np.bitwise_or.at(self.bits.reshape(-1), place, np.uint64(1) << (spread & np.uint64(63)))
 
     def set(self, i: int) -> np.ndarray:
         return self.tokens[self.begin[i] : self.begin[i + 1]]
@@ -160,13 +163,14 @@ class Index:
 
     def near(self, one: np.ndarray, among: np.ndarray, percent: int) -> np.ndarray:
         """Those of `among` with 100 * intersection >= percent * union."""
-        n, size = len(one), self.size
+        n, size, out = len(one), self.size, [among[:0]]
         among = among[100 * np.minimum(size[among], n) >= percent * np.maximum(size[among], n)]
-        if not len(among) or not n:
-            return among[:0]
-        there = member(one, self.tokens[ranges(self.begin[among], size[among])]).astype(np.int64)
-        both = np.add.reduceat(there, np.concatenate(([0], np.cumsum(size[among])[:-1])))
-        return among[100 * both >= percent * (size[among] + n - both)]
+        for part in np.array_split(among, int(size[among].sum()) // AT_ONCE + 1):
+            if len(part) and n:
+                there = member(one, self.tokens[ranges(self.begin[part], size[part])]).astype(np.int64)
+                both = np.add.reduceat(there, np.concatenate(([0], np.cumsum(size[part])[:-1])))
+                out.append(part[100 * both >= percent * (size[part] + n - both)])
+        return np.concatenate(out)
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -213,13 +217,15 @@ def compare_lists(index: Index, lists: list[np.ndarray], classes: Classes, perce
 def linked(sets: list[np.ndarray], percent: int) -> list[list[int]]:
     """Classes of non-empty sets (ascending arrays) connected by 100 * intersection >= percent * union."""
     index, classes = Index(sets), Classes(np.arange(len(sets)))
-    owner = np.repeat(np.arange(len(sets)), index.size)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), index.size)
     _, token, times = np.unique(index.tokens, return_inverse=True, return_counts=True)
+    token, times = token.astype(np.int32), times.astype(np.int32)  # a task holds fewer than 2**31
     index.shared = np.bincount(owner, times[token] > 1, len(sets)).astype(np.int64)
     order = np.lexsort((token, times[token], owner))  # each set's shingles, those that are rarest here first
     place = np.arange(len(order)) - np.repeat(index.begin[:-1], index.size)
     order = order[(place < np.repeat(prefix_length(index.size, percent), index.size)) & (times[token[order]] > 1)]
-    token, owner = token[order], owner[order]
+    token, owner = token[order], owner[order].astype(np.int64)
+    del place, order
     by_list = np.lexsort((owner, token, times[token]))
     cuts = np.flatnonzero(np.diff(token[by_list])) + 1
     compare_lists(index, [x for x in np.split(owner[by_list], cuts) if len(x) > 1], classes, percent)
