@@ -41,6 +41,8 @@ def docs(spark, tmp_path_factory):
     spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
     labels = [(r[0], 1, int("idiot" in (r[1] or "").lower())) for r in ROWS] + [(None, 0, 1), (4, None, None)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    turns = [(i // 5, i % 5, ("user", "assistant", "system")[i % 3], r[1]) for i, r in enumerate(ROWS)] + [(None, None, None, None), (2, 2, "user", "Again.")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
     return folder
 
 
@@ -404,7 +406,7 @@ def test_sql_gives_the_same_rows(spark, docs, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{docs}/{t}.parquet/*.parquet')")
     want = con.execute(sql.ORACLES[name])
     names = [d[0] for d in want.description]
@@ -420,11 +422,16 @@ def test_queries_return_their_columns(spark, docs):
         "op3": {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"}, "op4": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
         "op5": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"}, "op6": {"doc_id", "n_lines", "n_dropped", "kept_sha256"},
         "op7": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"}, "op8": {"doc_id", "n_shingles", "component_id"}, "op9": {"doc_id"}, "op10": {"doc_id", "start", "n_tokens", "ids_crc32"},
+        "op11": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"}, "op12": {"doc_id", "fingerprint", "component_id"},
+        "op13": {"conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"},
     }
     for name, query in queries.QUERIES.items():
         rows = query(spark, docs).collect()
         assert want[name.split("_")[0]] <= set(rows[0].asDict()), name
-        assert len({r.doc_id for r in rows}) == len(ROWS), name
+        if name.startswith("op13"):
+            assert {r.conv_id for r in rows} == {i // 5 for i in range(len(ROWS))} | {None}
+        else:
+            assert len({r.doc_id for r in rows}) == len(ROWS), name
     held = {r.doc_id: r.held_out for r in queries.QUERIES["op2_toxicity"](spark, docs).collect()}
     assert held == {r[0]: zlib.crc32(str(r[0]).encode()) % 4 == 2 for r in ROWS}
 
