@@ -218,12 +218,17 @@ class Encoder:
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
+def give_back() -> None:
+    """Returns memory that this worker process has freed: what Arrow keeps for later and, where the C library has a call for it, the heap."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def forget() -> None:
-    """Frees what encoding has kept in this worker process, which Spark goes on using for other operators; where it can, the C library gives it back."""
-    if _encoders:
-        _encoders.clear()
-        with suppress(OSError, AttributeError):  # other C libraries have no such call
-            ctypes.CDLL(None).malloc_trim(0)
+    """Frees what encoding has kept in this worker process, which Spark goes on using for other operators."""
+    _encoders.clear()
+    give_back()
 
 
 def encoder(path: str, drops_space: bool, cache_pieces: int = CACHE_PIECES) -> Encoder:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from palisade.llm._text import blocks
-from palisade.llm._tokens import CACHE_PIECES, encoder
+from palisade.llm._tokens import CACHE_PIECES, encoder, give_back
 
 #: Ids gathered before a group is packed.
 GROUP_TOKENS = 2_000_000
@@ -97,6 +97,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        give_back()  # what operators before this one have left
         coder = encoder(tokenizer, drops_space, cache_pieces)
         sequence = TaskContext.get().partitionId() << 40
         group, tokens = [], 0
