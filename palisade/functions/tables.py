@@ -9,8 +9,10 @@ Both take a table of any shape: `analyze` gives the columns of what comes out.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Row, SparkSession
 from pyspark.sql.functions import udtf
 from pyspark.sql.types import IntegerType, LongType, StringType, StructType
@@ -18,6 +20,9 @@ from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from palisade import constants as C
 
+# workers beside the driver read these classes before the package has been sent to them
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+SIZE, OVERLAP = C.CHUNK_SIZE, C.CHUNK_OVERLAP
 _PATTERNS = {k: re.compile(p, re.I | re.A) for k, p in (("hash", C.HASH_PATTERN), ("ip", C.IPV4_PATTERN), ("url", C.URL_PATTERN), ("domain", C.DOMAIN_PATTERN))}
 
 
@@ -35,13 +40,13 @@ class TextChunks:
     @staticmethod
     def analyze(table: AnalyzeArgument, column: AnalyzeArgument, size: AnalyzeArgument | None = None, overlap: AnalyzeArgument | None = None) -> AnalyzeResult:
         given, name = _checked(table, column)
-        n, common = size.value if size else C.CHUNK_SIZE, overlap.value if overlap else C.CHUNK_OVERLAP
+        n, common = size.value if size else SIZE, overlap.value if overlap else OVERLAP
         if not 0 <= common < n:
             raise ValueError("size has to be greater than overlap, and overlap not negative")
         schema = StructType([f for f in given.fields if f.name != name])
         return AnalyzeResult(schema.add("chunk_idx", IntegerType()).add("chunk", StringType()))
 
-    def eval(self, row: Row, column: str, size: int = C.CHUNK_SIZE, overlap: int = C.CHUNK_OVERLAP) -> Iterator[tuple]:
+    def eval(self, row: Row, column: str, size: int = SIZE, overlap: int = OVERLAP) -> Iterator[tuple]:
         text = row[column] or ""
         others = [row[c] for c in row.__fields__ if c != column]
         for i, at in enumerate(range(0, len(text), size - overlap)):

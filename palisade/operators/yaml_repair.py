@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType
 from palisade import constants as C
 
 LOADER = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+DUMPER = getattr(yaml, "CSafeDumper", yaml.SafeDumper)
 _FENCE = re.compile(r"```(?:yaml)?\s*\n?(.*?)\n?\s*```", re.S | re.I)
 _SCALAR = re.compile(rf"^({'|'.join(C.QUOTED_SCALARS)}):\s+(.+)$")
 _ITEM = re.compile(r"^(\s*-\s+)(.+)$")
@@ -154,4 +155,4 @@ def file_json(files: pd.Series) -> pd.Series:
 @F.pandas_udf(StringType())
 def yaml_text(records: pd.Series) -> pd.Series:
     """YAML of JSON records, keys in their order."""
-    return records.map(lambda r: yaml.dump(json.loads(r), sort_keys=False, allow_unicode=True))
+    return records.map(lambda r: yaml.dump(json.loads(r), Dumper=DUMPER, sort_keys=False, allow_unicode=True))

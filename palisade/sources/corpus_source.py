@@ -11,6 +11,7 @@ its year, month and sources, by which a read leaves files out unopened.
 from __future__ import annotations
 
 import json
+import sys
 import time
 import uuid
 from collections.abc import Iterable, Iterator
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, WriterCommitMessage
@@ -26,6 +28,8 @@ from palisade.functions.urls import source_label
 from palisade.operators.yaml_repair import file_json
 from palisade.sources.corpus import yaml_document
 
+# workers beside the driver read these classes before the package has been sent to them
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FORMAT = "record_corpus"
 SCHEMA = "year int, month int, source string, text string"
 #: Records and bytes of a file at most (a larger record is alone), bytes of files that one task reads, sources listed for a file.
@@ -225,9 +229,10 @@ def write_corpus(records: DataFrame, folder: str, overwrite: bool = False, file_
     register(records.sparkSession)
     d = F.col("file_creation_date")
     label = F.regexp_replace(source_label(F.col("reference")), r"\s", "")
-    rows = records.select(F.coalesce(F.year(d), F.lit(0)).alias("year"), F.coalesce(F.month(d), F.lit(0)).alias("month"), label.alias("source"), yaml_document().alias("text"), F.xxhash64("reference").alias("_spread"))
-    keys = ("year", "month", "source", "_spread")
-    rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_spread")
+    keys = ("_year", "_month", "_source", "_spread")
+    rows = records.withColumns({"_year": F.coalesce(F.year(d), F.lit(0)), "_month": F.coalesce(F.month(d), F.lit(0)), "_source": label, "_spread": F.xxhash64("reference")})
+    rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)  # boundaries are drawn before texts are made
+    rows = rows.select(F.col("_year").alias("year"), F.col("_month").alias("month"), F.col("_source").alias("source"), yaml_document().alias("text"))
     rows.write.format(FORMAT).option("fileRecords", file_records).mode("overwrite" if overwrite else "append").save(folder)
 
 

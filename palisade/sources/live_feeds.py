@@ -14,6 +14,7 @@ import hashlib
 import json
 import queue
 import re
+import sys
 import threading
 import time
 import uuid
@@ -23,9 +24,12 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+# workers beside the driver read these classes before the package has been sent to them
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Feeds that one task asks at once, and rounds that a feed which failed n times is left alone: 2**n, at most 2**LONGEST.
 FEEDS_PER_TASK, LONGEST = 16, 6
 ITEM = re.compile(r"<(item|entry)\b.*?</\1\s*>", re.S)

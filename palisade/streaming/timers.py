@@ -8,8 +8,10 @@ behind.
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
@@ -17,6 +19,8 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulP
 from palisade.functions import urls
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# a worker beside the driver reads the processors before the package has been sent to it
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 NEVER = -(1 << 62)
 #: Waiting links that are stored together.
 TOGETHER = 64
