@@ -18,10 +18,17 @@ words, so that equal passages always come together. The pairs that come to a
 document are joined as intervals, whose other side is fetched from its document's
 source once for each source that asks, and verified by the exact Jaccard
 similarity of the two spans' shingles.
+
+What that leaves open is settled afterwards: a frequent key whose windows are of
+documents that no links connect yet. Its windows of different contents come
+together with their shingles, and all that can be similar are compared, found by
+lists of their rarest shingles there, until links connect them. So no two
+documents that share a key stay apart because it is frequent.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -33,14 +40,17 @@ from pyspark.sql import functions as F
 
 from palisade.llm import _plan
 from palisade.llm._components import components
-from palisade.llm._exchange import MESSAGE, bucket_runs, by_bucket, by_source, dump, expand, load, member, messages, sources, squeeze, with_answers
+from palisade.llm._exchange import MESSAGE, bucket_runs, by_bucket, by_source, dump, expand, load, member, messages, ranges, sources, squeeze, with_answers
 from palisade.llm._text import SPACE, Words, blocks, mix, seeds
+from palisade.llm.jaccard_join import Classes, Index
 
 HASHES = 5
 #: Bits of a key that count, the upper 44: fewer to send, and what meets by chance fails verification.
 KEY_BITS = np.uint64((1 << 64) - (1 << 20))
-#: Keys of more windows than this are frequent: their windows are not all compared with each other.
+#: Keys of more windows than this are frequent: first each window is compared with two others, later with all that can be similar and aren't connected.
 HOT = 8
+#: Lists of at most so many windows are compared all at once, in parts of so many pairs; of longer ones a window at a time.
+SHORT_LIST, PAIRS_AT_ONCE = 32, 50_000
 #: How far apart, in shingles, the offsets of aligned windows of one passage may be.
 SHIFT = 25
 
@@ -184,6 +194,24 @@ class Windows:
             setattr(self, name, getattr(self, name)[ok])
         return hot[np.searchsorted(keys, self.key)] if len(keys) else np.zeros(0, bool)
 
+    def frequent(self, hot: np.ndarray, ids: np.ndarray) -> bytes | None:
+        """The windows of frequent keys, one for each key and content, ascending by key, and the shingles of the places that they cover."""
+        at = np.flatnonzero(hot)
+        if not len(at):
+            return None
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(self.prints[:-1] * np.uint64(3) + mix(self.prints[1:])), dtype=np.uint64)))
+        content = sums[self.place[at] + self.size[at] - 1] - sums[self.place[at]]
+        at = at[np.lexsort((self.place[at], content, self.key[at]))]
+        content = sums[self.place[at] + self.size[at] - 1] - sums[self.place[at]]
+        first = np.ones(len(at), bool)
+        first[1:] = (self.key[at][1:] != self.key[at][:-1]) | (content[1:] != content[:-1])
+        at = at[first]
+        place, size = self.place[at], self.size[at]
+        cover = np.cumsum(np.bincount(place, minlength=len(self.prints) + 1) - np.bincount(place + size, minlength=len(self.prints) + 1))[:-1] > 0
+        docs, doc = np.unique(self.doc[at], return_inverse=True)
+        begin = np.concatenate(([0], np.cumsum(cover)))[place]  # of a window's shingles among those that are kept
+        return dump(keys=squeeze(self.key[at]), doc=doc.astype(np.int32), start=self.start[at].astype(np.int32), size=size.astype(np.int16), begin=begin.astype(np.int32), ids=ids[docs], prints=self.prints[cover])
+
     def whole(self, hot: np.ndarray, shingle: int) -> dict[str, np.ndarray]:
         """The spans all of whose keys are frequent, ascending by a key of all their words."""
         at, stop = self.place[hot], (self.place + self.size - self.width + 1)[hot]
@@ -367,14 +395,12 @@ def verify(a: np.ndarray, b: np.ndarray, width: int, percent: int) -> tuple[int,
     return None
 
 
-def passage_links(docs: DataFrame, min_words: int = 50, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """Verified links: doc_id, start, end, other_id, other_start, other_end (words, end exclusive).
+LINK = ("doc_id", "start", "end", "other_id", "other_start", "other_end")
+LINKS = ", ".join(f"{f} long" for f in LINK)
 
-    A link is a passage of at least min_words words in one document and another's, whose sets of word shingles have a
-    Jaccard similarity of percent / 100 or more. Of a passage that many documents have, each is linked to one or two
-    others, not to all; equal passages are in one class of links. Near copies are found with high probability, unless
-    they share frequent keys only. Texts shorter than a passage have no links.
-    """
+
+def _first_links(docs: DataFrame, min_words: int, shingle: int, percent: int) -> tuple[DataFrame, int]:
+    """(stored rows, number of sources): the links of pairs that meet first, and in `frequent` the windows of each source's frequent keys."""
     width = min_words - shingle + 1
     rows, n = sources(docs)
 
@@ -392,13 +418,17 @@ def passage_links(docs: DataFrame, min_words: int = 50, shingle: int = 5, percen
     def send_keys(src: int, table: pa.Table, got: list[tuple[int, dict]]) -> pa.Table:
         return counted(src, *windows_of(table, [m for _, m in got]).distinct()) if got else messages(src, [])
 
-    def send_windows(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
-        if not len(got) or not len(table):
-            return messages(0, [])
+    def shared_windows(table: pa.Table, got: pa.Table) -> tuple[Windows, np.ndarray]:
+        """The windows whose keys others have too, and which of these keys are frequent."""
         answers = [load(p) for p in got.sort_by("bucket").column("payload").to_pylist()]  # buckets ascend with keys
         w = windows_of(table, answers)
         shared = _bits(answers, "shared")
-        hot = w.keep(w.distinct()[0][shared], _bits(answers, "hot")[shared])
+        return w, w.keep(w.distinct()[0][shared], _bits(answers, "hot")[shared])
+
+    def send_windows(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
+        if not len(got) or not len(table):
+            return messages(0, [])
+        w, hot = shared_windows(table, got)
         me = key[0].as_py()
         few = {f: getattr(w, f)[~hot] for f in ("key", *FIELDS)}
         many = {f: getattr(w, f)[hot] for f in ("key", *FIELDS)}
@@ -451,7 +481,7 @@ def passage_links(docs: DataFrame, min_words: int = 50, shingle: int = 5, percen
         return pa.table({"bucket": pa.array([me] * len(out), pa.int32()), "src": pa.array([a for a, _ in out], pa.int32()), "payload": pa.array([p for _, p in out], pa.binary())})
 
     def check(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
-        out = []
+        out, open_ = [], None
         if len(got) and len(table):
             found = wanted(got.filter(pc.equal(got.column("kind"), 0)))
             spans = {}
@@ -470,8 +500,12 @@ def passage_links(docs: DataFrame, min_words: int = 50, shingle: int = 5, percen
                 if hit:
                     a0, a1, b0, b1 = hit
                     out.append((ids[d], lo + a0, lo + a1 + shingle - 1, other, x + b0, x + b1 + shingle - 1))
-        names = ("doc_id", "start", "end", "other_id", "other_start", "other_end")
-        return pa.table({f: pa.array([r[i] for r in out], pa.int64()) for i, f in enumerate(names)})
+            open_ = shared_windows(table, got.filter(pc.equal(got.column("kind"), 2)))
+            open_ = open_[0].frequent(open_[1], np.array(ids, np.int64))
+        none = [None] * len(out)
+        columns = {f: pa.array([r[i] for r in out] + [None] * (open_ is not None), pa.int64()) for i, f in enumerate(LINK)}
+        some = [open_] if open_ is not None else []
+        return pa.table({**columns, "src": pa.array(none + [key[0].as_py()] * len(some), pa.int32()), "frequent": pa.array(none + some, pa.binary())})
 
     minima = by_bucket(by_source(rows, send_minima, MESSAGE), _shared_minima)
     known = by_bucket(with_answers(rows, minima, send_keys, MESSAGE), _shared_keys)
@@ -479,8 +513,171 @@ def passage_links(docs: DataFrame, min_words: int = 50, shingle: int = 5, percen
     met = by_bucket(sent, _meet)
     asked = by_source(met, ask, MESSAGE)
     told = rows.groupBy("src").cogroup(asked.groupBy("src")).applyInArrow(tell, MESSAGE)
-    both = met.withColumn("kind", F.lit(0)).union(told.withColumn("kind", F.lit(1)))
-    return rows.groupBy("src").cogroup(both.groupBy("src")).applyInArrow(check, "doc_id long, start long, end long, other_id long, other_start long, other_end long")
+    both = met.withColumn("kind", F.lit(0)).union(told.withColumn("kind", F.lit(1))).union(minima.union(known).withColumn("kind", F.lit(2)))
+    found = rows.groupBy("src").cogroup(both.groupBy("src")).applyInArrow(check, f"{LINKS}, src int, frequent binary")
+    return _plan.stored(found, "passage-links"), n
+
+
+def _classes(h: dict, got: pa.Table) -> np.ndarray:
+    """The class of each of a source's windows: that of its document."""
+    got = got.filter(pc.is_valid(got.column("component"))).sort_by("doc_id")
+    node, component, ids = got.column("doc_id").to_numpy(), got.column("component").to_numpy(), h["ids"]
+    if not len(node):
+        return ids[h["doc"]]
+    at = np.minimum(np.searchsorted(node, ids), len(node) - 1)
+    return np.where(node[at] == ids, component[at], ids)[h["doc"]]
+
+
+def _several_classes(_: int, srcs: list[int], got: list[dict]) -> list[bytes | None]:
+    """For each source a bit a key: whether its windows are of more than one class."""
+    keys = [expand(m["keys"]) for m in got]
+    every, place = np.unique(np.concatenate(keys), return_inverse=True)
+    low, high = np.full(len(every), (1 << 63) - 1), np.full(len(every), -(1 << 63))
+    np.minimum.at(low, place, np.concatenate([m["low"] for m in got]))
+    np.maximum.at(high, place, np.concatenate([m["high"] for m in got]))
+    return [dump(open=np.packbits(x), n=np.array([len(x)])) for x in np.split((low < high)[place], np.cumsum([len(k) for k in keys])[:-1])]
+
+
+def _shares(index: Index, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many tokens the sets a[i] and b[i] have in common."""
+    out = []
+    for i in range(0, len(a), PAIRS_AT_ONCE):
+        x, y = a[i : i + PAIRS_AT_ONCE], b[i : i + PAIRS_AT_ONCE]
+        sides = [(np.repeat(np.arange(len(z)), index.size[z]), index.tokens[ranges(index.begin[z], index.size[z])]) for z in (x, y)]
+        pair, token = (np.concatenate(v) for v in zip(*sides, strict=True))
+        all_ = np.sort(pair.astype(np.uint64) * np.uint64(1 << 40) + token)
+        out.append(np.bincount((all_[1:][all_[1:] == all_[:-1]] >> np.uint64(40)).astype(np.int64), minlength=len(x)))
+    return np.concatenate(out or [np.zeros(0, np.int64)])
+
+
+def settle(key: np.ndarray, label: np.ndarray, contents: list[np.ndarray], width: int, percent: int) -> list[tuple[int, int, tuple[int, int, int, int]]]:
+    """(window, other, spans) of verified links that connect the classes (label) of all windows of a key that hold similar spans.
+
+    Two spans of `width` shingles that are similar have so many in common that their windows share one of their rarest
+    ones, counted within the key; windows of one class aren't compared.
+    """
+    size = np.array([len(c) for c in contents], np.int64)
+    owner = np.repeat(np.arange(len(size)), size)
+    _, token, times = np.unique(mix(np.concatenate(contents) + key[owner] * np.uint64(0x9E3779B97F4A7C15)), return_inverse=True, return_counts=True)
+    order = np.lexsort((token, owner))
+    owner, token = owner[order], token[order]
+    once = np.ones(len(token), bool)
+    once[1:] = (owner[1:] != owner[:-1]) | (token[1:] != token[:-1])
+    owner, token = owner[once], token[once]
+    times = np.bincount(token, minlength=len(times))
+    distinct = np.bincount(owner, minlength=len(size))
+    index = Index(np.split(token.astype(np.uint64), np.cumsum(distinct)[:-1]))
+    least = np.maximum(1, distinct - np.maximum(0, size - width))  # different shingles of a span, at least
+    order = np.lexsort((token, times[token], owner))
+    rank = np.arange(len(order)) - np.repeat(index.begin[:-1], distinct)
+    prefix = distinct - (-(-percent * least // 100)) + 1
+    order = order[(rank < prefix[owner[order]]) & (times[token[order]] > 1)]
+    order = order[np.lexsort((owner[order], token[order], times[token[order]]))]
+    token, owner = token[order], owner[order]
+    cuts = np.append(np.flatnonzero(np.append(True, token[1:] != token[:-1])), len(token)) if len(token) else np.zeros(1, np.int64)
+    length = np.diff(cuts)
+    classes, found = Classes(label), []
+
+    def may(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those pairs of different classes that have enough in common."""
+        ok = classes.label[a] != classes.label[b]
+        a, b = a[ok], b[ok]
+        need = -(-percent * (least[a] + least[b]) // (100 + percent))
+        ok = (distinct[a] + distinct[b] - np.bitwise_count(index.bits[a] ^ index.bits[b]).sum(axis=1, dtype=np.int64)) // 2 >= need
+        a, b, need = a[ok], b[ok], need[ok]
+        ok = _shares(index, a, b) >= need
+        return a[ok], b[ok]
+
+    def compare(a: np.ndarray, b: np.ndarray) -> None:
+        for i, j in zip(*(x.tolist() for x in may(a, b)), strict=True):
+            if classes.label[i] != classes.label[j] and (spans := verify(contents[i], contents[j], width, percent)):
+                found.append((i, j, spans))
+                classes.join(i, np.array([j]))
+
+    short = np.repeat(length <= SHORT_LIST, length)
+    some, lists, pairs = owner[short], token[short], []
+    for back in range(1, SHORT_LIST):
+        at = np.flatnonzero(lists[back:] == lists[:-back])
+        pairs.append(some[at] * len(size) + some[at + back])
+    pairs = np.unique(np.concatenate(pairs))
+    for i in range(0, len(pairs), PAIRS_AT_ONCE):
+        compare(*np.divmod(pairs[i : i + PAIRS_AT_ONCE], len(size)))
+    tried: dict[int, np.ndarray] = {}
+    for k in np.flatnonzero(length > SHORT_LIST).tolist():
+        members = owner[cuts[k] : cuts[k + 1]]
+        if (classes.label[members] == classes.label[members[0]]).all():
+            continue
+        for i, r in enumerate(members[:-1].tolist()):
+            others = members[i + 1 :]
+            others = others[classes.label[others] != classes.label[r]]
+            if r in tried:
+                others = others[~member(tried[r], others)]
+            if len(others):
+                compare(np.full(len(others), r), others)
+                tried[r] = np.union1d(tried[r], others) if r in tried else others
+    return found
+
+
+def passage_links(docs: DataFrame, min_words: int = 50, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """Verified links: doc_id, start, end, other_id, other_start, other_end (words, end exclusive).
+
+    A link is a passage of at least min_words words in one document and another's, whose sets of word shingles have a
+    Jaccard similarity of percent / 100 or more. Of a passage that many documents have, each is linked to one or more
+    others, not to all; all documents that share a key and have similar spans there are in one class of links. Near copies
+    share a key with high probability. Texts shorter than a passage have no links.
+    """
+    width = min_words - shingle + 1
+    found, n = _first_links(docs, min_words, shingle, percent)
+    links = found.where("frequent is null").select(*LINK)
+    frequent = found.where("frequent is not null").select("src", "frequent")
+    classes = components(links.select(F.col("doc_id").alias("a"), F.col("other_id").alias("b"))).withColumnRenamed("node", "doc_id")
+
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for src, payload in zip(batch.column("src").to_pylist(), batch.column("frequent").to_pylist(), strict=True):
+                ids = np.unique(load(payload)["ids"])
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "src": pa.array([src] * len(ids), pa.int32())})
+
+    def send_keys(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
+        if not len(table):
+            return messages(0, [])
+        h = load(table.column("frequent")[0].as_py())
+        keys, label = expand(h["keys"]), _classes(h, got)
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        low, high, keys = np.minimum.reduceat(label, first), np.maximum.reduceat(label, first), keys[first]
+        return messages(key[0].as_py(), [(b, dump(keys=squeeze(keys[i:j]), low=low[i:j], high=high[i:j])) for b, i, j in bucket_runs(keys, 64, n)])
+
+    def send_open(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
+        """The windows of keys that have several classes, with their shingles."""
+        answers = [load(p) for p in got.filter(pc.is_valid(got.column("payload"))).sort_by("bucket").column("payload").to_pylist()]
+        if not len(table) or not answers:
+            return messages(0, [])
+        h = load(table.column("frequent")[0].as_py())
+        keys, label = expand(h["keys"]), _classes(h, got)
+        at = np.flatnonzero(_bits(answers, "open")[np.cumsum(np.append(False, keys[1:] != keys[:-1]))])
+        keys, label, ids = keys[at], label[at], h["ids"][h["doc"][at]]
+        size, begin = h["size"][at].astype(np.int64), h["begin"][at].astype(np.int64)
+        part = lambda i, j: dump(keys=squeeze(keys[i:j]), label=label[i:j], ids=ids[i:j], start=h["start"][at[i:j]], size=h["size"][at[i:j]], prints=h["prints"][ranges(begin[i:j], size[i:j])])
+        return messages(key[0].as_py(), [(b, part(i, j)) for b, i, j in bucket_runs(keys, 64, n)])
+
+    def connect(key: tuple, table: pa.Table) -> pa.Table:
+        got = [load(p) for p in table.sort_by("src").column("payload").to_pylist()]
+        keys = np.concatenate([expand(m["keys"]) for m in got])
+        label, ids, start, size, prints = (np.concatenate([m[f] for m in got]) for f in ("label", "ids", "start", "size", "prints"))
+        contents = np.split(prints, np.cumsum(size.astype(np.int64))[:-1])
+        out = [
+            (ids[i], start[i] + a0, start[i] + a1 + shingle - 1, ids[j], start[j] + b0, start[j] + b1 + shingle - 1)
+            for i, j, (a0, a1, b0, b1) in settle(keys, label, contents, width, percent)
+        ]
+        return pa.table({f: pa.array([int(r[i]) for r in out], pa.int64()) for i, f in enumerate(LINK)})
+
+    at = frequent.mapInArrow(documents, "doc_id long, src int").join(classes, "doc_id")
+    none = F.lit(None)
+    labels = _plan.stored(at.select("src", none.cast("int").alias("bucket"), "doc_id", "component", none.cast("binary").alias("payload")), "passage-classes")
+    sent = frequent.groupBy("src").cogroup(labels.groupBy("src")).applyInArrow(send_keys, MESSAGE)
+    several = by_bucket(sent, _several_classes).select("src", "bucket", none.cast("long").alias("doc_id"), none.cast("long").alias("component"), "payload")
+    open_ = frequent.groupBy("src").cogroup(labels.union(several).groupBy("src")).applyInArrow(send_open, MESSAGE)
+    return links.union(_plan.stored(open_.groupBy("bucket").applyInArrow(connect, LINKS), "frequent-links"))
 
 
 def near_duplicate_passages(docs: DataFrame, min_words: int = 50, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -490,7 +687,7 @@ def near_duplicate_passages(docs: DataFrame, min_words: int = 50, shingle: int =
     the least doc_id that links lead to, its own without links. Null and empty texts have none, a null doc_id keeps a
     null class. Rows with the same doc_id count as one document here. An empty table gives no rows.
     """
-    links = _plan.stored(passage_links(docs, min_words, shingle, percent).where("doc_id <> other_id"), "passage-links")
+    links = passage_links(docs, min_words, shingle, percent).where("doc_id <> other_id")
     sides = links.select("doc_id", "start", "end", "other_id").union(links.select("other_id", "other_start", "other_end", "doc_id"))
     counts = sides.groupBy("doc_id").agg(F.countDistinct("start", "end").alias("n_passages"), F.countDistinct("other_id").alias("n_links"))
     classes = components(links.select(F.col("doc_id").alias("a"), F.col("other_id").alias("b"))).withColumnRenamed("node", "doc_id")

@@ -70,3 +70,39 @@ def test_verification_keeps_an_edit_near_an_end():
     b = np.concatenate((np.arange(1000, 1050), np.arange(50, 52), np.arange(2000, 2005), np.arange(57, 96), np.arange(3000, 3050))).astype(np.uint64)
     a0, a1, b0, b1 = passage_dedup.verify(a, b, 46, 80)
     assert a1 - a0 >= 46 and b1 - b0 >= 46
+
+
+@pytest.mark.parametrize("members", [20, 60])
+def test_families_of_near_copies_are_whole(links, members):
+    """Each member has one word of the passage replaced: what brute force links is in one class, however frequent its keys are."""
+    rng, texts, passages = random.Random(5), [], []
+    for family in range(10):
+        passage = words(rng, 54)
+        for _ in range(members):
+            p = edited(rng, passage, "replace", rng.randrange(54))
+            passages.append((family, {tuple(p[i : i + 5]) for i in range(len(p) - 4)}))
+            texts.append(words(rng, 25) + p + words(rng, 25))
+    classes = links(texts)
+    similar = [
+        (i, j) for i, (f, a) in enumerate(passages) for j, (g, b) in enumerate(passages[:i]) if f == g and 100 * len(a & b) >= 80 * len(a | b)
+    ]
+    assert sum(classes[i] == classes[j] for i, j in similar) >= 0.99 * len(similar)
+    assert all(passages[i][0] == passages[c][0] for i, c in classes.items())
+
+
+def test_all_windows_of_a_key_are_settled():
+    """Two interleaved families behind a common text, in long lists and short ones, and windows that resemble none."""
+    rng = np.random.default_rng(2)
+    new = lambda n: rng.integers(1, 1 << 62, n, dtype=np.uint64)
+    common, middles = new(20), (new(26), new(26))
+    contents = [np.concatenate((common, middles[i % 2])) if i % 3 else np.concatenate((common, new(26))) for i in range(150)]
+    for i, c in enumerate(contents):
+        if i % 3:
+            c[20 + i % 26] = new(1)[0]
+    found = passage_dedup.settle(np.zeros(150, np.uint64), np.arange(150), contents, 46, 80)
+    group = {i: i for i in range(150)}
+    for i, j, _ in found:
+        a, b = group[i], group[j]
+        group = {k: (a if v == b else v) for k, v in group.items()}
+    assert len({group[i] for i in range(150) if i % 3 and i % 2}) == len({group[i] for i in range(150) if i % 3 and not i % 2}) == 1
+    assert len(set(group.values())) == 2 + 50 and len(found) == 150 - 52
