@@ -21,8 +21,8 @@ def mail_timestamp(text: Column) -> Column:
 
 def any_date(text: Column) -> Column:
     """A date in ISO form (with or without time) or one of FORMATS."""
-    t = F.trim(text)
-    iso = F.to_date(F.try_to_timestamp(F.regexp_extract(t, r"^(\d{4}-\d{2}-\d{2})(?:[T ].*)?$", 1), F.lit("yyyy-MM-dd")))
+    t = F.nullif(F.trim(text), F.lit(""))  # each try that fails is an exception inside Spark, a null is none
+    iso = F.to_date(F.try_to_timestamp(F.nullif(F.regexp_extract(t, r"^(\d{4}-\d{2}-\d{2})(?:[T ].*)?$", 1), F.lit("")), F.lit("yyyy-MM-dd")))
     return F.coalesce(iso, *[F.to_date(F.try_to_timestamp(t, F.lit(f))) for f in FORMATS[1:]], F.to_date(mail_timestamp(t)))
 
 

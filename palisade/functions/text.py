@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -14,10 +17,21 @@ from palisade import constants as C
 from palisade.functions.urls import any_of
 
 
-@F.pandas_udf(StringType())
-def fold(text: pd.Series) -> pd.Series:
+def in_slices(values: pa.Array, run: Callable[[list], list], kind: pa.DataType, rows: int = 128) -> pa.Array:
+    """run over a batch, so many values at a time: only these are Python objects at once, however many a batch has."""
+    done = [pa.array(run(values.slice(i, rows).to_pylist()), kind) for i in range(0, len(values), rows)]
+    return pa.concat_arrays(done or [pa.array([], kind)])
+
+
+def _folded(texts: list) -> list:
+    return [None if t is None else t if t.isascii() else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode("ascii") for t in texts]
+
+
+@F.arrow_udf(StringType())
+def fold(text: pa.Array) -> pa.Array:
     """Compatibility decomposition without what isn't ASCII; Spark SQL has no normalisation form."""
-    return text.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode("ascii"))
+    ascii_only = pc.all(pc.string_is_ascii(text)).as_py()  # None where all are null
+    return text.cast(pa.string()) if ascii_only is not False else in_slices(text, _folded, pa.string())
 
 
 def clean_text(text: Column) -> Column:

@@ -30,6 +30,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of a task where each row takes milliseconds.
+ROWS_A_TASK = 10_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt evenly over tasks: a file of narrow rows is read by few, however long their rows take afterwards."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-df.count() // ROWS_A_TASK)))
+
+
 def _sql_list(words: tuple[str, ...]) -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
 
@@ -496,7 +506,7 @@ def article_texts(spark, sf_dir):
     """Pages to gated article texts with dates; SQL has no HTML parser."""
     from palisade.plans.articles import articles
 
-    pages = table(spark, sf_dir, "pages").select("url", F.col("html").alias("body"))
+    pages = spread(table(spark, sf_dir, "pages").select("url", F.col("html").alias("body")))
     return articles(pages, None, F.lit("2024-01-30").cast("date")).withColumn("n_chars", F.char_length("text")).drop("text")
 
 
@@ -527,7 +537,7 @@ def made_articles(spark, sf_dir):
     html = F.concat(F.lit("<html><head><title>t</title>"), meta, F.lit("</head><body><nav><a href='/n'>elsewhere</a></nav>"), time, body, F.lit("<footer>legal</footer></body></html>"))
     day = F.lpad((n % 28 + 1).cast("string"), 2, "0")
     url = F.concat(F.lit("https://blog.example.test/2024/02/"), day, F.lit("/x"), n.cast("string"))
-    made = articles(table(spark, sf_dir, "part").select(url.alias("url"), html.alias("body")), None, F.lit("2024-06-30").cast("date"))
+    made = articles(spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")).select(url.alias("url"), html.alias("body")), None, F.lit("2024-06-30").cast("date"))
     return made.withColumn("published", F.col("published").cast("string"))
 
 
@@ -553,7 +563,7 @@ def _corpus(spark: SparkSession, sf_dir: str) -> str:
     n = F.col("p_partkey")
     text = n.cast("string")
     doc = F.to_json(F.struct(F.concat_ws(": ", "p_name", text).alias("title"), F.struct(F.array(F.concat(F.lit("p"), text, F.lit(".example.test"))).alias("domains")).alias("iocs")))
-    made = records.normalize(table(spark, sf_dir, "part").select("p_partkey", doc.alias("document")))
+    made = records.normalize(spread(table(spark, sf_dir, "part").select("p_partkey", "p_name")).select("p_partkey", doc.alias("document")))
     day = F.date_add(F.add_months(F.lit("2024-02-01").cast("date"), (n % 3).cast("int")), (n % 28).cast("int"))
     url = F.concat(F.lit("https://www.e"), (n % 20).cast("string"), F.lit(".example.test/"), text)
     folder = scratch.new_folder(spark, "corpus")
