@@ -46,11 +46,14 @@ def file_name(created: F.Column, reference: F.Column, families: F.Column, key: F
     return F.concat_ws("-", stamp, source_label(reference), malware_slug(families), F.concat(F.substring(F.md5(key.cast("binary")), 1, 8), F.lit(".yml")))
 
 
+#: What a document is made of; the last two are dates.
+DOCUMENT_FIELDS = ("title", "description", "attribution", "malware_families", "cves", "ttps", "iocs", "authors", "reference", "date_of_publication", "file_creation_date")
+
+
 def yaml_document() -> F.Column:
     """YAML of a canonical record."""
-    fields = ("title", "description", "attribution", "malware_families", "cves", "ttps", "iocs", "authors", "reference")
-    dates = [long_form(F.col(c)).alias(c) for c in ("date_of_publication", "file_creation_date")]
-    return yaml_text(F.to_json(F.struct(*fields, *dates), {"ignoreNullFields": "false"}))
+    dates = [long_form(F.col(c)).alias(c) for c in DOCUMENT_FIELDS[-2:]]
+    return yaml_text(F.to_json(F.struct(*DOCUMENT_FIELDS[:-2], *dates), {"ignoreNullFields": "false"}))
 
 
 def write_yaml(df: DataFrame, folder: str) -> DataFrame:

@@ -24,16 +24,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
+from palisade import scratch
 from palisade.functions.urls import source_label
 from palisade.operators.yaml_repair import file_json
-from palisade.sources.corpus import yaml_document
+from palisade.sources.corpus import DOCUMENT_FIELDS, yaml_document
 
 # workers beside the driver read these classes before the package has been sent to them
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FORMAT = "record_corpus"
 SCHEMA = "year int, month int, source string, text string"
 #: Records and bytes of a file at most (a larger record is alone), bytes of files that one task reads, sources listed for a file.
-FILE_RECORDS, FILE_BYTES, READ_BYTES, LISTED_SOURCES = 1000, 8 << 20, 32 << 20, 64
+FILE_RECORDS, FILE_BYTES, READ_BYTES, LISTED_SOURCES = 1000, 8 << 20, 4 << 20, 64
+#: Records that one task writes, about.
+TASK_RECORDS = 4000
 START = "---\n"
 COMMITS, PARTS = "_commits", "_parts"
 
@@ -224,16 +227,21 @@ def write_corpus(records: DataFrame, folder: str, overwrite: bool = False, file_
     """Canonical records (with reference and file_creation_date) as one commit.
 
     They are range partitioned by month and source, then by reference, so that a file has few sources and a month or a
-    source that holds most records is dealt over tasks. Records without a creation date are filed under year and month 0.
+    source that holds most records is dealt over tasks. Records are made once and kept beside the folder until they are
+    written, as ranges are drawn from a pass of their own. Records without a creation date are filed under year and month 0.
     """
     register(records.sparkSession)
     d = F.col("file_creation_date")
     label = F.regexp_replace(source_label(F.col("reference")), r"\s", "")
     keys = ("_year", "_month", "_source", "_spread")
     rows = records.withColumns({"_year": F.coalesce(F.year(d), F.lit(0)), "_month": F.coalesce(F.month(d), F.lit(0)), "_source": label, "_spread": F.xxhash64("reference")})
-    rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)  # boundaries are drawn before texts are made
+    made = scratch.new_folder(records.sparkSession, "records")
+    rows.select(*keys, *DOCUMENT_FIELDS).write.parquet(made)
+    rows = records.sparkSession.read.parquet(made)
+    rows = rows.repartitionByRange(max(1, -(-rows.count() // TASK_RECORDS)), *keys).sortWithinPartitions(*keys)  # boundaries are drawn before texts are made
     rows = rows.select(F.col("_year").alias("year"), F.col("_month").alias("month"), F.col("_source").alias("source"), yaml_document().alias("text"))
     rows.write.format(FORMAT).option("fileRecords", file_records).mode("overwrite" if overwrite else "append").save(folder)
+    scratch.drop(made)
 
 
 def read_corpus(spark: SparkSession, folder: str) -> DataFrame:
