@@ -49,8 +49,8 @@ HASHES = 5
 KEY_BITS = np.uint64((1 << 64) - (1 << 20))
 #: Keys of more windows than this are frequent: first each window is compared with two others, later with all that can be similar and aren't connected.
 HOT = 8
-#: Lists of at most so many windows are compared all at once, in parts of so many pairs; of longer ones a window at a time.
-SHORT_LIST, PAIRS_AT_ONCE = 32, 50_000
+#: Pairs of windows that are looked at together.
+PAIRS_AT_ONCE = 50_000
 #: How far apart, in shingles, the offsets of aligned windows of one passage may be.
 SHIFT = 25
 
@@ -412,23 +412,23 @@ def _first_links(docs: DataFrame, min_words: int, shingle: int, percent: int) ->
         m = Minima(sequence(ordered(table), shingle), width)
         return counted(src, m.distinct, m.count)
 
-    def windows_of(table: pa.Table, answers: list[dict]) -> Windows:
-        return Windows(Minima(sequence(ordered(table), shingle), width), _bits(answers, "minima"))
+    def windows_of(s: Sequence, answers: list[dict]) -> Windows:
+        return Windows(Minima(s, width), _bits(answers, "minima"))
 
     def send_keys(src: int, table: pa.Table, got: list[tuple[int, dict]]) -> pa.Table:
-        return counted(src, *windows_of(table, [m for _, m in got]).distinct()) if got else messages(src, [])
+        return counted(src, *windows_of(sequence(ordered(table), shingle), [m for _, m in got]).distinct()) if got else messages(src, [])
 
-    def shared_windows(table: pa.Table, got: pa.Table) -> tuple[Windows, np.ndarray]:
+    def shared_windows(s: Sequence, got: pa.Table) -> tuple[Windows, np.ndarray]:
         """The windows whose keys others have too, and which of these keys are frequent."""
         answers = [load(p) for p in got.sort_by("bucket").column("payload").to_pylist()]  # buckets ascend with keys
-        w = windows_of(table, answers)
+        w = windows_of(s, answers)
         shared = _bits(answers, "shared")
         return w, w.keep(w.distinct()[0][shared], _bits(answers, "hot")[shared])
 
     def send_windows(key: tuple, table: pa.Table, got: pa.Table) -> pa.Table:
         if not len(got) or not len(table):
             return messages(0, [])
-        w, hot = shared_windows(table, got)
+        w, hot = shared_windows(sequence(ordered(table), shingle), got)
         me = key[0].as_py()
         few = {f: getattr(w, f)[~hot] for f in ("key", *FIELDS)}
         many = {f: getattr(w, f)[hot] for f in ("key", *FIELDS)}
@@ -500,7 +500,7 @@ def _first_links(docs: DataFrame, min_words: int, shingle: int, percent: int) ->
                 if hit:
                     a0, a1, b0, b1 = hit
                     out.append((ids[d], lo + a0, lo + a1 + shingle - 1, other, x + b0, x + b1 + shingle - 1))
-            open_ = shared_windows(table, got.filter(pc.equal(got.column("kind"), 2)))
+            open_ = shared_windows(s, got.filter(pc.equal(got.column("kind"), 2)))
             open_ = open_[0].frequent(open_[1], np.array(ids, np.int64))
         none = [None] * len(out)
         columns = {f: pa.array([r[i] for r in out] + [None] * (open_ is not None), pa.int64()) for i, f in enumerate(LINK)}
@@ -538,83 +538,166 @@ def _several_classes(_: int, srcs: list[int], got: list[dict]) -> list[bytes | N
     return [dump(open=np.packbits(x), n=np.array([len(x)])) for x in np.split((low < high)[place], np.cumsum([len(k) for k in keys])[:-1])]
 
 
-def _shares(index: Index, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many tokens the sets a[i] and b[i] have in common."""
-    out = []
-    for i in range(0, len(a), PAIRS_AT_ONCE):
-        x, y = a[i : i + PAIRS_AT_ONCE], b[i : i + PAIRS_AT_ONCE]
-        sides = [(np.repeat(np.arange(len(z)), index.size[z]), index.tokens[ranges(index.begin[z], index.size[z])]) for z in (x, y)]
-        pair, token = (np.concatenate(v) for v in zip(*sides, strict=True))
-        all_ = np.sort(pair.astype(np.uint64) * np.uint64(1 << 40) + token)
-        out.append(np.bincount((all_[1:][all_[1:] == all_[:-1]] >> np.uint64(40)).astype(np.int64), minlength=len(x)))
-    return np.concatenate(out or [np.zeros(0, np.int64)])
+def _hits(a: np.ndarray, b: np.ndarray, place: np.ndarray, begin: np.ndarray, size: np.ndarray, index: Index) -> np.ndarray:
+    """A row for each pair of windows: which shingles of a[i], in their order, are in b[i]; false behind the last one."""
+    mine = place[ranges(begin[a], size[a])].astype(np.uint64) + (np.repeat(np.arange(len(a), dtype=np.uint64), size[a]) << np.uint64(40))
+    sets = index.tokens[ranges(index.begin[b], index.size[b])] + (np.repeat(np.arange(len(b), dtype=np.uint64), index.size[b]) << np.uint64(40))
+    out = np.zeros((len(a), int(size[a].max(initial=0))), bool)
+    out[np.arange(out.shape[1]) < size[a][:, None]] = member(sets, mine)  # sets ascend within a window
+    return out
+
+
+def _room(x: np.ndarray, y: np.ndarray, width: int, percent: int) -> np.ndarray:
+    """Which pairs of windows of different shingles have, for some number of hits, spans that hold as many and are short enough to be similar."""
+    places = []
+    for hits in (x, y):
+        n = hits.sum(axis=1)
+        row, column = np.nonzero(hits)
+        at = np.tile(np.arange(1, int(n.max(initial=0)) + 1, dtype=np.int32) << 16, (len(hits), 1))  # further away from each other than any window is wide
+        at[row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)] = column
+        places.append(at)
+    ok = np.zeros(len(x), bool)
+    for n in range(-(-2 * percent * width // (100 + percent)), min(at.shape[1] for at in places) + 1):
+        least = sum(np.maximum(width, (at[:, n - 1 :] - at[:, : at.shape[1] - n + 1]).min(axis=1) + 1) for at in places)
+        ok |= (100 + percent) * n >= percent * least
+    return ok
+
+
+def _alone(key: np.ndarray, content: np.ndarray, label: np.ndarray, classes: Classes) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """(one window of each key and content, pairs of equal ones that connect classes)."""
+    order = np.lexsort((label, content, key))
+    head = np.append(True, (key[order][1:] != key[order][:-1]) | (content[order][1:] != content[order][:-1]))
+    lead = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+    joined = []
+    for i, j in zip(lead[label[lead] != label[order]].tolist(), order[label[lead] != label[order]].tolist(), strict=True):
+        if classes.label[i] != classes.label[j]:
+            joined.append((i, j))
+            classes.join(i, np.array([j]))
+    return np.sort(order[head]), joined
+
+
+def _least(before: np.ndarray, begin: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
+    """The fewest different shingles of a span of `width` in each window; before: where in its window the shingle of a place was last, -1 if nowhere."""
+    least = np.full(len(size), width)
+    odd = np.flatnonzero(np.maximum.reduceat(before, begin) >= 0)
+    for some in np.array_split(odd, len(odd) // 4096 + 1):
+        last = np.full((len(some), int(size[some].max(initial=0))), 1 << 30)
+        last[np.arange(last.shape[1]) < size[some][:, None]] = before[ranges(begin[some], size[some])]
+        for i in range(last.shape[1] - width + 1):
+            n = (last[:, i : i + width] < i).sum(axis=1)
+            least[some] = np.minimum(least[some], np.where(size[some] >= i + width, n, width))
+    return least
+
+
+def _blocks(token: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, end, partners): entries by token (ascending), the largest class of each last; where an entry's class ends there, how many of other classes follow."""
+    order = np.lexsort((label, token))
+    heads = lambda *by: np.append(True, np.any([x[order][1:] != x[order][:-1] for x in by], axis=0))
+    length = np.empty(len(order), np.int64)
+    block = np.cumsum(heads(token, label)) - 1
+    length[order] = np.bincount(block)[block]
+    order = np.lexsort((label, length, token))
+    class_end, token_end = (np.append(np.flatnonzero(x)[1:], len(order))[np.cumsum(x) - 1] for x in (heads(token, label), heads(token)))
+    return order, class_end, token_end - class_end
+
+
+def _across(token: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of entries that have a token in common and differ in their class, in parts of PAIRS_AT_ONCE, by token."""
+    order, end, partners = _blocks(token, label)
+    before = np.concatenate((np.zeros(1, np.int64), np.cumsum(partners)))
+    i = 0
+    while i < len(order):
+        j = max(i + 1, int(np.searchsorted(before, before[i] + PAIRS_AT_ONCE, "right")) - 1)
+        yield order[np.repeat(np.arange(i, j), partners[i:j])], order[ranges(end[i:j], partners[i:j])]
+        i = j
 
 
 def settle(key: np.ndarray, label: np.ndarray, contents: list[np.ndarray], width: int, percent: int) -> list[tuple[int, int, tuple[int, int, int, int]]]:
     """(window, other, spans) of verified links that connect the classes (label) of all windows of a key that hold similar spans.
 
-    Two spans of `width` shingles that are similar have so many in common that their windows share one of their rarest
-    ones, counted within the key; windows of one class aren't compared.
+    Equal windows are compared once. Two spans of `width` shingles that are similar have so many in common that their
+    windows share one of their rarest ones, counted within the key, and both have a short enough span that holds as many of
+    the other's; only such pairs are verified. Windows of one class aren't compared.
     """
     size = np.array([len(c) for c in contents], np.int64)
-    owner = np.repeat(np.arange(len(size)), size)
-    _, token, times = np.unique(mix(np.concatenate(contents) + key[owner] * np.uint64(0x9E3779B97F4A7C15)), return_inverse=True, return_counts=True)
-    order = np.lexsort((token, owner))
-    owner, token = owner[order], token[order]
-    once = np.ones(len(token), bool)
-    once[1:] = (owner[1:] != owner[:-1]) | (token[1:] != token[:-1])
-    owner, token = owner[once], token[once]
+    begin = np.concatenate(([0], np.cumsum(size)[:-1]))
+    prints = np.concatenate(contents)
+    classes = Classes(label)
+    nth = (np.arange(len(prints)) - np.repeat(begin, size)).astype(np.uint64)
+    content = np.add.reduceat(mix(prints + mix(nth + np.uint64(1))), begin)
+    rows, joined = _alone(key, content, np.asarray(label), classes)
+    found = [(i, j, (0, int(size[i]), 0, int(size[j]))) for i, j in joined]
+    # windows of keys that have one class by now have nothing to settle
+    _, group = np.unique(key[rows], return_inverse=True)
+    low, high = np.full(group.max() + 1, (1 << 63) - 1), np.full(group.max() + 1, -(1 << 63))
+    np.minimum.at(low, group, classes.label[rows])
+    np.maximum.at(high, group, classes.label[rows])
+    rows = rows[(low < high)[group]]
+    if not len(rows):
+        return found
+    size, begin = size[rows], begin[rows]
+    group = np.unique(key[rows], return_inverse=True)[1]
+    prints = prints[ranges(begin, size)]
+    begin = np.concatenate(([0], np.cumsum(size)[:-1]))
+    owner = np.repeat(np.arange(len(rows)), size)
+    _, place, times = np.unique(mix(prints + mix(group[owner].astype(np.uint64) + np.uint64(1))), return_inverse=True, return_counts=True)
+    code = owner * len(times) + place
+    order = np.argsort(code, kind="stable")
+    again = np.append(False, code[order][1:] == code[order][:-1])
+    before = np.full(len(code), -1)
+    before[order[again]] = order[np.flatnonzero(again) - 1] - begin[owner[order[again]]]
+    fresh = before < 0  # not had in the window so far
+    least = _least(before, begin, size, width)  # different shingles of a span
+    owner, token = np.divmod(code[order[~again]], len(times))
     times = np.bincount(token, minlength=len(times))
-    distinct = np.bincount(owner, minlength=len(size))
+    distinct = np.bincount(owner, minlength=len(rows))
     index = Index(np.split(token.astype(np.uint64), np.cumsum(distinct)[:-1]))
-    least = np.maximum(1, distinct - np.maximum(0, size - width))  # different shingles of a span, at least
-    order = np.lexsort((token, times[token], owner))
-    rank = np.arange(len(order)) - np.repeat(index.begin[:-1], distinct)
-    prefix = distinct - (-(-percent * least // 100)) + 1
-    order = order[(rank < prefix[owner[order]]) & (times[token[order]] > 1)]
-    order = order[np.lexsort((owner[order], token[order], times[token[order]]))]
+    plain = distinct == size
+    lowest = np.full(group.max() + 1, width)
+    np.minimum.at(lowest, group, least)
+    key_of = np.zeros(len(times), np.int64)
+    key_of[token] = group[owner]
+    rank = np.empty(len(times), np.int64)
+    rank[np.lexsort((times, key_of))] = np.arange(len(times))  # by key, rarest first
+    order = np.lexsort((rank[token], owner))
+    at = np.arange(len(order)) - np.repeat(index.begin[:-1], distinct)
     token, owner = token[order], owner[order]
-    cuts = np.append(np.flatnonzero(np.append(True, token[1:] != token[:-1])), len(token)) if len(token) else np.zeros(1, np.int64)
-    length = np.diff(cuts)
-    classes, found = Classes(label), []
-
-    def may(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    need = np.maximum(-(-percent * least // 100), -(-percent * (least + lowest[group]) // (100 + percent)))
+    left = distinct[owner] - at  # this shingle of the window and those after it
+    some = (left >= need[owner]) & (times[token] > 1)
+    token, owner, left = rank[token[some]], owner[some], left[some]
+    # a key whose lists hold a pair more than once on average is one list
+    everyone = np.arange(len(rows))
+    label = classes.label[rows]
+    pairs = [np.bincount(group[who[order]], partners, len(lowest)) for who, (order, _, partners) in ((owner, _blocks(token, label[owner])), (everyone, _blocks(group, label)))]
+    whole = pairs[0] >= pairs[1]
+    some, all_ = ~whole[group[owner]], everyone[whole[group]]
+    token, owner, left = np.concatenate((token[some], len(times) + group[all_])), np.concatenate((owner[some], all_)), np.concatenate((left[some], distinct[all_]))
+
+    def may(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Those pairs of different classes that have enough in common."""
-        ok = classes.label[a] != classes.label[b]
-        a, b = a[ok], b[ok]
-        need = -(-percent * (least[a] + least[b]) // (100 + percent))
-        ok = (distinct[a] + distinct[b] - np.bitwise_count(index.bits[a] ^ index.bits[b]).sum(axis=1, dtype=np.int64)) // 2 >= need
+        need = np.maximum(-(-percent * (least[a] + least[b]) // (100 + percent)), -(-percent * np.maximum(least[a], least[b]) // 100))
+        ok = (most >= need) & (classes.label[rows[a]] != classes.label[rows[b]])
         a, b, need = a[ok], b[ok], need[ok]
-        ok = _shares(index, a, b) >= need
+        ok = (distinct[a] + distinct[b] - np.bitwise_count(index.bits[a] ^ index.bits[b]).sum(axis=1, dtype=np.int64)) // 2 >= need
+        pairs, first = np.unique(np.minimum(a[ok], b[ok]) * len(rows) + np.maximum(a[ok], b[ok]), return_index=True)
+        if not len(pairs):
+            return pairs, pairs
+        need = need[ok][first]
+        a, b = np.divmod(pairs, len(rows))
+        hits = _hits(a, b, place, begin, size, index)
+        shared = np.add.reduceat(hits[np.arange(hits.shape[1]) < size[a][:, None]] & fresh[ranges(begin[a], size[a])], np.cumsum(size[a]) - size[a], dtype=np.int64)
+        ok = shared >= need
+        a, b, hits = a[ok], b[ok], hits[ok]
+        ok = ~(plain[a] & plain[b]) | _room(hits, _hits(b, a, place, begin, size, index), width, percent)
         return a[ok], b[ok]
 
-    def compare(a: np.ndarray, b: np.ndarray) -> None:
-        for i, j in zip(*(x.tolist() for x in may(a, b)), strict=True):
+    for x, y in _across(token, label[owner]):
+        for i, j in zip(*(v.tolist() for v in may(owner[x], owner[y], np.minimum(left[x], left[y]))), strict=True):
+            i, j = int(rows[i]), int(rows[j])
             if classes.label[i] != classes.label[j] and (spans := verify(contents[i], contents[j], width, percent)):
                 found.append((i, j, spans))
                 classes.join(i, np.array([j]))
-
-    short = np.repeat(length <= SHORT_LIST, length)
-    some, lists, pairs = owner[short], token[short], []
-    for back in range(1, SHORT_LIST):
-        at = np.flatnonzero(lists[back:] == lists[:-back])
-        pairs.append(some[at] * len(size) + some[at + back])
-    pairs = np.unique(np.concatenate(pairs))
-    for i in range(0, len(pairs), PAIRS_AT_ONCE):
-        compare(*np.divmod(pairs[i : i + PAIRS_AT_ONCE], len(size)))
-    tried: dict[int, np.ndarray] = {}
-    for k in np.flatnonzero(length > SHORT_LIST).tolist():
-        members = owner[cuts[k] : cuts[k + 1]]
-        if (classes.label[members] == classes.label[members[0]]).all():
-            continue
-        for i, r in enumerate(members[:-1].tolist()):
-            others = members[i + 1 :]
-            others = others[classes.label[others] != classes.label[r]]
-            if r in tried:
-                others = others[~member(tried[r], others)]
-            if len(others):
-                compare(np.full(len(others), r), others)
-                tried[r] = np.union1d(tried[r], others) if r in tried else others
     return found
 
 

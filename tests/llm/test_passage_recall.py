@@ -106,3 +106,50 @@ def test_all_windows_of_a_key_are_settled():
         group = {k: (a if v == b else v) for k, v in group.items()}
     assert len({group[i] for i in range(150) if i % 3 and i % 2}) == len({group[i] for i in range(150) if i % 3 and not i % 2}) == 1
     assert len(set(group.values())) == 2 + 50 and len(found) == 150 - 52
+
+
+def test_settled_classes_are_those_of_all_pairs(monkeypatch):
+    """Families around the limit of similarity, repeated shingles, equal windows and windows of one class: as if all pairs of a key were verified, in few steps or many."""
+    rng = np.random.default_rng(7)
+    new = lambda n: rng.integers(1, 1 << 62, n, dtype=np.uint64)
+    keys, contents = [], []
+    for key in range(6):
+        for _ in range(3):
+            base = new(60) if key % 2 else np.tile(new(int(rng.integers(3, 40))), 30)[:60]
+            for _ in range(14):
+                c = base[: rng.integers(46, 61)].copy()
+                at = rng.permutation(len(c))[: rng.integers(0, 12)]
+                c[at] = new(len(at))
+                contents += [c] * int(rng.integers(1, 3))
+        keys += [key] * (len(contents) - len(keys))
+    keys = np.array(keys, np.uint64)
+    label = rng.integers(0, len(contents), len(contents))
+
+    def classes(pairs):
+        group = {x: x for x in label.tolist()}
+        for i, j in pairs:
+            a, b = group[int(label[i])], group[int(label[j])]
+            group = {k: (min(a, b) if v in (a, b) else v) for k, v in group.items()}
+        return group
+
+    pairs = [(i, j) for i in range(len(keys)) for j in range(i) if keys[i] == keys[j] and passage_dedup.verify(contents[i], contents[j], 46, 80)]
+    for some in (50, 50_000):
+        monkeypatch.setattr(passage_dedup, "PAIRS_AT_ONCE", some)
+        found = passage_dedup.settle(keys, label, contents, 46, 80)
+        assert classes([(i, j) for i, j, _ in found]) == classes(pairs)
+        for i, j, (a0, a1, b0, b1) in found:
+            x, y = set(contents[i][a0:a1].tolist()), set(contents[j][b0:b1].tolist())
+            assert min(a1 - a0, b1 - b0) >= 46 and 100 * len(x & y) >= 80 * len(x | y)
+
+
+def test_windows_that_only_resemble_each_other_are_not_verified(monkeypatch):
+    """45 of 57 shingles in common, or a repeated one: each of 200 windows was verified with nearly all others before."""
+    rng = np.random.default_rng(8)
+    new = lambda n: rng.integers(1, 1 << 62, n, dtype=np.uint64)
+    common, one = new(57), new(1)
+    contents = [np.concatenate((common[:15], new(6), common[21:36], new(6), common[42:])) for _ in range(200)]
+    contents += [np.concatenate((np.repeat(one, 36 + i % 9), new(10 - i % 9), new(20))) for i in range(100)]
+    calls, verify = [], passage_dedup.verify
+    monkeypatch.setattr(passage_dedup, "verify", lambda *a: calls.append(1) or verify(*a))
+    found = passage_dedup.settle(np.repeat(np.array([1, 2], np.uint64), [200, 100]), np.arange(300), contents, 46, 80)
+    assert not [x for x in found if x[0] < 200] and len(calls) < 1000
