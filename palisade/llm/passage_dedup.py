@@ -493,10 +493,13 @@ def _first_links(docs: DataFrame, min_words: int, shingle: int, percent: int) ->
             table = ordered(table)
             s = sequence(table, shingle)
             ids = [d if d is not None else -(1 << 63) for d in table.column("doc_id").to_pylist()]
-            for d, lo, hi, who, e, x, y in found.tolist():
-                other, prints = spans[who, e, x, y]
-                mine = s.prints[s.first[d] + max(lo, 0) : s.first[d] + min(hi + 1, int(s.count[d]))]
-                hit = verify(mine, prints, width, percent)
+            found = found.tolist()
+            mine = [s.prints[s.first[d] + max(lo, 0) : s.first[d] + min(hi + 1, int(s.count[d]))] for d, lo, hi, *_ in found]
+            theirs = [spans[who, e, x, y] for *_, who, e, x, y in found]
+            able = possible(mine, [prints for _, prints in theirs], width, percent)
+            for i in np.flatnonzero(able).tolist():
+                (d, lo, _, _, _, x, _), (other, prints) = found[i], theirs[i]
+                hit = verify(mine[i], prints, width, percent)
                 if hit:
                     a0, a1, b0, b1 = hit
                     out.append((ids[d], lo + a0, lo + a1 + shingle - 1, other, x + b0, x + b1 + shingle - 1))
@@ -576,6 +579,29 @@ def _alone(key: np.ndarray, content: np.ndarray, label: np.ndarray, classes: Cla
     return np.sort(order[head]), joined
 
 
+def possible(some: list[np.ndarray], others: list[np.ndarray], width: int, percent: int) -> np.ndarray:
+    """Which pairs of windows may hold similar spans; windows with repeated shingles and those of more than twice the width aren't ruled out."""
+    able = np.ones(len(some), bool)
+    size = np.array([[len(a), len(b)] for a, b in zip(some, others, strict=True)], np.int64).reshape(-1, 2)
+    rows = np.flatnonzero((size.max(axis=1) <= 2 * width) & (size.min(axis=1) > 0))
+    for part in np.array_split(rows, len(rows) // 4096 + 1):
+        if not len(part):
+            continue
+        sides = [(np.concatenate([x[i] for i in part.tolist()]), size[part, k]) for k, x in enumerate((some, others))]
+        _, token = np.unique(np.concatenate([prints for prints, _ in sides]), return_inverse=True)
+        token += np.concatenate([np.repeat(np.arange(len(part)), n) for _, n in sides]) * len(token)
+        codes = np.split(token, [len(sides[0][0])])
+        ordered_ = [np.sort(c) for c in codes]
+        plain, hits = np.ones(len(part), bool), []
+        for (_, n), code, mine, theirs in zip(sides, codes, ordered_, ordered_[::-1], strict=True):
+            plain[mine[1:][mine[1:] == mine[:-1]] // len(token)] = False
+            hit = np.zeros((len(part), int(n.max())), bool)
+            hit[np.arange(hit.shape[1]) < n[:, None]] = member(theirs, code)
+            hits.append(hit)
+        able[part] = ~plain | _room(*hits, width, percent)
+    return able
+
+
 def _least(before: np.ndarray, begin: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
     """The fewest different shingles of a span of `width` in each window; before: where in its window the shingle of a place was last, -1 if nowhere."""
     least = np.full(len(size), width)

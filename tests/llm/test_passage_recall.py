@@ -153,3 +153,21 @@ def test_windows_that_only_resemble_each_other_are_not_verified(monkeypatch):
     monkeypatch.setattr(passage_dedup, "verify", lambda *a: calls.append(1) or verify(*a))
     found = passage_dedup.settle(np.repeat(np.array([1, 2], np.uint64), [200, 100]), np.arange(300), contents, 46, 80)
     assert not [x for x in found if x[0] < 200] and len(calls) < 1000
+
+
+def test_no_pair_that_verifies_is_ruled_out():
+    rng = np.random.default_rng(9)
+    some, others = [], []
+    for i in range(3000):
+        a = rng.integers(1, 1 << 62, rng.integers(46, 100), dtype=np.uint64)
+        if i % 5 == 0:
+            a[::7] = a[0]
+        b = np.delete(a, rng.permutation(len(a))[: rng.integers(0, 3)])
+        at = (rng.integers(0, len(b)) + np.arange(rng.integers(0, 14))) % len(b) if i % 2 else rng.permutation(len(b))[: rng.integers(0, 14)]
+        b[at] = rng.integers(1, 1 << 62, len(at), dtype=np.uint64)
+        some.append(a)
+        others.append(b)
+    able = passage_dedup.possible(some, others, 46, 80)
+    want = np.array([passage_dedup.verify(a, b, 46, 80) is not None for a, b in zip(some, others, strict=True)])
+    assert not (want & ~able).any() and 300 < want.sum() < 2700 and (~able).sum() > 300
+    assert len(passage_dedup.possible([], [], 46, 80)) == 0
